@@ -112,13 +112,12 @@ def facility_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Codes in five spellings chosen by key % 5: 6 digits, 7 digits, with a
-    dash, 5 digits, null."""
+    """Codes in five spellings chosen by key % 5: the first 6 digits of the
+    7-digit key, the 7-digit key, ' 35-ddddd ' with a dash, 5 digits, null."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     k = F.col("c_custkey")
-    six = F.lpad((k % 1000000).cast("string"), 6, "1")
-    seven = F.concat(F.lit("3"), F.lpad((k % 1000000).cast("string"), 6, "0"))
-    spelled = (F.when(k % 5 == 0, six)
+    seven = zfill7(k)
+    spelled = (F.when(k % 5 == 0, F.substring(seven, 1, 6))
                .when(k % 5 == 1, seven)
                .when(k % 5 == 2, F.concat(F.lit(" 35-"), F.lpad((k % 100000).cast("string"), 5, "0"), F.lit(" ")))
                .when(k % 5 == 3, F.lpad((k % 100000).cast("string"), 5, "0")))

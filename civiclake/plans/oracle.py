@@ -116,3 +116,210 @@ SQL["gold_facilities"] = f"""
            CAST(trunc(coalesce(sum(CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_size / 2 END), 0)) AS BIGINT)
              AS leitos_sus
     FROM part WHERE p_size % 10 <> 0 GROUP BY 1"""
+
+
+# ---- marts and dashboard data ---------------------------------------------------
+ENTITY = f"""SELECT {zf('c.c_custkey')} AS cod_mun_ibge_7, c.c_name AS nome_municipio,
+                    n.n_name AS sigla_uf, c.c_nationkey AS cod_uf
+             FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey"""
+GOLD = {"saude": SQL["gold_health"], "educacao": SQL["gold_education"], "pib": SQL["gold_gdp"],
+        "transferencias": SQL["gold_transfers"], "cnes": SQL["gold_facilities"]}
+MEASURES = {
+    "saude": ["populacao", "total_internacoes", "total_obitos", "nascidos_vivos",
+              "taxa_internacao_100k", "taxa_obitos_100k"],
+    "educacao": ["matriculas", "docentes", "escolas", "taxa_matriculas_por_1000_hab"],
+    "pib": ["pib_total_mil_reais", "pib_per_capita"],
+    "transferencias": ["total_transferencias_reais"],
+    "cnes": ["total_estabelecimentos", "hospitais", "ubs", "leitos_totais", "leitos_sus"],
+}
+
+
+def mart_sql(theme: str) -> str:
+    cols = ", ".join(f"g.{c}" for c in MEASURES[theme])
+    return f"""SELECT g.cod_mun_ibge_7, m.nome_municipio, m.sigla_uf, g.ano, {cols}
+               FROM ({GOLD[theme]}) g LEFT JOIN ({ENTITY}) m ON m.cod_mun_ibge_7 = g.cod_mun_ibge_7"""
+
+
+def marts_with(*themes: str) -> str:
+    alias = {"saude": "ms", "educacao": "me", "pib": "mp", "transferencias": "mt", "cnes": "mc"}
+    return "WITH " + ",\n".join(f"{alias[t]} AS ({mart_sql(t)})" for t in themes) + "\n"
+
+
+def median_sql(src: str, col: str) -> str:
+    return f"""(SELECT avg(x) FROM (
+                  SELECT x, row_number() OVER (ORDER BY x) - 1 AS r, count(*) OVER () AS n
+                  FROM (SELECT CAST({col} AS DOUBLE) AS x FROM {src}
+                        WHERE {col} IS NOT NULL AND NOT isnan({col})))
+                WHERE r = (n - 1) // 2 OR r = n // 2)"""
+
+
+for _t, _n in [("saude", "mart_health"), ("educacao", "mart_education"), ("pib", "mart_gdp"),
+               ("transferencias", "mart_transfers"), ("cnes", "mart_facilities")]:
+    SQL[_n] = mart_sql(_t)
+
+SQL["mart_filtered"] = f"SELECT * FROM ({mart_sql('saude')}) WHERE sigla_uf = 'NATION_3' AND ano = 1998"
+SQL["mart_filtered_all"] = f"SELECT * EXCLUDE (sigla_uf) FROM ({mart_sql('transferencias')})"
+SQL["kpi_overview"] = marts_with("saude", "educacao", "pib", "transferencias", "cnes") + f""",
+    pt AS (SELECT CAST(coalesce(sum(p), 0) AS BIGINT) AS v FROM
+           (SELECT cod_mun_ibge_7, max(populacao) AS p FROM ms WHERE cod_mun_ibge_7 IS NOT NULL GROUP BY 1)),
+    tb AS (SELECT {r2('coalesce(sum(total_transferencias_reais), 0)')} / 1e9 AS v FROM mt)
+    SELECT (SELECT count(DISTINCT cod_mun_ibge_7) FROM ms) AS municipios,
+           (SELECT count(DISTINCT sigla_uf) FROM ms) AS ufs,
+           (SELECT v FROM pt) AS populacao_total,
+           (SELECT CAST(coalesce(sum(matriculas), 0) AS BIGINT) FROM me) AS matriculas,
+           (SELECT CAST(coalesce(sum(docentes), 0) AS BIGINT) FROM me) AS docentes,
+           (SELECT CAST(coalesce(sum(escolas), 0) AS BIGINT) FROM me) AS escolas,
+           (SELECT CAST(coalesce(sum(total_estabelecimentos), 0) AS BIGINT) FROM mc) AS estabelecimentos,
+           (SELECT CAST(coalesce(sum(leitos_totais), 0) AS BIGINT) FROM mc) AS leitos,
+           (SELECT {r2('sum(pib_total_mil_reais)')} FROM mp) AS pib_total_mil_reais,
+           {median_sql('mp', 'pib_per_capita')} AS pib_per_capita_mediano,
+           (SELECT v FROM tb) AS transferencias_bi,
+           (SELECT format('{{:,}}', v) FROM pt) AS populacao_total_txt,
+           (SELECT format('{{:,.1f}}', v) FROM tb) AS transferencias_bi_txt"""
+SQL["kpi_gdp"] = marts_with("pib") + f"""
+    SELECT (SELECT count(DISTINCT cod_mun_ibge_7) FROM mp) AS municipios,
+           (SELECT {r2('coalesce(sum(pib_total_mil_reais), 0) / 1000000')} FROM mp) AS pib_total_bi,
+           {median_sql('mp', 'pib_per_capita')} AS pib_per_capita_mediano,
+           (SELECT max(pib_per_capita) FROM mp) AS pib_per_capita_max"""
+SQL["top_n_measure"] = marts_with("pib") + """
+    SELECT nome_municipio, pib_total_mil_reais FROM (
+        SELECT * FROM mp WHERE pib_total_mil_reais IS NOT NULL
+        ORDER BY pib_total_mil_reais DESC, cod_mun_ibge_7 LIMIT 10)
+    WHERE nome_municipio IS NOT NULL"""
+SQL["sum_by_state"] = marts_with("saude") + """
+    SELECT sigla_uf, CAST(coalesce(sum(populacao), 0) AS BIGINT) AS populacao
+    FROM ms WHERE sigla_uf IS NOT NULL GROUP BY 1"""
+SQL["scatter_pairs"] = marts_with("educacao") + """
+    SELECT nome_municipio, escolas, docentes FROM me WHERE escolas IS NOT NULL AND docentes IS NOT NULL"""
+SQL["filter_values"] = marts_with("saude", "educacao", "pib") + """
+    SELECT 'uf' AS filtro, sigla_uf AS valor FROM
+      (SELECT sigla_uf FROM ms UNION SELECT sigla_uf FROM me UNION SELECT sigla_uf FROM mp)
+    WHERE sigla_uf IS NOT NULL
+    UNION ALL
+    SELECT 'ano' AS filtro, CAST(ano AS VARCHAR) AS valor FROM
+      (SELECT ano FROM ms UNION SELECT ano FROM me UNION SELECT ano FROM mp)
+    WHERE ano IS NOT NULL"""
+SQL["source_status"] = marts_with("saude", "educacao", "pib", "transferencias", "cnes") + """
+    SELECT 'saude' AS fonte, EXISTS (SELECT 1 FROM ms) AS tem_dados
+    UNION ALL SELECT 'educacao', EXISTS (SELECT 1 FROM me)
+    UNION ALL SELECT 'pib', EXISTS (SELECT 1 FROM mp)
+    UNION ALL SELECT 'transferencias', EXISTS (SELECT 1 FROM mt)
+    UNION ALL SELECT 'cnes', EXISTS (SELECT 1 FROM mc)"""
+
+CENTROIDS = f"""SELECT {zf('codigo_ibge')} AS cod_mun_ibge_7, latitude, longitude FROM (
+      SELECT CAST(c_custkey AS VARCHAR) AS codigo_ibge,
+             CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE CAST(c_nationkey - 30.0 AS DOUBLE) END AS latitude,
+             CAST(-40.0 - c_nationkey AS DOUBLE) AS longitude, 0 AS d FROM customer
+      UNION ALL
+      SELECT CAST(c_custkey AS VARCHAR), CAST(c_nationkey - 31.0 AS DOUBLE), CAST(-41.0 - c_nationkey AS DOUBLE), 1
+      FROM customer WHERE c_custkey % 13 = 0)
+    QUALIFY row_number() OVER (PARTITION BY {zf('codigo_ibge')} ORDER BY d) = 1"""
+
+
+def _first(col: str, order: str) -> str:
+    return f"first({col} ORDER BY {order}) FILTER (WHERE {col} IS NOT NULL)"
+
+
+def _fmt(col: str) -> str:
+    v = f"CAST({col} AS DOUBLE)"
+    return f"(CASE WHEN {v} = floor({v}) THEN format('{{:,.0f}}', {v}) ELSE format('{{:,.2f}}', {v}) END)"
+
+
+_MAP_ORDER = "populacao DESC NULLS LAST, ano DESC"
+_MAP_FIELDS = ["latitude", "longitude", "nome_municipio", "sigla_uf", "populacao", "total_obitos",
+               "nascidos_vivos", "taxa_obitos_100k"]
+_MAP_LABELS = [("População", "populacao"), ("Óbitos", "total_obitos"),
+               ("Nascidos vivos", "nascidos_vivos"), ("Taxa de óbitos (por 100k)", "taxa_obitos_100k")]
+SQL["map_points"] = marts_with("saude") + f""",
+    c AS ({CENTROIDS}),
+    j AS (SELECT ms.*, c.latitude, c.longitude FROM ms JOIN c ON ms.cod_mun_ibge_7 = c.cod_mun_ibge_7
+          WHERE c.latitude IS NOT NULL AND c.longitude IS NOT NULL),
+    pts AS (SELECT cod_mun_ibge_7, {', '.join(f"{_first(f, _MAP_ORDER)} AS {f}" for f in _MAP_FIELDS)}
+            FROM j GROUP BY 1),
+    mx AS (SELECT max(coalesce(CAST(populacao AS DOUBLE), 0.0)) AS m FROM pts)
+    SELECT cod_mun_ibge_7, latitude, longitude, nome_municipio, sigla_uf, populacao, total_obitos,
+           nascidos_vivos, taxa_obitos_100k,
+           CASE WHEN coalesce(CAST(populacao AS DOUBLE), 0.0) = 0 THEN 5.0
+                ELSE least(28.0, greatest(5.0, coalesce(CAST(populacao AS DOUBLE), 0.0) *
+                     (CASE WHEN (SELECT m FROM mx) > 0 THEN 22.0 / (SELECT m FROM mx) ELSE 0.01 END))) END AS raio,
+           concat_ws(chr(10), coalesce(nome_municipio, '') || ' (' || coalesce(sigla_uf, '') || ')',
+             {', '.join(f"CASE WHEN {c} IS NOT NULL THEN '{lbl}: ' || {_fmt(c)} END" for lbl, c in _MAP_LABELS)}
+           ) AS rotulo
+    FROM pts"""
+
+_MAP_OPTS = {
+    "ms": ("saude", _MAP_LABELS),
+    "me": ("educacao", [("Matrículas", "matriculas"), ("Docentes", "docentes"), ("Escolas", "escolas"),
+                        ("Taxa matrículas (por 1k hab.)", "taxa_matriculas_por_1000_hab")]),
+    "mp": ("pib", [("PIB total (R$ mil)", "pib_total_mil_reais"), ("PIB per capita (R$)", "pib_per_capita")]),
+    "mc": ("cnes", [("Estabelecimentos de saúde", "total_estabelecimentos"), ("Leitos hospitalares", "leitos_totais"),
+                    ("Hospitais", "hospitais"), ("UBS", "ubs")]),
+}
+SQL["map_measures"] = marts_with("saude", "educacao", "pib", "cnes") + "\n UNION ALL ".join(
+    f"SELECT cod_mun_ibge_7, ano, '{theme}' AS tema, '{lbl}' AS indicador, '{c}' AS coluna, "
+    f"CAST({c} AS DOUBLE) AS valor FROM {a}"
+    for a, (theme, opts) in _MAP_OPTS.items() for lbl, c in opts)
+
+# ---- sampling, fallbacks, keys, checks ----------------------------------------------
+
+
+def _sample(n: int) -> str:
+    k = max(1, n // 27)
+    return f"""WITH e AS ({ENTITY})
+    SELECT cod_mun_ibge_7, nome_municipio, sigla_uf, cod_uf FROM (
+      SELECT *, row_number() OVER (PARTITION BY sigla_uf ORDER BY cod_mun_ibge_7) AS rn
+      FROM e WHERE sigla_uf IS NOT NULL)
+    WHERE rn <= {k} AND (SELECT count(*) FROM e) > {n}
+    ORDER BY cod_mun_ibge_7 LIMIT {n}"""
+
+
+SQL["stratified_sample"] = _sample(100)
+SQL["stratified_sample_10"] = _sample(10)
+SQL["year_backoff"] = with_views("v_pop") + """
+    SELECT *, ano AS ano_efetivo FROM v_pop
+    WHERE ano = (SELECT arg_min(ano, CASE ano WHEN 2002 THEN 1 WHEN 2001 THEN 2 END)
+                 FROM v_pop WHERE ano IN (2002, 2001))"""
+SQL["year_lagged_preference"] = with_views("v_gdp") + """
+    SELECT cod_mun_ibge_7, ano, max(pib_total_mil_reais) AS pib_total_mil_reais,
+           max(pib_per_capita) AS pib_per_capita
+    FROM v_gdp
+    WHERE ano = (SELECT arg_min(ano, CASE ano WHEN 2000 THEN 1 WHEN 1999 THEN 2 WHEN 2001 THEN 3 END)
+                 FROM v_gdp WHERE ano IN (2000, 1999, 2001))
+    GROUP BY 1, 2"""
+SQL["source_preference"] = """
+    WITH t AS (SELECT event_id, user_id, value,
+                      CASE event_type WHEN 'refund' THEN 0 WHEN 'purchase' THEN 1 WHEN 'click' THEN 2 END AS prio
+               FROM events WHERE event_type IN ('refund', 'purchase', 'click'))
+    SELECT event_id, user_id, value FROM t WHERE prio = (SELECT min(prio) FROM t)"""
+
+RAW_CODES = f"""SELECT c_custkey, c_name,
+      CASE c_custkey % 5 WHEN 0 THEN substr({zf('c_custkey')}, 1, 6)
+                         WHEN 1 THEN {zf('c_custkey')}
+                         WHEN 2 THEN ' 35-' || lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') || ' '
+                         WHEN 3 THEN lpad(CAST(c_custkey % 100000 AS VARCHAR), 5, '0') END AS codigo_ibge
+    FROM customer"""
+
+
+def _std(mode: str) -> str:
+    d = "regexp_replace(trim(codigo_ibge), '[^0-9]', '', 'g')"
+    six = f"lpad({d}, 7, '0')" if mode == "pad" else d
+    return f"""SELECT * FROM (SELECT *, CASE WHEN length({d}) = 6 THEN {six}
+                                         WHEN length({d}) = 7 THEN {d} END AS cod_mun_ibge_7
+                          FROM ({RAW_CODES}))
+               WHERE cod_mun_ibge_7 IS NOT NULL"""
+
+
+SQL["key_standardise"] = _std("pad") + " AND length(cod_mun_ibge_7) = 7"
+SQL["key_prefix6_join"] = f"""
+    SELECT r.c_custkey, e.cod_mun_ibge_7 AS cod_dim, e.nome_municipio
+    FROM ({_std('prefix6')}) r JOIN ({ENTITY}) e
+      ON substr(r.cod_mun_ibge_7, 1, 6) = substr(e.cod_mun_ibge_7, 1, 6)"""
+SQL["alias_resolve"] = """
+    SELECT CAST(c_custkey + 3000000 AS VARCHAR) AS cod_mun_ibge_7, c_name AS nome_municipio,
+           c_acctbal AS valor
+    FROM customer WHERE length(CAST(c_custkey + 3000000 AS VARCHAR)) = 7"""
+SQL["key_uniqueness"] = with_views("v_gdp") + """
+    SELECT cod_mun_ibge_7, ano, count(*) AS n_linhas FROM v_gdp GROUP BY 1, 2 HAVING count(*) > 1"""
+SQL["orphan_keys"] = f"""
+    SELECT DISTINCT cod_mun_ibge_7 FROM ({_std('pad')} AND length(cod_mun_ibge_7) = 7) r
+    WHERE NOT EXISTS (SELECT 1 FROM ({ENTITY}) e WHERE e.cod_mun_ibge_7 = r.cod_mun_ibge_7)"""

@@ -88,3 +88,162 @@ def gold_transfers(spark, sf):
 def gold_facilities(spark, sf):
     recs = payloads.facility_rows(A.facility_records(spark, sf), ano=A.REF_YEAR)
     return gold.facility_counts(recs, hospital_pattern="ECONOMY", basic_pattern="SMALL", stamp=False)
+
+
+# ---- marts and dashboard data ----------------------------------------------------
+from civiclake.operators import core  # noqa: E402
+from civiclake.plans import marts as M  # noqa: E402
+from civiclake.functions import keys as K  # noqa: E402
+
+MAP_UF, MAP_YEAR = "NATION_3", 1998   # the dashboard filter choice of ``mart_filtered``
+
+
+def _gold(spark, sf) -> dict[str, DataFrame]:
+    return {"saude": gold_health(spark, sf), "educacao": gold_education(spark, sf),
+            "pib": gold_gdp(spark, sf), "transferencias": gold_transfers(spark, sf),
+            "cnes": gold_facilities(spark, sf)}
+
+
+def _marts(spark, sf) -> dict[str, DataFrame]:
+    dim = A.v_entity(spark, sf)
+    return {t: M.mart(g, dim, t) for t, g in _gold(spark, sf).items()}
+
+
+def _mart_query(theme: str):
+    def q(spark, sf):
+        return M.mart(_gold(spark, sf)[theme], A.v_entity(spark, sf), theme)
+    return q
+
+
+for _t, _n in [("saude", "mart_health"), ("educacao", "mart_education"), ("pib", "mart_gdp"),
+               ("transferencias", "mart_transfers"), ("cnes", "mart_facilities")]:
+    REGISTRY[_n] = _mart_query(_t)
+
+
+@query("mart_filtered")
+def mart_filtered(spark, sf):
+    return core.dashboard_filter(REGISTRY["mart_health"](spark, sf), uf=MAP_UF, ano=MAP_YEAR)
+
+
+@query("mart_filtered_all")
+def mart_filtered_all(spark, sf):
+    """``Todos`` on both filters keeps every row; a filter on an absent column is ignored."""
+    return core.dashboard_filter(REGISTRY["mart_transfers"](spark, sf).drop("sigla_uf"), uf=MAP_UF)
+
+
+@query("kpi_overview")
+def kpi_overview(spark, sf):
+    m = _marts(spark, sf)
+    return M.overview_kpis(m["saude"], m["educacao"], m["pib"], m["transferencias"], m["cnes"]) \
+        .withColumn("pib_total_mil_reais", round2("pib_total_mil_reais"))
+
+
+@query("kpi_gdp")
+def kpi_gdp(spark, sf):
+    return M.gdp_kpis(REGISTRY["mart_gdp"](spark, sf)).withColumn("pib_total_bi", round2("pib_total_bi"))
+
+
+@query("top_n_measure")
+def top_n_measure(spark, sf):
+    return core.top_n(REGISTRY["mart_gdp"](spark, sf), "pib_total_mil_reais", "nome_municipio", 10)
+
+
+@query("sum_by_state")
+def sum_by_state(spark, sf):
+    return M.sum_by_state(REGISTRY["mart_health"](spark, sf), "populacao")
+
+
+@query("scatter_pairs")
+def scatter_pairs(spark, sf):
+    return M.scatter_pairs(REGISTRY["mart_education"](spark, sf), "escolas", "docentes")
+
+
+@query("filter_values")
+def filter_values(spark, sf):
+    m = _marts(spark, sf)
+    return M.filter_values([m["saude"], m["educacao"], m["pib"]])
+
+
+@query("source_status")
+def source_status(spark, sf):
+    return M.source_status(_marts(spark, sf))
+
+
+@query("map_points")
+def map_points(spark, sf):
+    cents = M.centroid_rows(A.centroids(spark, sf))
+    return M.map_points(REGISTRY["mart_health"](spark, sf), cents, "saude", "populacao")
+
+
+@query("map_measures")
+def map_measures(spark, sf):
+    return M.map_measures(_marts(spark, sf))
+
+
+# ---- sampling, fallbacks, keys, checks ------------------------------------------------
+@query("stratified_sample")
+def stratified_sample(spark, sf):
+    return core.stratified_sample(A.v_entity(spark, sf), n=100)
+
+
+@query("stratified_sample_10")
+def stratified_sample_10(spark, sf):
+    return core.stratified_sample(A.v_entity(spark, sf), n=10)
+
+
+@query("year_backoff")
+def year_backoff(spark, sf):
+    """population asked for 2002 (absent) falls back to 2001."""
+    return core.preferred_year(A.v_pop(spark, sf), core.backoff_years(2002))
+
+
+@query("year_lagged_preference")
+def year_lagged_preference(spark, sf):
+    """GDP asked for 2002 with publication lag after 2000 tries 2000, 1999, 2001."""
+    rows = core.preferred_year(A.gdp(spark, sf), core.lagged_years(2002, lag_after=2000))
+    return gold.gdp_indicators(rows, stamp=False)
+
+
+@query("source_preference")
+def source_preference(spark, sf):
+    """Primary source empty -> the secondary one is used."""
+    ev = A.table(spark, sf, "events")
+    frames = [ev.where(F.col("event_type") == t).select("event_id", "user_id", "value")
+              for t in ("refund", "purchase", "click")]
+    return core.first_non_empty(frames)
+
+
+@query("key_standardise")
+def key_standardise(spark, sf):
+    return K.standardise_key(A.raw_codes(spark, sf))
+
+
+@query("key_prefix6_join")
+def key_prefix6_join(spark, sf):
+    raw = K.standardise_key(A.raw_codes(spark, sf), mode="prefix6")
+    dim = A.v_entity(spark, sf).select(KEY, "nome_municipio")
+    return K.prefix6_join(raw.select("c_custkey", KEY), dim.withColumnRenamed(KEY, "_dk")
+                          .withColumn(KEY, F.col("_dk")), how="inner") \
+        .select("c_custkey", F.col("_dk").alias("cod_dim"), "nome_municipio")
+
+
+@query("alias_resolve")
+def alias_resolve(spark, sf):
+    c = A.table(spark, sf, "customer").select(
+        (F.col("c_custkey") + 3_000_000).alias("CODMUN"), F.col("c_name").alias("nomeMunicipio"),
+        F.col("c_acctbal").cast("string").alias("valor"))
+    t = payloads.transfer_rows(c)
+    t = K.standardise_key(t)
+    from civiclake import schemas as S
+    return core.require_columns(t, [KEY, "valor"], S.TABLES["gold_transparencia_transferencias"]) \
+        .select(KEY, "nome_municipio", "valor")
+
+
+@query("key_uniqueness")
+def key_uniqueness(spark, sf):
+    return core.duplicate_keys(A.gdp(spark, sf))
+
+
+@query("orphan_keys")
+def orphan_keys(spark, sf):
+    return core.orphan_keys(K.standardise_key(A.raw_codes(spark, sf)), A.v_entity(spark, sf))
