@@ -323,3 +323,116 @@ SQL["key_uniqueness"] = with_views("v_gdp") + """
 SQL["orphan_keys"] = f"""
     SELECT DISTINCT cod_mun_ibge_7 FROM ({_std('pad')} AND length(cod_mun_ibge_7) = 7) r
     WHERE NOT EXISTS (SELECT 1 FROM ({ENTITY}) e WHERE e.cod_mun_ibge_7 = r.cod_mun_ibge_7)"""
+
+# ---- sources, snapshots, sinks -----------------------------------------------------------
+SQL["dim_flatten_nested_json"] = f"""
+    SELECT {zf('c.c_custkey')} AS cod_mun_ibge_7, c.c_name AS nome_municipio,
+           CASE WHEN c.c_custkey % 7 IN (0, 1) THEN '' ELSE coalesce(n.n_name, '') END AS sigla_uf,
+           CASE WHEN c.c_custkey % 7 IN (0, 1) THEN NULL ELSE c.c_nationkey END AS cod_uf
+    FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+    WHERE c.c_custkey <> 0 AND c.c_custkey % 97 <> 5"""
+
+_SER = f"""a AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n,
+                    sum(o_totalprice) AS s FROM orders GROUP BY 1, 2),
+    pick AS (SELECT k, CASE WHEN bool_or(y = 1999) THEN 1999 ELSE max(y) END AS y FROM a GROUP BY k),
+    v AS (SELECT a.* FROM a JOIN pick ON a.k = pick.k AND a.y = pick.y),
+    loc AS (SELECT k, CASE WHEN k % 17 = 0 THEN '1' || {zf('k')} ELSE {zf('k')} END AS cod FROM pick)"""
+SQL["series_latest_year"] = f"""WITH {_SER}
+    SELECT loc.cod AS cod_mun_ibge_7, 1999 AS ano,
+           CAST(CASE WHEN v.n = 1 THEN 0 WHEN v.n = 2 THEN NULL ELSE floor(v.s / v.n) END AS BIGINT) AS populacao,
+           v.y AS ano_origem
+    FROM v JOIN loc ON v.k = loc.k WHERE v.k % 10 <> 3"""
+SQL["series_exact_year"] = f"""WITH {_SER}
+    SELECT loc.cod AS cod_mun_ibge_7, 1999 AS ano,
+           CAST(CASE WHEN a.n >= 3 THEN floor(a.s) END AS BIGINT) AS populacao_1999
+    FROM a JOIN loc ON a.k = loc.k WHERE a.y = 1999"""
+SQL["series_two_measures_pivot"] = f"""WITH {_SER},
+    r AS (SELECT {zf('k')} AS cod,
+                 CASE WHEN n >= 3 THEN CAST(floor(s) + CASE WHEN k % 9 = 0 THEN 1 ELSE 0 END AS DOUBLE) END AS t,
+                 CASE WHEN n >= 3 AND k % 10 <> 3 THEN CAST(floor(s / n) AS DOUBLE) END AS pc
+          FROM v WHERE k % 17 <> 0)
+    SELECT cod AS cod_mun_ibge_7, 1999 AS ano, t AS pib_total_mil_reais, pc AS pib_per_capita
+    FROM r WHERE t IS NOT NULL OR pc IS NOT NULL"""
+SQL["series_key_restricted"] = f"""
+    SELECT * FROM ({SQL['series_latest_year']}) p
+    WHERE p.cod_mun_ibge_7 IN (SELECT cod_mun_ibge_7 FROM ({_sample(100)}))"""
+SQL["event_counts_by_key"] = """
+    SELECT cod AS cod_mun_ibge_7, ano, count(*) AS total_obitos FROM (
+      SELECT CASE WHEN y <= 1996 THEN CAST(o_custkey + 3000000 AS VARCHAR)
+                  WHEN y <= 1998 THEN lpad(CAST(o_custkey + 300000 AS VARCHAR), 7, '0')
+                  ELSE '35' || lpad(CAST(o_custkey AS VARCHAR), 5, '0') END AS cod, y AS ano
+      FROM (SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders) WHERE y <= 1999)
+    WHERE length(cod) = 7 GROUP BY 1, 2"""
+SQL["envelope_unwrap"] = f"""
+    SELECT {zf('user_id')} AS cod_mun_ibge_7, CAST(year(ts) AS INTEGER) AS ano,
+           {r2('coalesce(sum(value), 0.0)')} AS total_transferencias_reais
+    FROM events WHERE event_id % 4 <> 3 GROUP BY 1, 2"""
+SQL["csv_microdata_count"] = """
+    SELECT cod AS cod_mun_ibge_7, count(*) AS matriculas, 1998 AS ano FROM (
+      SELECT CASE WHEN o_orderstatus = 'F' THEN CAST(o_custkey + 3000000 AS VARCHAR)
+                  ELSE lpad(CAST(o_custkey + 300000 AS VARCHAR), 7, '0') END AS cod
+      FROM orders WHERE o_orderstatus IN ('F', 'O'))
+    WHERE length(cod) = 7 GROUP BY 1"""
+SQL["ragged_union_sum"] = """
+    SELECT CAST(l_suppkey + 3000000 AS VARCHAR) AS cod_mun_ibge_7, CAST(year(l_shipdate) AS INTEGER) AS ano,
+           CAST(sum(l_quantity) AS DOUBLE) AS matriculas,
+           CAST(coalesce(sum(l_linenumber) FILTER (WHERE l_linenumber <= 4), 0) AS DOUBLE) AS docentes,
+           CAST(count(*) FILTER (WHERE l_linenumber <= 2) AS DOUBLE) AS escolas
+    FROM lineitem GROUP BY 1, 2"""
+SQL["latest_snapshot"] = SQL["gold_gdp"]
+SQL["dim_upsert"] = f"""
+    SELECT cod_mun_ibge_7,
+           CASE WHEN CAST(cod_mun_ibge_7 AS BIGINT) % 8 = 0 THEN nome_municipio || ' v2'
+                WHEN CAST(cod_mun_ibge_7 AS BIGINT) % 4 = 0 THEN nome_municipio || ' v1'
+                ELSE nome_municipio END AS nome_municipio, sigla_uf, cod_uf
+    FROM ({ENTITY})"""
+_EDU_AGG = f"""SELECT {zf('l_suppkey')} AS cod_mun_ibge_7, CAST(year(l_shipdate) AS INTEGER) AS ano,
+                      CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS matriculas,
+                      CAST(coalesce(sum(l_linenumber), 0) AS BIGINT) AS docentes,
+                      CAST(count(*) FILTER (WHERE l_returnflag <> 'R') AS BIGINT) AS escolas
+               FROM lineitem WHERE {{}} GROUP BY 1, 2"""
+SQL["education_silver_upsert"] = f"""
+    WITH b1 AS ({_EDU_AGG.format("l_returnflag = 'R'")}),
+         b2 AS ({_EDU_AGG.format('year(l_shipdate) >= 1998')})
+    SELECT * FROM b2
+    UNION ALL
+    SELECT * FROM b1 WHERE NOT EXISTS
+      (SELECT 1 FROM b2 WHERE b2.cod_mun_ibge_7 = b1.cod_mun_ibge_7 AND b2.ano = b1.ano)"""
+SQL["indicator_append"] = f"""
+    SELECT {zf('user_id')} AS cod_mun_ibge_7, CAST(year(ts) AS INTEGER) AS ano, CAST(month(ts) AS INTEGER) AS mes,
+           coalesce(CASE WHEN event_type <> 'error' THEN event_type END, 'raw') AS indicador,
+           value AS valor, CAST(NULL AS VARCHAR) AS unidade
+    FROM events"""
+SQL["replace_by_year"] = f"""
+    SELECT cod_mun_ibge_7, ano,
+           CASE WHEN ano IN (1999, 2000) THEN pib_total_mil_reais * 2 ELSE pib_total_mil_reais END AS pib_total_mil_reais,
+           CASE WHEN ano IN (1999, 2000) THEN pib_per_capita * 2 ELSE pib_per_capita END AS pib_per_capita
+    FROM ({SQL['gold_gdp']})"""
+SQL["export_roundtrip"] = SQL["gold_gdp"]
+SQL["export_filtered"] = SQL["mart_filtered"]
+SQL["ddl_roundtrip"] = f"""
+    SELECT 'dim_municipio' AS tabela, (SELECT count(*) FROM customer) AS linhas, 4 AS colunas
+    UNION ALL SELECT 'gold_cnes_municipio', (SELECT count(*) FROM ({SQL['gold_facilities']})), 8
+    UNION ALL SELECT 'gold_indicadores_educacao_municipio', (SELECT count(*) FROM ({SQL['gold_education']})), 7
+    UNION ALL SELECT 'gold_indicadores_saude_municipio', (SELECT count(*) FROM ({SQL['gold_health']})), 9
+    UNION ALL SELECT 'gold_pib_municipio', (SELECT count(*) FROM ({SQL['gold_gdp']})), 5
+    UNION ALL SELECT 'gold_transparencia_transferencias', (SELECT count(*) FROM ({SQL['gold_transfers']})), 4
+    UNION ALL SELECT 'silver_datasus_indicadores', 0, 7
+    UNION ALL SELECT 'silver_ibge_populacao', 0, 4
+    UNION ALL SELECT 'silver_inep_educacao', 0, 6
+    UNION ALL SELECT 'gold_inexistente', 0, 5"""
+SQL["legacy_join_by_name"] = f"""
+    WITH cities AS (SELECT c_custkey AS municipio_id_ibge, c_name AS municipio_nome,
+                           CAST(1000 + (c_custkey * 37) % 9000 + 2001 AS BIGINT) AS populacao_2001
+                    FROM customer WHERE c_custkey % 50 <> 1 AND c_custkey % 50 <> 0
+                    UNION ALL
+                    SELECT c_custkey, c_name, CAST(0 AS BIGINT) FROM customer WHERE c_custkey % 50 = 0),
+         ag AS (SELECT 'Customer#' || lpad(CAST(s_nationkey AS VARCHAR), 9, '0') AS municipio_nome,
+                       CAST(s_suppkey AS VARCHAR) AS convenio_id, s_suppkey * 1000 AS valor_convenio,
+                       s_name AS objeto_convenio FROM supplier)
+    SELECT cities.municipio_nome, municipio_id_ibge, populacao_2001, convenio_id, valor_convenio, objeto_convenio
+    FROM cities LEFT JOIN ag ON cities.municipio_nome = ag.municipio_nome"""
+SQL["stamp_columns"] = """
+    SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS carimbo,
+           strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS data_carga_iso
+    FROM events"""

@@ -247,3 +247,7 @@ def key_uniqueness(spark, sf):
 @query("orphan_keys")
 def orphan_keys(spark, sf):
     return core.orphan_keys(K.standardise_key(A.raw_codes(spark, sf)), A.v_entity(spark, sf))
+
+
+# Source, snapshot and sink queries register themselves on import.
+from civiclake.plans import io_queries  # noqa: E402,F401

@@ -98,7 +98,7 @@ def population_exact_year(items: DataFrame, ano: int) -> DataFrame:
     v = F.try_element_at("_serie", F.lit(str(ano)))
     return p.where(v.isNotNull()).select(
         zfill7("_loc").alias(KEY), F.lit(int(ano)).alias("ano"),
-        v.try_cast("long").alias(f"populacao_{ano}"))
+        F.when(v.rlike(r"^\s*[+-]?[0-9]+\s*$"), v.try_cast("long")).alias(f"populacao_{ano}"))
 
 
 def gdp_rows(items: DataFrame, ano: int, total_var: str = GDP_TOTAL_VAR,
