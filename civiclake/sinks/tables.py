@@ -3,7 +3,7 @@ and table creation.
 
 Layouts (all under a lake root on the shared file system):
   bronze/<name>/<yyyyMMdd_HHmmss>-<id>/   immutable snapshot (Parquet + CSV)
-  <table>/snap_<yyyyMMdd_HHmmss>_<id>/     versioned table (upsert targets)
+  <table>/snap_<version:08d>_<yyyyMMdd_HHmmss>/  versioned table (upsert targets)
   <table>/ano=<year>/                      year-partitioned table (replace-by-year)
 
 Versioned tables are never rewritten in place: an upsert reads the current
@@ -77,11 +77,20 @@ def upsert(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[
         merged = cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
     else:
         merged = batch
-    path = f"{table_path.rstrip('/')}/snap_{_stamp()}_{uuid.uuid4().hex[:8]}"
+    path = f"{table_path.rstrip('/')}/snap_{next_version(spark, table_path):08d}_{_stamp()}"
     merged.write.mode("errorifexists").parquet(path)
     return path
 
 
+def next_version(spark: SparkSession, table_path: str) -> int:
+    """1 + the highest version number present (committed or not), so versions
+    order by number even when written within the same second."""
+    v = latest_version(spark, table_path, committed_only=False)
+    if v is None:
+        return 1
+    return int(v.rsplit("/", 1)[-1].split("_")[1]) + 1
+
+
 def dimension_upsert(spark: SparkSession, table_path: str, new: DataFrame, order: str) -> str:
     """K3: municipality dimension upsert; an absent state code is added as null."""
     new = add_missing(new, {"cod_uf": T.IntegerType()})

@@ -28,19 +28,18 @@ def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet") ->
     return m.where(F.col("_snap") == newest).select(*cols)
 
 
-def latest_version(spark: SparkSession, table_path: str) -> str | None:
-    """The newest committed ``snap_*`` version folder of a versioned table."""
-    from civiclake.sources.files import list_files
-    try:
-        files = list_files(spark, table_path)
-    except Exception:  # noqa: BLE001 - no table yet
-        return None
+def latest_version(spark: SparkSession, table_path: str, committed_only: bool = True) -> str | None:
+    """The newest (highest-numbered) ``snap_*`` version folder of a versioned
+    table; by default only versions whose job committed (``_SUCCESS``)."""
     jvm = spark._jvm
     fs = jvm.org.apache.hadoop.fs.Path(table_path).getFileSystem(spark._jsc.hadoopConfiguration())
-    versions = sorted({f.rsplit("/", 2)[-2] for f in files if "/snap_" in f})
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(table_path)):
+        return None
+    names = [p.getPath().getName() for p in fs.listStatus(jvm.org.apache.hadoop.fs.Path(table_path))]
+    versions = sorted(n for n in names if n.startswith("snap_"))
     for v in reversed(versions):
         base = f"{table_path.rstrip('/')}/{v}"
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/_SUCCESS")):
+        if not committed_only or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/_SUCCESS")):
             return base
     return None
 
