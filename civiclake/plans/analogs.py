@@ -52,6 +52,18 @@ def event_records(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
             .select(zfill7("o_custkey").alias(KEY), F.year("o_orderdate").alias("ano")))
 
 
+EVENT_STATUS = {"F": "obitos", "P": "internacoes", "O": "nascidos"}
+
+
+def tagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All event records in one scan, tagged with their kind (``_kind``, ``_n``)."""
+    o = table(spark, sf_dir, "orders")
+    kind = F.create_map(*[x for s, k in EVENT_STATUS.items() for x in (F.lit(s), F.lit(k))])[F.col("o_orderstatus")]
+    return (o.select(zfill7("o_custkey").alias(KEY), F.year("o_orderdate").alias("ano"),
+                     kind.alias("_kind"), F.lit(1).cast("long").alias("_n"))
+            .where(F.col("_kind").isNotNull()))
+
+
 def deaths(spark, sf_dir):
     return event_records(spark, sf_dir, "F")
 

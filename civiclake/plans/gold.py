@@ -51,6 +51,10 @@ def empty_table(spark, name: str, stamp: bool = True) -> DataFrame:
     return df if stamp else df.drop("data_carga")
 
 
+EVENT_KINDS = {"obitos": ("_ob", "total_obitos"), "internacoes": ("_ih", None),
+               "nascidos": ("_nv", "nascidos_vivos")}
+
+
 def health_indicators(pop: DataFrame, deaths: DataFrame | None = None,
                       admissions: DataFrame | None = None, births: DataFrame | None = None,
                       ano: int | None = None, stamp: bool = True) -> DataFrame:
@@ -61,33 +65,48 @@ def health_indicators(pop: DataFrame, deaths: DataFrame | None = None,
     (column ``total_obitos`` / ``nascidos_vivos``). Rows keep the population
     side (left-join semantics); absent events count 0; an absent source gives
     0 and rate 0.0. Zero or null population gives a null rate.
-
-    Plan: population and all event rows are unioned and aggregated once by
-    (key, year) - one shuffle instead of three joins.
     """
-    pop = _with_year(pop, ano)
-    n = F.lit(None).cast("long")
-    measures = ["_ob", "_ih", "_nv"]
-    parts = [pop.select(F.col(KEY), F.col(YEAR).cast("int").alias(YEAR),
-                        F.col("populacao").cast("long").alias("_pop"), F.lit(1).alias("_is_pop"),
-                        *[n.alias(m) for m in measures])]
-    sources = [("_ob", deaths, "total_obitos"), ("_ih", admissions, None), ("_nv", births, "nascidos_vivos")]
-    present = set()
-    for m, frame, precounted in sources:
+    parts = []
+    for kind, frame in (("obitos", deaths), ("internacoes", admissions), ("nascidos", births)):
         if frame is None or KEY not in frame.columns:
             continue
-        present.add(m)
+        precounted = EVENT_KINDS[kind][1]
+        v = F.col(precounted) if precounted and precounted in frame.columns else F.lit(1)
         frame = _with_year(frame, ano)
-        v = F.col(precounted).cast("long") if precounted and precounted in frame.columns else F.lit(1).cast("long")
-        parts.append(frame.select(F.col(KEY), F.col(YEAR).cast("int").alias(YEAR), n.alias("_pop"),
-                                  F.lit(0).alias("_is_pop"),
-                                  *[(v if x == m else n).alias(x) for x in measures]))
-    u = reduce(DataFrame.unionByName, parts)
+        parts.append(frame.select(KEY, YEAR, F.lit(kind).alias("_kind"), v.cast("long").alias("_n")))
+    events = reduce(DataFrame.unionByName, parts) if parts else None
+    kinds = [k for k, f in (("obitos", deaths), ("internacoes", admissions), ("nascidos", births))
+             if f is not None and KEY in f.columns]
+    return health_from_events(pop, events, kinds, ano=ano, stamp=stamp)
+
+
+def health_from_events(pop: DataFrame, events: DataFrame | None, kinds: list[str],
+                       ano: int | None = None, stamp: bool = True) -> DataFrame:
+    """A8 over one tagged event frame (``KEY``, ``ano``, ``_kind``, ``_n``):
+    several event sources read by a single scan when they share a table.
+
+    Plan: population rows and event rows are unioned and aggregated once by
+    (key, year) - one shuffle, after map-side partial aggregation, instead of
+    one aggregation and one join per source.
+    """
+    pop = _with_year(pop, ano)
+    n = F.lit(None).cast("long")
+    measures = [EVENT_KINDS[k][0] for k in EVENT_KINDS]
+    u = pop.select(F.col(KEY), F.col(YEAR).cast("int").alias(YEAR),
+                   F.col("populacao").cast("long").alias("_pop"), F.lit(1).alias("_is_pop"),
+                   *[n.alias(m) for m in measures])
+    if events is not None:
+        ev = events.select(F.col(KEY), F.col(YEAR).cast("int").alias(YEAR), n.alias("_pop"),
+                           F.lit(0).alias("_is_pop"),
+                           *[F.when(F.col("_kind") == k, F.col("_n").cast("long")).alias(m)
+                             for k, (m, _) in EVENT_KINDS.items()])
+        u = u.unionByName(ev)
     u = _year_filter(u, ano).where(F.col(KEY).isNotNull() & F.col(YEAR).isNotNull())
     g = (u.groupBy(KEY, YEAR)
          .agg(F.max("_pop").alias("populacao"), F.max("_is_pop").alias("_has_pop"),
               *[F.coalesce(F.sum(m), F.lit(0).cast("long")).alias(m) for m in measures])
          .where(F.col("_has_pop") == 1))
+    present = {EVENT_KINDS[k][0] for k in kinds}
 
     def total(m: str) -> Column:
         return F.col(m) if m in present else F.lit(0).cast("long")

@@ -88,6 +88,7 @@ def _education(year_filter: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["gold_health"] = _health("", True)
+SQL["gold_health_frames"] = SQL["gold_health"]
 SQL["gold_health_year"] = _health("WHERE ano = 1998", False)
 SQL["gold_health_precounted"] = _health("", False)  # pre-counting leaves totals unchanged
 SQL["gold_education"] = _education("")

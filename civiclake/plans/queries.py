@@ -34,6 +34,13 @@ def query(name: str):
 def gold_health(spark, sf):
     """Flagship: deaths, admissions, births per entity-year joined to population,
     rates per 100 000 (every year)."""
+    return gold.health_from_events(A.v_pop(spark, sf), A.tagged_events(spark, sf),
+                                   ["obitos", "internacoes", "nascidos"], stamp=False)
+
+
+@query("gold_health_frames")
+def gold_health_frames(spark, sf):
+    """The same indicators through the per-source API (one frame per source)."""
     return gold.health_indicators(A.v_pop(spark, sf), deaths=A.deaths(spark, sf),
                                   admissions=A.admissions(spark, sf), births=A.births(spark, sf),
                                   stamp=False)
