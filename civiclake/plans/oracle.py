@@ -437,3 +437,24 @@ SQL["stamp_columns"] = """
     SELECT event_id, strftime(ts, '%Y%m%d_%H%M%S') AS carimbo,
            strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS data_carga_iso
     FROM events"""
+
+_CODE_NUM = "CAST(o_custkey AS VARCHAR)"
+SQL["pipeline_run"] = f"""
+    WITH a AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n,
+                      sum(o_totalprice) AS s FROM orders GROUP BY 1, 2),
+    pick AS (SELECT k, CASE WHEN bool_or(y = 1998) THEN 1998 ELSE max(y) END AS y FROM a GROUP BY k),
+    p AS (SELECT {zf('a.k')} AS cod,
+                 CAST(CASE WHEN a.n = 1 THEN 0 WHEN a.n = 2 THEN NULL ELSE floor(a.s) END AS BIGINT) AS populacao
+          FROM a JOIN pick ON a.k = pick.k AND a.y = pick.y WHERE a.k % 17 <> 0),
+    ev AS (SELECT CASE WHEN o_orderstatus = 'O' OR o_custkey % 2 = 0 THEN {zf('o_custkey')}
+                       WHEN length({_CODE_NUM}) = 6 THEN lpad({_CODE_NUM}, 7, '0')
+                       WHEN length({_CODE_NUM}) = 7 THEN {_CODE_NUM} END AS cod, o_orderstatus
+           FROM orders WHERE year(o_orderdate) = 1998 AND o_orderstatus IN ('F', 'O')),
+    d AS (SELECT cod, count(*) FILTER (WHERE o_orderstatus = 'F') AS ob,
+                 count(*) FILTER (WHERE o_orderstatus = 'O') AS nv
+          FROM ev WHERE cod IS NOT NULL GROUP BY 1)
+    SELECT p.cod AS cod_mun_ibge_7, 1998 AS ano, p.populacao,
+           CAST(0 AS BIGINT) AS total_internacoes, CAST(coalesce(d.ob, 0) AS BIGINT) AS total_obitos,
+           CAST(coalesce(d.nv, 0) AS BIGINT) AS nascidos_vivos, CAST(0.0 AS DOUBLE) AS taxa_internacao_100k,
+           {rate('coalesce(d.ob, 0)', 'p.populacao', 100000)} AS taxa_obitos_100k
+    FROM p LEFT JOIN d ON p.cod = d.cod"""

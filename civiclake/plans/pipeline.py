@@ -1,0 +1,161 @@
+"""Batch pipeline: landed payload files -> bronze -> silver -> gold.
+
+``run`` reads each landed source with its scan, keeps an immutable bronze
+snapshot, standardises keys into silver tables (dimension upsert, population
+and education replace/upsert) and publishes the gold tables by replacing the
+years of the batch. Optional sources that are absent are skipped (the
+reference logs and continues). Each gold table is one Catalyst plan; the
+reruns of a year replace that year, so running twice equals running once.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from civiclake import schemas
+from civiclake.functions.keys import KEY, standardise_key
+from civiclake.operators import core
+from civiclake.plans import gold
+from civiclake.sinks import tables as sinks
+from civiclake.sources import files, payloads, snapshots
+
+DEFAULT_SAMPLE = 100   # fixed value: default municipality sample size
+
+
+@dataclass
+class Landing:
+    """Folders of landed payload files (None = source not landed)."""
+    municipios: str
+    populacao: str
+    obitos: str | None = None
+    nascidos: str | None = None
+    sinopse: list[str] | None = None
+    microdados: str | None = None
+    cnes: str | None = None
+    pib: str | None = None
+    transferencias: str | None = None
+
+
+@dataclass
+class RunResult:
+    gold: dict[str, DataFrame] = field(default_factory=dict)
+    population_year: int | None = None
+    skipped: list[str] = field(default_factory=list)
+
+
+def _exists(spark: SparkSession, path: str | None) -> bool:
+    if not path:
+        return False
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_series_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Series payloads landed one JSON array per line."""
+    return payloads.series_from_text(spark.read.text(path).withColumnRenamed("value", "payload"))
+
+
+def read_record_pages(spark: SparkSession, path: str, element, envelope) -> DataFrame:
+    """Paged API payloads landed one page per line."""
+    return payloads.records_from_pages(spark.read.text(path), "value", element, envelope)
+
+
+def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
+        sample: int | None = DEFAULT_SAMPLE, keys: list[str] | None = None,
+        all_municipalities: bool = False, include: tuple[str, ...] = ()) -> RunResult:
+    """Run the batch for year ``ano``. ``include`` may hold 'pib', 'transferencias', 'cnes'."""
+    lake = lake.rstrip("/")
+    res = RunResult()
+
+    # Municipalities: scan -> bronze snapshot -> newest snapshot -> silver dimension upsert.
+    mun = payloads.municipality_rows(
+        spark.read.schema(schemas.MUNICIPALITY_JSON).json(landing.municipios))
+    sinks.write_snapshot(mun, f"{lake}/bronze", "ibge_municipios")
+    dim_raw = snapshots.latest_snapshot(spark, f"{lake}/bronze/ibge_municipios/*/parquet")
+    dim = standardise_key(dim_raw).withColumn("_seq", F.lit(0))
+    sinks.dimension_upsert(spark, f"{lake}/dim_municipio", dim, "_seq")
+    dim = snapshots.read_latest_version(spark, f"{lake}/dim_municipio")
+
+    # Key restriction: all, an explicit list, or the stratified sample.
+    if all_municipalities:
+        key_df = None
+    elif keys:
+        key_df = spark.createDataFrame([(k,) for k in keys], f"{KEY} string")
+    else:
+        key_df = core.stratified_sample(dim, n=sample or DEFAULT_SAMPLE).select(KEY)
+
+    # Population: requested year, else one earlier (resolved once, D3).
+    items = read_series_pages(spark, landing.populacao)
+    pop_years = core.union_all([payloads.population_rows(items, y) for y in core.backoff_years(ano)])
+    if key_df is not None:
+        pop_years = payloads.restrict_keys(pop_years, key_df)
+    pop = (core.preferred_year(pop_years, core.backoff_years(ano))
+           .withColumn("ano_origem", F.coalesce("ano_origem", "ano_efetivo"))
+           .withColumn("ano", F.lit(int(ano))).drop("ano_efetivo"))
+    pop = standardise_key(pop)
+    sinks.write_snapshot(pop, f"{lake}/bronze", f"ibge_populacao_{ano}")
+    sinks.publish_by_year(pop.select(KEY, "ano", "populacao"), f"{lake}/silver_ibge_populacao",
+                          "silver_ibge_populacao")
+    pop = spark.read.parquet(f"{lake}/silver_ibge_populacao").where(F.col("ano") == ano)
+
+    # Deaths and births per municipality (per-state record files).
+    deaths = files.death_counts(spark, landing.obitos, ano) if _exists(spark, landing.obitos) else None
+    births = files.birth_counts(spark, landing.nascidos, ano) if _exists(spark, landing.nascidos) else None
+    for name, df in (("obitos", deaths), ("nascidos", births)):
+        if df is None:
+            res.skipped.append(name)
+        else:
+            sinks.write_snapshot(df, f"{lake}/bronze", f"datasus_{name}")
+
+    # Education: synopsis first, microdata when the synopsis gives nothing (F1).
+    cands = []
+    if landing.sinopse:
+        syn = files.synopsis_sums([spark.read.parquet(p) for p in landing.sinopse if _exists(spark, p)], ano)
+        if syn is not None:
+            cands.append(syn)
+    if _exists(spark, landing.microdados):
+        cands.append(files.microdata_counts(spark, landing.microdados, ano))
+    edu = None
+    if cands:
+        edu = core.first_non_empty(cands) if len(cands) > 1 else cands[0]
+        sinks.education_silver_upsert(spark, f"{lake}/silver_inep_educacao", edu)
+        edu = snapshots.read_latest_version(spark, f"{lake}/silver_inep_educacao")
+    else:
+        res.skipped.append("inep")
+
+    # Gold: health and education.
+    health = gold.health_indicators(pop, deaths=deaths, births=births, ano=ano)
+    _publish(spark, health, lake, "gold_indicadores_saude_municipio", res)
+    if edu is not None:
+        _publish(spark, gold.education_indicators(edu, pop, ano=ano), lake,
+                 "gold_indicadores_educacao_municipio", res)
+
+    # Optional sources.
+    if "cnes" in include and _exists(spark, landing.cnes):
+        recs = read_record_pages(spark, landing.cnes, schemas.FACILITY_RECORD, payloads.FACILITY_ENVELOPE)
+        fac = gold.facility_counts(payloads.facility_rows(recs, ano, key_df))
+        _publish(spark, fac, lake, "gold_cnes_municipio", res)
+    if "pib" in include and _exists(spark, landing.pib):
+        gi = read_series_pages(spark, landing.pib)
+        years = core.lagged_years(ano)
+        rows = core.preferred_year(core.union_all([payloads.gdp_rows(gi, y) for y in years]), years)
+        _publish(spark, gold.gdp_indicators(rows.drop("ano_efetivo")), lake, "gold_pib_municipio", res)
+    if "transferencias" in include and _exists(spark, landing.transferencias):
+        recs = read_record_pages(spark, landing.transferencias, schemas.TRANSFER_RECORD,
+                                 payloads.TRANSFER_ENVELOPE)
+        _publish(spark, gold.transfer_totals(payloads.transfer_rows(recs, ano)), lake,
+                 "gold_transparencia_transferencias", res)
+    res.population_year = ano
+    return res
+
+
+def _publish(spark: SparkSession, df: DataFrame, lake: str, table: str, res: RunResult) -> None:
+    """K5 + K8: replace the batch's years, export a gold snapshot, read back."""
+    path = f"{lake}/{table}"
+    sinks.publish_by_year(df, path, table)
+    res.gold[table] = spark.read.parquet(path)
+    sinks.write_snapshot(res.gold[table], f"{lake}/exports", table)

@@ -101,7 +101,7 @@ def event_counts(spark: SparkSession, path: str, candidates: Sequence[str], out:
     parts = []
     for col, files in groups.items():
         df = spark.read.option("ignoreCorruptFiles", "true").parquet(*files)
-        year = F.col("ano") if "ano" in df.columns and ano is None else F.lit(ano)
+        year = F.col("ano") if "ano" in df.columns else F.lit(ano)
         parts.append(df.select(mun_code_of(df, col).alias(KEY), year.cast("int").alias("ano")))
     rows = union_all(parts).where(F.col(KEY).isNotNull())
     if ano is not None:
