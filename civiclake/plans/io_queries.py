@@ -421,3 +421,22 @@ def pipeline_run(spark, sf):
     res = pipeline.run(spark, landing, scratch_dir(spark, "lake"), A.REF_YEAR, all_municipalities=True,
                        include=("pib", "transferencias", "cnes"))
     return res.gold["gold_indicadores_saude_municipio"].drop("data_carga")
+
+
+# ---- incremental bronze ingestion (Structured Streaming) ---------------------------------
+@query("streaming_bronze_ingest")
+def streaming_bronze_ingest(spark, sf):
+    """Record files landed in two waves are ingested by two availableNow runs of
+    a file stream (the second run sees only the new files); births are then
+    counted per (key, year) from bronze."""
+    from civiclake.streaming import ingest_landed, read_bronze
+    root = scratch_dir(spark, "stream")
+    o = A.table(spark, sf, "orders").where(F.col("o_orderstatus") == "O")
+    rows = o.select(zfill7("o_custkey").alias("CODMUNNASC"), F.year("o_orderdate").alias("ano"))
+    sch = rows.schema
+    rows.where(F.col("ano") <= 1998).write.parquet(f"{root}/landing/wave1")
+    ingest_landed(spark, f"{root}/landing/*", sch, f"{root}/bronze", f"{root}/_checkpoint")
+    rows.where(F.col("ano") > 1998).write.parquet(f"{root}/landing/wave2")
+    ingest_landed(spark, f"{root}/landing/*", sch, f"{root}/bronze", f"{root}/_checkpoint")
+    b = read_bronze(spark, f"{root}/bronze")
+    return core.count_per_key(b.withColumnRenamed("CODMUNNASC", KEY), [KEY, "ano"], "nascidos_vivos")

@@ -458,3 +458,7 @@ SQL["pipeline_run"] = f"""
            CAST(coalesce(d.nv, 0) AS BIGINT) AS nascidos_vivos, CAST(0.0 AS DOUBLE) AS taxa_internacao_100k,
            {rate('coalesce(d.ob, 0)', 'p.populacao', 100000)} AS taxa_obitos_100k
     FROM p LEFT JOIN d ON p.cod = d.cod"""
+SQL["streaming_bronze_ingest"] = f"""
+    SELECT {zf('o_custkey')} AS cod_mun_ibge_7, CAST(year(o_orderdate) AS INTEGER) AS ano,
+           count(*) AS nascidos_vivos
+    FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2"""
