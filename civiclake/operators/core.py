@@ -201,37 +201,41 @@ def exact_median(df: DataFrame, column: str, out: str = "mediana",
     one-row frame, without gathering all values in one task.
 
     Spark's exact ``median`` keeps every distinct value of a group in one
-    buffer. Here approximate quantiles narrow a value window known to hold the
-    median (rank error of ``percentile_approx`` is at most n/accuracy, so the
-    window is widened by twice that), until the window has at most
-    ``max_distinct`` distinct values; only those (value, count) pairs are
-    ranked. Each round is one aggregate job; the loop runs over rounds, not
-    rows.
+    buffer. Here the values are counted per distinct value (a partial
+    aggregate, so repeated values collapse map-side); while a value window
+    known to hold the median has more than ``max_distinct`` distinct values,
+    approximate quantiles narrow it (the rank error of ``percentile_approx``
+    is at most n/accuracy, so the window is widened by twice that). Only the
+    final window's (value, count) pairs are ranked. The value column is
+    written once as a table in the checkpoint folder (lineage cut, no
+    recomputation of the input per round);
+    the loop runs over rounds, not rows.
     """
-    x = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    from civiclake.session import materialize
+    x = materialize(df.select(F.col(column).cast("double").alias("x"))
+                    .where(F.col("x").isNotNull() & ~F.isnan("x")), "median")
     spark = df.sparkSession
-    stats = x.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    n = stats["n"]
+    counts = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    info = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("m"),
+                      F.min("x").alias("lo"), F.max("x").alias("hi")).first()
+    n = info["m"]
     if not n:
         return spark.range(1).select(F.lit(None).cast("double").alias(out))
     k_lo, k_hi = (n - 1) // 2, n // 2
-    lo, hi, below = stats["lo"], stats["hi"], 0
-    while True:
-        win = x.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        counts = win.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-        info = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("m")).first()
-        if info["d"] <= max_distinct:
-            break
-        m = info["m"]
+    lo, hi, below, d, m = info["lo"], info["hi"], 0, info["d"], n
+    while d > max_distinct:
         eps = 2.0 / accuracy
         p_lo = max(0.0, (k_lo - below) / m - eps)
         p_hi = min(1.0, (k_hi - below) / m + eps)
+        win = x.where((F.col("x") >= lo) & (F.col("x") <= hi))
         q = win.agg(F.percentile_approx("x", [p_lo, p_hi], accuracy).alias("q")).first()["q"]
-        new_lo, new_hi = q[0], q[1]
-        if new_lo == lo and new_hi == hi:
+        if q[0] == lo and q[1] == hi:
             break
-        below += x.where((F.col("x") >= lo) & (F.col("x") < new_lo)).count()
-        lo, hi = new_lo, new_hi
+        below += x.where((F.col("x") >= lo) & (F.col("x") < q[0])).count()
+        lo, hi = q[0], q[1]
+        counts = x.where((F.col("x") >= lo) & (F.col("x") <= hi)).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+        r = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("m")).first()
+        d, m = r["d"], r["m"]
     # The window holds a bounded number of distinct values: rank them.
     w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (counts.withColumn("_end", F.sum("c").over(w) + F.lit(below))
@@ -241,6 +245,20 @@ def exact_median(df: DataFrame, column: str, out: str = "mediana",
     return pick.agg(((F.min("x") + F.max("x")) / 2).alias(out))
 
 
+def top_n_labelled(fact: DataFrame, labels: DataFrame, measure: str, label: str, n: int = 10,
+                   key: str = KEY) -> DataFrame:
+    """T1 on a fact without labels: the top ``n`` keys are chosen first, then
+    only those rows are joined to the label frame (broadcast of at most n
+    rows, a bounded side), then null labels or measures are dropped.
+    Same rows as ``top_n`` over the joined mart, without joining the whole fact."""
+    top = (fact.where(F.col(measure).isNotNull())
+           .orderBy(F.col(measure).desc(), F.col(key)).limit(n).select(key, measure))
+    lab = labels.select(key, label)
+    cols = [label, measure]
+    return (lab.join(F.broadcast(top), key, "right").select(key, *cols)
+            .orderBy(F.col(measure).desc(), F.col(key)).drop(key).dropna(subset=cols))
+
+
 # ---- Q: checks -------------------------------------------------------------------------
 def duplicate_keys(df: DataFrame, keys: Sequence[str] = (KEY, "ano")) -> DataFrame:
     """Q1: keys that occur more than once (must be empty)."""

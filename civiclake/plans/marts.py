@@ -71,6 +71,25 @@ def scatter_pairs(m: DataFrame, x: str, y: str, label: str = "nome_municipio") -
     return m.select(label, x, y).dropna(subset=[x, y])
 
 
+def state_totals(gold: DataFrame, dim: DataFrame, measure: str) -> DataFrame:
+    """A14 from the gold table: the measure is first summed per key (a partial
+    aggregate), so the dimension join sees one row per key, not per key-year."""
+    per_key = gold.groupBy(KEY).agg(F.sum(measure).alias(measure))
+    m = per_key.join(dim.select(KEY, "sigla_uf"), KEY, "left")
+    return sum_by_state(m, measure)
+
+
+def health_kpis(health: DataFrame) -> DataFrame:
+    """A10 + A11 in one chain: entities, states and the population total (max
+    per key summed over keys). The state is a function of the key (dimension
+    join), so grouping by both keeps one row per key."""
+    per_key = (health.where(F.col(KEY).isNotNull()).groupBy(KEY, "sigla_uf")
+               .agg(F.max("populacao").alias("p")))
+    return per_key.agg(F.count_distinct(KEY).alias("municipios"),
+                       F.count_distinct("sigla_uf").alias("ufs"),
+                       F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("populacao_total"))
+
+
 def population_total(health: DataFrame) -> DataFrame:
     """Max population per key, summed over keys (one-row frame)."""
     per_key = health.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.max("populacao").alias("p"))
@@ -83,9 +102,7 @@ def overview_kpis(health: DataFrame, edu: DataFrame, gdp: DataFrame, transfers:
     facilities, beds, teachers, schools, GDP, median GDP per capita, transfers
     in billions). One-row aggregates are merged by a union, not a cross join."""
     parts = [
-        health.agg(F.count_distinct(KEY).alias("municipios"),
-                   F.count_distinct("sigla_uf").alias("ufs")),
-        population_total(health),
+        health_kpis(health),
         edu.agg(sum_or_zero("matriculas").cast("long").alias("matriculas"),
                 sum_or_zero("docentes").cast("long").alias("docentes"),
                 sum_or_zero("escolas").cast("long").alias("escolas")),
@@ -155,7 +172,10 @@ def map_points(m: DataFrame, centroids: DataFrame, theme: str, measure: str) ->
     cols = [c for _, c in opts]
     joined = m.join(centroids, KEY, "inner").dropna(subset=["latitude", "longitude"])
     fields = ["latitude", "longitude", *DIM_COLUMNS, *cols]
-    pts = core.first_non_null_by(joined, KEY, fields, order=[measure, "ano"])
+    # One row per municipality, written once to the checkpoint folder: the
+    # marker scale and the output read it instead of recomputing the joins.
+    from civiclake.session import materialize
+    pts = materialize(core.first_non_null_by(joined, KEY, fields, order=[measure, "ano"]), "map_points")
     v = F.coalesce(F.col(measure).cast("double"), F.lit(0.0))
     mx = pts.select(F.max(v)).scalar()
     scale = F.when(mx > 0, F.lit(RADIUS_SPAN) / mx).otherwise(F.lit(RADIUS_FLAT_SCALE))
@@ -170,8 +190,8 @@ def map_points(m: DataFrame, centroids: DataFrame, theme: str, measure: str) ->
 
 def map_measures(marts: Mapping[str, DataFrame]) -> DataFrame:
     """For the themes that have rows, the measures whose column exists, as
-    one tall (key, year, theme, indicator label, column, value) frame."""
-    status = source_status(marts).where("tem_dados")
+    one tall (key, year, theme, indicator label, column, value) frame. A theme
+    without rows contributes no rows, so no separate emptiness probe runs."""
     frames = []
     for theme, df in marts.items():
         opts = [(lbl, c) for lbl, c in MAP_OPTIONS.get(theme, []) if c in df.columns]
@@ -182,6 +202,4 @@ def map_measures(marts: Mapping[str, DataFrame]) -> DataFrame:
         labels = F.create_map(*[x for lbl, c in opts for x in (F.lit(c), F.lit(lbl))])
         frames.append(tall.withColumn("tema", F.lit(theme))
                       .withColumn("indicador", labels[F.col("coluna")]))
-    out = core.union_all(frames)
-    return out.join(status.select(F.col("fonte").alias("tema")), "tema", "left_semi").select(
-        KEY, "ano", "tema", "indicador", "coluna", "valor")
+    return core.union_all(frames).select(KEY, "ano", "tema", "indicador", "coluna", "valor")

@@ -152,12 +152,13 @@ def kpi_gdp(spark, sf):
 
 @query("top_n_measure")
 def top_n_measure(spark, sf):
-    return core.top_n(REGISTRY["mart_gdp"](spark, sf), "pib_total_mil_reais", "nome_municipio", 10)
+    return core.top_n_labelled(gold_gdp(spark, sf), A.v_entity(spark, sf), "pib_total_mil_reais",
+                               "nome_municipio", 10)
 
 
 @query("sum_by_state")
 def sum_by_state(spark, sf):
-    return M.sum_by_state(REGISTRY["mart_health"](spark, sf), "populacao")
+    return M.state_totals(gold_health(spark, sf), A.v_entity(spark, sf), "populacao")
 
 
 @query("scatter_pairs")

@@ -59,3 +59,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if path.startswith("/") or path.startswith("file:"):
         os.makedirs(path.replace("file:", "", 1), exist_ok=True)
     return path
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` once as a Parquet table under the shared
+    checkpoint folder and reading it back (a reliable checkpoint that computes
+    the input once; ``Dataset.checkpoint`` runs it twice unless cached)."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
