@@ -387,7 +387,7 @@ def ddl_roundtrip(spark, sf):
 def legacy_join_by_name(spark, sf):
     """Reference cities (customers with a 2001 population) left-joined by name
     to their agreements (suppliers of the nation whose number is in the name:
-    one-to-many)."""
+    one-to-many), exported as CSV (K10) and read back."""
     c = A.table(spark, sf, "customer").select("c_custkey", "c_name")
     pop = A.v_pop(spark, sf).where(F.col("ano") == 2001).select(KEY, F.col("populacao").alias("populacao_2001"))
     cities = (c.withColumn(KEY, zfill7("c_custkey")).join(pop, KEY, "inner")
@@ -400,7 +400,10 @@ def legacy_join_by_name(spark, sf):
         F.col("s_suppkey").cast("string").alias("convenio_id"),
         (F.col("s_suppkey") * 1000).alias("valor_convenio"),
         F.col("s_name").alias("objeto_convenio"))
-    return cities.join(agreements, "municipio_nome", "left")
+    joined = cities.join(agreements, "municipio_nome", "left")
+    path = scratch_dir(spark, "legado") + "/dados_publicos_integrados"
+    sinks.export_csv(joined, path, sep=",")          # K10: comma CSV with a header
+    return spark.read.schema(joined.schema).option("header", True).csv(path)
 
 
 # ---- N10: stamps ---------------------------------------------------------------------------------------------------

@@ -152,12 +152,9 @@ def source_status(sources: Mapping[str, DataFrame]) -> DataFrame:
         for name, df in sources.items()])
 
 
-def centroid_rows(raw: DataFrame, order: Sequence[str] = ("_dup",)) -> DataFrame:
-    """Zero-filled text key, coordinates, first row per key."""
-    c = raw.select(F.col("codigo_ibge").cast("string").alias("codigo_ibge"), "latitude", "longitude", *order)
-    from civiclake.functions.keys import zfill7
-    c = c.withColumn(KEY, zfill7("codigo_ibge")).drop("codigo_ibge")
-    return core.first_per_key(c, KEY, list(order)).select(KEY, "latitude", "longitude")
+def first_centroids(centroids: DataFrame) -> DataFrame:
+    """First centroid row per key by its ``ordem`` column."""
+    return core.first_per_key(centroids, KEY, ["ordem"]).select(KEY, "latitude", "longitude")
 
 
 def map_points(m: DataFrame, centroids: DataFrame, theme: str, measure: str) -> DataFrame:

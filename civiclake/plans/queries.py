@@ -179,7 +179,12 @@ def source_status(spark, sf):
 
 @query("map_points")
 def map_points(spark, sf):
-    cents = M.centroid_rows(A.centroids(spark, sf))
+    """Centroids landed as CSV (S13), first row per key (U3), joined to the
+    health mart (J4), one point per municipality with radius and label."""
+    from civiclake.session import scratch_dir
+    path = scratch_dir(spark, "centroides")
+    A.centroids(spark, sf).withColumnRenamed("_dup", "ordem").write.option("header", True).csv(path)
+    cents = M.first_centroids(payloads.read_centroids(spark, path))
     return M.map_points(REGISTRY["mart_health"](spark, sf), cents, "saude", "populacao")
 
 

@@ -37,7 +37,7 @@ FACILITY_RECORD = _st(
     ("co_tipo_estabelecimento", S), ("tp_estabelecimento", S), ("ds_tipo_estabelecimento", S),
     ("qt_leito", S), ("qt_leito_sus", S),
 )
-CENTROIDS_CSV = _st(("codigo_ibge", S), ("latitude", D), ("longitude", D))
+CENTROIDS_CSV = _st(("codigo_ibge", S), ("latitude", D), ("longitude", D), ("ordem", I))
 AGREEMENT = _st(("municipio_nome", S), ("convenio_id", S), ("valor_convenio", L), ("objeto_convenio", S))
 
 # ---- lake tables ------------------------------------------------------------

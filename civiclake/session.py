@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -53,12 +52,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A new, unique folder below the shared checkpoint root for written tables."""
+    """A new, unique (not yet existing) path below the shared checkpoint root
+    for written tables."""
     root = checkpoint_root(spark)
-    path = f"{root}/civiclake/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{root}/civiclake/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def materialize(df, name: str):

@@ -165,3 +165,20 @@ def facility_rows(records: DataFrame, ano: int, keys: DataFrame | None = None) -
     df = records.withColumn(KEY, zfill7(F.substring(F.col("co_municipio").cast("string"), 1, 7)))
     df = df.withColumn("ano", F.lit(int(ano)))
     return restrict_keys(df, keys) if keys is not None else df
+
+
+def vaccination_rows(pages: DataFrame, element: T.StructType, column: str = "payload") -> DataFrame:
+    """Vaccination records from pages that are a ``{"results": [...]}``
+    envelope or a bare list; any other payload yields no rows."""
+    return records_from_pages(pages, column, element, VACCINATION_ENVELOPE)
+
+
+def read_centroids(spark: SparkSession, path: str) -> DataFrame:
+    """Centroid CSV (header, explicit schema); the code is read as text and
+    zero-filled to 7; key, coordinates and the row order are kept. The order is
+    the file's ``ordem`` column when present, then the physical read order.
+    Duplicates are resolved by the caller (first row per key)."""
+    raw = spark.read.option("header", True).schema(schemas.CENTROIDS_CSV).csv(path)
+    return raw.select(zfill7("codigo_ibge").alias(KEY), "latitude", "longitude",
+                      F.struct(F.coalesce("ordem", F.lit(0)).alias("o"),
+                               F.monotonically_increasing_id().alias("i")).alias("ordem"))
