@@ -18,8 +18,18 @@ YEARS = (1995, 2001)     # year span of the order and ship dates
 REF_YEAR = 1998          # the "requested year" of single-year queries
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A test table as a DataFrame; the scan (file listing, footer schema) is
+    set up once per session and path - the tables are read-only inputs."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def v_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
