@@ -105,7 +105,8 @@ def stratified_sample(dim: DataFrame, n: int = 100, group: str = "sigla_uf",
     k rows per task, not its size.
     """
     k = max(1, n // groups)
-    total = dim.select(F.count(F.lit(1))).scalar()
+    # "more than n rows?" needs at most n + 1 rows, not a full count.
+    total = dim.limit(n + 1).select(F.count(F.lit(1))).scalar()
     w = Window.partitionBy(group).orderBy(F.col(order))
     sampled = (dim.where(F.col(group).isNotNull())
                .withColumn("_rn", F.row_number().over(w))
@@ -139,10 +140,13 @@ def newest(df: DataFrame, value: str, stamp: str) -> DataFrame:
 # ---- F: data-driven fallbacks ------------------------------------------------------
 def first_non_empty(frames: Sequence[DataFrame]) -> DataFrame:
     """the first frame (in list order) that has rows, in one plan: frames are
-    tagged with their priority, unioned, and the minimum present priority is
-    kept (a scalar subquery, not a driver-side emptiness probe)."""
+    tagged with their priority and unioned; the minimum priority that has a
+    row is a scalar subquery over one row per frame (``limit(1)`` each, so the
+    probe stops at the first row instead of scanning every source)."""
     tagged = union_all([f.withColumn("_prio", F.lit(i)) for i, f in enumerate(frames)])
-    best = tagged.select(F.min("_prio")).scalar()
+    probe = reduce(DataFrame.unionByName,
+                   [f.limit(1).select(F.lit(i).alias("_prio")) for i, f in enumerate(frames)])
+    best = probe.select(F.min("_prio")).scalar()
     return tagged.where(F.col("_prio") == best).drop("_prio")
 
 
@@ -151,7 +155,12 @@ def preferred_year(df: DataFrame, preferences: Sequence[int], column: str = "ano
     and add it as ``ano_efetivo`` (resolved once; D3)."""
     rank = F.array_position(F.array(*[F.lit(int(y)) for y in preferences]), F.col(column))
     cand = df.withColumn("_rank", rank).where(F.col("_rank") > 0)
-    best = cand.select(F.min("_rank")).scalar()
+    # One row per preferred year at most: the year filter reaches the scan and
+    # each probe stops at its first row.
+    probe = reduce(DataFrame.unionByName, [
+        df.where(F.col(column) == F.lit(int(y))).limit(1).select(F.lit(i + 1).alias("_rank"))
+        for i, y in enumerate(preferences)])
+    best = probe.select(F.min("_rank")).scalar()
     out = cand.where(F.col("_rank") == best).drop("_rank")
     return out.withColumn("ano_efetivo", F.col(column))
 
