@@ -32,6 +32,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df
 
 
+def in_year(c: str, ano: int | None):
+    """A pushable date-range predicate for ``year(c) == ano`` (Parquet cannot
+    push a function of the column; a range on the column itself it can)."""
+    if ano is None:
+        return F.lit(True)
+    return (F.col(c) >= F.lit(f"{ano}-01-01").cast("timestamp_ntz")) & \
+        (F.col(c) < F.lit(f"{ano + 1}-01-01").cast("timestamp_ntz"))
+
+
 def v_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Municipality dimension: customer with its nation as state.
 
@@ -44,10 +53,12 @@ def v_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_name").alias("sigla_uf"), F.col("c_nationkey").alias("cod_uf")))
 
 
-def v_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population per entity and year: 0 for key % 50 = 0, null for % 50 = 1."""
+def v_pop(spark: SparkSession, sf_dir: str, ano: int | None = None) -> DataFrame:
+    """Population per entity and year: 0 for key % 50 = 0, null for % 50 = 1
+    (only the requested year's rows are generated when one is given)."""
     c = table(spark, sf_dir, "customer").select("c_custkey")
-    y = F.explode(F.sequence(F.lit(YEARS[0]), F.lit(YEARS[1]))).alias("ano")
+    lo, hi = (ano, ano) if ano is not None else YEARS
+    y = F.explode(F.sequence(F.lit(lo), F.lit(hi))).alias("ano")
     k = F.col("c_custkey")
     pop = (F.when(k % 50 == 0, F.lit(0).cast("long"))
            .when(k % 50 == 1, F.lit(None).cast("long"))
@@ -55,9 +66,9 @@ def v_pop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(k, y).select(zfill7("c_custkey").alias(KEY), "ano", pop.alias("populacao"))
 
 
-def event_records(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+def event_records(spark: SparkSession, sf_dir: str, status: str, ano: int | None = None) -> DataFrame:
     """Event records (deaths F, births O, admissions P): one order = one event."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").where(in_year("o_orderdate", ano))
     return (o.where(F.col("o_orderstatus") == status)
             .select(zfill7("o_custkey").alias(KEY), F.year("o_orderdate").alias("ano")))
 
@@ -65,30 +76,30 @@ def event_records(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
 EVENT_STATUS = {"F": "obitos", "P": "internacoes", "O": "nascidos"}
 
 
-def tagged_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tagged_events(spark: SparkSession, sf_dir: str, ano: int | None = None) -> DataFrame:
     """All event records in one scan, tagged with their kind (``_kind``, ``_n``)."""
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders").where(in_year("o_orderdate", ano))
     kind = F.create_map(*[x for s, k in EVENT_STATUS.items() for x in (F.lit(s), F.lit(k))])[F.col("o_orderstatus")]
     return (o.select(zfill7("o_custkey").alias(KEY), F.year("o_orderdate").alias("ano"),
                      kind.alias("_kind"), F.lit(1).cast("long").alias("_n"))
             .where(F.col("_kind").isNotNull()))
 
 
-def deaths(spark, sf_dir):
-    return event_records(spark, sf_dir, "F")
+def deaths(spark, sf_dir, ano=None):
+    return event_records(spark, sf_dir, "F", ano)
 
 
-def births(spark, sf_dir):
-    return event_records(spark, sf_dir, "O")
+def births(spark, sf_dir, ano=None):
+    return event_records(spark, sf_dir, "O", ano)
 
 
-def admissions(spark, sf_dir):
-    return event_records(spark, sf_dir, "P")
+def admissions(spark, sf_dir, ano=None):
+    return event_records(spark, sf_dir, "P", ano)
 
 
-def education(spark: SparkSession, sf_dir: str) -> DataFrame:
+def education(spark: SparkSession, sf_dir: str, ano: int | None = None) -> DataFrame:
     """School census rows: lineitem by supplier and ship year."""
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").where(in_year("l_shipdate", ano))
     return li.select(
         zfill7("l_suppkey").alias(KEY), F.year("l_shipdate").alias("ano"),
         F.col("l_quantity").cast("long").alias("matriculas"),

@@ -50,8 +50,9 @@ def gold_health_frames(spark, sf):
 def gold_health_year(spark, sf):
     """Single requested year (P2 on every input), deaths and births only (the
     pipeline's call: admissions absent -> 0 and rate 0.0)."""
-    return gold.health_indicators(A.v_pop(spark, sf), deaths=A.deaths(spark, sf),
-                                  births=A.births(spark, sf), ano=A.REF_YEAR, stamp=False)
+    y = A.REF_YEAR
+    return gold.health_indicators(A.v_pop(spark, sf, y), deaths=A.deaths(spark, sf, y),
+                                  births=A.births(spark, sf, y), ano=y, stamp=False)
 
 
 @query("gold_health_precounted")
@@ -69,8 +70,8 @@ def gold_education(spark, sf):
 
 @query("gold_education_year")
 def gold_education_year(spark, sf):
-    return gold.education_indicators(A.education(spark, sf), A.v_pop(spark, sf),
-                                     ano=A.REF_YEAR, stamp=False)
+    y = A.REF_YEAR
+    return gold.education_indicators(A.education(spark, sf, y), A.v_pop(spark, sf, y), ano=y, stamp=False)
 
 
 @query("gold_education_no_population")

@@ -24,6 +24,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b.config("spark.ui.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # coalesce shuffle partitions to the advisory size (not to the core
+        # count): fewer tiny tasks locally, right-sized partitions on a cluster
+        .config("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
         .config("spark.sql.session.timeZone", "UTC")
