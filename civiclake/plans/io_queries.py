@@ -443,3 +443,25 @@ def streaming_bronze_ingest(spark, sf):
     ingest_landed(spark, f"{root}/landing/*", sch, f"{root}/bronze", f"{root}/_checkpoint")
     b = read_bronze(spark, f"{root}/bronze")
     return core.count_per_key(b.withColumnRenamed("CODMUNNASC", KEY), [KEY, "ano"], "nascidos_vivos")
+
+
+# ---- S7: vaccination pages ------------------------------------------------------------
+@query("vaccination_unwrap")
+def vaccination_unwrap(spark, sf):
+    """Events as vaccination pages: a 'results' envelope (event_id % 3 = 0), a
+    bare list (% 3 = 1) or an object without 'results' (% 3 = 2, no rows);
+    doses are counted per municipality, year and dose type."""
+    ev = A.table(spark, sf, "events")
+    rec = F.struct(F.col("user_id").cast("string").alias("co_municipio"),
+                   F.col("ts").alias("dt_vacina"), F.col("event_type").alias("dose"))
+    e = F.col("event_id") % 3
+    page = (F.when(e == 0, F.to_json(F.struct(F.array(rec).alias("results"))))
+            .when(e == 1, F.to_json(F.array(rec)))
+            .otherwise(F.to_json(F.struct(F.array(rec).alias("resultados")))))
+    el = payloads.T.StructType([payloads.T.StructField("co_municipio", payloads.T.StringType()),
+                                payloads.T.StructField("dt_vacina", payloads.T.TimestampNTZType()),
+                                payloads.T.StructField("dose", payloads.T.StringType())])
+    recs = payloads.vaccination_rows(ev.select(page.alias("payload")), el)
+    return core.count_per_key(
+        recs.select(zfill7("co_municipio").alias(KEY), F.year("dt_vacina").alias("ano"), "dose"),
+        [KEY, "ano", "dose"], "doses")

@@ -462,3 +462,8 @@ SQL["streaming_bronze_ingest"] = f"""
     SELECT {zf('o_custkey')} AS cod_mun_ibge_7, CAST(year(o_orderdate) AS INTEGER) AS ano,
            count(*) AS nascidos_vivos
     FROM orders WHERE o_orderstatus = 'O' GROUP BY 1, 2"""
+SQL["vaccination_unwrap"] = f"""
+    SELECT {zf('user_id')} AS cod_mun_ibge_7, CAST(year(ts) AS INTEGER) AS ano, event_type AS dose,
+           count(*) AS doses
+    FROM events WHERE event_id % 3 <> 2 GROUP BY 1, 2, 3"""
+SQL["mart_health_ordered"] = mart_sql("saude") + " ORDER BY g.populacao DESC NULLS LAST, g.cod_mun_ibge_7, g.ano"

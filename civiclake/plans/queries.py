@@ -265,3 +265,10 @@ def orphan_keys(spark, sf):
 
 # Source, snapshot and sink queries register themselves on import.
 from civiclake.plans import io_queries  # noqa: E402,F401
+
+
+@query("mart_health_ordered")
+def mart_health_ordered(spark, sf):
+    """The health mart in display order (population descending, nulls last);
+    a range-partitioned global sort."""
+    return M.mart(gold_health(spark, sf), A.v_entity(spark, sf), "saude", ordered=True)
