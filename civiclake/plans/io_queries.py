@@ -414,14 +414,14 @@ def stamp_columns(spark, sf):
 
 
 # ---- the batch pipeline end to end ------------------------------------------------------
-@query("pipeline_run")
-def pipeline_run(spark, sf):
+@query("batch_run")
+def batch_run(spark, sf):
     """Land every source from the tables, run the pipeline for 1998 over all
     municipalities (no sample), return the published health gold table."""
-    from civiclake.plans import pipeline
+    from civiclake.plans import batch
     from civiclake.plans.landing import land_from_tables
     landing = land_from_tables(spark, sf, scratch_dir(spark, "landing"), ano=A.REF_YEAR)
-    res = pipeline.run(spark, landing, scratch_dir(spark, "lake"), A.REF_YEAR, all_municipalities=True,
+    res = batch.run(spark, landing, scratch_dir(spark, "lake"), A.REF_YEAR, all_municipalities=True,
                        include=("pib", "transferencias", "cnes"))
     return res.gold["gold_indicadores_saude_municipio"].drop("data_carga")
 

@@ -15,7 +15,7 @@ from civiclake import schemas
 from civiclake.functions.keys import zfill7
 from civiclake.plans import analogs as A
 from civiclake.plans.io_queries import municipality_json, series_payloads
-from civiclake.plans.pipeline import Landing
+from civiclake.plans.batch import Landing
 
 
 def _only_vars(payload_col: str, ids: list[str]):

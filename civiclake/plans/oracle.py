@@ -439,7 +439,7 @@ SQL["stamp_columns"] = """
     FROM events"""
 
 _CODE_NUM = "CAST(o_custkey AS VARCHAR)"
-SQL["pipeline_run"] = f"""
+SQL["batch_run"] = f"""
     WITH a AS (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n,
                       sum(o_totalprice) AS s FROM orders GROUP BY 1, 2),
     pick AS (SELECT k, CASE WHEN bool_or(y = 1998) THEN 1998 ELSE max(y) END AS y FROM a GROUP BY k),

@@ -36,19 +36,23 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+_LOCAL_ROOT: str | None = None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh
-    temporary folder is created and registered.
+    Read from the session; only when it is unset (local tests) a temporary
+    folder is created once per process and registered as the context's
+    checkpoint directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="civiclake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    global _LOCAL_ROOT
     sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    if not root:
+        if _LOCAL_ROOT is None:
+            _LOCAL_ROOT = tempfile.mkdtemp(prefix="civiclake-ckpt-")
+        root = _LOCAL_ROOT
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")

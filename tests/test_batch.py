@@ -3,7 +3,7 @@ changes nothing; key uniqueness and orphan checks come back empty."""
 
 from civiclake.functions.keys import KEY
 from civiclake.operators import core
-from civiclake.plans import pipeline
+from civiclake.plans import batch
 from civiclake.plans.landing import land_from_tables
 from civiclake.session import scratch_dir
 
@@ -14,19 +14,19 @@ def _snapshot(res):
     return {t: sorted(tuple(r) for r in df.drop("data_carga").collect()) for t, df in res.gold.items()}
 
 
-def test_pipeline_idempotent(spark):
+def test_batch_idempotent(spark):
     landing = land_from_tables(spark, SF, scratch_dir(spark, "landing"), ano=1998)
     lake = scratch_dir(spark, "lake")
     inc = ("pib", "transferencias", "cnes")
-    r1 = pipeline.run(spark, landing, lake, 1998, sample=100, include=inc)
+    r1 = batch.run(spark, landing, lake, 1998, sample=100, include=inc)
     s1 = _snapshot(r1)
     assert set(s1) == {"gold_indicadores_saude_municipio", "gold_indicadores_educacao_municipio",
                        "gold_cnes_municipio", "gold_pib_municipio", "gold_transparencia_transferencias"}
     health = r1.gold["gold_indicadores_saude_municipio"]
     assert 0 < health.count() <= 100
-    r2 = pipeline.run(spark, landing, lake, 1998, sample=100, include=inc)
+    r2 = batch.run(spark, landing, lake, 1998, sample=100, include=inc)
     assert _snapshot(r2) == s1
-    dim = spark.read.parquet(pipeline.snapshots.latest_version(spark, f"{lake}/dim_municipio"))
+    dim = spark.read.parquet(batch.snapshots.latest_version(spark, f"{lake}/dim_municipio"))
     assert core.duplicate_keys(dim, [KEY]).count() == 0
     for t, df in r2.gold.items():
         assert core.duplicate_keys(df).count() == 0, t
@@ -36,10 +36,10 @@ def test_pipeline_idempotent(spark):
     assert {r.ano for r in r2.gold["gold_pib_municipio"].select("ano").distinct().collect()} == {1998}
 
 
-def test_pipeline_all_municipalities(spark):
+def test_batch_all_municipalities(spark):
     landing = land_from_tables(spark, SF, scratch_dir(spark, "landing"), ano=1999)
     lake = scratch_dir(spark, "lake")
-    r = pipeline.run(spark, landing, lake, 1999, all_municipalities=True)
+    r = batch.run(spark, landing, lake, 1999, all_municipalities=True)
     # no key restriction: every municipality with a population row gets a health row
     n_pop = spark.read.parquet(f"{lake}/silver_ibge_populacao").where("ano = 1999").count()
     assert n_pop > 100
