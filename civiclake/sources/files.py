@@ -9,6 +9,7 @@ read in one scan, and all scans feed one aggregation (one shuffle).
 from __future__ import annotations
 
 from collections import defaultdict
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -28,6 +29,21 @@ MICRODATA_KEY_MARKER = "CO_MUNICIPIO"
 SEPARATORS = [";", ","]
 
 
+PROBE_THREADS = 16   # concurrent metadata probes (footers, header lines) on the driver
+
+
+def _probe_all(files_: Sequence[str], probe):
+    """Run an I/O-bound metadata probe over many files concurrently; each result
+    is the probe's value or the exception it raised."""
+    def safe(f):
+        try:
+            return probe(f)
+        except Exception as e:  # noqa: BLE001 - reported by the caller
+            return e
+    with ThreadPoolExecutor(max_workers=PROBE_THREADS) as pool:
+        return list(pool.map(safe, files_))
+
+
 @dataclass
 class ScanReport:
     """Files used and files skipped (unreadable, or without a usable column)."""
@@ -84,11 +100,10 @@ def event_counts(spark: SparkSession, path: str, candidates: Sequence[str], out:
     """
     report = report if report is not None else ScanReport()
     groups: dict[str, list[str]] = defaultdict(list)
-    for f in list_files(spark, path, "*.parquet"):
-        try:
-            cols = spark.read.parquet(f).columns
-        except Exception as e:  # noqa: BLE001 - an unreadable file is skipped, as the source does
-            report.skipped.append((f, f"unreadable: {type(e).__name__}"))
+    found = list_files(spark, path, "*.parquet")
+    for f, cols in zip(found, _probe_all(found, lambda f: spark.read.parquet(f).columns)):
+        if isinstance(cols, Exception):   # an unreadable file is skipped, as the source does
+            report.skipped.append((f, f"unreadable: {type(cols).__name__}"))
             continue
         col = resolve_column(cols, candidates)
         if col is None:
@@ -139,11 +154,10 @@ def microdata_counts(spark: SparkSession, path: str, ano: int, encoding: str = "
     requested year."""
     report = report if report is not None else ScanReport()
     groups: dict[tuple[str, str], list[str]] = defaultdict(list)
-    for f in list_files(spark, path, f"*{MICRODATA_NAME_FRAGMENT}*.csv"):
-        try:
-            hk = _header_key(spark, f, encoding)
-        except Exception as e:  # noqa: BLE001
-            report.skipped.append((f, f"unreadable: {type(e).__name__}"))
+    found = list_files(spark, path, f"*{MICRODATA_NAME_FRAGMENT}*.csv")
+    for f, hk in zip(found, _probe_all(found, lambda f: _header_key(spark, f, encoding))):
+        if isinstance(hk, Exception):
+            report.skipped.append((f, f"unreadable: {type(hk).__name__}"))
             continue
         if hk is None:
             report.skipped.append((f, "no key column"))
