@@ -76,6 +76,8 @@ def series_payloads(spark, sf) -> DataFrame:
                      .otherwise(F.floor("s").cast("string")).alias("v9324"))
     nota = F.array(F.struct(F.lit("nota").alias("y"), F.lit("x").alias("v")))
 
+    # One entry per (customer, year): the list is bounded by the number of
+    # years in the data, not by the customer's number of orders.
     def serie(col):
         return F.map_from_entries(F.array_union(
             F.array_sort(F.collect_list(F.struct(F.col("y"), F.col(col).alias("v")))), nota))

@@ -122,6 +122,26 @@ def overview_kpis(health: DataFrame, edu: DataFrame, gdp: DataFrame, transfers:
         F.format_number("transferencias_bi", 1).alias("transferencias_bi_txt"))
 
 
+def health_tab_kpis(health: DataFrame, cnes: DataFrame) -> DataFrame:
+    """Health tab KPI row: municipalities, population (max per key,
+    summed), facilities, hospitals and beds (null counts as 0)."""
+    parts = [
+        health_kpis(health).drop("ufs"),
+        cnes.agg(sum_or_zero("total_estabelecimentos").cast("long").alias("estabelecimentos"),
+                 sum_or_zero("hospitais").cast("long").alias("hospitais"),
+                 sum_or_zero("leitos_totais").cast("long").alias("leitos")),
+    ]
+    return core.one_row(parts).select("municipios", "populacao_total", "estabelecimentos", "hospitais", "leitos")
+
+
+def education_tab_kpis(edu: DataFrame) -> DataFrame:
+    """Education tab KPI row: municipalities, enrolments, teachers, schools."""
+    return edu.agg(F.count_distinct(KEY).alias("municipios"),
+                   sum_or_zero("matriculas").cast("long").alias("matriculas"),
+                   sum_or_zero("docentes").cast("long").alias("docentes"),
+                   sum_or_zero("escolas").cast("long").alias("escolas"))
+
+
 def gdp_kpis(gdp: DataFrame) -> DataFrame:
     """GDP tab KPIs: entities, total in billions, median and max per capita."""
     parts = [

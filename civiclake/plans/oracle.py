@@ -467,3 +467,16 @@ SQL["vaccination_unwrap"] = f"""
            count(*) AS doses
     FROM events WHERE event_id % 3 <> 2 GROUP BY 1, 2, 3"""
 SQL["mart_health_ordered"] = mart_sql("saude") + " ORDER BY g.populacao DESC NULLS LAST, g.cod_mun_ibge_7, g.ano"
+SQL["kpi_health"] = marts_with("saude", "cnes") + """
+    SELECT (SELECT count(DISTINCT cod_mun_ibge_7) FROM ms) AS municipios,
+           (SELECT CAST(coalesce(sum(p), 0) AS BIGINT) FROM
+              (SELECT cod_mun_ibge_7, max(populacao) AS p FROM ms GROUP BY 1)) AS populacao_total,
+           (SELECT CAST(coalesce(sum(total_estabelecimentos), 0) AS BIGINT) FROM mc) AS estabelecimentos,
+           (SELECT CAST(coalesce(sum(hospitais), 0) AS BIGINT) FROM mc) AS hospitais,
+           (SELECT CAST(coalesce(sum(leitos_totais), 0) AS BIGINT) FROM mc) AS leitos"""
+SQL["kpi_education"] = marts_with("educacao") + """
+    SELECT count(DISTINCT cod_mun_ibge_7) AS municipios,
+           CAST(coalesce(sum(matriculas), 0) AS BIGINT) AS matriculas,
+           CAST(coalesce(sum(docentes), 0) AS BIGINT) AS docentes,
+           CAST(coalesce(sum(escolas), 0) AS BIGINT) AS escolas
+    FROM me"""

@@ -146,6 +146,17 @@ def kpi_overview(spark, sf):
         .withColumn("pib_total_mil_reais", round2("pib_total_mil_reais"))
 
 
+@query("kpi_health")
+def kpi_health(spark, sf):
+    m = _marts(spark, sf)
+    return M.health_tab_kpis(m["saude"], m["cnes"])
+
+
+@query("kpi_education")
+def kpi_education(spark, sf):
+    return M.education_tab_kpis(REGISTRY["mart_education"](spark, sf))
+
+
 @query("kpi_gdp")
 def kpi_gdp(spark, sf):
     return M.gdp_kpis(REGISTRY["mart_gdp"](spark, sf)).withColumn("pib_total_bi", round2("pib_total_bi"))
