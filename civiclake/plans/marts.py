@@ -124,9 +124,12 @@ def overview_kpis(health: DataFrame, edu: DataFrame, gdp: DataFrame, transfers:
 
 def health_tab_kpis(health: DataFrame, cnes: DataFrame) -> DataFrame:
     """Health tab KPI row: municipalities, population (max per key,
-    summed), facilities, hospitals and beds (null counts as 0)."""
+    summed), facilities, hospitals and beds (null counts as 0). Works on the
+    gold tables or on the marts (no dimension column is used)."""
+    per_key = health.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.max("populacao").alias("p"))
     parts = [
-        health_kpis(health).drop("ufs"),
+        per_key.agg(F.count(F.lit(1)).alias("municipios"),
+                    F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("populacao_total")),
         cnes.agg(sum_or_zero("total_estabelecimentos").cast("long").alias("estabelecimentos"),
                  sum_or_zero("hospitais").cast("long").alias("hospitais"),
                  sum_or_zero("leitos_totais").cast("long").alias("leitos")),

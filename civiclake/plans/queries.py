@@ -139,27 +139,31 @@ def mart_filtered_all(spark, sf):
     return core.dashboard_filter(REGISTRY["mart_transfers"](spark, sf).drop("sigla_uf"), uf=MAP_UF)
 
 
+# KPI rows, map measures and source status use no dimension column except the
+# state of the health mart: they read the gold tables directly (the mart's left
+# join to unique dimension keys keeps gold rows one to one), which saves a
+# dimension join per theme.
 @query("kpi_overview")
 def kpi_overview(spark, sf):
-    m = _marts(spark, sf)
-    return M.overview_kpis(m["saude"], m["educacao"], m["pib"], m["transferencias"], m["cnes"]) \
+    g = _gold(spark, sf)
+    health = M.mart(g["saude"], A.v_entity(spark, sf), "saude")
+    return M.overview_kpis(health, g["educacao"], g["pib"], g["transferencias"], g["cnes"]) \
         .withColumn("pib_total_mil_reais", round2("pib_total_mil_reais"))
 
 
 @query("kpi_health")
 def kpi_health(spark, sf):
-    m = _marts(spark, sf)
-    return M.health_tab_kpis(m["saude"], m["cnes"])
+    return M.health_tab_kpis(gold_health(spark, sf), gold_facilities(spark, sf))
 
 
 @query("kpi_education")
 def kpi_education(spark, sf):
-    return M.education_tab_kpis(REGISTRY["mart_education"](spark, sf))
+    return M.education_tab_kpis(gold_education(spark, sf))
 
 
 @query("kpi_gdp")
 def kpi_gdp(spark, sf):
-    return M.gdp_kpis(REGISTRY["mart_gdp"](spark, sf)).withColumn("pib_total_bi", round2("pib_total_bi"))
+    return M.gdp_kpis(gold_gdp(spark, sf)).withColumn("pib_total_bi", round2("pib_total_bi"))
 
 
 @query("top_n_measure")
@@ -186,7 +190,7 @@ def filter_values(spark, sf):
 
 @query("source_status")
 def source_status(spark, sf):
-    return M.source_status(_marts(spark, sf))
+    return M.source_status(_gold(spark, sf))
 
 
 @query("map_points")
@@ -202,7 +206,7 @@ def map_points(spark, sf):
 
 @query("map_measures")
 def map_measures(spark, sf):
-    return M.map_measures(_marts(spark, sf))
+    return M.map_measures(_gold(spark, sf))
 
 
 # ---- sampling, fallbacks, keys, checks ------------------------------------------------
