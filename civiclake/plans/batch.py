@@ -10,6 +10,7 @@ reruns of a year replace that year, so running twice equals running once.
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,8 @@ from civiclake.sources import files, payloads, snapshots
 
 DEFAULT_SAMPLE = 100   # fixed value: default municipality sample size
 
+log = logging.getLogger("civiclake.batch")
+
 
 @dataclass
 class Landing:
@@ -134,21 +137,41 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
         _publish(spark, gold.education_indicators(edu, pop, ano=ano), lake,
                  "gold_indicadores_educacao_municipio", res)
 
-    # Optional sources.
-    if "cnes" in include and _exists(spark, landing.cnes):
+    # Optional sources: a failing one is logged and skipped, the run goes on.
+    def optional(name: str, path: str | None, build) -> None:
+        if name not in include:
+            return
+        if not _exists(spark, path):
+            res.skipped.append(name)
+            log.info("%s: nothing landed at %s", name, path)
+            return
+        try:
+            build()
+        except Exception as e:  # noqa: BLE001 - optional sources never stop the run
+            res.skipped.append(name)
+            log.warning("%s failed and was skipped: %s", name, e)
+
+    def cnes() -> None:
         recs = read_record_pages(spark, landing.cnes, schemas.FACILITY_RECORD, payloads.FACILITY_ENVELOPE)
-        fac = gold.facility_counts(payloads.facility_rows(recs, ano, key_df))
-        _publish(spark, fac, lake, "gold_cnes_municipio", res)
-    if "pib" in include and _exists(spark, landing.pib):
+        _publish(spark, gold.facility_counts(payloads.facility_rows(recs, ano, key_df)), lake,
+                 "gold_cnes_municipio", res)
+
+    def pib() -> None:
         gi = read_series_pages(spark, landing.pib)
         years = core.lagged_years(ano)
         rows = core.preferred_year(core.union_all([payloads.gdp_rows(gi, y) for y in years]), years)
         _publish(spark, gold.gdp_indicators(rows.drop("ano_efetivo")), lake, "gold_pib_municipio", res)
-    if "transferencias" in include and _exists(spark, landing.transferencias):
+
+    def transferencias() -> None:
         recs = read_record_pages(spark, landing.transferencias, schemas.TRANSFER_RECORD,
                                  payloads.TRANSFER_ENVELOPE)
         _publish(spark, gold.transfer_totals(payloads.transfer_rows(recs, ano)), lake,
                  "gold_transparencia_transferencias", res)
+
+    optional("cnes", landing.cnes, cnes)
+    optional("pib", landing.pib, pib)
+    optional("transferencias", landing.transferencias, transferencias)
+    log.info("batch %s done: gold %s, skipped %s", ano, sorted(res.gold), res.skipped)
     res.population_year = ano
     return res
 
@@ -159,3 +182,4 @@ def _publish(spark: SparkSession, df: DataFrame, lake: str, table: str, res: Run
     sinks.publish_by_year(df, path, table)
     res.gold[table] = spark.read.parquet(path)
     sinks.write_snapshot(res.gold[table], f"{lake}/exports", table)
+    log.info("%s published", table)
