@@ -286,11 +286,12 @@ def dim_upsert(spark, sf):
 # ---- K6: education silver upsert ----------------------------------------------------------------------
 @query("education_silver_upsert")
 def education_silver_upsert(spark, sf):
-    """Batch 1: returned lines ('R') of every year; batch 2: all lines of 1998
-    and later. Keys of batch 2 replace those of batch 1."""
+    """Batch 1: the whole table; batch 2: a recount of 1998 and later without
+    returned lines ('R'). Keys of batch 2 replace those of batch 1."""
     table = scratch_dir(spark, "silver_inep_educacao")
-    b1 = gold.education_indicators(_edu_where(spark, sf, F.col("l_returnflag") == "R"), None, stamp=False)
-    b2 = gold.education_indicators(_edu_where(spark, sf, F.year("l_shipdate") >= 1998), None, stamp=False)
+    b1 = gold.education_indicators(_edu_where(spark, sf, F.lit(True)), None, stamp=False)
+    b2 = gold.education_indicators(
+        _edu_where(spark, sf, (F.year("l_shipdate") >= 1998) & (F.col("l_returnflag") != "R")), None, stamp=False)
     sinks.education_silver_upsert(spark, table, b1)
     sinks.education_silver_upsert(spark, table, b2)
     return snapshots.read_latest_version(spark, table).drop("data_carga")

@@ -393,8 +393,8 @@ _EDU_AGG = f"""SELECT {zf('l_suppkey')} AS cod_mun_ibge_7, CAST(year(l_shipdate)
                       CAST(count(*) FILTER (WHERE l_returnflag <> 'R') AS BIGINT) AS escolas
                FROM lineitem WHERE {{}} GROUP BY 1, 2"""
 SQL["education_silver_upsert"] = f"""
-    WITH b1 AS ({_EDU_AGG.format("l_returnflag = 'R'")}),
-         b2 AS ({_EDU_AGG.format('year(l_shipdate) >= 1998')})
+    WITH b1 AS ({_EDU_AGG.format("TRUE")}),
+         b2 AS ({_EDU_AGG.format("year(l_shipdate) >= 1998 AND l_returnflag <> 'R'")})
     SELECT * FROM b2
     UNION ALL
     SELECT * FROM b1 WHERE NOT EXISTS
