@@ -126,7 +126,7 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     if cands:
         edu = core.first_non_empty(cands) if len(cands) > 1 else cands[0]
         sinks.education_silver_upsert(spark, f"{lake}/silver_inep_educacao", edu)
-        edu = snapshots.read_latest_version(spark, f"{lake}/silver_inep_educacao")
+        edu = spark.read.parquet(f"{lake}/silver_inep_educacao")
     else:
         res.skipped.append("inep")
 

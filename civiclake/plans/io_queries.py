@@ -294,7 +294,8 @@ def education_silver_upsert(spark, sf):
         _edu_where(spark, sf, (F.year("l_shipdate") >= 1998) & (F.col("l_returnflag") != "R")), None, stamp=False)
     sinks.education_silver_upsert(spark, table, b1)
     sinks.education_silver_upsert(spark, table, b2)
-    return snapshots.read_latest_version(spark, table).drop("data_carga")
+    return spark.read.parquet(table).drop("data_carga").select(
+        KEY, F.col("ano").cast("int").alias("ano"), "matriculas", "docentes", "escolas")
 
 
 def _edu_where(spark, sf, cond) -> DataFrame:

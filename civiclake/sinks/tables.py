@@ -4,7 +4,8 @@ and table creation.
 Layouts (all under a lake root on the shared file system):
   bronze/<name>/<yyyyMMdd_HHmmss>-<id>/   immutable snapshot (Parquet + CSV)
   <table>/snap_<version:08d>_<yyyyMMdd_HHmmss>/  versioned table (upsert targets)
-  <table>/ano=<year>/                      year-partitioned table (replace-by-year)
+  <table>/ano=<year>/                      year-partitioned table (replace-by-year,
+                                           and upserts whose key includes the year)
 
 Versioned tables are never rewritten in place: an upsert reads the current
 version and writes a new one, which becomes current when its job commits
@@ -39,17 +40,14 @@ def clean_name(name: str) -> str:
 # ---- K1/K2/K8: snapshots -------------------------------------------------------------
 def write_snapshot(df: DataFrame, root: str, name: str, csv: bool = True) -> str:
     """K1/K2/K8: an immutable, timestamped snapshot as Parquet and ``;`` CSV with
-    a header. The frame is persisted so its plan runs once for both formats.
-    (Spark writes no byte-order mark; readers accept files with or without one.)"""
+    a header. The plan runs once: the CSV copy is made from the written Parquet
+    files (no executor cache to lose). (Spark writes no byte-order mark;
+    readers accept files with or without one.)"""
     path = f"{root.rstrip('/')}/{clean_name(name)}/{_stamp()}-{uuid.uuid4().hex[:8]}"
-    data = df.persist() if csv else df
-    try:
-        data.write.mode("errorifexists").parquet(f"{path}/parquet")
-        if csv:
-            data.write.mode("errorifexists").option("sep", ";").option("header", True).csv(f"{path}/csv")
-    finally:
-        if csv:
-            data.unpersist()
+    df.write.mode("errorifexists").parquet(f"{path}/parquet")
+    if csv:
+        (df.sparkSession.read.parquet(f"{path}/parquet").write.mode("errorifexists")
+         .option("sep", ";").option("header", True).csv(f"{path}/csv"))
     return path
 
 
@@ -98,13 +96,43 @@ def dimension_upsert(spark: SparkSession, table_path: str, new: DataFrame, order
                   columns=[KEY, "nome_municipio", "sigla_uf", "cod_uf"])
 
 
+def upsert_by_year(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
+                   table: str, order: str | None = None) -> None:
+    """K6 at scale: INSERT OR REPLACE on keys that include ``ano``, rewriting only
+    the year partitions present in the batch.
+
+    The current rows of those years (a semi join on the batch's years, which
+    dynamic partition pruning turns into a partition filter) are merged with
+    the batch, staged as a table in the checkpoint folder (Spark will not
+    overwrite a path it is reading), then swapped in by dynamic partition
+    overwrite. Cost follows the batch's years, not the table size.
+    """
+    from civiclake.session import materialize
+    from civiclake.sources.files import list_files
+    batch = last_per_key(new, keys, order).drop(order) if order else new
+    has_table = False
+    try:
+        has_table = bool(list_files(spark, table_path, "*.parquet"))
+    except Exception:  # noqa: BLE001 - no table yet
+        has_table = False
+    if has_table:
+        cur = spark.read.parquet(table_path)
+        cur = cur.join(batch.select("ano").distinct(), "ano", "left_semi")
+        merged = cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(
+            batch, allowMissingColumns=True)
+    else:
+        merged = batch
+    publish_by_year(materialize(merged, f"stage-{table}"), table_path, table)
+
+
 def education_silver_upsert(spark: SparkSession, table_path: str, edu: DataFrame,
-                            order: str | None = None) -> str:
-    """K6: education silver upsert on (key, year), stamped with the load time."""
+                            order: str | None = None) -> None:
+    """K6: education silver upsert on (key, year), stamped with the load time;
+    only the batch's year partitions are rewritten."""
     cols = [KEY, "ano", "matriculas", "docentes", "escolas"]
     e = add_missing(edu, {"docentes": T.LongType(), "escolas": T.LongType()})
     e = e.select(*cols, *([order] if order else [])).withColumn("data_carga", F.current_timestamp())
-    return upsert(spark, table_path, e, [KEY, "ano"], order, columns=cols + ["data_carga"])
+    upsert_by_year(spark, table_path, e, [KEY, "ano"], "silver_inep_educacao", order)
 
 
 # ---- K4/K7: appends ----------------------------------------------------------------------
@@ -170,4 +198,5 @@ def create_tables(spark: SparkSession, database: str, location: str) -> list[str
 
 
 __all__ = ["append", "append_indicators", "create_tables", "dimension_upsert", "education_silver_upsert",
-           "export_csv", "last_per_key", "latest_version", "publish_by_year", "upsert", "write_snapshot"]
+           "export_csv", "last_per_key", "latest_version", "publish_by_year", "upsert", "upsert_by_year",
+           "write_snapshot"]
