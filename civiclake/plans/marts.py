@@ -158,8 +158,9 @@ def gdp_kpis(gdp: DataFrame) -> DataFrame:
 
 
 def filter_values(marts: Sequence[DataFrame]) -> DataFrame:
-    """Filter choices: distinct states (ascending) and years
-    (descending) over the marts, as one (filtro, valor, ordem) frame."""
+    """Filter choices: distinct non-null states and years over the
+    marts, as one (filtro, valor) frame. Display order (T3: states ascending,
+    years descending) is ``core.distinct_values`` on either list."""
     ufs = core.distinct_union(marts, "sigla_uf").select(
         F.lit("uf").alias("filtro"), F.col("sigla_uf").alias("valor"))
     anos = core.distinct_union(marts, "ano").select(
