@@ -9,15 +9,19 @@ from pyspark.sql import SparkSession
 
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "civiclake") -> SparkSession:
+              app_name: str = "civiclake", local_memory: str = "16g") -> SparkSession:
     """Return a session with the settings the library relies on.
 
-    On a cluster the master and partition counts come from the submit
-    configuration; ``master`` / ``shuffle_partitions`` are for local runs.
+    On a cluster the master, memory and partition counts come from the submit
+    configuration; ``master`` / ``shuffle_partitions`` / ``local_memory`` are for
+    local runs (in local mode every task runs in the driver JVM, so its heap is
+    the executors' memory).
     """
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            b = b.config("spark.driver.memory", local_memory)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = (
