@@ -1,0 +1,78 @@
+"""Property tests: Spark expressions against plain-Python statements of the
+same rules, on generated inputs (one Spark job per generated batch)."""
+
+import numpy as np
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import types as T
+
+from civiclake.functions import keys, numbers
+
+SETTINGS = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+
+
+def spark_eval(spark, values, dtype, expr):
+    df = spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField("v", dtype)]))
+    from pyspark.sql import functions as F
+    return [r[0] for r in df.select(expr(F.col("v"))).collect()]
+
+
+def py_code_text(v):
+    """Municipality code from text: keep ASCII digits; 6 -> zero-padded, 7 -> kept."""
+    if v is None:
+        return None
+    d = "".join(c for c in v.strip() if "0" <= c <= "9")
+    return d.zfill(7) if len(d) == 6 else (d if len(d) == 7 else None)
+
+
+def py_code_number(v):
+    """Municipality code from a number: its integer text, then the text rule."""
+    if v is None or v != v:
+        return None
+    return py_code_text(str(int(v)))
+
+
+def py_locale_count(v):
+    """Population text: '.' dropped, ',' as decimal mark, empty -> 0, truncated."""
+    t = v.replace(".", "").replace(",", ".")
+    try:
+        return int(float(t or 0))
+    except ValueError:
+        return None
+
+
+codes = st.text(alphabet="0123456789 -./x", min_size=0, max_size=12)
+locale_texts = st.text(alphabet="0123456789.,-+ ", min_size=0, max_size=12)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), codes), min_size=50, max_size=300))
+def test_mun_code_text_matches_rule(spark, values):
+    assert spark_eval(spark, values, T.StringType(), keys.mun_code) == [py_code_text(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(-10**8, 10**8).map(float),
+                          st.floats(-1e8, 1e8, allow_nan=False)), min_size=50, max_size=300))
+def test_mun_code_number_matches_rule(spark, values):
+    got = spark_eval(spark, values, T.DoubleType(), lambda c: keys.mun_code(c, numeric=True))
+    assert got == [py_code_number(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(locale_texts, min_size=50, max_size=300))
+def test_locale_count_matches_rule(spark, values):
+    assert spark_eval(spark, values, T.StringType(), numbers.locale_count) == [py_locale_count(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.floats(-1e9, 1e9, allow_nan=False), min_size=50, max_size=300))
+def test_round2_matches_numpy(spark, values):
+    got = spark_eval(spark, values, T.DoubleType(), numbers.round2)
+    assert got == [float(np.round(v, 2)) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="0123456789", min_size=0, max_size=10), min_size=50, max_size=300))
+def test_zfill_matches_str_zfill(spark, values):
+    assert spark_eval(spark, values, T.StringType(), keys.zfill7) == [v.zfill(7) for v in values]
