@@ -6,6 +6,7 @@ it compiles into whole-stage codegen; no Python runs per row.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,7 @@ SCHOOL_KEY_NAMES = [
 SCHOOL_ENROLMENT_NAMES = ["QT_MAT_BAS", "Matrículas", "Total de Matrículas", "matriculas", "QT_MAT"]
 SCHOOL_TEACHER_NAMES = ["QT_DOC", "Docentes", "Total de Docentes", "docentes"]
 SCHOOL_SCHOOL_NAMES = ["QT_ESC", "Escolas", "Total de Escolas", "QT_ESTAB", "escolas"]
-SCHOOL_KEY_NAME_PATTERN = r"(?i)munic[ií]pio|cod.*mun|co_mun|id_mun"
+SCHOOL_KEY_NAME_PATTERN = r"munic[ií]pio|cod.*mun|co_mun|id_mun"   # matched ignoring case
 KEY_VALUE_PATTERN = r"^\d{6,7}$"
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
@@ -129,8 +130,7 @@ def discover_key_column(df: DataFrame, names: Sequence[str] = SCHOOL_KEY_NAMES,
     hit = resolve_column(df.columns, names)
     if hit is not None:
         return hit
-    import re
-    rx = re.compile(pattern.replace("(?i)", ""), re.I)
+    rx = re.compile(pattern, re.IGNORECASE)
     cands = [c for c in df.columns if rx.search(c.strip())]
     if not cands:
         return None
