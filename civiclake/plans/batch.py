@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake import schemas
-from civiclake.functions.keys import KEY, standardise_key
+from civiclake.functions.keys import EVENT_KEY_RENAMES, KEY, rename_first, standardise_key
 from civiclake.operators import core
 from civiclake.plans import gold
 from civiclake.sinks import tables as sinks
@@ -108,6 +108,9 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     # Deaths and births per municipality (per-state record files).
     deaths = files.death_counts(spark, landing.obitos, ano) if _exists(spark, landing.obitos) else None
     births = files.birth_counts(spark, landing.nascidos, ano) if _exists(spark, landing.nascidos) else None
+    # P5 + P1: first matching key column renamed, then standardised (silver).
+    deaths, births = [None if d is None else standardise_key(rename_first(d, EVENT_KEY_RENAMES, KEY))
+                      for d in (deaths, births)]
     for name, df in (("obitos", deaths), ("nascidos", births)):
         if df is None:
             res.skipped.append(name)
