@@ -51,13 +51,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     checkpoint directory.
     """
     global _LOCAL_ROOT
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a Spark Connect session has no local context
+        sc = None
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="civiclake-ckpt-")
         root = _LOCAL_ROOT
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 
