@@ -224,7 +224,14 @@ def exact_median(df: DataFrame, column: str, out: str = "mediana",
     x = materialize(df.select(F.col(column).cast("double").alias("x"))
                     .where(F.col("x").isNotNull() & ~F.isnan("x")), "median")
     spark = df.sparkSession
-    counts = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+
+    def value_counts(lo=None, hi=None):
+        # (value, count) pairs of the window, written once: the size test and
+        # the final ranking read them without grouping again.
+        w = x if lo is None else x.where((F.col("x") >= lo) & (F.col("x") <= hi))
+        return materialize(w.groupBy("x").agg(F.count(F.lit(1)).alias("c")), "median-counts")
+
+    counts = value_counts()
     info = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("m"),
                       F.min("x").alias("lo"), F.max("x").alias("hi")).first()
     n = info["m"]
@@ -242,7 +249,7 @@ def exact_median(df: DataFrame, column: str, out: str = "mediana",
             break
         below += x.where((F.col("x") >= lo) & (F.col("x") < q[0])).count()
         lo, hi = q[0], q[1]
-        counts = x.where((F.col("x") >= lo) & (F.col("x") <= hi)).groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+        counts = value_counts(lo, hi)
         r = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("m")).first()
         d, m = r["d"], r["m"]
     # The window holds a bounded number of distinct values: rank them.
@@ -257,14 +264,19 @@ def exact_median(df: DataFrame, column: str, out: str = "mediana",
 def top_n_labelled(fact: DataFrame, labels: DataFrame, measure: str, label: str, n: int = 10,
                    key: str = KEY) -> DataFrame:
     """T1 on a fact without labels: the top ``n`` keys are chosen first, then
-    only those rows are joined to the label frame (broadcast of at most n
-    rows, a bounded side), then null labels or measures are dropped.
-    Same rows as ``top_n`` over the joined mart, without joining the whole fact."""
+    only those rows are joined to the label frame, then null labels or
+    measures are dropped. Same rows as ``top_n`` over the joined mart,
+    without joining the whole fact.
+
+    The join is inner: a top row without a label would be dropped by the null
+    test anyway, and an inner join can build its hash table on the at most n
+    top rows (broadcast, a bounded side) while the label frame streams past
+    unshuffled; an outer join would have to build on the label side."""
     top = (fact.where(F.col(measure).isNotNull())
            .orderBy(F.col(measure).desc(), F.col(key)).limit(n).select(key, measure))
     lab = labels.select(key, label)
     cols = [label, measure]
-    return (lab.join(F.broadcast(top), key, "right").select(key, *cols)
+    return (lab.join(F.broadcast(top), key, "inner").select(key, *cols)
             .orderBy(F.col(measure).desc(), F.col(key)).drop(key).dropna(subset=cols))
 
 

@@ -96,7 +96,7 @@ def health_from_events(pop: DataFrame, events: DataFrame | None, kinds: list[str
                    F.col("populacao").cast("long").alias("_pop"), F.lit(1).alias("_is_pop"),
                    *[n.alias(m) for m in measures])
     if events is not None:
-        ev = events.select(F.col(KEY), F.col(YEAR).cast("int").alias(YEAR), n.alias("_pop"),
+        ev = events.where(F.col("_kind").isin(*kinds)).select(F.col(KEY), F.col(YEAR).cast("int").alias(YEAR), n.alias("_pop"),
                            F.lit(0).alias("_is_pop"),
                            *[F.when(F.col("_kind") == k, F.col("_n").cast("long")).alias(m)
                              for k, (m, _) in EVENT_KINDS.items()])

@@ -100,7 +100,11 @@ def overview_kpis(health: DataFrame, edu: DataFrame, gdp: DataFrame, transfers:
                   cnes: DataFrame) -> DataFrame:
     """The overview KPI row (entities, states, population, enrolments,
     facilities, beds, teachers, schools, GDP, median GDP per capita, transfers
-    in billions). One-row aggregates are merged by a union, not a cross join."""
+    in billions). One-row aggregates are merged by a union, not a cross join.
+    The GDP columns feed two aggregates (sum and median): they are written
+    once to the checkpoint folder instead of being computed twice."""
+    from civiclake.session import materialize
+    gdp = materialize(gdp.select("pib_total_mil_reais", "pib_per_capita"), "kpi-pib")
     parts = [
         health_kpis(health),
         edu.agg(sum_or_zero("matriculas").cast("long").alias("matriculas"),
@@ -146,7 +150,11 @@ def education_tab_kpis(edu: DataFrame) -> DataFrame:
 
 
 def gdp_kpis(gdp: DataFrame) -> DataFrame:
-    """GDP tab KPIs: entities, total in billions, median and max per capita."""
+    """GDP tab KPIs: entities, total in billions, median and max per
+    capita. The input is written once (checkpoint folder) and read by both the
+    aggregates and the median."""
+    from civiclake.session import materialize
+    gdp = materialize(gdp.select(KEY, "pib_total_mil_reais", "pib_per_capita"), "kpi-pib")
     parts = [
         gdp.agg(F.count_distinct(KEY).alias("municipios"),
                 (sum_or_zero("pib_total_mil_reais") / F.lit(1_000_000)).alias("pib_total_bi"),

@@ -48,11 +48,12 @@ def gold_health_frames(spark, sf):
 
 @query("gold_health_year")
 def gold_health_year(spark, sf):
-    """Single requested year (P2 on every input), deaths and births only (the
-    pipeline's call: admissions absent -> 0 and rate 0.0)."""
+    """Single requested year (P2 on every input, as a pushable date range),
+    deaths and births only (the batch run's call: admissions absent -> 0 and
+    rate 0.0); one scan of the event table."""
     y = A.REF_YEAR
-    return gold.health_indicators(A.v_pop(spark, sf, y), deaths=A.deaths(spark, sf, y),
-                                  births=A.births(spark, sf, y), ano=y, stamp=False)
+    return gold.health_from_events(A.v_pop(spark, sf, y), A.tagged_events(spark, sf, y),
+                                   ["obitos", "nascidos"], ano=y, stamp=False)
 
 
 @query("gold_health_precounted")
