@@ -125,25 +125,18 @@ def discover_key_column(df: DataFrame, names: Sequence[str] = SCHOOL_KEY_NAMES,
     """Key column by exact name, else the first column whose name matches
     ``pattern`` and that is numeric or holds some 6-7 digit value.
 
-    The content test for all text candidates runs as a single aggregate job.
+    The content test is an existence probe per candidate, in column order:
+    ``where(rlike).limit(1)`` stops at the first matching row.
     """
     hit = resolve_column(df.columns, names)
     if hit is not None:
         return hit
     rx = re.compile(pattern, re.IGNORECASE)
-    cands = [c for c in df.columns if rx.search(c.strip())]
-    if not cands:
-        return None
-    text = [c for c in cands if not is_numeric(df, c)]
-    found = {}
-    if text:
-        row = df.agg(*[
-            F.max(F.col(c).cast("string").rlike(value_pattern).cast("int")).alias(f"_{i}")
-            for i, c in enumerate(text)
-        ]).first()
-        found = {c: bool(row[f"_{i}"]) for i, c in enumerate(text)}
-    for c in cands:
-        if is_numeric(df, c) or found.get(c):
+    for c in (c for c in df.columns if rx.search(c.strip())):
+        if is_numeric(df, c):
+            return c
+        probe = df.select(F.col(c).cast("string").alias("v")).where(F.col("v").rlike(value_pattern))
+        if probe.limit(1).count() > 0:
             return c
     return None
 
