@@ -40,6 +40,9 @@ class Landing:
     cnes: str | None = None
     pib: str | None = None
     transferencias: str | None = None
+    # True: each file holds one whole payload as the API returned it (a JSON
+    # array or object, possibly pretty-printed); False: one payload per line.
+    one_payload_per_file: bool = False
 
 
 @dataclass
@@ -57,14 +60,20 @@ def _exists(spark: SparkSession, path: str | None) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def read_series_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Series payloads landed one JSON array per line."""
-    return payloads.series_from_text(spark.read.text(path).withColumnRenamed("value", "payload"))
+def _payload_text(spark: SparkSession, path: str, whole_files: bool) -> DataFrame:
+    """Payload texts: one per line, or one per file (``wholetext``)."""
+    # text()'s own ``wholetext`` argument overrides a reader option: pass it here.
+    return spark.read.text(path, wholetext=whole_files).withColumnRenamed("value", "payload")
 
 
-def read_record_pages(spark: SparkSession, path: str, element, envelope) -> DataFrame:
-    """Paged API payloads landed one page per line."""
-    return payloads.records_from_pages(spark.read.text(path), "value", element, envelope)
+def read_series_pages(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Series payloads (each a JSON array of variables)."""
+    return payloads.series_from_text(_payload_text(spark, path, whole_files))
+
+
+def read_record_pages(spark: SparkSession, path: str, element, envelope, whole_files: bool = False) -> DataFrame:
+    """Paged API payloads (bare lists or envelopes)."""
+    return payloads.records_from_pages(_payload_text(spark, path, whole_files), "payload", element, envelope)
 
 
 def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
@@ -75,8 +84,9 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     res = RunResult()
 
     # Municipalities: scan -> bronze snapshot -> newest snapshot -> silver dimension upsert.
+    whole = landing.one_payload_per_file
     mun = payloads.municipality_rows(
-        spark.read.schema(schemas.MUNICIPALITY_JSON).json(landing.municipios))
+        spark.read.schema(schemas.MUNICIPALITY_JSON).option("multiLine", whole).json(landing.municipios))
     sinks.write_snapshot(mun, f"{lake}/bronze", "ibge_municipios")
     dim_raw = snapshots.latest_snapshot(spark, f"{lake}/bronze/ibge_municipios/*/parquet")
     dim = standardise_key(dim_raw).withColumn("_seq", F.lit(0))
@@ -92,7 +102,7 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
         key_df = core.stratified_sample(dim, n=sample or DEFAULT_SAMPLE).select(KEY)
 
     # Population: requested year, else one earlier (resolved once, D3).
-    items = read_series_pages(spark, landing.populacao)
+    items = read_series_pages(spark, landing.populacao, whole)
     pop_years = core.union_all([payloads.population_rows(items, y) for y in core.backoff_years(ano)])
     if key_df is not None:
         pop_years = payloads.restrict_keys(pop_years, key_df)
@@ -103,7 +113,8 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     sinks.write_snapshot(pop, f"{lake}/bronze", f"ibge_populacao_{ano}")
     sinks.publish_by_year(pop.select(KEY, "ano", "populacao"), f"{lake}/silver_ibge_populacao",
                           "silver_ibge_populacao")
-    pop = spark.read.parquet(f"{lake}/silver_ibge_populacao").where(F.col("ano") == ano)
+    pop = sinks.read_table(spark, f"{lake}/silver_ibge_populacao", "silver_ibge_populacao") \
+        .where(F.col("ano") == ano)
 
     # Deaths and births per municipality (per-state record files).
     deaths = files.death_counts(spark, landing.obitos, ano) if _exists(spark, landing.obitos) else None
@@ -129,7 +140,7 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     if cands:
         edu = core.first_non_empty(cands) if len(cands) > 1 else cands[0]
         sinks.education_silver_upsert(spark, f"{lake}/silver_inep_educacao", edu)
-        edu = spark.read.parquet(f"{lake}/silver_inep_educacao")
+        edu = sinks.read_table(spark, f"{lake}/silver_inep_educacao", "silver_inep_educacao")
     else:
         res.skipped.append("inep")
 
@@ -155,19 +166,19 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
             log.warning("%s failed and was skipped: %s", name, e)
 
     def cnes() -> None:
-        recs = read_record_pages(spark, landing.cnes, schemas.FACILITY_RECORD, payloads.FACILITY_ENVELOPE)
+        recs = read_record_pages(spark, landing.cnes, schemas.FACILITY_RECORD, payloads.FACILITY_ENVELOPE, whole)
         _publish(spark, gold.facility_counts(payloads.facility_rows(recs, ano, key_df)), lake,
                  "gold_cnes_municipio", res)
 
     def pib() -> None:
-        gi = read_series_pages(spark, landing.pib)
+        gi = read_series_pages(spark, landing.pib, whole)
         years = core.lagged_years(ano)
         rows = core.preferred_year(core.union_all([payloads.gdp_rows(gi, y) for y in years]), years)
         _publish(spark, gold.gdp_indicators(rows.drop("ano_efetivo")), lake, "gold_pib_municipio", res)
 
     def transferencias() -> None:
         recs = read_record_pages(spark, landing.transferencias, schemas.TRANSFER_RECORD,
-                                 payloads.TRANSFER_ENVELOPE)
+                                 payloads.TRANSFER_ENVELOPE, whole)
         _publish(spark, gold.transfer_totals(payloads.transfer_rows(recs, ano)), lake,
                  "gold_transparencia_transferencias", res)
 
@@ -183,6 +194,6 @@ def _publish(spark: SparkSession, df: DataFrame, lake: str, table: str, res: Run
     """K5 + K8: replace the batch's years, export a gold snapshot, read back."""
     path = f"{lake}/{table}"
     sinks.publish_by_year(df, path, table)
-    res.gold[table] = spark.read.parquet(path)
+    res.gold[table] = sinks.read_table(spark, path, table)
     sinks.write_snapshot(res.gold[table], f"{lake}/exports", table)
     log.info("%s published", table)

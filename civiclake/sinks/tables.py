@@ -168,6 +168,12 @@ def publish_by_year(df: DataFrame, table_path: str, table: str) -> None:
      .partitionBy("ano").parquet(table_path))
 
 
+def read_table(spark: SparkSession, table_path: str, table: str) -> DataFrame:
+    """A year-partitioned lake table read with its declared schema (an empty
+    table reads as an empty frame instead of failing schema inference)."""
+    return spark.read.schema(schemas.TABLES[table]).parquet(table_path)
+
+
 # ---- K9/K10: exports -----------------------------------------------------------------------
 def export_csv(df: DataFrame, path: str, sep: str = ";", single_file: bool = False) -> str:
     """CSV export with a header; one file only on request (that funnels
@@ -198,5 +204,6 @@ def create_tables(spark: SparkSession, database: str, location: str) -> list[str
 
 
 __all__ = ["append", "append_indicators", "create_tables", "dimension_upsert", "education_silver_upsert",
-           "export_csv", "last_per_key", "latest_version", "publish_by_year", "upsert", "upsert_by_year",
+           "export_csv", "last_per_key", "latest_version", "publish_by_year", "read_table", "upsert",
+           "upsert_by_year",
            "write_snapshot"]

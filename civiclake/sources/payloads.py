@@ -143,7 +143,7 @@ def records_from_pages(pages: DataFrame, column: str, element: T.StructType,
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Whole-file text scan of landed page files (one payload per file)."""
-    return spark.read.option("wholetext", True).text(path).withColumnRenamed("value", "payload")
+    return spark.read.text(path, wholetext=True).withColumnRenamed("value", "payload")
 
 
 def transfer_rows(records: DataFrame, ano: int | None = None) -> DataFrame:

@@ -44,3 +44,28 @@ def test_batch_all_municipalities(spark):
     n_pop = spark.read.parquet(f"{lake}/silver_ibge_populacao").where("ano = 1999").count()
     assert n_pop > 100
     assert r.gold["gold_indicadores_saude_municipio"].count() == n_pop
+
+
+def test_batch_whole_file_payloads(spark, tmp_path):
+    """API responses landed as-is: one pretty-printed JSON document per file."""
+    import json
+    root = tmp_path
+    (root / "mun").mkdir()
+    (root / "mun" / "municipios.json").write_text(json.dumps([
+        {"id": 3550308, "nome": "A", "microrregiao": {"mesorregiao": {"UF": {"id": 35, "sigla": "SP"}}}},
+        {"id": 3304557, "nome": "B", "microrregiao": {"mesorregiao": {"UF": {"id": 33, "sigla": "RJ"}}}},
+    ], indent=2))
+    (root / "pop").mkdir()
+    series = [{"id": "9324", "resultados": [{"series": [
+        {"localidade": {"id": "3550308"}, "serie": {"2023": "11.451.245", "2024": "11.895.578"}},
+        {"localidade": {"id": "3304557"}, "serie": {"2022": "6.211.223"}}]}]}]
+    (root / "pop" / "p1.json").write_text(json.dumps(series, indent=2))
+    (root / "obitos").mkdir()
+    spark.createDataFrame([("3550308", 2024), ("3550308", 2024), ("3304557", 2024)],
+                          "CODMUNRES string, ano int").write.parquet(str(root / "obitos" / "sp"))
+    landing = batch.Landing(municipios=str(root / "mun"), populacao=str(root / "pop"),
+                            obitos=str(root / "obitos"), one_payload_per_file=True)
+    r = batch.run(spark, landing, scratch_dir(spark, "lake"), 2024, all_municipalities=True)
+    got = {x[KEY]: (x.populacao, x.total_obitos)
+           for x in r.gold["gold_indicadores_saude_municipio"].collect()}
+    assert got == {"3550308": (11895578, 2), "3304557": (6211223, 1)}
