@@ -50,6 +50,8 @@ class RunResult:
     gold: dict[str, DataFrame] = field(default_factory=dict)
     population_year: int | None = None
     skipped: list[str] = field(default_factory=list)
+    # table -> (duplicate (key, year) groups, keys missing from the dimension)
+    checks: dict[str, tuple[int, int]] = field(default_factory=dict)
 
 
 def _exists(spark: SparkSession, path: str | None) -> bool:
@@ -78,8 +80,13 @@ def read_record_pages(spark: SparkSession, path: str, element, envelope, whole_f
 
 def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
         sample: int | None = DEFAULT_SAMPLE, keys: list[str] | None = None,
-        all_municipalities: bool = False, include: tuple[str, ...] = ()) -> RunResult:
-    """Run the batch for year ``ano``. ``include`` may hold 'pib', 'transferencias', 'cnes'."""
+        all_municipalities: bool = False, include: tuple[str, ...] = (),
+        check: bool = False) -> RunResult:
+    """Run the batch for year ``ano``. ``include`` may hold 'pib', 'transferencias',
+    'cnes'. With ``check`` the published gold tables are checked for duplicate
+    (key, year) rows (Q1) and keys absent from the dimension (Q2); the counts
+    are reported in ``RunResult.checks`` (the reference's UNIQUE and foreign
+    keys, reported instead of enforced)."""
     lake = lake.rstrip("/")
     res = RunResult()
 
@@ -185,7 +192,10 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     optional("cnes", landing.cnes, cnes)
     optional("pib", landing.pib, pib)
     optional("transferencias", landing.transferencias, transferencias)
-    log.info("batch %s done: gold %s, skipped %s", ano, sorted(res.gold), res.skipped)
+    if check:
+        for table, df in res.gold.items():
+            res.checks[table] = (core.duplicate_keys(df).count(), core.orphan_keys(df, dim).count())
+    log.info("batch %s done: gold %s, skipped %s, checks %s", ano, sorted(res.gold), res.skipped, res.checks)
     res.population_year = ano
     return res
 

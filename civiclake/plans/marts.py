@@ -90,12 +90,6 @@ def health_kpis(health: DataFrame) -> DataFrame:
                        F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("populacao_total"))
 
 
-def population_total(health: DataFrame) -> DataFrame:
-    """Max population per key, summed over keys (one-row frame)."""
-    per_key = health.where(F.col(KEY).isNotNull()).groupBy(KEY).agg(F.max("populacao").alias("p"))
-    return per_key.agg(F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("populacao_total"))
-
-
 def overview_kpis(health: DataFrame, edu: DataFrame, gdp: DataFrame, transfers: DataFrame,
                   cnes: DataFrame) -> DataFrame:
     """The overview KPI row (entities, states, population, enrolments,

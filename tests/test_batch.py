@@ -24,8 +24,11 @@ def test_batch_idempotent(spark):
                        "gold_cnes_municipio", "gold_pib_municipio", "gold_transparencia_transferencias"}
     health = r1.gold["gold_indicadores_saude_municipio"]
     assert 0 < health.count() <= 100
-    r2 = batch.run(spark, landing, lake, 1998, sample=100, include=inc)
+    r2 = batch.run(spark, landing, lake, 1998, sample=100, include=inc, check=True)
     assert _snapshot(r2) == s1
+    assert set(r2.checks) == set(s1)
+    assert all(dup == 0 for dup, _ in r2.checks.values())
+    assert r2.checks["gold_indicadores_saude_municipio"][1] == 0
     dim = spark.read.parquet(batch.snapshots.latest_version(spark, f"{lake}/dim_municipio"))
     assert core.duplicate_keys(dim, [KEY]).count() == 0
     for t, df in r2.gold.items():
