@@ -98,7 +98,7 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     dim_raw = snapshots.latest_snapshot(spark, f"{lake}/bronze/ibge_municipios/*/parquet")
     dim = standardise_key(dim_raw).withColumn("_seq", F.lit(0))
     sinks.dimension_upsert(spark, f"{lake}/dim_municipio", dim, "_seq")
-    dim = snapshots.read_latest_version(spark, f"{lake}/dim_municipio")
+    dim = sinks.read_dimension(spark, f"{lake}/dim_municipio")
 
     # Key restriction: all, an explicit list, or the stratified sample.
     if all_municipalities:

@@ -280,7 +280,7 @@ def dim_upsert(spark, sf):
     again = e.where(k % 8 == 0).withColumn("nome_municipio", F.concat("nome_municipio", F.lit(" v2"))) \
         .withColumn("_seq", F.lit(2))
     sinks.dimension_upsert(spark, table, b.unionByName(again), "_seq")
-    return snapshots.read_latest_version(spark, table)
+    return sinks.read_dimension(spark, table)
 
 
 # ---- K6: education silver upsert ----------------------------------------------------------------------

@@ -3,7 +3,8 @@ and table creation.
 
 Layouts (all under a lake root on the shared file system):
   bronze/<name>/<yyyyMMdd_HHmmss>-<id>/   immutable snapshot (Parquet + CSV)
-  <table>/snap_<version:08d>_<yyyyMMdd_HHmmss>/  versioned table (upsert targets)
+  <table>/snap_<version:08d>_<yyyyMMdd_HHmmss>/  versioned table (whole-table upsert)
+  dim_municipio/prefixo_uf=<2 digits>/     dimension, upserted per state prefix
   <table>/ano=<year>/                      year-partitioned table (replace-by-year,
                                            and upserts whose key includes the year)
 
@@ -89,40 +90,66 @@ def next_version(spark: SparkSession, table_path: str) -> int:
     return int(v.rsplit("/", 1)[-1].split("_")[1]) + 1
 
 
-def dimension_upsert(spark: SparkSession, table_path: str, new: DataFrame, order: str) -> str:
-    """K3: municipality dimension upsert; an absent state code is added as null."""
+DIM_PARTITION = "prefixo_uf"   # the first two digits of the code: the state's code
+
+
+def dimension_upsert(spark: SparkSession, table_path: str, new: DataFrame, order: str) -> None:
+    """K3: municipality dimension upsert (last row per key in the batch wins;
+    an absent state code is added as null). The table is partitioned by the
+    code's two-digit state prefix, so a batch rewrites only its states."""
+    cols = [KEY, "nome_municipio", "sigla_uf", "cod_uf"]
     new = add_missing(new, {"cod_uf": T.IntegerType()})
-    return upsert(spark, table_path, new, [KEY], order,
-                  columns=[KEY, "nome_municipio", "sigla_uf", "cod_uf"])
+    batch = last_per_key(new.select(*cols, order), [KEY], order).drop(order)
+    batch = batch.select(F.col(KEY), F.col("nome_municipio"), F.col("sigla_uf"),
+                         F.col("cod_uf").cast("int"), F.substring(KEY, 1, 2).alias(DIM_PARTITION))
+    upsert_partitioned(spark, table_path, batch, [KEY], DIM_PARTITION)
 
 
-def upsert_by_year(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
-                   table: str, order: str | None = None) -> None:
-    """K6 at scale: INSERT OR REPLACE on keys that include ``ano``, rewriting only
-    the year partitions present in the batch.
-
-    The current rows of those years (a semi join on the batch's years, which
-    dynamic partition pruning turns into a partition filter) are merged with
-    the batch, staged as a table in the checkpoint folder (Spark will not
-    overwrite a path it is reading), then swapped in by dynamic partition
-    overwrite. Cost follows the batch's years, not the table size.
+def read_dimension(spark: SparkSession, table_path: str) -> DataFrame:
+    """The municipality dimension as written by ``dimension_upsert``."""
+    sch = schemas.TABLES["dim_municipio"]
+    full = T.StructType(sch.fields + [T.StructField(DIM_PARTITION, T.StringType())])
+    return spark.read.schema(full).parquet(table_path).drop(DIM_PARTITION)
+
+
+def upsert_partitioned(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
+                       part_col: str, order: str | None = None) -> None:
+    """INSERT OR REPLACE by ``keys`` on a table partitioned by ``part_col`` (a
+    function of the key), rewriting only the partitions present in the batch.
+
+    The current rows of those partitions (a semi join on the batch's partition
+    values, which dynamic partition pruning turns into a partition filter) are
+    merged with the batch, staged as a table in the checkpoint folder (Spark
+    will not overwrite a path it is reading), then swapped in by dynamic
+    partition overwrite. Cost follows the batch, not the table size.
     """
     from civiclake.session import materialize
     from civiclake.sources.files import list_files
     batch = last_per_key(new, keys, order).drop(order) if order else new
-    has_table = False
     try:
         has_table = bool(list_files(spark, table_path, "*.parquet"))
     except Exception:  # noqa: BLE001 - no table yet
         has_table = False
     if has_table:
-        cur = spark.read.parquet(table_path)
-        cur = cur.join(batch.select("ano").distinct(), "ano", "left_semi")
-        merged = cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(
-            batch, allowMissingColumns=True)
+        cur = spark.read.schema(batch.schema).parquet(table_path)
+        cur = cur.join(batch.select(part_col).distinct(), part_col, "left_semi")
+        merged = cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
     else:
         merged = batch
-    publish_by_year(materialize(merged, f"stage-{table}"), table_path, table)
+    staged = materialize(merged, "stage-upsert")
+    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(part_col).parquet(table_path))
+
+
+def upsert_by_year(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
+                   table: str, order: str | None = None) -> None:
+    """K6 at scale: upsert on keys that include ``ano``; only the batch's year
+    partitions are rewritten (columns coerced to the table schema)."""
+    sch = schemas.TABLES[table]
+    batch = last_per_key(new, keys, order).drop(order) if order else new
+    batch = add_missing(batch, {f.name: f.dataType for f in sch.fields})
+    batch = batch.select(*[F.col(f.name).cast(f.dataType) for f in sch.fields])
+    upsert_partitioned(spark, table_path, batch, keys, "ano")
 
 
 def education_silver_upsert(spark: SparkSession, table_path: str, edu: DataFrame,
@@ -204,6 +231,7 @@ def create_tables(spark: SparkSession, database: str, location: str) -> list[str
 
 
 __all__ = ["append", "append_indicators", "create_tables", "dimension_upsert", "education_silver_upsert",
+           "read_dimension", "upsert_partitioned",
            "export_csv", "last_per_key", "latest_version", "publish_by_year", "read_table", "upsert",
            "upsert_by_year",
            "write_snapshot"]

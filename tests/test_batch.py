@@ -29,7 +29,7 @@ def test_batch_idempotent(spark):
     assert set(r2.checks) == set(s1)
     assert all(dup == 0 for dup, _ in r2.checks.values())
     assert r2.checks["gold_indicadores_saude_municipio"][1] == 0
-    dim = spark.read.parquet(batch.snapshots.latest_version(spark, f"{lake}/dim_municipio"))
+    dim = batch.sinks.read_dimension(spark, f"{lake}/dim_municipio")
     assert core.duplicate_keys(dim, [KEY]).count() == 0
     for t, df in r2.gold.items():
         assert core.duplicate_keys(df).count() == 0, t
