@@ -112,16 +112,22 @@ def read_dimension(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.schema(full).parquet(table_path).drop(DIM_PARTITION)
 
 
+MAX_PRUNE_VALUES = 1000   # partition values fetched for static pruning (years, state prefixes)
+
+
 def upsert_partitioned(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
                        part_col: str, order: str | None = None) -> None:
     """INSERT OR REPLACE by ``keys`` on a table partitioned by ``part_col`` (a
     function of the key), rewriting only the partitions present in the batch.
 
-    The current rows of those partitions (a semi join on the batch's partition
-    values, which dynamic partition pruning turns into a partition filter) are
-    merged with the batch, staged as a table in the checkpoint folder (Spark
-    will not overwrite a path it is reading), then swapped in by dynamic
-    partition overwrite. Cost follows the batch, not the table size.
+    The batch's partition values are a bounded set (two-digit state prefixes,
+    years), fetched to the driver to prune the current table statically
+    (``PartitionFilters``: only those partitions are read); beyond
+    ``MAX_PRUNE_VALUES`` a semi join selects them instead. The current rows of
+    those partitions are merged with the batch, staged as a table in the
+    checkpoint folder (Spark will not overwrite a path it is reading), then
+    swapped in by dynamic partition overwrite. Cost follows the batch, not the
+    table size.
     """
     from civiclake.session import materialize
     from civiclake.sources.files import list_files
@@ -132,7 +138,11 @@ def upsert_partitioned(spark: SparkSession, table_path: str, new: DataFrame, key
         has_table = False
     if has_table:
         cur = spark.read.schema(batch.schema).parquet(table_path)
-        cur = cur.join(batch.select(part_col).distinct(), part_col, "left_semi")
+        parts = batch.select(part_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
+        if len(parts) <= MAX_PRUNE_VALUES:
+            cur = cur.where(F.col(part_col).isin([r[0] for r in parts]))
+        else:
+            cur = cur.join(batch.select(part_col).distinct(), part_col, "left_semi")
         merged = cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
     else:
         merged = batch
