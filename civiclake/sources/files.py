@@ -133,12 +133,27 @@ def birth_counts(spark, path, ano=None, report=None):
 
 
 # ---- S8: school microdata (delimited text) ---------------------------------------------
+def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
+    """The first line of a file, read through the Hadoop file system (a few
+    bytes; no Spark job), without a byte-order mark."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark._jsc.hadoopConfiguration()).open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+        line = reader.readLine() or ""
+    finally:
+        stream.close()
+    return line.lstrip("\ufeff")
+
+
 def _header_key(spark: SparkSession, f: str, encoding: str) -> tuple[str, str] | None:
     """(separator, key column) for a file: the separator under which some header
-    field, upper-cased without spaces, contains the key marker (D7)."""
+    field, upper-cased without spaces, contains the key marker and no other
+    separator (D7: a ';' probe of a ',' header yields one wide field)."""
+    header = first_line(spark, f, encoding)
     for sep in SEPARATORS:
-        cols = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-                .csv(f).columns)
+        cols = [c.strip().strip('"') for c in header.split(sep)]
         others = [s for s in SEPARATORS if s != sep]
         hit = next((c for c in cols if MICRODATA_KEY_MARKER in c.upper().replace(" ", "")
                     and not any(o in c for o in others)), None)

@@ -38,3 +38,19 @@ def test_streaming_ingest_is_exactly_once(spark):
     assert b.count() == o.count()
     assert b.select("o_orderkey").distinct().count() == o.count()
     assert "_arquivo" in b.columns and "data_carga" in b.columns
+
+
+def test_microdata_header_probe(spark, tmp_path):
+    """BOM and quoted headers; ';' and ',' files; only '*matricula*' files count."""
+    d = tmp_path / "censo"
+    (d / "dados").mkdir(parents=True)
+    (d / "dados" / "MATRICULA_A.csv").write_text('﻿"ID_ALUNO";"CO_MUNICIPIO"\n1;3550308\n2;3550308\n3;355030\n',
+                                                 encoding="utf-8")
+    (d / "dados" / "matricula_b.csv").write_text("ID_ALUNO,CO_MUNICIPIO\n4,3304557.0\n5,12\n", encoding="utf-8")
+    (d / "dados" / "docentes.csv").write_text("ID;CO_MUNICIPIO\n9;3550308\n", encoding="utf-8")
+    assert files._header_key(spark, str(d / "dados" / "MATRICULA_A.csv"), "UTF-8") == (";", "CO_MUNICIPIO")
+    assert files._header_key(spark, str(d / "dados" / "matricula_b.csv"), "UTF-8") == (",", "CO_MUNICIPIO")
+    report = files.ScanReport()
+    got = {r.cod_mun_ibge_7: r.matriculas for r in files.microdata_counts(spark, str(d), 2024, report=report).collect()}
+    assert got == {"3550308": 2, "0355030": 1, "3304557": 1}
+    assert len(report.used) == 2
