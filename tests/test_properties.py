@@ -132,3 +132,17 @@ def test_unwrap_envelope_matches_rule(spark, cases):
            for r in df.select(text.unwrap_envelope("j", el, ["data", "items"])).collect()]
     want = [None if py_unwrap(p) is None else [x["a"] for x in py_unwrap(p)] for p in cases]
     assert got == want
+
+
+def py_locale_double(v):
+    """GDP text: '.' dropped, ',' as decimal mark; empty or malformed -> None."""
+    try:
+        return float(v.replace(".", "").replace(",", "."))
+    except ValueError:
+        return None
+
+
+@SETTINGS
+@given(st.lists(locale_texts, min_size=50, max_size=300))
+def test_locale_double_matches_rule(spark, values):
+    assert spark_eval(spark, values, T.StringType(), numbers.locale_double) == [py_locale_double(v) for v in values]
