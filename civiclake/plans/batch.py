@@ -92,8 +92,12 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
 
     # Municipalities: scan -> bronze snapshot -> newest snapshot -> silver dimension upsert.
     whole = landing.one_payload_per_file
-    mun = payloads.municipality_rows(
-        spark.read.schema(schemas.MUNICIPALITY_JSON).option("multiLine", whole).json(landing.municipios))
+    if whole:      # each file is the API's JSON array of municipality objects
+        texts = _payload_text(spark, landing.municipios, True).select(
+            F.explode(F.from_json("payload", "array<string>")).alias("payload"))
+    else:          # one municipality object per line
+        texts = _payload_text(spark, landing.municipios, False)
+    mun = payloads.municipality_rows_from_text(texts)
     sinks.write_snapshot(mun, f"{lake}/bronze", "ibge_municipios")
     dim_raw = snapshots.latest_snapshot(spark, f"{lake}/bronze/ibge_municipios/*/parquet")
     dim = standardise_key(dim_raw).withColumn("_seq", F.lit(0))

@@ -46,9 +46,7 @@ def municipality_json(spark, sf) -> DataFrame:
 
 @query("dim_flatten_nested_json")
 def dim_flatten_nested_json(spark, sf):
-    raw = municipality_json(spark, sf).select(
-        F.from_json("payload", schemas.MUNICIPALITY_JSON).alias("m")).select("m.*")
-    return payloads.municipality_rows(raw)
+    return payloads.municipality_rows_from_text(municipality_json(spark, sf))
 
 
 # ---- S2/S3/S4/S18: series payloads ---------------------------------------------------------

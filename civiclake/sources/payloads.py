@@ -54,6 +54,23 @@ def municipality_rows(raw: DataFrame) -> DataFrame:
                     uf["id"].cast("int").alias("cod_uf")))
 
 
+def municipality_rows_from_text(df: DataFrame, column: str = "payload") -> DataFrame:
+    """S1 from JSON texts (one municipality object per row), exact about the
+    state abbreviation: present in the UF object -> its value (even a JSON
+    null); absent, or any level missing or not an object -> ''. (Parsing into a
+    struct alone cannot tell a null field from an absent one.)"""
+    raw = df.select(F.col(column).alias("_t"), F.from_json(column, schemas.MUNICIPALITY_JSON).alias("_m"))
+    uf_text = F.get_json_object("_t", "$.microrregiao.mesorregiao.UF")
+    has_sigla = F.coalesce(F.array_contains(F.json_object_keys(uf_text), "sigla"), F.lit(False))
+    uf = F.col("_m.microrregiao.mesorregiao.UF")
+    m = F.col("_m")
+    return (raw.where(truthy_number(m["id"]) & truthy_text(m["nome"]))
+            .select(zfill7(m["id"].cast("string")).alias(KEY),
+                    m["nome"].alias("nome_municipio"),
+                    F.when(has_sigla, uf["sigla"]).otherwise(F.lit("")).alias("sigla_uf"),
+                    uf["id"].cast("int").alias("cod_uf")))
+
+
 # ---- S2/S3/S4/S18: SIDRA series ---------------------------------------------
 def read_series(spark: SparkSession, path: str) -> DataFrame:
     """Scan of landed series payloads: each file is a JSON array of variables."""

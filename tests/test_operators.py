@@ -192,3 +192,13 @@ def test_versioned_upsert(spark):
     assert snapshots.latest_version(spark, t) == v2
     got = {r.k: r.v for r in snapshots.read_latest_version(spark, t).collect()}
     assert got == {"k1": 1, "k2": 21, "k3": 3}
+
+
+def test_municipality_state_null_vs_absent(spark):
+    objs = ['{"id": 1100015, "nome": "A", "microrregiao": {"mesorregiao": {"UF": {"id": 11, "sigla": null}}}}',
+            '{"id": 1100023, "nome": "B", "microrregiao": {"mesorregiao": {"UF": {"id": 11}}}}',
+            '{"id": 1100031, "nome": "C", "microrregiao": "texto"}',
+            '{"id": 1100049, "nome": "D", "microrregiao": {"mesorregiao": {"UF": {"id": 11, "sigla": "RO"}}}}']
+    df = spark.createDataFrame([(o,) for o in objs], "payload string")
+    got = {r[KEY]: (r.sigla_uf, r.cod_uf) for r in payloads.municipality_rows_from_text(df).collect()}
+    assert got == {"1100015": (None, 11), "1100023": ("", 11), "1100031": ("", None), "1100049": ("RO", 11)}
