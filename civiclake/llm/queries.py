@@ -123,19 +123,19 @@ reach(a, b) as (select a, b from links union select r.a, l.b from reach r join l
 least as (select a as id, min(b) as low from reach group by a)"""
 
 _JACCARD = f"""
-with recursive w as (select doc_id, list_transform({_WORDS}, x -> translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as ws from documents),
+with recursive w as (select doc_id, list_transform({_WORDS}, lambda x: translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) as ws from documents),
 g as (select doc_id, case when len(ws) = 0 then [] when len(ws) < 4 then [array_to_string(ws, ' ')]
   else list_distinct([array_to_string(ws[i:i + 3], ' ') for i in range(1, len(ws) - 2)]) end as grams from w),
 s as (select doc_id, unnest(grams) as gram from g),
-links as (select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as both from s x join s y on x.gram = y.gram and x.doc_id <> y.doc_id group by 1, 2) p
-  join g ga on ga.doc_id = a join g gb on gb.doc_id = b where 100 * both >= 85 * (len(ga.grams) + len(gb.grams) - both)),
+links as (select a, b from (select x.doc_id as a, y.doc_id as b, count(*) as shared from s x join s y on x.gram = y.gram and x.doc_id <> y.doc_id group by 1, 2) p
+  join g ga on ga.doc_id = a join g gb on gb.doc_id = b where 100 * shared >= 85 * (len(ga.grams) + len(gb.grams) - shared)),
 {_COMPONENTS}
 select g.doc_id, cast(len(grams) as bigint) as n_shingles, least(g.doc_id, coalesce(low, g.doc_id)) as component_id from g left join least on id = g.doc_id
 """
 
 _EMBEDDINGS = f"""
-with recursive v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0
-  and len(list_filter(embedding, x -> x <> 0)) > 0),
+with recursive v as (select vec_id, embedding::double[] as e from embeddings where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  and len(list_filter(embedding, lambda x: x <> 0)) > 0),
 links as (select x.vec_id as a, y.vec_id as b from v x join v y on x.vec_id <> y.vec_id and len(x.e) = len(y.e)
   where list_dot_product(x.e, y.e) / (sqrt(list_dot_product(x.e, x.e)) * sqrt(list_dot_product(y.e, y.e))) >= 0.95),
 {_COMPONENTS},
@@ -164,11 +164,11 @@ select doc_id, line::int as line, license_id, max(dice) as dice from d where dic
 
 _SUFFIX = f"""
 with w as (select doc_id, row_number() over () as r, {_WORDS} as ws from documents),
-s as (select r, doc_id, len(ws) as n, unnest(range(0, len(ws) - 49)) as at, unnest([md5(array_to_string(ws[i:i + 49], ' ')) for i in range(1, len(ws) - 48)]) as run from w where len(ws) >= 50),
+s as (select r, doc_id, len(ws) as n, unnest(range(0, len(ws) - 49)) as pos, unnest([md5(array_to_string(ws[i:i + 49], ' ')) for i in range(1, len(ws) - 48)]) as run from w where len(ws) >= 50),
 h as (select * from (select *, count(*) over (partition by run) as c from s) where c > 1),
-b as (select *, case when at - lag(at) over (partition by r order by at) <= 50 then 0 else 1 end as new from h),
-i as (select *, sum(new) over (partition by r order by at) as grp from b)
-select doc_id, min(at) as start_word, max(at) + 50 as end_word, max(at) + 50 - min(at) as n_words, min(at) = 0 and max(at) + 50 = any_value(n) as whole from i group by r, doc_id, grp
+b as (select *, case when pos - lag(pos) over (partition by r order by pos) <= 50 then 0 else 1 end as new from h),
+i as (select *, sum(new) over (partition by r order by pos) as grp from b)
+select doc_id, min(pos) as start_word, max(pos) + 50 as end_word, max(pos) + 50 - min(pos) as n_words, min(pos) = 0 and max(pos) + 50 = any_value(n) as whole from i group by r, doc_id, grp
 """
 
 SQL: dict[str, str] = {
