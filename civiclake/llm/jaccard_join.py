@@ -10,13 +10,14 @@ pivots work inside them:
    its size class. Linked documents differ in at most ``m - 1 - slack`` shingles,
    so some bucket holds the same shingles in both. Class, bucket and contents are
    a region; documents at a class border are replicated into the next one.
-2. In a region a pivot is compared with the others; whoever is within r belongs
-   to its group.
-3. Regions that still hold several groups are taken further: small ones pair by
-   pair; large ones by new pivots, whose rings of width r (each document also in
-   the next ring) are regions again, because documents whose distances to a pivot
-   differ by more than r cannot link. A pivot leaves its region when it has been
-   compared, so this ends.
+2. In a region a pivot (its centre) is compared with the others; whoever is within
+   r belongs to its group.
+3. Regions that still hold several groups go on: the nodes outside the largest
+   group become pivots, a bounded number per round, and meet the nodes of their
+   window. As the distance is a metric, linked sets differ little in size and have
+   few shingles that no other undecided set has; nodes that these bounds part from
+   a pivot lie outside its window. A pivot that has met its region leaves it, so
+   this ends with every region decided.
 
 Equal shingle sets are one node from the start, and pairs already in one
 component are not compared: only components are asked for. Sets are compared by
@@ -30,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.llm import bloom, shingles
@@ -39,8 +40,8 @@ from civiclake.llm.components import components
 from civiclake.llm.key_runs import MASK, PASS, SPEC, Combiner, batches, repeated
 from civiclake.session import materialize
 
-SMALL = 128
-PIVOTS = 8
+#: pivots of a region in one round; the rest follow in the next rounds
+PIVOTS = 512
 
 
 class Regions:
@@ -202,30 +203,20 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
 
     sizes = sets.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
     live = divided(regions.select("region", "node"), roots)
-    step = 0
     while not live.isEmpty():
-        step += 1
-        large = live.groupBy("region").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > SMALL)
-        few = live.join(large, "region", "left_anti")
-        x, y = few.join(sizes, "node"), few.join(sizes, "node")
-        x = x.select("region", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-        y = y.select("region", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"))
-        pairs = (x.join(y, "region").filter("a < b and ra <> rb").filter(den * F.least("na", "nb") >= num * F.greatest("na", "nb"))
-                 .select("a", "b").distinct())
-        many = live.join(large, "region")
-        turn = F.xxhash64("node", F.lit(step))
-        pivots = many.groupBy("region").agg(F.slice(F.sort_array(F.collect_set(F.when(turn % F.greatest(F.lit(1), F.floor(F.col("size") / PIVOTS)) == 0, F.struct(turn, "node")))), 1, PIVOTS).alias("p"),
-                                            F.min(F.struct(turn, "node")).alias("least"))
-        pivots = pivots.select("region", F.explode(F.array_distinct(F.concat(F.array("least"), "p"))).alias("p")).select("region", F.col("p.node").alias("pivot"))
-        pivots = materialize(pivots, "jaccard-pivots")
-        spokes = many.join(pivots, "region").filter("node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-        done = tried.select("a", "b").union(tried.select("b", "a"))
-        todo = pairs.union(spokes).distinct().join(done, ["a", "b"], "left_anti")
+        own = materialize(lonely(sets.join(live.select("node").distinct(), "node", "left_semi")), "jaccard-lonely")
+        known = sizes.join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
+        pivots = materialize(outsiders(live).join(known, "node"), "jaccard-pivots")
+        todo = materialize(spokes(live.join(known, "node"), pivots, tried, num, den), "jaccard-spokes")
         new = materialize(compare(todo, sets, num, den), "jaccard-compared")
-        tried = materialize(tried.unionByName(new), "jaccard-tried")
         if not new.filter("linked").isEmpty():
+            tried = materialize(tried.unionByName(new), "jaccard-tried")
             roots = components(tried.filter("linked").select("a", "b"))
-        live = divided(rings(many.select("region", "node"), pivots, tried, 1 - num / den), roots)
+        else:
+            tried = tried.unionByName(new)
+        # a pivot has met its whole region and leaves it
+        left = live.join(pivots.select("region", "node"), ["region", "node"], "left_anti")
+        live = divided(left.select("region", "node"), roots)
 
     out = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = out.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
@@ -242,23 +233,52 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def divided(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """(region, node, root) of the regions with several components."""
-    rows = regions.join(roots, "node", "left").select("region", "node", F.coalesce("root", "node").alias("root"))
-    open_ = rows.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("region")
+    """(region, node, root) of the regions with several components; of regions
+    with the same nodes, one."""
+    rows = materialize(regions.join(roots, "node", "left").select("region", "node", F.coalesce("root", "node").alias("root")), "jaccard-rows")
+    open_ = (rows.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("y"))
+             .filter("lo <> hi").groupBy("x", "y").agg(F.min("region").alias("region")).select("region"))
     return materialize(rows.join(open_, "region"), "jaccard-live")
 
 
-def rings(regions: DataFrame, pivots: DataFrame, tried: DataFrame, r: float) -> DataFrame:
-    """Regions of the next round: without the pivots, cut into rings of width r
-    around one of them; each node is in its ring and the next one out."""
-    first = pivots.groupBy("region").agg(F.min("pivot").alias("pivot"))
-    left = regions.join(pivots, (regions["region"] == pivots["region"]) & (regions["node"] == pivots["pivot"]), "left_anti")
-    known = tried.select("a", "b", "distance").union(tried.select("b", "a", "distance"))
-    rows = left.join(first, "region").join(known, (F.col("node") == F.col("a")) & (F.col("pivot") == F.col("b")), "left")
-    # rings a little wider than r, so that rounding never parts linked documents
-    ring = F.floor(F.coalesce("distance", F.lit(0.0)) / (r + 1e-9))
-    home = rows.select("region", "node", ring.alias("ring"))
-    # a ring that is no node's own would only repeat the one inside it
-    used = home.select("region", "ring").distinct()
-    wide = home.select("region", "node", F.explode(F.array("ring", F.col("ring") + 1)).alias("ring"))
-    return wide.join(used, ["region", "ring"]).select(F.xxhash64("region", "ring").alias("region"), "node")
+def outsiders(live: DataFrame) -> DataFrame:
+    """(region, node, root): up to ``PIVOTS`` nodes of each region that are not in
+    its largest component. The others of a region take their turn in later rounds."""
+    count = live.groupBy("region", "root").agg(F.count(F.lit(1)).alias("n"))
+    main = count.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
+    out = live.join(main, "region").filter("root <> main").select("region", "node", "root")
+    turn = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("node")))
+    return out.withColumn("turn", turn).filter(F.col("turn") <= PIVOTS).drop("turn")
+
+
+def lonely(sets: DataFrame) -> DataFrame:
+    """(node, own): how many shingles of a node are in no other node's set."""
+    schema = pa.schema([("shingle", pa.int64()), ("node", pa.int64())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in parts:
+            for node, s in zip(p.column(0).to_pylist(), p.column(1), strict=True):
+                x = np.frombuffer(s.as_buffer(), np.int64)
+                yield table_batch(schema, [x, np.full(len(x), node)])
+
+    count = sets.select("node", "shingles").mapInArrow(run, "shingle long, node long").groupBy("shingle").agg(
+        F.count(F.lit(1)).alias("c"), F.min("node").alias("node"))
+    return count.filter("c = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+
+
+def spokes(live: DataFrame, pivots: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of a pivot and a node of its region that are in different
+    components, have not been compared, and may be linked.
+
+    Linked sets differ in at most ``(den - num) / (den + num)`` of their sizes'
+    sum, and they differ in all that either has alone: the window of a pivot are
+    the nodes for which the sizes and the own shingles leave room."""
+    p = pivots.select("region", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"))
+    room = (den + num) * (F.col("own") + F.col("op")) <= (den - num) * (F.col("n") + F.col("np"))
+    near = den * F.least("n", "np") >= num * F.greatest("n", "np")
+    some = p.filter((den + num) * num * F.col("op") <= (den - num) * (den + num) * F.col("np"))  # room beside any partner
+    rows = live.join(some, "region").filter("root <> rp").filter(near & room)
+    pairs = rows.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
+    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return pairs.join(done, ["a", "b"], "left_anti")
