@@ -69,7 +69,7 @@ def mun_code(c: Column | str, numeric: bool = False, mode: str = "pad") -> Colum
 def mun_code_of(df: DataFrame, name: str, mode: str = "pad") -> Column:
     """``mun_code`` choosing the numeric or text rule from the column's type."""
     dtype = df.schema[name].dataType
-    return mun_code(F.col(name), numeric=isinstance(dtype, _NUMERIC), mode=mode)
+    return mun_code(quoted(name), numeric=isinstance(dtype, _NUMERIC), mode=mode)
 
 
 def valid_key(c: Column | str = KEY, width: int = KEY_LEN) -> Column:
@@ -115,6 +115,11 @@ def prefix6_join(fact: DataFrame, dim: DataFrame, key: str = KEY, how: str = "le
     return f.join(d, "_k6", how).drop("_k6")
 
 
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def is_numeric(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, _NUMERIC)
 
@@ -135,7 +140,7 @@ def discover_key_column(df: DataFrame, names: Sequence[str] = SCHOOL_KEY_NAMES,
     for c in (c for c in df.columns if rx.search(c.strip())):
         if is_numeric(df, c):
             return c
-        probe = df.select(F.col(c).cast("string").alias("v")).where(F.col("v").rlike(value_pattern))
+        probe = df.select(quoted(c).cast("string").alias("v")).where(F.col("v").rlike(value_pattern))
         if probe.limit(1).count() > 0:
             return c
     return None

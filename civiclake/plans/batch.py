@@ -20,11 +20,10 @@ from civiclake import schemas
 from civiclake.functions.keys import EVENT_KEY_RENAMES, KEY, rename_first, standardise_key
 from civiclake.operators import core
 from civiclake.plans import gold
+from civiclake.session import materialize
 from civiclake.sinks import tables as sinks
 from civiclake.sources import files, payloads, snapshots
 
-DEFAULT_SAMPLE = 100   # fixed value: default municipality sample size
-
 log = logging.getLogger("civiclake.batch")
 
 
@@ -50,6 +49,8 @@ class RunResult:
     gold: dict[str, DataFrame] = field(default_factory=dict)
     population_year: int | None = None
     skipped: list[str] = field(default_factory=list)
+    # files read and files passed over, with the reason
+    report: files.ScanReport = field(default_factory=files.ScanReport)
     # table -> (duplicate (key, year) groups, keys missing from the dimension)
     checks: dict[str, tuple[int, int]] = field(default_factory=dict)
 
@@ -79,10 +80,11 @@ def read_record_pages(spark: SparkSession, path: str, element, envelope, whole_f
 
 
 def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
-        sample: int | None = DEFAULT_SAMPLE, keys: list[str] | None = None,
+        sample: int | None = None, keys: list[str] | None = None,
         all_municipalities: bool = False, include: tuple[str, ...] = (),
         check: bool = False) -> RunResult:
-    """Run the batch for year ``ano``. ``include`` may hold 'pib', 'transferencias',
+    """Run the batch for year ``ano`` over all municipalities, or over ``keys``, or
+    over a stratified sample when a ``sample`` size is given. ``include`` may hold 'pib', 'transferencias',
     'cnes'. With ``check`` the published gold tables are checked for duplicate
     (key, year) rows (Q1) and keys absent from the dimension (Q2); the counts
     are reported in ``RunResult.checks`` (the reference's UNIQUE and foreign
@@ -105,20 +107,20 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     dim = sinks.read_dimension(spark, f"{lake}/dim_municipio")
 
     # Key restriction: all, an explicit list, or the stratified sample.
-    if all_municipalities:
-        key_df = None
-    elif keys:
+    key_df = None
+    if keys and not all_municipalities:
         key_df = spark.createDataFrame([(k,) for k in keys], f"{KEY} string")
-    else:
-        key_df = core.stratified_sample(dim, n=sample or DEFAULT_SAMPLE).select(KEY)
+    elif sample is not None and not all_municipalities:
+        key_df = core.stratified_sample(dim, n=sample).select(KEY)
 
     # Population: requested year, else one earlier (resolved once, D3).
     items = read_series_pages(spark, landing.populacao, whole)
     pop_years = core.union_all([payloads.population_rows(items, y) for y in core.backoff_years(ano)])
     if key_df is not None:
         pop_years = payloads.restrict_keys(pop_years, key_df)
-    pop = (core.preferred_year(pop_years, core.backoff_years(ano))
-           .withColumn("ano_origem", F.coalesce("ano_origem", "ano_efetivo"))
+    pop = core.preferred_year(pop_years, core.backoff_years(ano))
+    res.population_year = pop.agg(F.max("ano_efetivo")).first()[0]
+    pop = (pop.withColumn("ano_origem", F.coalesce("ano_origem", "ano_efetivo"))
            .withColumn("ano", F.lit(int(ano))).drop("ano_efetivo"))
     pop = standardise_key(pop)
     sinks.write_snapshot(pop, f"{lake}/bronze", f"ibge_populacao_{ano}")
@@ -128,8 +130,23 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
         .where(F.col("ano") == ano)
 
     # Deaths and births per municipality (per-state record files).
-    deaths = files.death_counts(spark, landing.obitos, ano) if _exists(spark, landing.obitos) else None
-    births = files.birth_counts(spark, landing.nascidos, ano) if _exists(spark, landing.nascidos) else None
+    def guarded(name: str, build):
+        """A source that fails is logged and skipped; the run goes on."""
+        try:
+            return build()
+        except Exception as e:  # noqa: BLE001 - the failure is reported in the result
+            res.skipped.append(f"{name}: {type(e).__name__}")
+            log.warning("%s failed and was skipped: %s", name, e)
+            return None
+
+    def events(name: str, path: str | None, count):
+        if not _exists(spark, path):
+            return None
+        rows = guarded(name, lambda: count(spark, path, ano, res.report))
+        return None if rows is None else guarded(name, lambda: materialize(rows, f"batch-{name}"))
+
+    deaths = events("obitos", landing.obitos, files.death_counts)
+    births = events("nascidos", landing.nascidos, files.birth_counts)
     # P5 + P1: first matching key column renamed, then standardised (silver).
     deaths, births = [None if d is None else standardise_key(rename_first(d, EVENT_KEY_RENAMES, KEY))
                       for d in (deaths, births)]
@@ -142,17 +159,23 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     # Education: synopsis first, microdata when the synopsis gives nothing (F1).
     cands = []
     if landing.sinopse:
-        syn = files.synopsis_sums([spark.read.parquet(p) for p in landing.sinopse if _exists(spark, p)], ano)
+        syn = guarded("sinopse", lambda: files.synopsis_sums(
+            [spark.read.parquet(p) for p in landing.sinopse if _exists(spark, p)], ano, 2, res.report))
         if syn is not None:
             cands.append(syn)
     if _exists(spark, landing.microdados):
-        cands.append(files.microdata_counts(spark, landing.microdados, ano))
+        micro = guarded("microdados", lambda: files.microdata_counts(spark, landing.microdados, ano, report=res.report))
+        if micro is not None:
+            cands.append(micro)
     edu = None
     if cands:
         edu = core.first_non_empty(cands) if len(cands) > 1 else cands[0]
+        edu = guarded("inep", lambda: materialize(edu, "batch-inep"))
+    if edu is not None:
+        sinks.write_snapshot(edu, f"{lake}/bronze", "inep_educacao")
         sinks.education_silver_upsert(spark, f"{lake}/silver_inep_educacao", edu)
         edu = sinks.read_table(spark, f"{lake}/silver_inep_educacao", "silver_inep_educacao")
-    else:
+    elif not cands:
         res.skipped.append("inep")
 
     # Gold: health and education.
@@ -184,8 +207,10 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     def pib() -> None:
         gi = read_series_pages(spark, landing.pib, whole)
         years = core.lagged_years(ano)
-        rows = core.preferred_year(core.union_all([payloads.gdp_rows(gi, y) for y in years]), years)
-        _publish(spark, gold.gdp_indicators(rows.drop("ano_efetivo")), lake, "gold_pib_municipio", res)
+        # a preferred year that was landed, before the latest one under the first label
+        exact = core.preferred_year(core.union_all([payloads.gdp_rows(gi, y, exact=True) for y in years]), years)
+        rows = core.first_non_empty([exact.drop("ano_efetivo"), payloads.gdp_rows(gi, years[0])])
+        _publish(spark, gold.gdp_indicators(rows), lake, "gold_pib_municipio", res)
 
     def transferencias() -> None:
         recs = read_record_pages(spark, landing.transferencias, schemas.TRANSFER_RECORD,
@@ -200,7 +225,6 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
         for table, df in res.gold.items():
             res.checks[table] = (core.duplicate_keys(df).count(), core.orphan_keys(df, dim).count())
     log.info("batch %s done: gold %s, skipped %s, checks %s", ano, sorted(res.gold), res.skipped, res.checks)
-    res.population_year = ano
     return res
 
 

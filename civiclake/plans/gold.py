@@ -184,15 +184,18 @@ def facility_counts(records: DataFrame, ano: int | None = None,
     """Facilities per (key, year): total, hospitals and basic units by a
     pattern on the upper-cased type (first present of three type columns),
     and lenient sums of beds and public beds (0 when the column is absent).
-    Inactive records (``st_ativo`` other than 'S') are not counted."""
+    Records whose ``st_ativo`` is other than 'S' are not counted; payloads may
+    lack the field, and each record takes the first type column it has."""
     r = _with_year(records, ano)
     if "st_ativo" in r.columns:
-        r = r.where(F.col("st_ativo") == "S")
-    tcol = resolve_column(r.columns, FACILITY_TYPE_COLUMNS)
+        # a payload without the field has been filtered by its request
+        r = r.where(F.coalesce(F.col("st_ativo"), F.lit("S")) == "S")
+    types = [F.col(c) for c in FACILITY_TYPE_COLUMNS if c in r.columns]
+    tcol = F.coalesce(*types) if types else None
     zero = F.lit(0).cast("long")
 
     def count_like(p: str) -> Column:
-        return F.count_if(upper_matches(tcol, p)).cast("long") if tcol else zero
+        return F.count_if(upper_matches(tcol, p)).cast("long") if types else zero
 
     def beds(c: str) -> Column:
         if c not in r.columns:

@@ -121,8 +121,8 @@ def series_two_measures_pivot(spark, sf):
 
 @query("series_key_restricted")
 def series_key_restricted(spark, sf):
-    """Population for the sampled keys only, key list capped at 500."""
-    keys = core.first_n(core.stratified_sample(A.v_entity(spark, sf), n=100).select(KEY), 500)
+    """Population for the sampled keys only."""
+    keys = core.stratified_sample(A.v_entity(spark, sf), n=100).select(KEY)
     pop = payloads.population_rows(_series_items(spark, sf).where(F.col("id") == "498"), SERIES_YEAR)
     return payloads.restrict_keys(pop, keys)
 
@@ -247,7 +247,7 @@ def land_sheets(spark, sf) -> list[str]:
 @query("ragged_union_sum")
 def ragged_union_sum(spark, sf):
     sheets = [spark.read.parquet(p) for p in land_sheets(spark, sf)]
-    return files.synopsis_sums(sheets)
+    return files.synopsis_sums(sheets, min_rows=2)
 
 
 # ---- S12/T5/K1: latest snapshot --------------------------------------------------------------------

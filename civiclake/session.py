@@ -59,6 +59,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if sc is not None and not sc.master.startswith("local") or sc is None:
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="civiclake-ckpt-")
         root = _LOCAL_ROOT
@@ -74,6 +76,12 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/civiclake/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a written table that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` once as a Parquet table under the shared
     checkpoint folder and reading it back (a reliable checkpoint that computes

@@ -16,6 +16,8 @@ version and writes a new one, which becomes current when its job commits
 from __future__ import annotations
 
 import datetime as _dt
+import functools
+import logging
 import uuid
 from collections.abc import Sequence
 
@@ -28,6 +30,8 @@ from civiclake.functions.keys import KEY
 from civiclake.operators.core import add_missing
 from civiclake.sources.snapshots import latest_version, read_latest_version
 
+log = logging.getLogger("civiclake.sinks")
+
 
 def _stamp() -> str:
     return _dt.datetime.now().strftime("%Y%m%d_%H%M%S")
@@ -112,43 +116,42 @@ def read_dimension(spark: SparkSession, table_path: str) -> DataFrame:
     return spark.read.schema(full).parquet(table_path).drop(DIM_PARTITION)
 
 
-MAX_PRUNE_VALUES = 1000   # partition values fetched for static pruning (years, state prefixes)
-
-
 def upsert_partitioned(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
-                       part_col: str, order: str | None = None) -> None:
+                       part_col: str, order: str | None = None) -> int:
     """INSERT OR REPLACE by ``keys`` on a table partitioned by ``part_col`` (a
     function of the key), rewriting only the partitions present in the batch.
 
-    The batch's partition values are a bounded set (two-digit state prefixes,
-    years), fetched to the driver to prune the current table statically
-    (``PartitionFilters``: only those partitions are read); beyond
-    ``MAX_PRUNE_VALUES`` a semi join selects them instead. The current rows of
-    those partitions are merged with the batch, staged as a table in the
-    checkpoint folder (Spark will not overwrite a path it is reading), then
-    swapped in by dynamic partition overwrite. Cost follows the batch, not the
-    table size.
+    The batch is staged once. Rows with a null key or partition value have no row
+    to replace: they are rejected, logged and counted in the result. The batch's
+    partition values (state prefixes, years; the writer tracks every partition
+    it replaces on the driver anyway) prune the current table statically. The
+    current rows of those partitions are merged with the batch, staged as a table
+    in the checkpoint folder (Spark will not overwrite a path it is reading), then
+    swapped in by dynamic partition overwrite; staged tables are deleted. Only a
+    missing folder means a new table: any other listing error stops the upsert.
     """
-    from civiclake.session import materialize
-    from civiclake.sources.files import list_files
-    batch = last_per_key(new, keys, order).drop(order) if order else new
-    try:
-        has_table = bool(list_files(spark, table_path, "*.parquet"))
-    except Exception:  # noqa: BLE001 - no table yet
-        has_table = False
-    if has_table:
-        cur = spark.read.schema(batch.schema).parquet(table_path)
-        parts = batch.select(part_col).distinct().limit(MAX_PRUNE_VALUES + 1).collect()
-        if len(parts) <= MAX_PRUNE_VALUES:
-            cur = cur.where(F.col(part_col).isin([r[0] for r in parts]))
-        else:
-            cur = cur.join(batch.select(part_col).distinct(), part_col, "left_semi")
-        merged = cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
-    else:
-        merged = batch
-    staged = materialize(merged, "stage-upsert")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    from civiclake.session import remove, scratch_dir
+    path = scratch_dir(spark, "stage-batch")
+    (last_per_key(new, keys, order).drop(order) if order else new).write.parquet(path)
+    staged = spark.read.parquet(path)
+    whole = functools.reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in {*keys, part_col}])
+    rejected = staged.where(~whole).count()
+    if rejected:
+        log.warning("%s: %d rows without a key rejected", table_path, rejected)
+    batch = staged.where(whole)
+    merged, merge_path = batch, None
+    folder = spark._jvm.org.apache.hadoop.fs.Path(table_path)
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        values = [r[0] for r in batch.select(part_col).distinct().collect()]
+        cur = spark.read.schema(batch.schema).parquet(table_path).where(F.col(part_col).isin(values))
+        merge_path = scratch_dir(spark, "stage-upsert")
+        cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch).write.parquet(merge_path)
+        merged = spark.read.parquet(merge_path)
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(table_path))
+    for p in filter(None, (path, merge_path)):
+        remove(spark, p)
+    return rejected
 
 
 def upsert_by_year(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
@@ -215,7 +218,7 @@ def read_table(spark: SparkSession, table_path: str, table: str) -> DataFrame:
 def export_csv(df: DataFrame, path: str, sep: str = ";", single_file: bool = False) -> str:
     """CSV export with a header; one file only on request (that funnels
     the whole export through one task, so use it for small extracts)."""
-    out = df.coalesce(1) if single_file else df
+    out = df.repartition(1) if single_file else df
     out.write.mode("errorifexists").option("sep", sep).option("header", True).csv(path)
     return path
 

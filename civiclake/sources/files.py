@@ -15,12 +15,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from civiclake.functions.keys import (
+    quoted,
     BIRTH_KEY_CANDIDATES, DEATH_KEY_CANDIDATES, KEY, SCHOOL_ENROLMENT_NAMES,
     SCHOOL_SCHOOL_NAMES, SCHOOL_TEACHER_NAMES, discover_key_column, discover_measure_column,
     mun_code, mun_code_of, resolve_column, valid_key,
 )
+from civiclake.functions.numbers import lenient_double
 from civiclake.operators.core import union_all
 
 # Microdata file selection and the header key marker.
@@ -93,30 +96,33 @@ def event_counts(spark: SparkSession, path: str, candidates: Sequence[str], out:
     """S5/S6 + A1/A2: count records per (key, year) over per-state Parquet files.
 
     Per file the key column is the first of ``candidates`` present; files
-    without one, or unreadable, are skipped and reported. Files choosing the
-    same column are read together; one aggregation counts all of them. The
-    year is the ``ano`` column of the files (or the partition directory), or
-    the requested ``ano``.
+    without one, or whose footer cannot be read, are skipped and reported. Files
+    of one layout (key column, its type, year column and its type) are read
+    together with that schema; one aggregation counts all of them. A file that
+    fails later fails the job: no record is lost without a trace. The year is the
+    ``ano`` column of the file (or its partition directory), or the requested
+    ``ano`` for files without one.
     """
     report = report if report is not None else ScanReport()
-    groups: dict[str, list[str]] = defaultdict(list)
+    groups: dict[tuple[str, T.DataType, T.DataType | None], list[str]] = defaultdict(list)
     found = list_files(spark, path, "*.parquet")
-    for f, cols in zip(found, _probe_all(found, lambda f: spark.read.parquet(f).columns)):
-        if isinstance(cols, Exception):   # an unreadable file is skipped, as the source does
-            report.skipped.append((f, f"unreadable: {type(cols).__name__}"))
+    for f, schema in zip(found, _probe_all(found, lambda f: spark.read.parquet(f).schema)):
+        if isinstance(schema, Exception):   # an unreadable file is skipped, as the source does
+            report.skipped.append((f, f"unreadable: {type(schema).__name__}"))
             continue
-        col = resolve_column(cols, candidates)
+        col = resolve_column(schema.names, candidates)
         if col is None:
             report.skipped.append((f, "no key column"))
             continue
-        groups[col].append(f)
+        groups[col, schema[col].dataType, schema["ano"].dataType if "ano" in schema.names else None].append(f)
         report.used.append(f)
     if not groups:
         return spark.createDataFrame([], f"{KEY} string, ano int, {out} long")
     parts = []
-    for col, files in groups.items():
-        df = spark.read.option("ignoreCorruptFiles", "true").parquet(*files)
-        year = F.col("ano") if "ano" in df.columns else F.lit(ano)
+    for (col, kind, year_kind), files in groups.items():
+        fields = [T.StructField(col, kind)] + ([T.StructField("ano", year_kind)] if year_kind else [])
+        df = spark.read.schema(T.StructType(fields)).parquet(*files)
+        year = F.col("ano") if year_kind else F.lit(ano)
         parts.append(df.select(mun_code_of(df, col).alias(KEY), year.cast("int").alias("ano")))
     rows = union_all(parts).where(F.col(KEY).isNotNull())
     if ano is not None:
@@ -147,30 +153,46 @@ def first_line(spark: SparkSession, path: str, encoding: str = "UTF-8") -> str:
     return line.lstrip("\ufeff")
 
 
-def _header_key(spark: SparkSession, f: str, encoding: str) -> tuple[str, str] | None:
-    """(separator, key column) for a file: the separator under which some header
-    field, upper-cased without spaces, contains the key marker and no other
-    separator (D7: a ';' probe of a ',' header yields one wide field)."""
-    header = first_line(spark, f, encoding)
+def _layout(spark: SparkSession, f: str, encoding: str | None) -> tuple[str, str, str, tuple[str, ...]] | None:
+    """(encoding, separator, key column, all columns) for a file: the separator
+    under which some header field, upper-cased without spaces, contains the key
+    marker and no other separator (D7: a ';' probe of a ',' header yields one wide
+    field). Without a given encoding it is UTF-8 if the header decodes so, else
+    latin-1."""
+    if encoding is None:
+        raw = first_line(spark, f, "ISO-8859-1")
+        try:
+            header, encoding = raw.encode("latin-1").decode("utf-8").lstrip("\ufeff"), "UTF-8"
+        except UnicodeDecodeError:
+            header, encoding = raw, "ISO-8859-1"
+    else:
+        header = first_line(spark, f, encoding)
     for sep in SEPARATORS:
         cols = [c.strip().strip('"') for c in header.split(sep)]
         others = [s for s in SEPARATORS if s != sep]
         hit = next((c for c in cols if MICRODATA_KEY_MARKER in c.upper().replace(" ", "")
                     and not any(o in c for o in others)), None)
         if hit is not None:
-            return sep, hit
+            return encoding, sep, hit, tuple(cols)
     return None
 
 
-def microdata_counts(spark: SparkSession, path: str, ano: int, encoding: str = "UTF-8",
+def _header_key(spark: SparkSession, f: str, encoding: str | None = None) -> tuple[str, str] | None:
+    """(separator, key column) of a file."""
+    found = _layout(spark, f, encoding)
+    return found and found[1:3]
+
+
+def microdata_counts(spark: SparkSession, path: str, ano: int, encoding: str | None = None,
                      report: ScanReport | None = None) -> DataFrame:
     """S8 + A1: enrolment rows per municipality from ``*matricula*.csv`` files;
     only the key column is read; invalid keys are dropped; the year is the
-    requested year."""
+    requested year. Files are read together only if their whole header is the
+    same, since CSV columns are matched by position."""
     report = report if report is not None else ScanReport()
-    groups: dict[tuple[str, str], list[str]] = defaultdict(list)
+    groups: dict[tuple[str, str, str, tuple[str, ...]], list[str]] = defaultdict(list)
     found = list_files(spark, path, f"*{MICRODATA_NAME_FRAGMENT}*.csv")
-    for f, hk in zip(found, _probe_all(found, lambda f: _header_key(spark, f, encoding))):
+    for f, hk in zip(found, _probe_all(found, lambda f: _layout(spark, f, encoding))):
         if isinstance(hk, Exception):
             report.skipped.append((f, f"unreadable: {type(hk).__name__}"))
             continue
@@ -182,10 +204,12 @@ def microdata_counts(spark: SparkSession, path: str, ano: int, encoding: str = "
     if not groups:
         return spark.createDataFrame([], f"{KEY} string, matriculas long, ano int")
     parts = []
-    for (sep, col), files in groups.items():
-        df = (spark.read.option("header", True).option("sep", sep).option("encoding", encoding)
-              .csv(files))
-        parts.append(df.select(auto_code(F.col(f"`{col}`")).alias(KEY)))
+    for (enc, sep, col, cols), files in groups.items():
+        at = cols.index(col)
+        schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(cols))])
+        df = (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
+              .option("sep", sep).option("encoding", enc).csv(files))
+        parts.append(df.select(auto_code(F.col(f"c{at}")).alias(KEY)))
     rows = union_all(parts).where(valid_key(KEY))
     return (rows.groupBy(KEY).agg(F.count(F.lit(1)).alias("matriculas"))
             .withColumn("ano", F.lit(int(ano))))
@@ -202,25 +226,29 @@ def sheet_rows(sheet: DataFrame, ano: int | None = None) -> DataFrame | None:
     mc = discover_measure_column(sheet, SCHOOL_ENROLMENT_NAMES)
     if mc is None:
         return None
-    sel = [mun_code_of(sheet, kc).alias(KEY), F.col(f"`{mc}`").cast("double").alias("matriculas")]
+    sel = [mun_code_of(sheet, kc).alias(KEY), lenient_double(quoted(mc)).alias("matriculas")]
     tc = resolve_column(sheet.columns, SCHOOL_TEACHER_NAMES)
     sc = resolve_column(sheet.columns, SCHOOL_SCHOOL_NAMES)
     if tc:
-        sel.append(F.col(f"`{tc}`").cast("double").alias("docentes"))
+        sel.append(lenient_double(quoted(tc)).alias("docentes"))
     if sc:
-        sel.append(F.col(f"`{sc}`").cast("double").alias("escolas"))
+        sel.append(lenient_double(quoted(sc)).alias("escolas"))
     year = F.lit(int(ano)) if ano is not None else F.col("ano")
     sel.append(year.cast("int").alias("ano"))
     return sheet.select(*sel).where(valid_key(KEY))
 
 
-def synopsis_sums(sheets: Sequence[DataFrame], ano: int | None = None) -> DataFrame | None:
+def synopsis_sums(sheets: Sequence[DataFrame], ano: int | None = None, min_rows: int = 0,
+                  report: ScanReport | None = None) -> DataFrame | None:
     """S9 + U1 + A4: normalise every usable sheet, union by name (absent measure
     columns null) and sum the measures present per (key, year); an all-null
-    measure sums to 0. Sheets with fewer than 2 rows are skipped."""
+    measure sums to 0. Sheets with fewer than ``min_rows`` rows are skipped
+    and reported."""
     parts = []
-    for s in sheets:
-        if s.limit(2).count() < 2:
+    for i, s in enumerate(sheets):
+        if min_rows and s.limit(min_rows).count() < min_rows:
+            if report is not None:
+                report.skipped.append((f"sheet {i}", f"fewer than {min_rows} rows"))
             continue
         r = sheet_rows(s, ano)
         if r is not None:

@@ -119,18 +119,19 @@ def population_exact_year(items: DataFrame, ano: int) -> DataFrame:
 
 
 def gdp_rows(items: DataFrame, ano: int, total_var: str = GDP_TOTAL_VAR,
-             per_capita_var: str = GDP_PER_CAPITA_VAR) -> DataFrame:
+             per_capita_var: str = GDP_PER_CAPITA_VAR, exact: bool = False) -> DataFrame:
     """Two variables pivoted to columns over the union of keys. Per
     variable and key the last valid value in payload order wins; malformed or
     missing values are skipped; an absent id becomes '0000000' and ids longer
-    than 7 characters are dropped.
+    than 7 characters are dropped. With ``exact`` only values of the year itself
+    count, else a missing year takes the latest one.
 
     The pivot is one ``groupBy(key)`` with ``max_by`` per variable: the keyed
     full outer merge of the two measures in a single shuffle.
     """
     p = _series_points(items)
     code = zfill7(F.coalesce(F.col("_loc"), F.lit("")))
-    val = locale_double(year_value("_serie", ano))
+    val = locale_double(F.try_element_at("_serie", F.lit(str(ano))) if exact else year_value("_serie", ano))
     pts = (p.select(F.col("_var").cast("string").alias("_var"), "_ord", code.alias(KEY), val.alias("_v"))
            .where((F.length(KEY) == 7) & F.col("_v").isNotNull()))
 
@@ -178,8 +179,10 @@ def transfer_rows(records: DataFrame, ano: int | None = None) -> DataFrame:
 
 def facility_rows(records: DataFrame, ano: int, keys: DataFrame | None = None) -> DataFrame:
     """Facility records keyed by the requested municipality code, for one
-    year; optionally restricted to a key list."""
-    df = records.withColumn(KEY, zfill7(F.substring(F.col("co_municipio").cast("string"), 1, 7)))
+    year; optionally restricted to a key list. A code of more than 7 characters
+    is no municipality's: its key is null."""
+    code = F.col("co_municipio").cast("string")
+    df = records.withColumn(KEY, F.when(F.length(code) <= 7, zfill7(code)))
     df = df.withColumn("ano", F.lit(int(ano)))
     return restrict_keys(df, keys) if keys is not None else df
 

@@ -3,29 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet") -> DataFrame | None:
     """Rows of the newest snapshot among the folders matching ``pattern``.
 
-    A snapshot is the folder holding a file; its age is the newest
-    modification time of its files (ties broken by folder name). Selection
-    is a scalar subquery over the scan's file metadata, so one plan reads the
-    snapshot. No match -> None (the source returns nothing).
+    Chosen from listed metadata: only folders whose job committed (``_SUCCESS``)
+    count, the newest by that marker's time (ties broken by folder name). An empty
+    newest snapshot is the answer, not an older one; only its files are read. No
+    match -> None (the source returns nothing).
     """
-    try:
-        df = spark.read.format(fmt).load(pattern)
-    except Exception as e:  # noqa: BLE001 - a missing source is "no snapshot"
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER" in str(e):
-            return None
-        raise
-    cols = df.columns
-    m = df.select("*", F.regexp_extract(F.col("_metadata.file_path"), r"^(.*)/[^/]+$", 1).alias("_snap"),
-                  F.col("_metadata.file_modification_time").alias("_mtime"))
-    newest = m.agg(F.max_by("_snap", F.struct("_mtime", "_snap"))).scalar()
-    return m.where(F.col("_snap") == newest).select(*cols)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(pattern).getFileSystem(spark._jsc.hadoopConfiguration())
+    marks = fs.globStatus(path(pattern.rstrip("/") + "/_SUCCESS")) or []
+    found = [(m.getModificationTime(), m.getPath().getParent().toString()) for m in marks]
+    return spark.read.format(fmt).load(max(found)[1]) if found else None
 
 
 def latest_version(spark: SparkSession, table_path: str, committed_only: bool = True) -> str | None:
