@@ -23,6 +23,13 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return out.union(least.select(F.col("u").alias("a"), F.col("m").alias("b"))).distinct()
 
 
+def _is_forest(edges: DataFrame) -> bool:
+    """Whether every edge (a, b) leads from a node with this one edge to a root."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("out")).union(edges.select("b", F.lit(0)))
+    seen = ends.groupBy("node").agg(F.sum("out").alias("out"), F.count_if(F.col("out") == 0).alias("into"))
+    return seen.filter("out > 1 or (out = 1 and into > 0)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (two long columns); the root is
     the least node of the component and is not listed under itself.
@@ -35,10 +42,19 @@ def components(edges: DataFrame) -> DataFrame:
     a, b = edges.columns
     e = edges.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct()
     e = materialize(e, "components")
-    mark = None
-    while True:
-        now = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-        if now["n"] == 0 or (now["n"], now["x"]) == mark:
-            return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = (now["n"], now["x"])
+    while not _is_forest(e):
         e = materialize(_small_star(materialize(_large_star(e), "components")), "components")
+    return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def extended(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """``components`` of the edges behind ``roots`` and of ``edges`` together: only
+    the components that ``edges`` join are gone through again."""
+    a, b = edges.columns
+    ra = roots.select(F.col("node").alias(a), F.col("root").alias("ra"))
+    rb = roots.select(F.col("node").alias(b), F.col("root").alias("rb"))
+    tops = edges.join(ra, a, "left").join(rb, b, "left").select(F.coalesce("ra", a).alias("x"), F.coalesce("rb", b).alias("y"))
+    # the ends are roots or in no component yet, so none is a node of ``roots``
+    joined = components(tops)
+    moved = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return materialize(moved.select("node", F.coalesce("top", "root").alias("root")).union(joined), "components")

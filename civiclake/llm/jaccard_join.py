@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from civiclake.llm import bloom, shingles
 from civiclake.llm.arrow_rows import table_batch, text_slices, utf8_parts
-from civiclake.llm.components import components
+from civiclake.llm.components import components, extended
 from civiclake.llm.key_runs import MASK, PASS, SPEC, Combiner, batches, repeated
 from civiclake.session import materialize
 
@@ -198,7 +198,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     rest = apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), roots)
     more = materialize(compare(rest, sets, num, den), "jaccard-compared")
     if not more.filter("linked").isEmpty():
-        roots = components(tried.unionByName(more).filter("linked").select("a", "b"))
+        roots = extended(roots, more.filter("linked").select("a", "b"))
     tried = tried.unionByName(more)
 
     sizes = sets.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
@@ -210,10 +210,8 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
         todo = materialize(spokes(live.join(known, "node"), pivots, tried, num, den), "jaccard-spokes")
         new = materialize(compare(todo, sets, num, den), "jaccard-compared")
         if not new.filter("linked").isEmpty():
-            tried = materialize(tried.unionByName(new), "jaccard-tried")
-            roots = components(tried.filter("linked").select("a", "b"))
-        else:
-            tried = tried.unionByName(new)
+            roots = extended(roots, new.filter("linked").select("a", "b"))
+        tried = materialize(tried.unionByName(new), "jaccard-tried")
         # a pivot has met its whole region and leaves it
         left = live.join(pivots.select("region", "node"), ["region", "node"], "left_anti")
         live = divided(left.select("region", "node"), roots)

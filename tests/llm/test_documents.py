@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from civiclake.llm import exact_dedup, jaccard_join, language_id, licenses, mixing, packing, shingles, suffix_dedup
+from civiclake.llm.components import components, extended
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -257,3 +258,26 @@ def test_word_hashes_follow_the_word_pattern():
         for x, g in zip(w, h[at[i]:at[i + 1]], strict=True):
             assert seen.setdefault(x, g) == g
     assert len(set(seen.values())) == len(seen)
+
+
+def test_components_grow_by_further_edges(spark):
+    """A long path, a hub, loops and repeats, the second half of the edges later."""
+    edges = [(i, i + 1) for i in range(40)] + [(100, -i) for i in range(200, 220)] + [(7, 7), (3, 4), (4, 3), (-205, 20)]
+
+    def least(some):
+        root = {n: n for e in some for n in e}
+        for _ in root:
+            for a, b in some:
+                root[a] = root[b] = min(root[a], root[b])
+        return {n: r for n, r in root.items() if n != r}
+
+    def frame(some):
+        return spark.createDataFrame(some, "a long, b long")
+
+    first = components(frame(edges[::2]))
+    assert {r.node: r.root for r in first.collect()} == least(edges[::2])
+    both = extended(first, frame(edges[1::2])).collect()
+    assert {r.node: r.root for r in both} == least(edges)
+    assert len(both) == len(least(edges))
+    assert components(frame([])).isEmpty()
+    assert [tuple(r) for r in extended(components(frame([])), frame([(2, 1)])).collect()] == [(2, 1)]
