@@ -115,6 +115,22 @@ def prefix6_join(fact: DataFrame, dim: DataFrame, key: str = KEY, how: str = "le
     return f.join(d, "_k6", how).drop("_k6")
 
 
+def resolve_short_keys(fact: DataFrame, dim: DataFrame, key: str = KEY) -> DataFrame:
+    """Six-digit codes that were zero-padded take the whole code of their
+    municipality (the 7th digit is a check digit).
+
+    A key that is no municipality's and equals "0" plus the first six digits of
+    exactly one code of ``dim`` becomes that code; codes of the dimension, keys
+    without a match and prefixes that several codes share stay as they are. Two
+    rows of ``fact`` may have one key afterwards: aggregate again."""
+    codes = dim.select(F.col(key).alias("_code")).where(F.col("_code").isNotNull()).distinct()
+    short = (codes.groupBy(F.concat(F.lit("0"), F.substring("_code", 1, 6)).alias("_short"))
+             .agg(F.min("_code").alias("_whole"), F.count(F.lit(1)).alias("_n")).where("_n = 1"))
+    both = fact.join(codes, F.col(key) == F.col("_code"), "left").join(short, F.col(key) == F.col("_short"), "left")
+    whole = F.when(F.col("_code").isNull(), F.col("_whole"))
+    return both.withColumn(key, F.coalesce(whole, F.col(key))).select(*[quoted(c) for c in fact.columns])
+
+
 def quoted(name: str) -> Column:
     """A column by its exact name, dots and backticks included."""
     return F.col("`" + name.replace("`", "``") + "`")

@@ -72,11 +72,6 @@ def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def distinct_union(frames: Sequence[DataFrame], column: str) -> DataFrame:
-    """Distinct non-null values of ``column`` over several frames."""
-    return union_all([f.select(column) for f in frames if column in f.columns]).dropna().distinct()
-
-
 def first_per_key(df: DataFrame, key: str | Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first by ``order`` (ascending).
 
@@ -173,6 +168,7 @@ def backoff_years(ano: int) -> list[int]:
 def lagged_years(ano: int, lag_after: int = 2021) -> list[int]:
     """for years after ``lag_after`` try y-2, y-3, y-1 (publication lag);
     otherwise only y."""
+    # fixed values: the first year and the lags of the rule
     return [ano - 2, ano - 3, ano - 1] if ano > lag_after else [ano]
 
 
@@ -191,12 +187,6 @@ def first_non_null_by(df: DataFrame, key: str, columns: Sequence[str],
     return df.groupBy(key).agg(*aggs)
 
 
-def distinct_values(df: DataFrame, column: str, descending: bool = False) -> DataFrame:
-    """Sorted distinct non-null values."""
-    c = F.col(column)
-    return df.select(column).dropna().distinct().orderBy(c.desc() if descending else c)
-
-
 def one_row(frames: Sequence[DataFrame]) -> DataFrame:
     """Combine one-row aggregates with disjoint columns into one row (a union
     and a max per column: no cartesian product)."""
@@ -204,57 +194,31 @@ def one_row(frames: Sequence[DataFrame]) -> DataFrame:
     return u.agg(*[F.max(c).alias(c) for c in u.columns])
 
 
-def exact_median(df: DataFrame, column: str, out: str = "mediana",
-                 max_distinct: int = 200_000, accuracy: int = 10_000) -> DataFrame:
+def exact_median(df: DataFrame, column: str, out: str = "mediana") -> DataFrame:
     """Exact median (mean of the two middle values for an even count), as a
-    one-row frame, without gathering all values in one task.
+    one-row frame, without gathering all values in one task; null when there is
+    no value.
 
     Spark's exact ``median`` keeps every distinct value of a group in one
     buffer. Here the values are counted per distinct value (a partial
-    aggregate, so repeated values collapse map-side); while a value window
-    known to hold the median has more than ``max_distinct`` distinct values,
-    approximate quantiles narrow it (the rank error of ``percentile_approx``
-    is at most n/accuracy, so the window is widened by twice that). Only the
-    final window's (value, count) pairs are ranked. The value column is
-    written once as a table in the checkpoint folder (lineage cut, no
-    recomputation of the input per round);
-    the loop runs over rounds, not rows.
+    aggregate, so repeated values collapse map-side) and the counts are written
+    once, partitioned by value range. A running sum over one total per partition
+    names the partitions that hold the middle ranks; only their values are ranked.
     """
     from civiclake.session import materialize
-    x = materialize(df.select(F.col(column).cast("double").alias("x"))
-                    .where(F.col("x").isNotNull() & ~F.isnan("x")), "median")
-    spark = df.sparkSession
-
-    def value_counts(lo=None, hi=None):
-        # (value, count) pairs of the window, written once: the size test and
-        # the final ranking read them without grouping again.
-        w = x if lo is None else x.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        return materialize(w.groupBy("x").agg(F.count(F.lit(1)).alias("c")), "median-counts")
-
-    counts = value_counts()
-    info = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("m"),
-                      F.min("x").alias("lo"), F.max("x").alias("hi")).first()
-    n = info["m"]
-    if not n:
-        return spark.range(1).select(F.lit(None).cast("double").alias(out))
-    k_lo, k_hi = (n - 1) // 2, n // 2
-    lo, hi, below, d, m = info["lo"], info["hi"], 0, info["d"], n
-    while d > max_distinct:
-        eps = 2.0 / accuracy
-        p_lo = max(0.0, (k_lo - below) / m - eps)
-        p_hi = min(1.0, (k_hi - below) / m + eps)
-        win = x.where((F.col("x") >= lo) & (F.col("x") <= hi))
-        q = win.agg(F.percentile_approx("x", [p_lo, p_hi], accuracy).alias("q")).first()["q"]
-        if q[0] == lo and q[1] == hi:
-            break
-        below += x.where((F.col("x") >= lo) & (F.col("x") < q[0])).count()
-        lo, hi = q[0], q[1]
-        counts = value_counts(lo, hi)
-        r = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("c").alias("m")).first()
-        d, m = r["d"], r["m"]
-    # The window holds a bounded number of distinct values: rank them.
-    w = Window.orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (counts.withColumn("_end", F.sum("c").over(w) + F.lit(below))
+    x = df.select(F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    counts = x.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
+    counts = materialize(counts.repartitionByRange("x").withColumn("_part", F.spark_partition_id()), "median-counts")
+    # one row per partition: the window without a key sees no data rows
+    parts = counts.groupBy("_part").agg(F.sum("c").alias("m"))
+    upto = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    n = F.col("n")
+    k_lo, k_hi = F.floor((n - 1) / 2), F.floor(n / 2)
+    middle = (parts.select("_part", (F.sum("m").over(upto) - F.col("m")).alias("below"), "m", F.sum("m").over(total).alias("n"))
+              .where((F.col("below") <= k_hi) & (F.col("below") + F.col("m") > k_lo)).select("_part", "below", "n"))
+    inside = Window.partitionBy("_part").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (counts.join(middle, "_part").withColumn("_end", F.sum("c").over(inside) + F.col("below"))
               .withColumn("_start", F.col("_end") - F.col("c")))
     pick = ranked.where(((F.col("_start") <= k_lo) & (F.col("_end") > k_lo)) |
                         ((F.col("_start") <= k_hi) & (F.col("_end") > k_hi)))

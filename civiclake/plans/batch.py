@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civiclake import schemas
-from civiclake.functions.keys import EVENT_KEY_RENAMES, KEY, rename_first, standardise_key
+from civiclake.functions.keys import EVENT_KEY_RENAMES, KEY, rename_first, resolve_short_keys, standardise_key
 from civiclake.operators import core
 from civiclake.plans import gold
 from civiclake.session import materialize
@@ -155,6 +155,8 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
             res.skipped.append(name)
         else:
             sinks.write_snapshot(df, f"{lake}/bronze", f"datasus_{name}")
+    # six-digit codes (zero-padded so far) take the code of their municipality
+    deaths, births = [None if d is None else resolve_short_keys(d, dim) for d in (deaths, births)]
 
     # Education: synopsis first, microdata when the synopsis gives nothing (F1).
     cands = []
@@ -173,6 +175,8 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
         edu = guarded("inep", lambda: materialize(edu, "batch-inep"))
     if edu is not None:
         sinks.write_snapshot(edu, f"{lake}/bronze", "inep_educacao")
+        sums = [F.sum(c).alias(c) for c in ("matriculas", "docentes", "escolas") if c in edu.columns]
+        edu = resolve_short_keys(edu, dim).groupBy(KEY, "ano").agg(*sums)
         sinks.education_silver_upsert(spark, f"{lake}/silver_inep_educacao", edu)
         edu = sinks.read_table(spark, f"{lake}/silver_inep_educacao", "silver_inep_educacao")
     elif not cands:
@@ -201,8 +205,9 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
 
     def cnes() -> None:
         recs = read_record_pages(spark, landing.cnes, schemas.FACILITY_RECORD, payloads.FACILITY_ENVELOPE, whole)
-        _publish(spark, gold.facility_counts(payloads.facility_rows(recs, ano, key_df)), lake,
-                 "gold_cnes_municipio", res)
+        rows = resolve_short_keys(payloads.facility_rows(recs, ano), dim)
+        rows = payloads.restrict_keys(rows, key_df) if key_df is not None else rows
+        _publish(spark, gold.facility_counts(rows), lake, "gold_cnes_municipio", res)
 
     def pib() -> None:
         gi = read_series_pages(spark, landing.pib, whole)
@@ -215,8 +220,9 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     def transferencias() -> None:
         recs = read_record_pages(spark, landing.transferencias, schemas.TRANSFER_RECORD,
                                  payloads.TRANSFER_ENVELOPE, whole)
-        _publish(spark, gold.transfer_totals(payloads.transfer_rows(recs, ano)), lake,
-                 "gold_transparencia_transferencias", res)
+        totals = resolve_short_keys(gold.transfer_totals(payloads.transfer_rows(recs, ano), stamp=False), dim)
+        totals = totals.withColumnRenamed("total_transferencias_reais", "valor")
+        _publish(spark, gold.transfer_totals(totals), lake, "gold_transparencia_transferencias", res)
 
     optional("cnes", landing.cnes, cnes)
     optional("pib", landing.pib, pib)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from civiclake import schemas
-from civiclake.functions.keys import KEY, zfill7
+from civiclake.functions.keys import KEY, resolve_short_keys, zfill7
 from civiclake.functions.numbers import round2
 from civiclake.functions.text import iso_stamp, run_stamp
 from civiclake.operators import core
@@ -166,6 +166,21 @@ def event_counts_by_key(spark, sf):
     return files.death_counts(spark, land_event_files(spark, sf))
 
 
+@query("short_key_resolution")
+def short_key_resolution(spark, sf):
+    """Orders as records of municipalities 1000000 + 10 k + k % 10; odd orders
+    carry the first six digits, zero-padded. Counts per whole code and year."""
+    def code(k):
+        return (F.lit(1_000_000) + F.col(k) * 10 + F.col(k) % 10).cast("string")
+
+    dim = A.table(spark, sf, "customer").select(code("c_custkey").alias(KEY))
+    o = A.table(spark, sf, "orders")
+    whole = code("o_custkey")
+    key = F.when(F.col("o_orderkey") % 2 == 1, zfill7(F.substring(whole, 1, 6))).otherwise(whole)
+    counts = core.count_per_key(o.select(key.alias(KEY), F.year("o_orderdate").alias("ano")), [KEY, "ano"], "n")
+    return resolve_short_keys(counts, dim).groupBy(KEY, "ano").agg(F.sum("n").alias("n_registros"))
+
+
 # ---- S7/S10/S11: envelopes ------------------------------------------------------------------------
 def transfer_pages(spark, sf) -> DataFrame:
     """One page text per event, wrapped by event_id % 4: a bare list, a 'data'
@@ -402,8 +417,12 @@ def legacy_join_by_name(spark, sf):
         F.col("s_suppkey").cast("string").alias("convenio_id"),
         (F.col("s_suppkey") * 1000).alias("valor_convenio"),
         F.col("s_name").alias("objeto_convenio"))
-    joined = cities.join(agreements, "municipio_nome", "left")
-    path = scratch_dir(spark, "legado") + "/dados_publicos_integrados"
+    # the few names that hold all agreements make an outer join's right side hot,
+    # which the adaptive join cannot split: an inner join can, on either side
+    matched = cities.join(agreements, "municipio_nome")
+    bare = cities.join(agreements.select("municipio_nome").distinct(), "municipio_nome", "left_anti")
+    joined = matched.unionByName(bare, allowMissingColumns=True)
+    path = scratch_dir(spark, "legado") + "/cidades_convenios"
     sinks.export_csv(joined, path, sep=",")          # K10: comma CSV with a header
     return spark.read.schema(joined.schema).option("header", True).csv(path)
 

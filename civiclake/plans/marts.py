@@ -161,13 +161,15 @@ def gdp_kpis(gdp: DataFrame) -> DataFrame:
 
 def filter_values(marts: Sequence[DataFrame]) -> DataFrame:
     """Filter choices: distinct non-null states and years over the
-    marts, as one (filtro, valor) frame. Display order (T3: states ascending,
-    years descending) is ``core.distinct_values`` on either list."""
-    ufs = core.distinct_union(marts, "sigla_uf").select(
-        F.lit("uf").alias("filtro"), F.col("sigla_uf").alias("valor"))
-    anos = core.distinct_union(marts, "ano").select(
-        F.lit("ano").alias("filtro"), F.col("ano").cast("string").alias("valor"))
-    return ufs.unionByName(anos)
+    marts, as one (filtro, valor) frame in display order (T3: states ascending,
+    then years descending). Every mart is read once: its (state, year) pairs are
+    made distinct and taken apart, so only a bounded list is sorted."""
+    pairs = core.union_all([m.select("sigla_uf", "ano").distinct() for m in marts])
+    both = F.array(F.struct(F.lit("uf").alias("filtro"), F.col("sigla_uf").alias("valor")),
+                   F.struct(F.lit("ano").alias("filtro"), F.col("ano").cast("string").alias("valor")))
+    values = pairs.select(F.explode(both).alias("_v")).select("_v.*").dropna().distinct()
+    state = F.col("filtro") == "uf"
+    return values.orderBy(state.desc(), F.when(state, F.col("valor")).asc_nulls_last(), F.col("valor").desc())
 
 
 def source_status(sources: Mapping[str, DataFrame]) -> DataFrame:

@@ -422,6 +422,10 @@ SQL["ddl_roundtrip"] = f"""
     UNION ALL SELECT 'silver_ibge_populacao', 0, 4
     UNION ALL SELECT 'silver_inep_educacao', 0, 6
     UNION ALL SELECT 'gold_inexistente', 0, 5"""
+SQL["short_key_resolution"] = """
+    SELECT CAST(1000000 + o_custkey * 10 + o_custkey % 10 AS VARCHAR) AS cod_mun_ibge_7,
+           CAST(year(o_orderdate) AS INT) AS ano, count(*) AS n_registros
+    FROM orders GROUP BY 1, 2"""
 SQL["legacy_join_by_name"] = f"""
     WITH cities AS (SELECT c_custkey AS municipio_id_ibge, c_name AS municipio_nome,
                            CAST(1000 + (c_custkey * 37) % 9000 + 2001 AS BIGINT) AS populacao_2001

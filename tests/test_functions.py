@@ -123,3 +123,13 @@ def test_standardise_key_aliases(spark):
     assert [(r.cod_mun_ibge_7, r.n) for r in out] == [("0355030", "a")]
     nokey = spark.createDataFrame([(1,)], ["x"])
     assert keys.standardise_key(nokey).columns == ["x"]
+
+
+def test_short_keys_take_the_one_code_they_begin(spark):
+    dim = spark.createDataFrame([("3550308",), ("3304557",), ("1111110",), ("1111111",), ("0000012",), ("0000129",), (None,)], "cod_mun_ibge_7 string")
+    rows = [("0355030", 5), ("3550308", 1), ("0111111", 2), ("0000012", 3), ("0999999", 4), (None, 6)]
+    got = keys.resolve_short_keys(spark.createDataFrame(rows, "cod_mun_ibge_7 string, n int"), dim)
+    # a prefix of two codes, a code of the dimension, an unknown key and null stay
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[1]) == [
+        ("3550308", 1), ("0111111", 2), ("0000012", 3), ("0999999", 4), ("3550308", 5), (None, 6)]
+    assert keys.resolve_short_keys(got, dim.where("false")).count() == 6
