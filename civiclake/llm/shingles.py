@@ -50,8 +50,9 @@ def words(raw: np.ndarray, offsets: np.ndarray, lower: bool) -> tuple[np.ndarray
     place -= np.maximum.accumulate(np.where(first, place, np.int32(0)))
     value = _BYTE[_LOWER[raw] if lower else raw]
     value *= _PLACE[place & np.int32(len(_PLACE) - 1)]
-    if int((ends - starts).max()) > len(_PLACE):
-        value = mixed(value + (place // len(_PLACE)).astype(np.uint64))
+    far = np.flatnonzero(place >= len(_PLACE))  # a word's hash must not depend on its neighbours
+    if len(far):
+        value[far] = mixed(value[far] + (place[far] // len(_PLACE)).astype(np.uint64))
     value *= solid
     h = mixed(np.add.reduceat(value, starts) + (ends - starts).astype(np.uint64) * _GRAM[63])
     return h, starts, ends, np.searchsorted(starts, offsets)

@@ -260,6 +260,29 @@ def test_word_hashes_follow_the_word_pattern():
     assert len(set(seen.values())) == len(seen)
 
 
+def test_word_hashes_do_not_depend_on_long_neighbours():
+    import pyarrow as pa
+
+    from civiclake.llm.arrow_rows import utf8_parts
+    short = ["a few short words", "x" * 4096 + " y", "z" * 5000 + "a"]
+    alone = [shingles.words(*utf8_parts(pa.array([t])), lower=True)[0].tolist() for t in short]
+    for long in ("q" * 4097, "\u6f22" * 1400, " " * 9000):
+        h, _, _, at = shingles.words(*utf8_parts(pa.array([long, *short])), lower=True)
+        assert [h[at[i]:at[i + 1]].tolist() for i in range(1, 4)] == alone
+    assert len({x for w in alone for x in w}) == 7
+
+
+def test_near_copies_are_found_beside_long_words(spark):
+    """Each document once in a slice with a long word and once in one without."""
+    rows = [(0, "b" * 5000)] + [(i, " ".join(f"w{i}x{k}" for k in range(300))) for i in range(1, 6)]
+    rows += [(10 + i, t + " end") for i, t in rows[1:]]
+    df = spark.createDataFrame(rows[:6], "doc_id long, text string").coalesce(1).union(spark.createDataFrame(rows[6:], "doc_id long, text string").coalesce(1))
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(df).collect()}
+    assert got == {0: 0} | {i: i for i in range(1, 6)} | {10 + i: i for i in range(1, 6)}
+    found = {(r.doc_id, r.n_words) for r in suffix_dedup.passages(df).collect()}
+    assert found == {(i, 300) for i in [*range(1, 6), *range(11, 16)]}
+
+
 def test_components_grow_by_further_edges(spark):
     """A long path, a hub, loops and repeats, the second half of the edges later."""
     edges = [(i, i + 1) for i in range(40)] + [(100, -i) for i in range(200, 220)] + [(7, 7), (3, 4), (4, 3), (-205, 20)]
