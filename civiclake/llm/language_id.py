@@ -3,7 +3,9 @@
 Every language has a raw-content zstandard dictionary made of a bounded sample
 of labelled texts. A text is compressed with each dictionary; the language whose
 dictionary gives the smallest output is predicted, and a prediction is rejected
-when the runner-up is almost as small.
+when the runner-up is almost as small. A text is compressed in pieces that each
+start from the dictionary, so that a long text's own history does not take its
+place and the relative difference does not fall with length.
 """
 
 from __future__ import annotations
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from civiclake.llm.arrow_rows import table_batch
 
 UNDETERMINED = "und"
+#: bytes of a text compressed at a time
+PIECE = 4_096
 
 
 def letters(text: str) -> bytes:
@@ -80,7 +84,8 @@ class Classifier:
         data = letters(text or "")
         if data == b"  " or not self.by_lang:
             return UNDETERMINED, 0.0, 0.0
-        sizes = [len(c.compress(data)) for _, c in self.by_lang]
+        pieces = [data[i:i + PIECE] for i in range(0, len(data), PIECE)]
+        sizes = [sum(len(c.compress(p)) for p in pieces) for _, c in self.by_lang]
         best = min(range(len(sizes)), key=sizes.__getitem__)  # at a tie the more frequent language
         if len(sizes) == 1:
             return self.by_lang[0][0], 1.0, 1.0
@@ -94,7 +99,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", min_margin
     """(*keep, lang_pred, score, rejected), one row per row of ``docs``.
 
     ``keep`` names the columns to carry along; only the text takes part in a
-    prediction. Whole texts are compressed, whatever their length. Null texts and
+    prediction. Whole texts are compressed, piece by piece, whatever their length. Null texts and
     texts without a letter are ``und`` with score 0 and rejected; a margin under
     ``min_margin`` is rejected too. Repeated rows are predicted one by one; an
     empty table gives an empty result.

@@ -209,6 +209,16 @@ def test_language_id(spark, edge, none):
     assert {r.lang_pred for r in unlearned} == {"und"}
 
 
+def test_language_of_a_long_text_is_as_clear_as_of_a_short_one(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").filter("text is not null")
+    classify = language_id.Classifier(language_id.train(docs))
+    for lang in ("en", "de"):
+        page = " ".join(r.text for r in docs.filter(F.col("lang") == lang).orderBy("doc_id").collect())
+        got = [classify((page * (n // len(page) + 1))[:n]) for n in (4_000, 20_000, 4_000_000)]
+        assert [g[0] for g in got] == [lang] * 3
+        assert min(g[2] for g in got) > 0.05 and got[2][1] > 0.5
+
+
 def test_license_scan(spark, none):
     text = "Intro.\nReleased under the MIT license!\nlicensed under cc by-nc 4.0"
     rows = [(1, text), (1, text), (2, None), (3, ""), (None, "Licensed under the Apache License, Version 2.0."), (4, "licence"), (5, "x " * 50_000 + "license")]
