@@ -3,9 +3,12 @@
 Every block element of the page's tree gets a link-adjusted density (characters
 per tag, lowered by the share of characters and tags in links). The element whose
 children's densities sum highest is the core of the article; the lowest density
-on its path to the body is the threshold under which other parts are left out.
-Elements that by tag, role, class or id are menus, headers, footers, sidebars,
-notices, adverts, forms, code or reader comments are taken out first.
+on its path to the body is the threshold. Elements that by tag, role, class or id
+are menus, headers, footers, sidebars, notices, adverts, forms, code or reader
+comments are taken out first. What is left of the outermost ``article`` or
+``main`` around the core is the article, whole; outside it, parts over the
+threshold, other articles and first headings are kept. A page whose core has no
+such element keeps all parts but those under the threshold that are mostly links.
 """
 
 from __future__ import annotations
@@ -177,7 +180,7 @@ def without_noise(root: Node) -> None:
                 if x.tag == "header":
                     if not in_article and n.tag not in ("article", "main") and x not in holds:
                         continue
-                elif x.tag in DROP:
+                elif x.tag in DROP and not (x.tag == "form" and (x in holds or prose(x) > 0.6 * max(1, prose(root)))):
                     continue
                 elif x.noise and x.tag not in ("body", "main") and x not in holds and not (
                         x.tag != "article" and not in_article and x.chars - x.link_chars > 0.6 * plain):
@@ -186,6 +189,17 @@ def without_noise(root: Node) -> None:
         n.items = keep
 
 
+def prose(top: Node) -> int:
+    """Characters outside links, fields and other noise by tag, if there is a
+    paragraph or a heading."""
+    n, todo, text = 0, [top], False
+    for x in todo:
+        text = text or x.tag in ("p", "h1", "h2", "h3")
+        n += sum(r[1] - r[2] for r in x.items if isinstance(r, list))
+        todo += [c for c in x.items if isinstance(c, Node) and (c.tag not in DROP or c.tag == "form")]
+    return n if text else 0
+
+
 def above(n: Node) -> Iterator[Node]:
     while n.parent:
         n = n.parent
@@ -240,14 +254,29 @@ def main_text(page: str | None) -> str:
     for n in order:
         if n.density >= threshold and n.chars:
             marked.add(best[n])
+    holder = None  # outermost
+    for n in (core, *above(core)):
+        if n.tag in ("article", "main") and n in inside:
+            holder = n
+    full = set(marked)  # parts with such a part in them
+    for n in reversed(order):
+        if any(isinstance(x, Node) and x in full for x in n.items):
+            full.add(n)
     out: list[str] = []
-    todo = [body]
+    todo: list = [body]
     while todo:
         n = todo.pop()
-        if n in marked:
+        if isinstance(n, list):
+            if line := " ".join(n[0].split()):
+                out.append(line)
+            continue
+        linked = n.density < threshold and 2 * n.link_chars > n.chars
+        if n in marked or n is holder or holder and n.tag in ("article", "main", "h1") and not linked:
             blocks_of(n, out)
+        elif holder or linked:
+            todo += reversed([x for x in n.items if isinstance(x, Node) and (holder or x in full)])
         else:
-            todo += reversed([x for x in n.items if isinstance(x, Node)])
+            todo += reversed(n.items)
     return "\n".join(out)
 
 

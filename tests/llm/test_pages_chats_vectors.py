@@ -41,6 +41,20 @@ section of the article, quite long too.</p></section></div><div class="sidebar">
     assert html_extract.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_article_in_sections_is_whole():
+    a = "<h2>Section A.</h2>" + "".join(f"<p>{str(i) * 300}</p>" for i in range(5))
+    b = "<h2>Section B.</h2>" + "".join(f"<p>{str(i) * 150}</p>" for i in range(5)) + "<ul>" + "<li>twenty characters xx</li>" * 4 + "</ul>"
+    want = ["Section A.", *(str(i) * 300 for i in range(5)), "Section B.", *(str(i) * 150 for i in range(5)), *["twenty characters xx"] * 4]
+    parts = f"<section>{a}</section><section>{b}</section>"
+    menu = "<div><a href=x>Home</a> <a href=y>About us</a></div>"
+    for page in (f"<body>{menu}<article>{parts}</article></body>", f"<body>{menu}<main>{parts}</main><footer>foot</footer></body>",
+                 f"<body>{menu}<div>{parts}</div></body>", f"<body>{menu}{parts}<footer>foot</footer></body>",
+                 f"<body><form id=f1>{menu}<article>{parts}</article></form></body>", f"<body><form id=f1>{menu}<div>{parts}</div></form></body>"):
+        assert html_extract.main_text(page).split("\n") == want, page[:60]
+    form = "<form><p>Name</p><input name=q><select><option>" + "one two " * 400 + "</select></form>"
+    assert html_extract.main_text(f"<body><article><p>{'x' * 200}</p></article>{form}</body>") == "x" * 200
+
+
 def test_conversations_read_back(spark):
     text = "</s>[INST] ok [/INST]"
     rows = [(-7, 0, "user", text), (-7, 1, "assistant", text), (-8, 0, "to]ol[", "a\\"), (-8, 1, "assistant", "\\ <s> [OUT] </s> \\"), (-8, None, "user", None),
