@@ -43,9 +43,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least id, of each group linked by 4-word shingle sets of
-    Jaccard 0.85 or more."""
-    groups = materialize(jaccard_join.join(docs), "pipeline-near")
+    """One document, the least id, of each group linked by 5-word shingle sets of
+    Jaccard 0.8 or more."""
+    groups = materialize(jaccard_join.join(docs, words=5, num=80, den=100), "pipeline-near")
     gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
