@@ -2,7 +2,7 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept; all but the last return the columns of documents. Decisions are joined back
-by document id; a null id is never dropped as another's copy.
+by document id and digest or size, or by a row key, so ids may repeat or be null.
 """
 
 from __future__ import annotations
@@ -43,11 +43,16 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the least id, of each group linked by 5-word shingle sets of
-    Jaccard 0.8 or more."""
-    groups = materialize(jaccard_join.join(docs, words=5, num=80, den=100), "pipeline-near")
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row, that of the least id (null last), of each group linked by 5-word
+    shingle sets of Jaccard 0.8 or more. Rows are told apart by a key of their own,
+    so ids may repeat or be null."""
+    keyed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-keyed")
+    found = jaccard_join.join(keyed, id_col="_row", words=5, num=80, den=100)
+    ids = keyed.select(F.col("_row").alias("_key"), F.col("doc_id").alias("_id"))
+    rows = found.select(F.col("doc_id").alias("_key"), "component_id").join(ids, "_key")
+    order = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_key")
+    stay = rows.groupBy("component_id").agg(F.min(order).alias("best")).select(F.col("best._key").alias("_row"))
+    return keyed.join(materialize(stay, "pipeline-near"), "_row", "left_semi").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

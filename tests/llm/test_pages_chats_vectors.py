@@ -148,3 +148,12 @@ def test_pipeline_drops_a_near_copy_with_two_replaced_words(spark):
     rows = [(i, " ".join(w), "en", "s", 0) for i, w in enumerate([words, near, far])]
     got = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long"), "")
     assert sorted(r.doc_id for r in got.collect()) == [0, 2]
+
+
+def test_pipeline_near_copies_under_repeated_and_null_ids(spark):
+    import corpus_pipeline
+    text = lambda name, n=100: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(3, text("a")), (5, text("a") + " end"), (5, text("b")), (7, text("c")), (7, text("c") + " end"), (None, text("a") + " stop"), (None, text("d")), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, (r.text or "")[:1]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert sorted(got, key=str) == sorted([(3, "a"), (5, "b"), (7, "c"), (None, "d"), (8, ""), (8, "")], key=str)
