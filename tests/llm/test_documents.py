@@ -232,6 +232,21 @@ def test_license_scan(spark, none):
         assert sum(not any(w in x for x in g.split() for w in needed) for g in grams) < low * len(grams)
 
 
+def test_license_notices_wrapped_and_embedded(spark):
+    import textwrap
+    by = [t for _, t in licenses.TEMPLATES]
+    mit, gpl = next(t for t in by if t.startswith("Permission")), next(t for t in by if t.startswith("This program"))
+    prose = "some words of the document that stand before and after it " * 20
+    wrapped = "\n".join(["def f():", prose, *["# " + x for x in textwrap.wrap(mit, 76)], prose, *[" * " + x for x in textwrap.wrap(gpl, 60)], prose])
+    inside = prose + "Released under the MIT License. " + prose
+    rows = [(1, wrapped), (2, inside), (4, prose), (5, "a\n" + gpl)]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    n = 3 + len(textwrap.wrap(mit, 76)) + 1
+    assert {(r.doc_id, r.line, r.license_id) for r in got if r.dice == 1} == {(1, 3, "MIT"), (1, n, "GPL-3.0"), (2, 1, "MIT"), (5, 2, "GPL-3.0")}
+    assert {(r.doc_id, r.license_id) for r in got if r.doc_id in (2, 4)} == {(2, "MIT")}
+    assert len({(r.doc_id, r.line, r.license_id) for r in got}) == len(got)
+
+
 def test_suffix_passages_against_all_runs(spark, edge, none):
     random.seed(2)
     rows = [" ".join(random.choice("abcdef") for _ in range(random.randint(0, 60))) for _ in range(150)]
