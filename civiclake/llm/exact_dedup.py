@@ -2,8 +2,8 @@
 
 A digest table (digest, identifier, locator of the content, length) is written
 once from the documents and consumed as a stream into disk-backed keyed state
-(RocksDB), one entry per digest, without watermark or expiry: a later run over
-more files with the same checkpoint continues from it. The state of every digest
+(RocksDB), one entry per digest, without watermark or expiry. Locators count from 0
+in each run, so a checkpoint serves one run only. The state of every digest
 holds the row that stays so far and the number of rows seen. On hits the full
 bytes are compared: texts under one digest must be identical, else the group is
 taken apart by its texts.
