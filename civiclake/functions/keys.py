@@ -140,26 +140,29 @@ def is_numeric(df: DataFrame, name: str) -> bool:
     return isinstance(df.schema[name].dataType, _NUMERIC)
 
 
+def key_candidates(df: DataFrame, pattern: str = SCHOOL_KEY_NAME_PATTERN) -> list[str]:
+    """The columns whose name says that they may be the key, in order."""
+    rx = re.compile(pattern, re.IGNORECASE)
+    return [c for c in df.columns if rx.search(c.strip())]
+
+
 def discover_key_column(df: DataFrame, names: Sequence[str] = SCHOOL_KEY_NAMES,
                         pattern: str = SCHOOL_KEY_NAME_PATTERN,
-                        value_pattern: str = KEY_VALUE_PATTERN) -> str | None:
+                        value_pattern: str = KEY_VALUE_PATTERN, codes: dict[str, int] | None = None) -> str | None:
     """Key column by exact name, else the first column whose name matches
     ``pattern`` and that is numeric or holds some 6-7 digit value.
 
-    The content test is an existence probe per candidate, in column order:
-    ``where(rlike).limit(1)`` stops at the first matching row.
-    """
+    ``codes`` gives the number of such values per text column (a profile of many
+    frames taken in one job); without it one aggregate counts them."""
     hit = resolve_column(df.columns, names)
     if hit is not None:
         return hit
-    rx = re.compile(pattern, re.IGNORECASE)
-    for c in (c for c in df.columns if rx.search(c.strip())):
-        if is_numeric(df, c):
-            return c
-        probe = df.select(quoted(c).cast("string").alias("v")).where(F.col("v").rlike(value_pattern))
-        if probe.limit(1).count() > 0:
-            return c
-    return None
+    found = key_candidates(df, pattern)
+    texts = [c for c in found if not is_numeric(df, c)]
+    if codes is None and texts:
+        counts = df.agg(*[F.count_if(quoted(c).cast("string").rlike(value_pattern)) for c in texts]).first()
+        codes = dict(zip(texts, counts, strict=True))
+    return next((c for c in found if is_numeric(df, c) or codes.get(c, 0) > 0), None)
 
 
 def discover_measure_column(df: DataFrame, names: Sequence[str] = SCHOOL_ENROLMENT_NAMES,

@@ -166,6 +166,22 @@ def event_counts_by_key(spark, sf):
     return files.death_counts(spark, land_event_files(spark, sf))
 
 
+@query("event_counts_by_folder")
+def event_counts_by_folder(spark, sf):
+    """S5 with the state and the year as folders: orders under
+    ``uf=U<key % 5>/ano=<year>/``, the key text in even years, a six-digit number
+    (another column) in odd ones; of five states two are asked for."""
+    root = scratch_dir(spark, "event-folders")
+    o = A.table(spark, sf, "orders")
+    k = F.col("o_custkey")
+    rows = o.select(k, F.concat(F.lit("U"), (k % 5).cast("string")).alias("uf"), F.year("o_orderdate").alias("ano"), "o_orderkey")
+    even = rows.where(F.col("ano") % 2 == 0).select((k + 3000000).cast("string").alias("CODMUNRES"), "uf", "ano")
+    odd = rows.where(F.col("ano") % 2 == 1).select("o_orderkey", (k + 300000).alias("codmunres"), "uf", "ano")
+    for df in (even, odd):
+        df.write.mode("append").partitionBy("uf", "ano").parquet(root)
+    return files.death_counts(spark, root, states=["U1", "U3"])
+
+
 @query("short_key_resolution")
 def short_key_resolution(spark, sf):
     """Orders as records of municipalities 1000000 + 10 k + k % 10; odd orders
@@ -231,6 +247,21 @@ def csv_microdata_count(spark, sf):
     return files.microdata_counts(spark, land_microdata(spark, sf), ano=A.REF_YEAR)
 
 
+@query("csv_microdata_layouts")
+def csv_microdata_layouts(spark, sf):
+    """S8 with three layouts of one separator: the key first, last and between
+    other columns, one header in latin-1."""
+    root = scratch_dir(spark, "microdata-layouts")
+    o = A.table(spark, sf, "orders")
+    key = (F.col("o_custkey") + 3000000).alias("CO_MUNICIPIO")
+    status, number = F.col("o_orderstatus").alias("SITUAÇÃO"), F.col("o_orderkey").alias("ID_MATRICULA")
+    for name, where, cols, enc in [("f", "F", [key, number], "UTF-8"), ("o", "O", [number, status, key], "ISO-8859-1"),
+                                   ("p", "P", [status, key, number], "UTF-8")]:
+        (o.where(F.col("o_orderstatus") == where).select(*cols).write.option("sep", ";").option("header", True)
+         .option("encoding", enc).csv(f"{root}/matricula_{name}"))
+    return files.microdata_counts(spark, root, ano=A.REF_YEAR)
+
+
 # ---- S9: ragged synopsis sheets -------------------------------------------------------------------
 def land_sheets(spark, sf) -> list[str]:
     """Lineitem split into synopsis sheets of three shapes by line number (the
@@ -261,8 +292,7 @@ def land_sheets(spark, sf) -> list[str]:
 
 @query("ragged_union_sum")
 def ragged_union_sum(spark, sf):
-    sheets = [spark.read.parquet(p) for p in land_sheets(spark, sf)]
-    return files.synopsis_sums(sheets, min_rows=2)
+    return files.synopsis_sums(files.read_sheets(spark, land_sheets(spark, sf)), min_rows=2)
 
 
 # ---- S12/T5/K1: latest snapshot --------------------------------------------------------------------

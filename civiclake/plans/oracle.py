@@ -484,3 +484,13 @@ SQL["kpi_education"] = marts_with("educacao") + """
            CAST(coalesce(sum(docentes), 0) AS BIGINT) AS docentes,
            CAST(coalesce(sum(escolas), 0) AS BIGINT) AS escolas
     FROM me"""
+
+
+# ---- landed files by folder and by layout ------------------------------------------
+SQL["event_counts_by_folder"] = f"""
+    SELECT CASE WHEN ano % 2 = 0 THEN CAST(o_custkey + 3000000 AS VARCHAR) ELSE lpad(CAST(o_custkey + 300000 AS VARCHAR), 7, '0') END
+             AS cod_mun_ibge_7, ano, count(*) AS total_obitos
+    FROM (SELECT o_custkey, {YEAR.format('o_orderdate')} AS ano FROM orders WHERE o_custkey % 5 IN (1, 3)) GROUP BY 1, 2"""
+SQL["csv_microdata_layouts"] = """
+    SELECT CAST(o_custkey + 3000000 AS VARCHAR) AS cod_mun_ibge_7, count(*) AS matriculas, 1998 AS ano
+    FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY 1"""
