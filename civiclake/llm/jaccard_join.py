@@ -1,23 +1,25 @@
-"""Exact n-gram Jaccard join by pivots, windows and recursion.
+"""Exact n-gram Jaccard join by regions, pivots, windows and recursion.
 
-With distance 1 - Jaccard, two linked documents are within ``r = 1 - threshold``.
-Sampled pivots do not divide a corpus by this metric: unrelated documents are at
-distance 1 from every pivot, so each lies within every pivot's window. Regions
-are therefore cut first by coordinates that linked documents must share, and the
-pivots work inside them:
+Two linked sets A and B differ in at most ``(den - num) / (den + num)`` of their
+sizes' sum. Sampled pivots do not divide a whole corpus by the Jaccard distance:
+unrelated documents are at distance 1 from every pivot. Regions are therefore cut
+first by coordinates that linked documents must share, and pivots work inside them:
 
 1. A document's shingles are dealt over m buckets by hash, m depending only on
    its size class. Linked documents differ in at most ``m - 1 - slack`` shingles,
    so some bucket holds the same shingles in both. Class, bucket and contents are
-   a region; documents at a class border are replicated into the next one.
-2. In a region a pivot (its centre) is compared with the others; whoever is within
-   r belongs to its group.
-3. Regions that still hold several groups go on: the nodes outside the largest
-   group become pivots, a bounded number per round, and meet the nodes of their
-   window. As the distance is a metric, linked sets differ little in size and have
-   few shingles that no other undecided set has; nodes that these bounds part from
-   a pivot lie outside its window. A pivot that has met its region leaves it, so
-   this ends with every region decided.
+   a region; documents at a class border are replicated into the next one. A document
+   that shares fewer buckets than a link takes is linked with nothing.
+2. The pivot of a region is the document that shares most of its buckets: among
+   copies of one text that is the text itself. Every document meets the pivots of
+   its regions; each comparison gives a link or not, and the size of the difference.
+3. Regions that still hold several groups go on. With pivot h, a = |A^h| and
+   b = |B^h| (^ for the symmetric difference), |A^B| = a + b - 2 |A^h & B^h|: the
+   triangle inequality, made sharper by the shingles that A or B has alone among the
+   undecided, which cannot lie in the last term. Documents that this window and the
+   sizes part from all of a region leave it; the rest of the smaller groups become
+   pivots, a bounded number a round, and meet their window. A pivot that has met its
+   region leaves it, so this ends with every region decided.
 
 Equal shingle sets are one node from the start, and pairs already in one
 component are not compared: only components are asked for. Sets are compared by
@@ -38,10 +40,13 @@ from civiclake.llm import bloom, shingles
 from civiclake.llm.arrow_rows import table_batch, text_slices, utf8_parts
 from civiclake.llm.components import components, extended
 from civiclake.llm.key_runs import MASK, PASS, SPEC, Combiner, batches, repeated
-from civiclake.session import materialize
+from civiclake.session import materialize, remove
 
-#: pivots of a region in one round; the rest follow in the next rounds
-PIVOTS = 512
+#: pivots of a region in the first round; four times as many in each next one
+PIVOTS = 16
+#: documents that are sent to one copy of a pivot
+MEMBERS = 256
+BITS = 28
 
 
 class Regions:
@@ -71,8 +76,9 @@ class Regions:
         slack = math.ceil(0.03 * differ + 2 * math.sqrt(0.03 * differ)) + 1 if differ else 0
         return differ + 1 + slack, slack
 
-    def keys(self, s: np.ndarray) -> np.ndarray:
-        out = []
+    def keys(self, s: np.ndarray) -> tuple[np.ndarray, int]:
+        """Region keys, and how many of them a linked set has too at least."""
+        out, need = [], []
         for c in self.classes(len(s)):
             m, slack = self.shape(c)
             at = ((s >> np.uint64(40)) % np.uint64(m)).astype(np.int64)
@@ -84,19 +90,29 @@ class Regions:
             k = shingles.mixed(shingles.mixed(one + two * np.uint64(0x9E3779B97F4A7C15)) + shingles.mixed(where) + count.astype(np.uint64))
             filled = count > 0
             # with more empty buckets than the slack, an empty one may be all that two sets share
-            out.append(k if m - int(filled.sum()) > slack else k[filled])
-        return np.concatenate(out).view(np.int64)
+            empty = m - int(filled.sum())
+            out.append(k if empty > slack else k[filled])
+            need.append(1 if empty > slack else 1 + slack - empty)
+        return np.concatenate(out).view(np.int64), min(need)
 
 
-def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[bool, float]:
+def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[bool, int]:
+    """Whether two sets are linked, and the size of their difference."""
     both = len(np.intersect1d(a, b, assume_unique=True))
     union = len(a) + len(b) - both
-    return den * both >= num * union, 1 - both / union
+    return den * both >= num * union, union - both
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete a materialized table that nothing reads any more."""
+    for folder in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+        remove(df.sparkSession, folder)
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> DataFrame:
-    """Regions with two or more nodes, as (k, a: node, b: centre), and two
-    passed-through rows per document: its node, with doc id or text hash."""
+    """Regions with two or more nodes, as (k, a: node, b), and two passed-through
+    rows per document: its node, with doc id or text hash; ``k`` has the set's size
+    or the numbers of its regions and of those that a link takes."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,9 +128,10 @@ def scan(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int
                 doc = ids[i]
                 # pass-through rows: size, is-null bit, which-row bit, flag
                 info[:, 2 * i] = (len(s) << 4 | (doc is None) << 3 | PASS, node, 0 if doc is None else doc)
-                info[:, 2 * i + 1] = (len(s) << 4 | 4 | PASS, node, text_hash)
+                info[:, 2 * i + 1] = (4 | PASS, node, text_hash)
                 if len(s):
-                    k = regions.keys(s)
+                    k, need = regions.keys(s)
+                    info[0, 2 * i + 1] |= (len(k) << BITS | need) << 4
                     if combine.add(k, np.full(len(k), node), np.zeros(len(k), np.int64)):
                         yield from combine.rows()
             yield from batches(*info)
@@ -151,19 +168,31 @@ def sets_of(docs: DataFrame, text_col: str, n: int, wanted: DataFrame, bits: int
 
 
 def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, linked, distance) of the node pairs (a, b)."""
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("distance", pa.float64())])
+    """(a, b, linked, delta) of the node pairs (a, b), b being the pivot: its set
+    is sent once for every ``MEMBERS`` of its a."""
+    total = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("copies"))
+    # written, so that a join sees how small it is before it moves the sets
+    dealt = materialize(pairs.join(total, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).alias("copy")), "jaccard-dealt")
+    members = dealt.join(sets.withColumnRenamed("node", "a"), "a").select("b", "copy", "a", "shingles")
+    tops = dealt.select("b", "copy").distinct().join(sets.withColumnRenamed("node", "b"), "b")
+    rows = members.unionByName(tops.select("b", "copy", F.lit(None).cast("long").alias("a"), "shingles"))
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("delta", pa.int64())])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = np.empty(0, np.uint64)
         for p in parts:
-            got = [linked(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64), num, den)
-                   for x, y in zip(p.column(2), p.column(3), strict=True)]
-            yield table_batch(schema, [p.column(0), p.column(1), [g[0] for g in got], [g[1] for g in got]])
+            out: list[list] = [[], [], [], []]
+            for b, a, s in zip(p.column(0).to_pylist(), p.column(2).to_pylist(), p.column(3), strict=True):
+                x = np.frombuffer(s.as_buffer(), np.uint64)
+                if a is None:
+                    top = x.copy()
+                    continue
+                for column, v in zip(out, (a, b, *linked(x, top, num, den)), strict=True):
+                    column.append(v)
+            yield table_batch(schema, out)
 
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb")
-    return rows.mapInArrow(run, "a long, b long, linked boolean, distance double")
+    return rows.repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first()).mapInArrow(
+        run, "a long, b long, linked boolean, delta long")
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, num: int = 85, den: int = 100,
@@ -183,38 +212,51 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     second = F.col("k").bitwiseAND(F.lit(4)) != 0
     rows = info.filter(~second).select(F.when(F.col("k").bitwiseAND(F.lit(8)) == 0, F.col("b")).alias("doc_id"),
                                        F.shiftright("k", 4).alias("n_shingles"), F.col("a").alias("node"))
-    regions = found.filter(flag == 0).select(F.col("k").alias("region"), F.col("a").alias("node"), F.col("b").alias("pivot"))
+    known = info.filter(second).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("h"), F.max(F.shiftright("k", 4)).alias("k"))
+    sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("n"))
+    regions = found.filter(flag == 0).select(F.col("k").alias("region"), F.col("a").alias("node"))
+    members = materialize(placed(regions, known, sizes), "jaccard-members")
 
-    stars = regions.filter("node <> pivot").groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    near = den * F.least("n", "pivot_n") >= num * F.greatest("n", "pivot_n")
+    stars = members.filter("node <> pivot").filter(near).groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     stars = materialize(stars, "jaccard-stars")
-    nodes = stars.select(F.col("a").alias("node")).union(stars.select("b")).distinct()
-    texts = info.filter(second).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("h"))
-    sets = materialize(sets_of(docs, text_col, words, texts.join(nodes, "node", "left_semi").select("h"), filter_bits), "jaccard-sets")
+    texts = known.join(members.select("node").distinct(), "node", "left_semi").select("h")
+    sets = materialize(sets_of(docs, text_col, words, texts, filter_bits), "jaccard-sets")
 
-    # the centre a node shares most regions with first, then those still apart
+    # the pivot a node shares most regions with first, then those still apart
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    tried = materialize(compare(best, sets, num, den), "jaccard-compared")
+    tried = materialize(compare(materialize(best, "jaccard-best"), sets, num, den), "jaccard-compared")
     roots = components(tried.filter("linked").select("a", "b"))
     rest = apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), roots)
-    more = materialize(compare(rest, sets, num, den), "jaccard-compared")
+    more = materialize(compare(materialize(rest, "jaccard-rest"), sets, num, den), "jaccard-compared")
     if not more.filter("linked").isEmpty():
         roots = extended(roots, more.filter("linked").select("a", "b"))
     tried = tried.unionByName(more)
 
-    sizes = sets.select("node", (F.length("shingles") / 8).cast("long").alias("n"))
-    live = divided(regions.select("region", "node"), roots)
+    most = PIVOTS
+    live = divided(members.select("region", "node", "pivot"), roots)
     while not live.isEmpty():
-        own = materialize(lonely(sets.join(live.select("node").distinct(), "node", "left_semi")), "jaccard-lonely")
-        known = sizes.join(own, "node", "left").select("node", "n", F.coalesce("own", F.lit(0)).alias("own"))
-        pivots = materialize(outsiders(live).join(known, "node"), "jaccard-pivots")
-        todo = materialize(spokes(live.join(known, "node"), pivots, tried, num, den), "jaccard-spokes")
+        seen = live.select("node").union(live.select("pivot")).distinct()
+        own = lonely(sets.join(seen, "node", "left_semi"))
+        told = tried.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "delta")
+        facts = live.join(own, "node", "left").join(told, ["node", "pivot"], "left").join(sizes, "node").select(
+            "region", "node", "pivot", "root", "n", F.coalesce("own", F.lit(0)).alias("own"),
+            F.when(F.col("node") == F.col("pivot"), F.lit(0)).otherwise(F.col("delta")).alias("delta"))
+        open_ = materialize(undecided(materialize(facts, "jaccard-facts"), num, den), "jaccard-open")
+        turns = materialize(outsiders(open_), "jaccard-pivots")
+        pivots = turns.filter(F.col("turn") <= most)
+        todo = materialize(spokes(open_, pivots, tried, num, den), "jaccard-spokes")
         new = materialize(compare(todo, sets, num, den), "jaccard-compared")
         if not new.filter("linked").isEmpty():
             roots = extended(roots, new.filter("linked").select("a", "b"))
-        tried = materialize(tried.unionByName(new), "jaccard-tried")
-        # a pivot has met its whole region and leaves it
-        left = live.join(pivots.select("region", "node"), ["region", "node"], "left_anti")
-        live = divided(left.select("region", "node"), roots)
+        tried = tried.unionByName(new)
+        # a pivot has met its whole region and leaves it; a region without further pivots is decided
+        more_to_come = turns.filter(F.col("turn") > most).select("region").distinct()
+        left = open_.join(more_to_come, "region", "left_semi").join(pivots.select("region", "node"), ["region", "node"], "left_anti")
+        live = divided(left.select("region", "node", "pivot"), roots)
+        most *= 4
+    for table in (members, stars, sets):
+        dropped(table)
 
     out = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = out.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
@@ -230,24 +272,50 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return both.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def divided(regions: DataFrame, roots: DataFrame) -> DataFrame:
-    """(region, node, root) of the regions with several components; of regions
+def placed(regions: DataFrame, known: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(region, node, n, pivot, pivot_n) of the nodes that share as many regions as a
+    link takes, in regions with two of them or more. The pivot of a region is the node
+    with the largest part of its own regions shared."""
+    regions = regions.distinct()  # copies come from several tasks
+    shared = regions.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
+    all_, need = F.shiftright("k", BITS), F.col("k").bitwiseAND(F.lit((1 << BITS) - 1))
+    able = shared.join(known, "node").filter(F.col("shared") >= need).join(sizes, "node").select("node", "n", (F.col("shared") / all_).alias("part"))
+    rows = materialize(regions.join(able, "node"), "jaccard-rows")
+    top = rows.groupBy("region").agg(F.max(F.struct("part", "node", "n")).alias("top"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    return rows.join(top, "region").select("region", "node", "n", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n"))
+
+
+def divided(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(region, node, pivot, root) of the regions with several components; of regions
     with the same nodes, one."""
-    rows = materialize(regions.join(roots, "node", "left").select("region", "node", F.coalesce("root", "node").alias("root")), "jaccard-rows")
+    rows = materialize(members.join(roots, "node", "left").select("region", "node", "pivot", F.coalesce("root", "node").alias("root")), "jaccard-rows")
     open_ = (rows.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("x"),
                                         F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("y"))
              .filter("lo <> hi").groupBy("x", "y").agg(F.min("region").alias("region")).select("region"))
     return materialize(rows.join(open_, "region"), "jaccard-live")
 
 
-def outsiders(live: DataFrame) -> DataFrame:
-    """(region, node, root): up to ``PIVOTS`` nodes of each region that are not in
-    its largest component. The others of a region take their turn in later rounds."""
-    count = live.groupBy("region", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = count.groupBy("region").agg(F.max_by("root", F.struct("n", "root")).alias("main"))
-    out = live.join(main, "region").filter("root <> main").select("region", "node", "root")
-    turn = F.row_number().over(Window.partitionBy("region").orderBy(F.xxhash64("node")))
-    return out.withColumn("turn", turn).filter(F.col("turn") <= PIVOTS).drop("turn")
+def undecided(facts: DataFrame, num: int, den: int) -> DataFrame:
+    """The rows of ``facts`` that may have a link inside their region.
+
+    Whatever the partner B, |A^B| is at least A's own shingles, and with the pivot's
+    differences at least ``a - max(b - 2 * own_B)`` over the region."""
+    per = facts.groupBy("region").agg(F.max("n").alias("n_max"), F.max(F.col("delta") - 2 * F.col("own")).alias("slack"),
+                                      (F.count("delta") == F.count(F.lit(1))).alias("all_told"))
+    largest = F.least(F.col("n_max"), F.floor(F.col("n") * den / num))
+    limit = (den - num) * (F.col("n") + largest)
+    room = (den + num) * F.col("own") <= limit
+    window = ~F.col("all_told") | ((den + num) * (F.col("delta") - F.col("slack")) <= limit)
+    return facts.join(per, "region").filter(room & window).select(*facts.columns)
+
+
+def outsiders(open_: DataFrame) -> DataFrame:
+    """(region, node, root, n, own, delta, turn): the nodes of each region that are
+    not in its largest component, those with the fewest own shingles first."""
+    count = open_.groupBy("region", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = count.groupBy("region").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+    out = open_.join(main, "region").filter("root <> main").select("region", "node", "root", "n", "own", "delta")
+    return out.withColumn("turn", F.row_number().over(Window.partitionBy("region").orderBy(F.col("own") / F.col("n"), F.xxhash64("node"))))
 
 
 def lonely(sets: DataFrame) -> DataFrame:
@@ -265,18 +333,19 @@ def lonely(sets: DataFrame) -> DataFrame:
     return count.filter("c = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
-def spokes(live: DataFrame, pivots: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of a pivot and a node of its region that are in different
-    components, have not been compared, and may be linked.
-
-    Linked sets differ in at most ``(den - num) / (den + num)`` of their sizes'
-    sum, and they differ in all that either has alone: the window of a pivot are
-    the nodes for which the sizes and the own shingles leave room."""
-    p = pivots.select("region", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"))
-    room = (den + num) * (F.col("own") + F.col("op")) <= (den - num) * (F.col("n") + F.col("np"))
+def spokes(open_: DataFrame, pivots: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of a node and a pivot of its region that are in different
+    components, have not been compared, and may be linked: their sizes, their own
+    shingles and their differences from the region's first pivot leave room."""
+    p = pivots.select("region", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"), F.col("delta").alias("dp"))
+    limit = (den - num) * (F.col("n") + F.col("np"))
+    room = (den + num) * (F.col("own") + F.col("op")) <= limit
     near = den * F.least("n", "np") >= num * F.greatest("n", "np")
-    some = p.filter((den + num) * num * F.col("op") <= (den - num) * (den + num) * F.col("np"))  # room beside any partner
-    rows = live.join(some, "region").filter("root <> rp").filter(near & room)
-    pairs = rows.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b")).distinct()
-    done = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    return pairs.join(done, ["a", "b"], "left_anti")
+    apart_ = F.col("delta") + F.col("dp") - 2 * F.least(F.col("delta") - F.col("own"), F.col("dp") - F.col("op"))
+    window = F.coalesce((den + num) * apart_ <= limit, F.lit(True))
+    rows = open_.join(p, "region").filter("root <> rp").filter(near & room & window)
+    pairs = rows.select(F.col("node").alias("a"), F.col("p").alias("b")).distinct()
+    # two pivots may have found each other
+    one = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(F.struct("a", "b")).alias("ab")).select("ab.*")
+    done = tried.select("a", "b").union(tried.select("b", "a"))
+    return one.join(done, ["a", "b"], "left_anti")

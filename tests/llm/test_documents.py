@@ -131,7 +131,37 @@ def test_jaccard_regions_never_part_linked_sets():
             both = n - int(rng.integers(0, max(1, n * 15 // 100) + 1))
             t = np.sort(np.concatenate([rng.choice(s, both, replace=False), rng.integers(0, 1 << 63, int(rng.integers(0, max(1, n // 10) + 1)), dtype=np.uint64)]))
             if len(t) and jaccard_join.linked(s, t, 85, 100)[0]:
-                assert set(regions.keys(s)) & set(regions.keys(t)), n
+                (ks, need_s), (kt, need_t) = regions.keys(s), regions.keys(t)
+                assert len(set(ks) & set(kt)) >= max(1, need_s, need_t), n
+
+
+def test_copies_of_one_text_just_below_the_threshold(spark):
+    """2,000 copies with one to eight replaced words: most pairs are near the threshold, some copies are linked with nothing."""
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(400)}" for _ in range(150)]
+    rows = []
+    for i in range(2000):
+        words = list(base)
+        for at in rng.sample(range(150), rng.randint(1, 8)):
+            words[at] = f"x{rng.randrange(100_000)}" if rng.random() < 0.8 else f"y{rng.randrange(3)}"
+        rows.append((i, " ".join(words)))
+    got = {r.doc_id: r.component_id for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    sets = [{tuple(t.split()[k:k + 4]) for k in range(147)} for _, t in rows]
+    number = {}
+    flat = [np.array([number.setdefault(g, len(number)) for g in s]) for s in sets]
+    hits = np.zeros((2000, len(number)), dtype=np.float32)
+    for i, f in enumerate(flat):
+        hits[i, f] = 1
+    both = hits @ hits.T
+    sizes = hits.sum(axis=1)
+    link = 100 * both >= 85 * (sizes[:, None] + sizes[None, :] - both)
+    low = np.arange(2000)
+    while True:
+        new = np.where(link, low[None, :], 2000).min(axis=1)
+        if (new == low).all():
+            break
+        low = new
+    assert [got[i] for i in range(2000)] == low.tolist() and 1 < len(set(low)) < 1900
 
 
 def test_jaccard_edges(spark, edge, none):
