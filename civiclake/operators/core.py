@@ -225,6 +225,41 @@ def exact_median(df: DataFrame, column: str, out: str = "mediana") -> DataFrame:
     return pick.agg(((F.min("x") + F.max("x")) / 2).alias(out))
 
 
+def exact_median_by(df: DataFrame, groups: Sequence[str], column: str, out: str = "mediana") -> DataFrame:
+    """A13 per group: the exact median of every combination of ``groups`` and of every
+    total over one or more of them (``GROUPING SETS``), as (*groups, ``_total``, out):
+    bit i of ``_total`` is set where group i is summed over. Groups without a value
+    are absent.
+
+    One shuffle counts the distinct values of all grouping sets (a partial aggregate);
+    the counts are range-partitioned by (set, groups, value), so the total over
+    everything, which holds all values, lies in many partitions. Totals per group and
+    partition give each partition's rank offset; only the partitions that hold a
+    group's middle ranks are ranked."""
+    from civiclake.session import materialize
+    x = df.select(*groups, F.col(column).cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    sets = [[g for i, g in enumerate(groups) if not mask >> i & 1] + ["x"] for mask in range(1 << len(groups))]
+    counts = x.groupingSets([[F.col(c) for c in s] for s in sets], *groups, "x").agg(
+        F.count(F.lit(1)).alias("c"), *[F.grouping(g).cast("int").alias(f"_g{i}") for i, g in enumerate(groups)])
+    total = sum((F.shiftleft(F.col(f"_g{i}"), i) for i in range(len(groups))), F.lit(0))
+    key = F.struct("_total", *groups)
+    counts = counts.select(*groups, "x", "c", total.alias("_total")).withColumn("_key", F.xxhash64(key))
+    counts = materialize(counts.repartitionByRange("_key", "_total", *groups, "x").withColumn("_part", F.spark_partition_id()), "median-counts")
+    of = ["_total", *groups]
+    parts = counts.groupBy(*of, "_part").agg(F.sum("c").alias("m"))
+    upto = Window.partitionBy(*of).orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    k_lo, k_hi = F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)
+    middle = (parts.select(*of, "_part", "m", (F.sum("m").over(upto) - F.col("m")).alias("below"), F.sum("m").over(Window.partitionBy(*of)).alias("n"))
+              .where((F.col("below") <= k_hi) & (F.col("below") + F.col("m") > k_lo)))
+    right = middle.select(*[F.col(c).alias(f"_r_{c}") for c in [*of, "_part"]], "below", "n")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in [*of, "_part"]])
+    inside = Window.partitionBy(*of, "_part").orderBy("x").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = (counts.join(right, same).withColumn("_end", F.sum("c").over(inside) + F.col("below"))
+              .withColumn("_start", F.col("_end") - F.col("c")))
+    pick = ranked.where(((F.col("_start") <= k_lo) & (F.col("_end") > k_lo)) | ((F.col("_start") <= k_hi) & (F.col("_end") > k_hi)))
+    return pick.groupBy(*of).agg(((F.min("x") + F.max("x")) / 2).alias(out))
+
+
 def top_n_labelled(fact: DataFrame, labels: DataFrame, measure: str, label: str, n: int = 10,
                    key: str = KEY) -> DataFrame:
     """T1 on a fact without labels: the top ``n`` keys are chosen first, then

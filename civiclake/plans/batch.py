@@ -51,8 +51,14 @@ class RunResult:
     skipped: list[str] = field(default_factory=list)
     # files read and files passed over, with the reason
     report: files.ScanReport = field(default_factory=files.ScanReport)
-    # table -> (duplicate (key, year) groups, keys missing from the dimension)
+    # table -> (duplicate (key, year) rows, keys missing from the dimension)
     checks: dict[str, tuple[int, int]] = field(default_factory=dict)
+    # table -> rows read, rejected, repeated and published (``publish_audited``)
+    audit: dict[str, dict[str, int]] = field(default_factory=dict)
+    gdp_year: int | None = None
+    education_source: str | None = None
+    lake: str = ""
+    database: str | None = None
 
 
 def _exists(spark: SparkSession, path: str | None) -> bool:
@@ -82,15 +88,24 @@ def read_record_pages(spark: SparkSession, path: str, element, envelope, whole_f
 def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
         sample: int | None = None, keys: list[str] | None = None,
         all_municipalities: bool = False, include: tuple[str, ...] = (),
-        check: bool = False) -> RunResult:
+        check: bool = False, database: str | None = None, microdata_first: bool = False,
+        states: list[str] | None = None) -> RunResult:
     """Run the batch for year ``ano`` over all municipalities, or over ``keys``, or
     over a stratified sample when a ``sample`` size is given. ``include`` may hold 'pib', 'transferencias',
-    'cnes'. With ``check`` the published gold tables are checked for duplicate
-    (key, year) rows (Q1) and keys absent from the dimension (Q2); the counts
-    are reported in ``RunResult.checks`` (the reference's UNIQUE and foreign
-    keys, reported instead of enforced)."""
+    'cnes'; ``states`` restricts deaths and births to the folders of these states;
+    ``microdata_first`` asks the school microdata before the synopsis.
+
+    Every table is published with its audit (``RunResult.audit``): rows read, rejected
+    for a null key or year, repeated (Q1). With ``check`` also the keys absent from the
+    dimension (Q2) are counted; ``RunResult.checks`` has both (the
+    reference's UNIQUE and foreign keys, reported instead of enforced).
+
+    With ``database`` the run creates the catalog's tables (K11) over ``lake`` and
+    registers what it writes, so that ``plans.published`` serves marts from them."""
     lake = lake.rstrip("/")
-    res = RunResult()
+    res = RunResult(lake=lake, database=database)
+    if database:
+        sinks.create_tables(spark, database, lake)
 
     # Municipalities: scan -> bronze snapshot -> newest snapshot -> silver dimension upsert.
     whole = landing.one_payload_per_file
@@ -104,6 +119,7 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     dim_raw = snapshots.latest_snapshot(spark, f"{lake}/bronze/ibge_municipios/*/parquet")
     dim = standardise_key(dim_raw).withColumn("_seq", F.lit(0))
     sinks.dimension_upsert(spark, f"{lake}/dim_municipio", dim, "_seq")
+    _register(spark, res, "dim_municipio")
     dim = sinks.read_dimension(spark, f"{lake}/dim_municipio")
 
     # Key restriction: all, an explicit list, or the stratified sample.
@@ -124,10 +140,13 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
            .withColumn("ano", F.lit(int(ano))).drop("ano_efetivo"))
     pop = standardise_key(pop)
     sinks.write_snapshot(pop, f"{lake}/bronze", f"ibge_populacao_{ano}")
-    sinks.publish_by_year(pop.select(KEY, "ano", "populacao"), f"{lake}/silver_ibge_populacao",
-                          "silver_ibge_populacao")
+    # silver takes the newest bronze snapshot of its year
+    pop = snapshots.latest_by_year(spark, f"{lake}/bronze", "ibge_populacao", ano)
+    res.audit["silver_ibge_populacao"] = sinks.publish_audited(pop.select(KEY, "ano", "populacao"), f"{lake}/silver_ibge_populacao", "silver_ibge_populacao")
+    _register(spark, res, "silver_ibge_populacao")
     pop = sinks.read_table(spark, f"{lake}/silver_ibge_populacao", "silver_ibge_populacao") \
         .where(F.col("ano") == ano)
+    sinks.write_snapshot(pop, f"{lake}/silver", f"ibge_populacao_{ano}", csv=False)
 
     # Deaths and births per municipality (per-state record files).
     def guarded(name: str, build):
@@ -142,7 +161,7 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     def events(name: str, path: str | None, count):
         if not _exists(spark, path):
             return None
-        rows = guarded(name, lambda: count(spark, path, ano, res.report))
+        rows = guarded(name, lambda: count(spark, path, ano, res.report, states))
         return None if rows is None else guarded(name, lambda: materialize(rows, f"batch-{name}"))
 
     deaths = events("obitos", landing.obitos, files.death_counts)
@@ -158,36 +177,41 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     # six-digit codes (zero-padded so far) take the code of their municipality
     deaths, births = [None if d is None else resolve_short_keys(d, dim) for d in (deaths, births)]
 
-    # Education: synopsis first, microdata when the synopsis gives nothing (F1).
-    cands = []
-    if landing.sinopse:
-        syn = guarded("sinopse", lambda: files.synopsis_sums(
-            [spark.read.parquet(p) for p in landing.sinopse if _exists(spark, p)], ano, 2, res.report))
-        if syn is not None:
-            cands.append(syn)
-    if _exists(spark, landing.microdados):
-        micro = guarded("microdados", lambda: files.microdata_counts(spark, landing.microdados, ano, report=res.report))
-        if micro is not None:
-            cands.append(micro)
+    # Education: synopsis first, microdata when the synopsis gives nothing (F1), or
+    # the other way round on request. A source is built when its turn comes: the
+    # one that is not needed is never read.
+    def synopsis():
+        sheets = files.read_sheets(spark, [p for p in landing.sinopse if _exists(spark, p)], res.report)
+        return files.synopsis_sums(sheets, ano, report=res.report)
+
+    def microdata():
+        return files.microdata_counts(spark, landing.microdados, ano, report=res.report)
+
+    order = [("sinopse", synopsis, bool(landing.sinopse)), ("microdados", microdata, _exists(spark, landing.microdados))]
     edu = None
-    if cands:
-        edu = core.first_non_empty(cands) if len(cands) > 1 else cands[0]
-        edu = guarded("inep", lambda: materialize(edu, "batch-inep"))
+    for name, build, landed in order[::-1] if microdata_first else order:
+        rows = guarded(name, build) if landed else None
+        rows = None if rows is None else guarded(name, lambda r=rows: materialize(r, "batch-inep"))
+        if rows is not None and not rows.isEmpty():
+            edu, res.education_source = rows, name
+            break
     if edu is not None:
         sinks.write_snapshot(edu, f"{lake}/bronze", "inep_educacao")
         sums = [F.sum(c).alias(c) for c in ("matriculas", "docentes", "escolas") if c in edu.columns]
         edu = resolve_short_keys(edu, dim).groupBy(KEY, "ano").agg(*sums)
         sinks.education_silver_upsert(spark, f"{lake}/silver_inep_educacao", edu)
+        _register(spark, res, "silver_inep_educacao")
         edu = sinks.read_table(spark, f"{lake}/silver_inep_educacao", "silver_inep_educacao")
-    elif not cands:
+        sinks.write_snapshot(edu.where(F.col("ano") == ano), f"{lake}/silver", f"inep_educacao_{ano}", csv=False)
+    else:
         res.skipped.append("inep")
 
     # Gold: health and education.
+    audit_dim = dim if check else None
     health = gold.health_indicators(pop, deaths=deaths, births=births, ano=ano)
-    _publish(spark, health, lake, "gold_indicadores_saude_municipio", res)
+    _publish(spark, health, "gold_indicadores_saude_municipio", res, audit_dim)
     if edu is not None:
-        _publish(spark, gold.education_indicators(edu, pop, ano=ano), lake,
-                 "gold_indicadores_educacao_municipio", res)
+        _publish(spark, gold.education_indicators(edu, pop, ano=ano), "gold_indicadores_educacao_municipio", res, audit_dim)
 
     # Optional sources: a failing one is logged and skipped, the run goes on.
     def optional(name: str, path: str | None, build) -> None:
@@ -203,41 +227,52 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
             res.skipped.append(name)
             log.warning("%s failed and was skipped: %s", name, e)
 
+    def bronze(rows: DataFrame, name: str) -> DataFrame:
+        """K1: keep what was received, then work from the snapshot."""
+        return spark.read.parquet(sinks.write_snapshot(rows, f"{lake}/bronze", f"{name}_{ano}") + "/parquet")
+
     def cnes() -> None:
-        recs = read_record_pages(spark, landing.cnes, schemas.FACILITY_RECORD, payloads.FACILITY_ENVELOPE, whole)
+        recs = bronze(read_record_pages(spark, landing.cnes, schemas.FACILITY_RECORD, payloads.FACILITY_ENVELOPE, whole), "cnes_estabelecimentos")
         rows = resolve_short_keys(payloads.facility_rows(recs, ano), dim)
         rows = payloads.restrict_keys(rows, key_df) if key_df is not None else rows
-        _publish(spark, gold.facility_counts(rows), lake, "gold_cnes_municipio", res)
+        _publish(spark, gold.facility_counts(rows), "gold_cnes_municipio", res, audit_dim)
 
     def pib() -> None:
-        gi = read_series_pages(spark, landing.pib, whole)
-        years = core.lagged_years(ano)
         # a preferred year that was landed, before the latest one under the first label
-        exact = core.preferred_year(core.union_all([payloads.gdp_rows(gi, y, exact=True) for y in years]), years)
-        rows = core.first_non_empty([exact.drop("ano_efetivo"), payloads.gdp_rows(gi, years[0])])
-        _publish(spark, gold.gdp_indicators(rows), lake, "gold_pib_municipio", res)
+        rows, res.gdp_year = payloads.gdp_by_preference(read_series_pages(spark, landing.pib, whole), core.lagged_years(ano))
+        _publish(spark, gold.gdp_indicators(bronze(rows, "ibge_pib")), "gold_pib_municipio", res, audit_dim)
 
     def transferencias() -> None:
         recs = read_record_pages(spark, landing.transferencias, schemas.TRANSFER_RECORD,
                                  payloads.TRANSFER_ENVELOPE, whole)
+        year = F.col("anoReferencia")      # pages of several years may have been landed
+        recs = bronze(recs.where(year.isNull() | (year == F.lit(int(ano)))), "transparencia_transferencias")
         totals = resolve_short_keys(gold.transfer_totals(payloads.transfer_rows(recs, ano), stamp=False), dim)
-        totals = totals.withColumnRenamed("total_transferencias_reais", "valor")
-        _publish(spark, gold.transfer_totals(totals), lake, "gold_transparencia_transferencias", res)
+        totals = totals.groupBy(KEY, "ano").agg(F.sum("total_transferencias_reais").alias("valor"))
+        _publish(spark, gold.transfer_totals(totals), "gold_transparencia_transferencias", res, audit_dim)
 
     optional("cnes", landing.cnes, cnes)
     optional("pib", landing.pib, pib)
     optional("transferencias", landing.transferencias, transferencias)
+    if database:
+        _register(spark, res, "silver_datasus_indicadores")
     if check:
-        for table, df in res.gold.items():
-            res.checks[table] = (core.duplicate_keys(df).count(), core.orphan_keys(df, dim).count())
-    log.info("batch %s done: gold %s, skipped %s, checks %s", ano, sorted(res.gold), res.skipped, res.checks)
+        res.checks = {t: (a["duplicadas"], a["orfas"]) for t, a in res.audit.items() if t in res.gold}
+    log.info("batch %s done: gold %s, skipped %s, audit %s", ano, sorted(res.gold), res.skipped, res.audit)
     return res
 
 
-def _publish(spark: SparkSession, df: DataFrame, lake: str, table: str, res: RunResult) -> None:
-    """K5 + K8: replace the batch's years, export a gold snapshot, read back."""
-    path = f"{lake}/{table}"
-    sinks.publish_by_year(df, path, table)
+def _register(spark: SparkSession, res: RunResult, table: str) -> None:
+    if res.database:
+        sinks.register(spark, res.database, table)
+
+
+def _publish(spark: SparkSession, df: DataFrame, table: str, res: RunResult, dim: DataFrame | None) -> None:
+    """K5 + K8: replace the batch's years with an audit, export a gold snapshot,
+    register, read back."""
+    path = f"{res.lake}/{table}"
+    res.audit[table] = sinks.publish_audited(df, path, table, dim)
+    _register(spark, res, table)
     res.gold[table] = sinks.read_table(spark, path, table)
-    sinks.write_snapshot(res.gold[table], f"{lake}/exports", table)
-    log.info("%s published", table)
+    sinks.write_snapshot(res.gold[table], f"{res.lake}/exports", table)
+    log.info("%s published: %s", table, res.audit[table])

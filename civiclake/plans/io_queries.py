@@ -417,13 +417,14 @@ def ddl_roundtrip(spark, sf):
                  ("gold_pib_municipio", "gold_gdp"), ("gold_transparencia_transferencias", "gold_transfers"),
                  ("gold_cnes_municipio", "gold_facilities")]:
         sinks.publish_by_year(REGISTRY[q](spark, sf), f"{loc}/{t}", t)
-        spark.catalog.recoverPartitions(f"{db}.{t}")
-    A.v_entity(spark, sf).write.mode("append").insertInto(f"{db}.dim_municipio")
+        sinks.register(spark, db, t)
+    sinks.dimension_upsert(spark, f"{loc}/dim_municipio", A.v_entity(spark, sf).withColumn("_seq", F.lit(0)), "_seq")
+    sinks.register(spark, db, "dim_municipio")
     names = snapshots.list_tables(spark, db) + ["gold_inexistente"]
     parts = []
     for n in names:
         sch = schemas.TABLES.get(n, schemas.TABLES["gold_pib_municipio"])
-        df = snapshots.table_or_empty(spark, f"{db}.{n}", sch)
+        df = snapshots.table_or_empty(spark, f"{db}.{n}", sch).select(*sch.names)
         parts.append(df.agg(F.count(F.lit(1)).alias("linhas")).select(
             F.lit(n).alias("tabela"), "linhas", F.lit(len(df.columns)).alias("colunas")))
     return core.union_all(parts)
@@ -465,16 +466,118 @@ def stamp_columns(spark, sf):
 
 
 # ---- the batch pipeline end to end ------------------------------------------------------
-@query("batch_run")
-def batch_run(spark, sf):
-    """Land every source from the tables, run the pipeline for 1998 over all
-    municipalities (no sample), return the published health gold table."""
+_BATCHES: dict[tuple[str, str], object] = {}
+
+
+def published_batch(spark, sf):
+    """Land every source from the whole tables, all years, and run the pipeline for
+    1998 over all municipalities (no sample) into tables of the catalog. The queries
+    below read what one such run of the session published."""
     from civiclake.plans import batch
     from civiclake.plans.landing import land_from_tables
-    landing = land_from_tables(spark, sf, scratch_dir(spark, "landing"), ano=A.REF_YEAR)
-    res = batch.run(spark, landing, scratch_dir(spark, "lake"), A.REF_YEAR, all_municipalities=True,
-                       include=("pib", "transferencias", "cnes"))
-    return res.gold["gold_indicadores_saude_municipio"].drop("data_carga")
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _BATCHES:
+        landing = land_from_tables(spark, sf, scratch_dir(spark, "landing"))
+        lake = scratch_dir(spark, "lake")
+        _BATCHES[key] = batch.run(spark, landing, lake, A.REF_YEAR, all_municipalities=True, check=True,
+                                  include=("pib", "transferencias", "cnes"), database="civiclake_" + lake.rsplit("-", 1)[-1])
+    return _BATCHES[key]
+
+
+@query("batch_run")
+def batch_run(spark, sf):
+    return published_batch(spark, sf).gold["gold_indicadores_saude_municipio"].drop("data_carga")
+
+
+@query("batch_education")
+def batch_education(spark, sf):
+    return published_batch(spark, sf).gold["gold_indicadores_educacao_municipio"].drop("data_carga")
+
+
+@query("batch_gdp")
+def batch_gdp(spark, sf):
+    return published_batch(spark, sf).gold["gold_pib_municipio"].drop("data_carga")
+
+
+@query("batch_transfers")
+def batch_transfers(spark, sf):
+    t = published_batch(spark, sf).gold["gold_transparencia_transferencias"].drop("data_carga")
+    return t.withColumn("total_transferencias_reais", round2("total_transferencias_reais"))
+
+
+@query("batch_facilities")
+def batch_facilities(spark, sf):
+    return published_batch(spark, sf).gold["gold_cnes_municipio"].drop("data_carga")
+
+
+@query("batch_bronze_formats")
+def batch_bronze_formats(spark, sf):
+    """K1: every kind of bronze snapshot that the run wrote, its Parquet and its CSV half
+    read back: rows of each, and rows that are not in both."""
+    lake = published_batch(spark, sf).lake
+    parts = []
+    for r in sorted(snapshots.snapshot_inventory(spark, f"{lake}/bronze").collect(), key=lambda r: r["path"]):
+        whole = spark.read.parquet(r["path"])
+        text = sinks.read_snapshot_csv(spark, r["path"].removesuffix("/parquet"), whole.schema)
+        rows = whole.withColumn("_p", F.lit(1)).unionByName(text.withColumn("_p", F.lit(-1)))
+        groups = rows.groupBy(*whole.columns).agg(F.sum("_p").alias("d"), F.sum(F.greatest("_p", F.lit(0))).alias("n"))
+        parts.append(groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("linhas"), F.count_if(F.col("d") != 0).alias("diferentes"))
+                     .select(F.lit(r["kind"]).alias("fonte"), "linhas", "diferentes"))
+    return core.union_all(parts)
+
+
+@query("batch_catalog")
+def batch_catalog(spark, sf):
+    """The rows that the catalog serves per table of the run."""
+    res = published_batch(spark, sf)
+    return core.union_all([sinks.published(spark, res.database, t).agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(t).alias("tabela"), "linhas")
+                           for t in snapshots.list_tables(spark, res.database)])
+
+
+@query("mart_from_published")
+def mart_from_published(spark, sf):
+    from civiclake.plans import published
+    m = published.mart(spark, published_batch(spark, sf).database, "saude")
+    return m.withColumn("tem_carga", F.col("data_carga").isNotNull()).drop("data_carga")
+
+
+@query("kpi_from_published")
+def kpi_from_published(spark, sf):
+    from civiclake.plans import published
+    return published.overview(spark, published_batch(spark, sf).database).withColumn("pib_total_mil_reais", round2("pib_total_mil_reais"))
+
+
+@query("publish_audited")
+def publish_audited(spark, sf):
+    """K5 + Q1/Q2 while publishing: order rows as GDP with a null year for order key
+    % 11 = 0, a null key for % 13 = 0 and many rows per (key, year); what the
+    publication counted, and the published table's size and total."""
+    table = scratch_dir(spark, "gold_pib_municipio")
+    o = A.table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    rows = o.select(F.when(k % 13 != 0, zfill7("o_custkey")).alias(KEY), F.when(k % 11 != 0, F.year("o_orderdate")).alias("ano"),
+                    F.col("o_totalprice").alias("pib_total_mil_reais"), F.lit(None).cast("double").alias("pib_per_capita"),
+                    F.lit(0).cast("timestamp").alias("data_carga"))
+    dim = A.v_entity(spark, sf).where(F.col(KEY).cast("long") % 5 != 0)
+    counts = sinks.publish_audited(rows, table, "gold_pib_municipio", dim)
+    got = sinks.read_table(spark, table, "gold_pib_municipio")
+    return got.agg(F.count(F.lit(1)).alias("linhas"), round2(F.sum("pib_total_mil_reais")).alias("total"), *[F.lit(v).cast("long").alias(c) for c, v in counts.items()])
+
+
+@query("latest_snapshot_by_year")
+def latest_snapshot_by_year(spark, sf):
+    """S12 by kind and year: population snapshots of 1996 to 1999 and GDP ones of 1998
+    in one bronze folder, 1998's population twice (the later one without keys % 3 =
+    0); the newest of every year of the population."""
+    root = scratch_dir(spark, "bronze-years")
+    pop = A.v_pop(spark, sf)
+    for y in range(1996, 2000):
+        sinks.write_snapshot(pop.where(F.col("ano") == y), root, f"IBGE Populacao_{y}", csv=False)
+    sinks.write_snapshot(A.gdp(spark, sf).where(F.col("ano") == 1998), root, "IBGE PIB_1998", csv=False)
+    time.sleep(1.1)      # commit times of some stores are whole seconds
+    again = pop.where((F.col("ano") == 1998) & (F.col(KEY).cast("long") % 3 != 0))
+    sinks.write_snapshot(again, root, "IBGE Populacao_1998", csv=False)
+    return snapshots.latest_by_year(spark, root, "ibge_populacao")
 
 
 # ---- incremental bronze ingestion (Structured Streaming) ---------------------------------

@@ -3,7 +3,7 @@ pipeline scans: JSON lines (municipalities, series, API pages), per-state
 Parquet record files, synopsis sheets and ``;`` CSV microdata.
 
 Used by the pipeline query and tests; every file is a Spark write of a whole
-table (or of the requested year's period of it).
+table, all years of it.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ def _only_vars(payload_col: str, ids: list[str]):
     return F.to_json(F.filter(items, lambda x: x["id"].isin(*ids)))
 
 
-def land_from_tables(spark: SparkSession, sf: str, root: str, ano: int) -> Landing:
+def land_from_tables(spark: SparkSession, sf: str, root: str) -> Landing:
+    """Every year of every table: a run picks its own."""
     root = root.rstrip("/")
     municipality_json(spark, sf).write.text(f"{root}/municipios")
     series = series_payloads(spark, sf)
@@ -41,12 +42,12 @@ def land_from_tables(spark: SparkSession, sf: str, root: str, ano: int) -> Landi
     (o.where(F.col("o_orderstatus") == "P").select(zfill7(k).alias("CO_MUNICIPIO"), "o_orderkey")
      .write.option("sep", ";").option("header", True).csv(f"{root}/microdados/matricula"))
 
-    li = A.table(spark, sf, "lineitem").where(F.year("l_shipdate") == ano)
+    li = A.table(spark, sf, "lineitem").withColumn("ano", F.year("l_shipdate"))
     (li.select(zfill7("l_suppkey").alias("CO_MUNICIPIO"), F.col("l_quantity").alias("QT_MAT_BAS"),
-               F.col("l_linenumber").alias("QT_DOC"), F.lit(1).alias("QT_ESC"))
+               F.col("l_linenumber").alias("QT_DOC"), F.lit(1).alias("QT_ESC"), "ano")
      .write.parquet(f"{root}/sinopse/tabela_1"))
     rec = F.struct(F.col("l_suppkey").cast("string").alias("codigoMunicipio"),
-                   F.lit(ano).alias("anoReferencia"),
+                   F.col("ano").alias("anoReferencia"),
                    F.when(F.col("l_linenumber") == 7, F.lit("n/d"))
                    .otherwise(F.col("l_extendedprice").cast("string")).alias("valor"))
     li.select(F.to_json(F.struct(F.array(rec).alias("data"))).alias("p")).write.text(f"{root}/transferencias")

@@ -44,14 +44,15 @@ MAP_OPTIONS = {
 RADIUS_MIN, RADIUS_MAX, RADIUS_SPAN, RADIUS_FLAT_SCALE = 5, 28, 22.0, 0.01
 
 
-def mart(gold: DataFrame, dim: DataFrame, theme: str, ordered: bool = False) -> DataFrame:
-    """Gold fact left-joined to the dimension for name and state.
+def mart(gold: DataFrame, dim: DataFrame, theme: str, ordered: bool = False, stamp: bool = False) -> DataFrame:
+    """Gold fact left-joined to the dimension for name and state; with ``stamp``
+    also the fact's load time.
 
     The planner picks the join: a broadcast when the measured dimension is
     under the broadcast threshold, else a shuffle join on the key. Display
     order (T2, measure descending) only on request: it is a global sort.
     """
-    measures = [c for c in MART_MEASURES[theme] if c in gold.columns]
+    measures = [c for c in [*MART_MEASURES[theme], *["data_carga"] * stamp] if c in gold.columns]
     d = dim.select(KEY, *DIM_COLUMNS)
     out = gold.join(d, KEY, "left").select(KEY, *DIM_COLUMNS, "ano", *measures)
     if ordered:
@@ -159,6 +160,55 @@ def gdp_kpis(gdp: DataFrame) -> DataFrame:
                                       "pib_per_capita_max")
 
 
+TOTAL_STATE, TOTAL_YEAR = 1, 2      # bits of ``_total``: summed over states, over years
+
+
+def filtered_kpis(health: DataFrame, edu: DataFrame, gdp: DataFrame, transfers: DataFrame, cnes: DataFrame) -> DataFrame:
+    """P4 + A10-A13 + A19 for every choice of the two filters at once: one row per
+    (uf, ano) with ``Todos`` for a filter that is not set - what the overview's
+    figures are after any choice of the sidebar.
+
+    Arguments are marts. Sums are grouping sets over (state, year), each mart
+    aggregated once; the population is the maximum per municipality of the chosen
+    years, so its first aggregate is per municipality; the median is exact
+    (``exact_median_by``). Rows without a state or year count under ``Todos`` only,
+    as the filters' equality tests leave them out. Measure sets meet in a union and
+    one aggregate over the choices, not in joins."""
+    by = ["sigla_uf", "ano"]
+
+    def cubed(m: DataFrame, *aggs) -> DataFrame:
+        flags = [(F.grouping("sigla_uf").cast("int") + 2 * F.grouping("ano").cast("int")).alias("_total")]
+        return m.cube(*by).agg(*aggs, *flags)
+
+    def whole(*columns: str) -> list:
+        return [F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(o) for c, o in (x.split(":") for x in columns)]
+
+    # per municipality and chosen years, then over municipalities; null keys have no row
+    keyed = health.where(F.col(KEY).isNotNull())
+    per_key = keyed.groupingSets([[F.col(KEY), F.col("sigla_uf"), F.col("ano")], [F.col(KEY), F.col("sigla_uf")]], KEY, "sigla_uf", "ano").agg(
+        F.max("populacao").alias("p"), F.grouping("ano").cast("int").alias("_y"))
+    people = per_key.groupingSets([[F.col("sigla_uf"), F.col("ano"), F.col("_y")], [F.col("ano"), F.col("_y")]], "sigla_uf", "ano", "_y").agg(
+        F.count(F.lit(1)).alias("municipios"), F.coalesce(F.sum("p"), F.lit(0)).cast("long").alias("populacao_total"),
+        (F.grouping("sigla_uf").cast("int") + 2 * F.col("_y")).alias("_total")).drop("_y")
+    parts = [
+        people,
+        cubed(edu, *whole("matriculas:matriculas", "docentes:docentes", "escolas:escolas")),
+        cubed(cnes, *whole("total_estabelecimentos:estabelecimentos", "leitos_totais:leitos")),
+        cubed(gdp, F.sum("pib_total_mil_reais").alias("pib_total_mil_reais")),
+        core.exact_median_by(gdp, by, "pib_per_capita", "pib_per_capita_mediano"),
+        cubed(transfers, (sum_or_zero("total_transferencias_reais") / F.lit(1e9)).alias("transferencias_bi")),
+    ]
+    rows = core.union_all(parts)
+    no_state, no_year = F.col("_total").bitwiseAND(F.lit(TOTAL_STATE)) != 0, F.col("_total").bitwiseAND(F.lit(TOTAL_YEAR)) != 0
+    rows = rows.where((no_state | F.col("sigla_uf").isNotNull()) & (no_year | F.col("ano").isNotNull()))
+    uf = F.when(no_state, F.lit(core.ALL)).otherwise(F.col("sigla_uf")).alias("uf")
+    year = F.when(no_year, F.lit(core.ALL)).otherwise(F.col("ano").cast("string")).alias("ano")
+    sums = ["municipios", "populacao_total", "matriculas", "docentes", "escolas", "estabelecimentos", "leitos"]
+    return rows.groupBy(uf, year, "_total").agg(
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in sums], F.max("pib_total_mil_reais").alias("pib_total_mil_reais"),
+        F.max("pib_per_capita_mediano").alias("pib_per_capita_mediano"), F.coalesce(F.max("transferencias_bi"), F.lit(0.0)).alias("transferencias_bi")).drop("_total")
+
+
 def filter_values(marts: Sequence[DataFrame]) -> DataFrame:
     """Filter choices: distinct non-null states and years over the
     marts, as one (filtro, valor) frame in display order (T3: states ascending,

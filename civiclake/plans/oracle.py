@@ -494,3 +494,91 @@ SQL["event_counts_by_folder"] = f"""
 SQL["csv_microdata_layouts"] = """
     SELECT CAST(o_custkey + 3000000 AS VARCHAR) AS cod_mun_ibge_7, count(*) AS matriculas, 1998 AS ano
     FROM orders WHERE o_orderstatus IN ('F', 'O', 'P') GROUP BY 1"""
+
+
+# ---- one batch run of 1998 over everything landed ------------------------------------
+_B_POP = f"""SELECT {zf('a.k')} AS cod,
+                   CAST(CASE WHEN a.n = 1 THEN 0 WHEN a.n = 2 THEN NULL ELSE floor(a.s) END AS BIGINT) AS populacao
+            FROM (SELECT o_custkey AS k, CAST(year(o_orderdate) AS INTEGER) AS y, count(*) AS n, sum(o_totalprice) AS s FROM orders GROUP BY 1, 2) a
+            JOIN (SELECT o_custkey AS k, CASE WHEN bool_or(year(o_orderdate) = 1998) THEN 1998 ELSE CAST(max(year(o_orderdate)) AS INTEGER) END AS y
+                  FROM orders GROUP BY 1) pick ON a.k = pick.k AND a.y = pick.y WHERE a.k % 17 <> 0"""
+SQL["batch_education"] = f"""
+    SELECT e.*, {rate('e.matriculas', 'p.populacao', 1000)} AS taxa_matriculas_por_1000_hab
+    FROM (SELECT {zf('l_suppkey')} AS cod_mun_ibge_7, 1998 AS ano, CAST(trunc(sum(l_quantity)) AS BIGINT) AS matriculas,
+                 CAST(sum(l_linenumber) AS BIGINT) AS docentes, count(*) AS escolas
+          FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY 1) e
+    LEFT JOIN ({_B_POP}) p ON p.cod = e.cod_mun_ibge_7"""
+SQL["batch_gdp"] = f"""
+    SELECT cod AS cod_mun_ibge_7, 1998 AS ano, t AS pib_total_mil_reais, pc AS pib_per_capita FROM (
+      SELECT {zf('k')} AS cod, CASE WHEN n >= 3 THEN CAST(floor(s) + CASE WHEN k % 9 = 0 THEN 1 ELSE 0 END AS DOUBLE) END AS t,
+             CASE WHEN n >= 3 AND k % 10 <> 3 THEN CAST(floor(s / n) AS DOUBLE) END AS pc
+      FROM (SELECT o_custkey AS k, count(*) AS n, sum(o_totalprice) AS s FROM orders WHERE year(o_orderdate) = 1998 GROUP BY 1) WHERE k % 17 <> 0)
+    WHERE t IS NOT NULL OR pc IS NOT NULL"""
+SQL["batch_transfers"] = f"""
+    SELECT {zf('l_suppkey')} AS cod_mun_ibge_7, 1998 AS ano,
+           {r2('coalesce(sum(CASE WHEN l_linenumber = 7 THEN NULL ELSE l_extendedprice END), 0.0)')} AS total_transferencias_reais
+    FROM lineitem WHERE year(l_shipdate) = 1998 GROUP BY 1"""
+SQL["batch_facilities"] = SQL["gold_facilities"].replace("'ECONOMY'", "'^05$|HOSPITAL'").replace("'SMALL'", "'^01$|^02$|BASICA|UBS'")
+_B_GOLD = {"saude": SQL["batch_run"], "educacao": SQL["batch_education"], "pib": SQL["batch_gdp"], "transferencias": SQL["batch_transfers"],
+           "cnes": SQL["batch_facilities"]}
+_B_DEATHS = f"""SELECT CASE WHEN o_orderstatus = 'O' OR o_custkey % 2 = 0 THEN {zf('o_custkey')}
+                            WHEN length({_CODE_NUM}) = 6 THEN lpad({_CODE_NUM}, 7, '0') WHEN length({_CODE_NUM}) = 7 THEN {_CODE_NUM} END AS cod, o_orderstatus AS s
+                FROM orders WHERE year(o_orderdate) = 1998"""
+
+
+def _counts(rows: dict[str, str], name: str, more: str = "") -> str:
+    return " UNION ALL ".join(f"SELECT '{k}' AS {name}, ({v}) AS linhas{more}" for k, v in rows.items())
+
+
+def _n(sql: str) -> str:
+    return f"SELECT count(*) FROM ({sql})"
+
+
+SQL["batch_bronze_formats"] = _counts({
+    "ibge_municipios": _n(SQL["dim_flatten_nested_json"]), "ibge_populacao": _n(_B_POP),
+    "datasus_obitos": f"SELECT count(DISTINCT cod) FROM ({_B_DEATHS}) WHERE s = 'F'",
+    "datasus_nascidos": f"SELECT count(DISTINCT cod) FROM ({_B_DEATHS}) WHERE s = 'O'",
+    "inep_educacao": _n(SQL["batch_education"]), "cnes_estabelecimentos": "SELECT count(*) FROM part", "ibge_pib": _n(SQL["batch_gdp"]),
+    "transparencia_transferencias": "SELECT count(*) FROM lineitem WHERE year(l_shipdate) = 1998"}, "fonte", ", CAST(0 AS BIGINT) AS diferentes")
+SQL["batch_catalog"] = _counts({
+    "dim_municipio": _n(SQL["dim_flatten_nested_json"]), "silver_ibge_populacao": _n(_B_POP), "silver_datasus_indicadores": "0",
+    "silver_inep_educacao": _n(SQL["batch_education"]), "gold_indicadores_saude_municipio": _n(_B_GOLD["saude"]),
+    "gold_indicadores_educacao_municipio": _n(_B_GOLD["educacao"]), "gold_pib_municipio": _n(_B_GOLD["pib"]),
+    "gold_transparencia_transferencias": _n(_B_GOLD["transferencias"]), "gold_cnes_municipio": _n(_B_GOLD["cnes"])}, "tabela")
+_B_MART = f"""SELECT g.cod_mun_ibge_7, m.nome_municipio, m.sigla_uf, g.* EXCLUDE (cod_mun_ibge_7)
+              FROM ({_B_GOLD['saude']}) g LEFT JOIN ({SQL['dim_flatten_nested_json']}) m ON m.cod_mun_ibge_7 = g.cod_mun_ibge_7"""
+SQL["mart_from_published"] = f"SELECT *, TRUE AS tem_carga FROM ({_B_MART})"
+_kpi = SQL["kpi_overview"]
+SQL["kpi_from_published"] = (f"WITH ms AS ({_B_MART}), me AS ({_B_GOLD['educacao']}), mp AS ({_B_GOLD['pib']}), mt AS ({_B_GOLD['transferencias']}), "
+                             f"mc AS ({_B_GOLD['cnes']})\n" + _kpi[_kpi.index(",\n    pt AS"):])
+SQL["publish_audited"] = with_views("v_gdp") + f""",
+    r AS (SELECT CASE WHEN o_orderkey % 13 <> 0 THEN o_custkey END AS k, CASE WHEN o_orderkey % 11 <> 0 THEN year(o_orderdate) END AS y, o_totalprice AS t FROM orders),
+    g AS (SELECT k, y, max(t) AS t, count(*) AS n FROM r WHERE k IS NOT NULL AND y IS NOT NULL GROUP BY 1, 2)
+    SELECT count(*) AS linhas, {r2('sum(t)')} AS total, (SELECT count(*) FROM r) AS lidas, (SELECT count(*) FROM r WHERE k IS NULL) AS sem_chave,
+           (SELECT count(*) FROM r WHERE k IS NOT NULL AND y IS NULL) AS sem_ano, CAST(sum(n) - count(*) AS BIGINT) AS duplicadas, count(*) AS publicadas,
+           count(DISTINCT k) FILTER (WHERE k % 5 = 0) AS orfas FROM g"""
+SQL["latest_snapshot_by_year"] = with_views("v_pop") + """
+    SELECT *, ano AS ano_arquivo FROM v_pop WHERE ano BETWEEN 1996 AND 1999 AND (ano <> 1998 OR CAST(cod_mun_ibge_7 AS BIGINT) % 3 <> 0)"""
+
+
+# ---- figures for every choice of the state and year filters ---------------------------
+def _choices(src: str, aggs: str) -> str:
+    return f"""(SELECT uf, a AS ano, {aggs} FROM (SELECT *, unnest(['Todos', CAST(ano AS VARCHAR)]) AS a FROM (SELECT *, unnest(['Todos', sigla_uf]) AS uf FROM {src}))
+               WHERE uf IS NOT NULL AND a IS NOT NULL GROUP BY 1, 2)"""
+
+
+_sums = {"me": ["matriculas", "docentes", "escolas"], "mc": ["total_estabelecimentos:estabelecimentos", "leitos_totais:leitos"]}
+SQL["kpi_filtered"] = marts_with("saude", "educacao", "pib", "transferencias", "cnes") + f""",
+    pk AS (SELECT cod_mun_ibge_7 AS cod, sigla_uf, CAST(ano AS VARCHAR) AS ano, max(populacao) AS p FROM ms GROUP BY 1, 2, 3
+           UNION ALL SELECT cod_mun_ibge_7, sigla_uf, 'Todos', max(populacao) FROM ms GROUP BY 1, 2),
+    pe AS (SELECT uf, ano, count(DISTINCT cod) AS municipios, CAST(coalesce(sum(p), 0) AS BIGINT) AS populacao_total
+           FROM (SELECT *, unnest(['Todos', sigla_uf]) AS uf FROM pk) WHERE uf IS NOT NULL GROUP BY 1, 2),
+    ce AS {_choices('me', ', '.join(f'CAST(coalesce(sum({c}), 0) AS BIGINT) AS {c}' for c in _sums['me']))},
+    cc AS {_choices('mc', ', '.join('CAST(coalesce(sum({}), 0) AS BIGINT) AS {}'.format(*c.split(':')) for c in _sums['mc']))},
+    cp AS {_choices('mp', 'sum(pib_total_mil_reais) AS t, quantile_cont(pib_per_capita, 0.5) AS md')},
+    ct AS {_choices('mt', 'sum(total_transferencias_reais) / 1e9 AS t')},
+    u AS (SELECT uf, ano FROM pe UNION SELECT uf, ano FROM ce UNION SELECT uf, ano FROM cc UNION SELECT uf, ano FROM cp UNION SELECT uf, ano FROM ct)
+    SELECT u.uf, u.ano, coalesce(municipios, 0) AS municipios, coalesce(populacao_total, 0) AS populacao_total, coalesce(matriculas, 0) AS matriculas,
+           coalesce(docentes, 0) AS docentes, coalesce(escolas, 0) AS escolas, coalesce(estabelecimentos, 0) AS estabelecimentos, coalesce(leitos, 0) AS leitos,
+           {r2('cp.t')} AS pib_total_mil_reais, cp.md AS pib_per_capita_mediano, round(coalesce(ct.t, 0), 6) AS transferencias_bi
+    FROM u LEFT JOIN pe USING (uf, ano) LEFT JOIN ce USING (uf, ano) LEFT JOIN cc USING (uf, ano) LEFT JOIN cp USING (uf, ano) LEFT JOIN ct USING (uf, ano)"""

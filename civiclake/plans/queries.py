@@ -167,6 +167,15 @@ def kpi_gdp(spark, sf):
     return M.gdp_kpis(gold_gdp(spark, sf)).withColumn("pib_total_bi", round2("pib_total_bi"))
 
 
+@query("kpi_filtered")
+def kpi_filtered(spark, sf):
+    """P4 + A10-A13 + A19: the overview's figures for every choice of state and year."""
+    m = _marts(spark, sf)
+    return (M.filtered_kpis(m["saude"], m["educacao"], m["pib"], m["transferencias"], m["cnes"])
+            .withColumn("pib_total_mil_reais", round2("pib_total_mil_reais"))
+            .withColumn("transferencias_bi", F.round("transferencias_bi", 6)))
+
+
 @query("top_n_measure")
 def top_n_measure(spark, sf):
     return core.top_n_labelled(gold_gdp(spark, sf), A.v_entity(spark, sf), "pib_total_mil_reais",

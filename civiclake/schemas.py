@@ -72,5 +72,9 @@ TABLE_KEYS: dict[str, list[str]] = {
     name: (["cod_mun_ibge_7"] if name == "dim_municipio" else ["cod_mun_ibge_7", "ano"])
     for name in TABLES
 }
-# Tables published by replace-by-year are partitioned by year.
-PARTITIONED_BY_YEAR = [n for n in TABLES if n.startswith("gold_") or n == "silver_inep_educacao"]
+# The layout of every table: the column it is partitioned by (the dimension by the
+# state prefix of its key), none for the append-only table.
+DIM_PARTITION = "prefixo_uf"
+PARTITIONED_BY: dict[str, str | None] = {
+    name: DIM_PARTITION if name == "dim_municipio" else None if name == "silver_datasus_indicadores" else "ano" for name in TABLES
+}

@@ -3,14 +3,12 @@ and table creation.
 
 Layouts (all under a lake root on the shared file system):
   bronze/<name>/<yyyyMMdd_HHmmss>-<id>/   immutable snapshot (Parquet + CSV)
-  <table>/snap_<version:08d>_<yyyyMMdd_HHmmss>/  versioned table (whole-table upsert)
   dim_municipio/prefixo_uf=<2 digits>/     dimension, upserted per state prefix
   <table>/ano=<year>/                      year-partitioned table (replace-by-year,
                                            and upserts whose key includes the year)
 
-Versioned tables are never rewritten in place: an upsert reads the current
-version and writes a new one, which becomes current when its job commits
-(``_SUCCESS``). A failed job leaves the previous version current.
+The catalog's tables (K11) have the same layout and locations: whatever the batch
+writes is registered there and served by ``spark.table``.
 """
 
 from __future__ import annotations
@@ -19,16 +17,16 @@ import datetime as _dt
 import functools
 import logging
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from civiclake import schemas
 from civiclake.functions.keys import KEY
 from civiclake.operators.core import add_missing
-from civiclake.sources.snapshots import latest_version, read_latest_version
+from civiclake.sources.snapshots import table_or_empty
 
 log = logging.getLogger("civiclake.sinks")
 
@@ -56,7 +54,15 @@ def write_snapshot(df: DataFrame, root: str, name: str, csv: bool = True) -> str
     return path
 
 
-# ---- K3/K6: upsert into a versioned table --------------------------------------------
+def read_snapshot_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The CSV half of a snapshot, as ``write_snapshot`` wrote it: nothing between two
+    separators is null, a quoted nothing the empty text (with Spark's default null
+    value both would be null)."""
+    return (spark.read.schema(schema).option("sep", ";").option("header", True).option("nullValue", "\u0000").option("emptyValue", "")
+            .csv(f"{path.rstrip('/')}/csv"))
+
+
+# ---- K3/K6: upserts by partition ------------------------------------------------------
 def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """The last row per key by ``order`` (``max_by`` of the row: skew-safe)."""
     rest = [c for c in df.columns if c not in keys]
@@ -64,37 +70,7 @@ def last_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
             .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]))
 
 
-def upsert(spark: SparkSession, table_path: str, new: DataFrame, keys: Sequence[str],
-           order: str | None = None, columns: Sequence[str] | None = None) -> str:
-    """K3/K6: INSERT OR REPLACE by key. Within the batch the last row per key
-    (by ``order``) wins; existing rows whose key is in the batch are replaced.
-
-    Stage-then-swap: the merge of the current version and the batch is
-    written as a new version; the current one is only read.
-    """
-    batch = last_per_key(new, keys, order).drop(order) if order else new
-    if columns is not None:
-        batch = batch.select(*columns)
-    cur = read_latest_version(spark, table_path)
-    if cur is not None:
-        merged = cur.join(batch.select(*keys), list(keys), "left_anti").unionByName(batch)
-    else:
-        merged = batch
-    path = f"{table_path.rstrip('/')}/snap_{next_version(spark, table_path):08d}_{_stamp()}"
-    merged.write.mode("errorifexists").parquet(path)
-    return path
-
-
-def next_version(spark: SparkSession, table_path: str) -> int:
-    """1 + the highest version number present (committed or not), so versions
-    order by number even when written within the same second."""
-    v = latest_version(spark, table_path, committed_only=False)
-    if v is None:
-        return 1
-    return int(v.rsplit("/", 1)[-1].split("_")[1]) + 1
-
-
-DIM_PARTITION = "prefixo_uf"   # the first two digits of the code: the state's code
+DIM_PARTITION = schemas.DIM_PARTITION   # the first two digits of the code: the state's code
 
 
 def dimension_upsert(spark: SparkSession, table_path: str, new: DataFrame, order: str) -> None:
@@ -193,21 +169,73 @@ def append_indicators(df: DataFrame, table_path: str) -> None:
 
 
 # ---- K5: replace by year -----------------------------------------------------------------
+def conformed(df: DataFrame, table: str) -> DataFrame:
+    """The columns and types of a lake table, stamped with the load time."""
+    sch = schemas.TABLES[table]
+    d = df if "data_carga" in df.columns else df.withColumn("data_carga", F.current_timestamp())
+    d = add_missing(d, {f.name: f.dataType for f in sch.fields})
+    return d.select(*[F.col(f.name).cast(f.dataType) for f in sch.fields])
+
+
 def publish_by_year(df: DataFrame, table_path: str, table: str) -> None:
     """K5: replace the years present in the batch, keep the others.
 
     Dynamic partition overwrite on ``ano``: only partitions of the batch's
     years are rewritten, in one job. Columns are coerced to the table schema;
-    rows with a null year are not published (they have no partition to replace).
+    rows with a null year are not published (they have no partition to replace);
+    ``publish_audited`` counts them.
     """
-    sch = schemas.TABLES[table]
-    d = df if "data_carga" in df.columns else df.withColumn("data_carga", F.current_timestamp())
-    d = add_missing(d, {f.name: f.dataType for f in sch.fields})
-    d = d.where(F.col("ano").isNotNull()).select(*[F.col(f.name).cast(f.dataType) for f in sch.fields])
+    d = conformed(df, table).where(F.col("ano").isNotNull())
     (d.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("ano").parquet(table_path))
 
 
+AUDIT = ["lidas", "sem_chave", "sem_ano", "duplicadas", "publicadas"]
+
+
+def publish_audited(df: DataFrame, table_path: str, table: str, dim: DataFrame | None = None,
+                    accept: Callable[[dict[str, int]], bool] | None = None) -> dict[str, int]:
+    """K5 with Q1/Q2 taken while publishing: one row per (key, year) is published,
+    and the job that writes it counts rows read, without a key, without a year
+    (neither can be published), repeated, and published.
+
+    The metrics are observed in the staging write, so the source is computed once.
+    ``dim`` adds ``orfas``, the published keys that it lacks, from the staged table.
+    ``accept`` sees the counts before the staged years replace the table's; False
+    leaves the table as it was. Of repeated rows the greatest stays, column by column
+    in schema order (a measure before the load stamp).
+    """
+    from civiclake.session import remove, scratch_dir
+    d = conformed(df, table)
+    keys = [KEY, "ano"]
+    rest = [c for c in d.columns if c not in keys]
+    one = d.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("_r"), F.count(F.lit(1)).alias("_n"))
+    whole = F.col(KEY).isNotNull() & F.col("ano").isNotNull()
+    n = F.col("_n")
+    audit = Observation(f"audit-{table}-{uuid.uuid4().hex[:8]}")
+    counted = one.observe(
+        audit, F.sum(n).alias("lidas"), F.sum(F.when(F.col(KEY).isNull(), n)).alias("sem_chave"),
+        F.sum(F.when(F.col(KEY).isNotNull() & F.col("ano").isNull(), n)).alias("sem_ano"),
+        F.sum(F.when(whole, n - 1)).alias("duplicadas"), F.count_if(whole).alias("publicadas"))
+    stage = scratch_dir(df.sparkSession, "stage-audited")
+    counted.where(whole).select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest]).write.partitionBy("ano").parquet(stage)
+    found = audit.get
+    counts = {k: int(found.get(k) or 0) for k in AUDIT}
+    staged = read_table(df.sparkSession, stage, table)
+    if dim is not None:
+        counts["orfas"] = staged.select(KEY).distinct().join(dim.select(KEY), KEY, "left_anti").count()
+    for reason in ("sem_chave", "sem_ano", "duplicadas"):
+        if counts[reason]:
+            log.warning("%s: %d rows %s", table, counts[reason], reason)
+    if accept is None or accept(counts):
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("ano").parquet(table_path))
+    else:
+        log.warning("%s: not published: %s", table, counts)
+    remove(df.sparkSession, stage)
+    return counts
+
+
 def read_table(spark: SparkSession, table_path: str, table: str) -> DataFrame:
     """A year-partitioned lake table read with its declared schema (an empty
     table reads as an empty frame instead of failing schema inference)."""
@@ -230,21 +258,34 @@ def _ddl_type(t: T.DataType) -> str:
 
 def create_tables(spark: SparkSession, database: str, location: str) -> list[str]:
     """Create the dimension, silver and gold tables (if absent) as Parquet
-    tables under ``location``; year-keyed publication tables are partitioned
-    by ``ano``."""
+    tables under ``location``, in the layout in which the batch writes them."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
     created = []
     for name, sch in schemas.TABLES.items():
-        cols = ", ".join(f"{f.name} {_ddl_type(f.dataType)}" for f in sch.fields)
-        part = " PARTITIONED BY (ano)" if name in schemas.PARTITIONED_BY_YEAR else ""
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet{part} "
-                  f"LOCATION '{location.rstrip('/')}/{name}'")
+        part = schemas.PARTITIONED_BY[name]
+        fields = sch.fields + ([T.StructField(part, T.StringType())] if part and part not in sch.names else [])
+        cols = ", ".join(f"{f.name} {_ddl_type(f.dataType)}" for f in fields)
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {database}.{name} ({cols}) USING parquet"
+                  f"{f' PARTITIONED BY ({part})' if part else ''} LOCATION '{location.rstrip('/')}/{name}'")
         created.append(name)
     return created
 
 
+def register(spark: SparkSession, database: str, table: str) -> None:
+    """Make the catalog see what was written below the table's location: its
+    partitions (years, state prefixes) and files."""
+    if schemas.PARTITIONED_BY[table]:
+        spark.catalog.recoverPartitions(f"{database}.{table}")
+    spark.catalog.refreshTable(f"{database}.{table}")
+
+
+def published(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """A table of the catalog with its declared columns, empty if absent."""
+    sch = schemas.TABLES[table]
+    return table_or_empty(spark, f"{database}.{table}", sch).select(*sch.names)
+
+
 __all__ = ["append", "append_indicators", "create_tables", "dimension_upsert", "education_silver_upsert",
            "read_dimension", "upsert_partitioned",
-           "export_csv", "last_per_key", "latest_version", "publish_by_year", "read_table", "upsert",
-           "upsert_by_year",
-           "write_snapshot"]
+           "conformed", "export_csv", "last_per_key", "publish_audited", "publish_by_year", "published", "read_table",
+           "register", "upsert_by_year", "write_snapshot"]

@@ -211,6 +211,8 @@ def sheet_rows(sheet: DataFrame, ano: int | None = None, codes: dict[str, int] |
         sel.append(lenient_double(quoted(tc)).alias("docentes"))
     if sc:
         sel.append(lenient_double(quoted(sc)).alias("escolas"))
+    if ano is not None and "ano" in sheet.columns:     # a sheet of several years
+        sheet = sheet.where(F.col("ano").cast("int") == F.lit(int(ano)))
     year = F.lit(int(ano)) if ano is not None else F.col("ano")
     sel.append(year.cast("int").alias("ano"))
     return sheet.select(*sel).where(valid_key(KEY))

@@ -145,6 +145,37 @@ def gdp_rows(items: DataFrame, ano: int, total_var: str = GDP_TOTAL_VAR,
             .select(KEY, F.lit(int(ano)).alias("ano"), "pib_total_mil_reais", "pib_per_capita"))
 
 
+def gdp_by_preference(items: DataFrame, years: Sequence[int], total_var: str = GDP_TOTAL_VAR,
+                      per_capita_var: str = GDP_PER_CAPITA_VAR) -> tuple[DataFrame, int]:
+    """S4 + F3 from one parse: GDP rows of the first year in ``years`` that was landed,
+    else the latest value of every place under the first year's label; and the year
+    used as label.
+
+    Each place's map is looked up once for all candidate years; the pivot holds one
+    column per variable and candidate (a few per municipality) and is written once,
+    so that asking which candidate has values reads a small table."""
+    from civiclake.session import materialize
+    p = _series_points(items)
+    code = zfill7(F.coalesce(F.col("_loc"), F.lit("")))
+    values = {f"y{i}": locale_double(F.try_element_at("_serie", F.lit(str(y)))) for i, y in enumerate(years)}
+    values["last"] = locale_double(year_value("_serie", years[0]))
+    names = {"t": total_var, "c": per_capita_var}
+    pts = (p.select(F.col("_var").cast("string").alias("_var"), "_ord", code.alias(KEY), *[v.alias(n) for n, v in values.items()])
+           .where((F.length(KEY) == 7) & F.col("_var").isin(*names.values())))
+
+    def last(var: str, value: str):
+        hit = (F.col("_var") == var) & F.col(value).isNotNull()
+        return F.max_by(F.when(hit, F.col(value)), F.when(hit, F.col("_ord")))
+
+    wide = pts.groupBy(KEY).agg(*[last(v, n).alias(f"{k}_{n}") for k, v in names.items() for n in values])
+    wide = materialize(wide, "gdp-candidates")
+    filled = wide.agg(*[F.count_if(F.col(f"t_{n}").isNotNull() | F.col(f"c_{n}").isNotNull()).alias(n) for n in values]).first()
+    use = next((f"y{i}" for i in range(len(years)) if filled[f"y{i}"]), "last")
+    ano = years[0] if use == "last" else years[int(use[1:])]
+    rows = wide.select(KEY, F.lit(int(ano)).alias("ano"), F.col(f"t_{use}").alias("pib_total_mil_reais"), F.col(f"c_{use}").alias("pib_per_capita"))
+    return rows.where("pib_total_mil_reais is not null or pib_per_capita is not null"), ano
+
+
 def restrict_keys(df: DataFrame, keys: DataFrame, key: str = KEY) -> DataFrame:
     """Keep rows whose key is in ``keys`` (a semi join; the key frame is
     broadcast by the planner when its measured size allows)."""

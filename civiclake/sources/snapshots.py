@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from civiclake.operators.core import union_all
+
 
 def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet") -> DataFrame | None:
     """Rows of the newest snapshot among the folders matching ``pattern``.
@@ -21,25 +24,38 @@ def latest_snapshot(spark: SparkSession, pattern: str, fmt: str = "parquet") ->
     return spark.read.format(fmt).load(max(found)[1]) if found else None
 
 
-def latest_version(spark: SparkSession, table_path: str, committed_only: bool = True) -> str | None:
-    """The newest (highest-numbered) ``snap_*`` version folder of a versioned
-    table; by default only versions whose job committed (``_SUCCESS``)."""
-    jvm = spark._jvm
-    fs = jvm.org.apache.hadoop.fs.Path(table_path).getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(table_path)):
+STAMPED = r"^(.*?)(?:_([0-9]{4}))?$"     # fixed value: <kind>[_<year>], the folder of a snapshot
+
+
+def snapshot_inventory(spark: SparkSession, bronze: str) -> DataFrame:
+    """(kind, ano, path, committed) of every committed snapshot below ``bronze``: one
+    scan of the data files' metadata over all kinds, a folder's newest file being
+    its time. Folders whose job did not commit (no ``_SUCCESS``, which file scans do
+    not see) are left out by one listing of the markers."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    marks = hadoop(bronze).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop(f"{bronze.rstrip('/')}/*/*/parquet/_SUCCESS")) or []
+    done = spark.createDataFrame([(m.getPath().getParent().toString(),) for m in marks], "path string")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(bronze)
+             .groupBy(F.regexp_replace("path", "/[^/]+$", "").alias("path")).agg(F.max("modificationTime").alias("committed")))
+    name = F.element_at(F.split("path", "/"), -3)
+    return files.join(done, "path", "left_semi").select(
+        F.regexp_extract(name, STAMPED, 1).alias("kind"), F.regexp_extract(name, STAMPED, 2).try_cast("int").alias("ano"), "path", "committed")
+
+
+def latest_by_year(spark: SparkSession, bronze: str, kind: str, ano: int | None = None) -> DataFrame | None:
+    """S12 by kind and year: the newest committed snapshot of every year of ``kind``,
+    or of one year; newest by commit time, then by folder. None without one.
+
+    The newest per (kind, year) is one aggregate over the inventory; its paths (one
+    a year) go to the reader. Rows carry the snapshot's year in ``ano_arquivo``."""
+    found = snapshot_inventory(spark, bronze).where(F.col("kind") == kind)
+    if ano is not None:
+        found = found.where(F.col("ano") == F.lit(int(ano)))
+    newest = found.groupBy("kind", "ano").agg(F.max_by("path", F.struct("committed", "path")).alias("path")).collect()
+    if not newest:
         return None
-    names = [p.getPath().getName() for p in fs.listStatus(jvm.org.apache.hadoop.fs.Path(table_path))]
-    versions = sorted(n for n in names if n.startswith("snap_"))
-    for v in reversed(versions):
-        base = f"{table_path.rstrip('/')}/{v}"
-        if not committed_only or fs.exists(jvm.org.apache.hadoop.fs.Path(f"{base}/_SUCCESS")):
-            return base
-    return None
-
-
-def read_latest_version(spark: SparkSession, table_path: str) -> DataFrame | None:
-    v = latest_version(spark, table_path)
-    return spark.read.parquet(v) if v else None
+    parts = [spark.read.parquet(r["path"]).withColumn("ano_arquivo", F.lit(r["ano"]).cast("int")) for r in sorted(newest, key=lambda r: r["ano"] or 0)]
+    return union_all(parts)
 
 
 def table_or_empty(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:

@@ -15,7 +15,7 @@ def _snapshot(res):
 
 
 def test_batch_idempotent(spark):
-    landing = land_from_tables(spark, SF, scratch_dir(spark, "landing"), ano=1998)
+    landing = land_from_tables(spark, SF, scratch_dir(spark, "landing"))
     lake = scratch_dir(spark, "lake")
     inc = ("pib", "transferencias", "cnes")
     r1 = batch.run(spark, landing, lake, 1998, sample=100, include=inc)
@@ -40,7 +40,7 @@ def test_batch_idempotent(spark):
 
 
 def test_batch_all_municipalities(spark):
-    landing = land_from_tables(spark, SF, scratch_dir(spark, "landing"), ano=1999)
+    landing = land_from_tables(spark, SF, scratch_dir(spark, "landing"))
     lake = scratch_dir(spark, "lake")
     r = batch.run(spark, landing, lake, 1999, all_municipalities=True)
     # no key restriction: every municipality with a population row gets a health row

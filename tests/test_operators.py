@@ -183,17 +183,6 @@ def test_latest_snapshot_missing(spark):
     assert snapshots.latest_snapshot(spark, scratch_dir(spark, "none") + "/nothing_*") is None
 
 
-def test_versioned_upsert(spark):
-    t = scratch_dir(spark, "t-versioned")
-    a = spark.createDataFrame([("k1", 1, 0), ("k2", 2, 0)], "k string, v int, s int")
-    b = spark.createDataFrame([("k2", 20, 1), ("k2", 21, 2), ("k3", 3, 1)], "k string, v int, s int")
-    sinks.upsert(spark, t, a, ["k"], "s")
-    v2 = sinks.upsert(spark, t, b, ["k"], "s")
-    assert snapshots.latest_version(spark, t) == v2
-    got = {r.k: r.v for r in snapshots.read_latest_version(spark, t).collect()}
-    assert got == {"k1": 1, "k2": 21, "k3": 3}
-
-
 def test_municipality_state_null_vs_absent(spark):
     objs = ['{"id": 1100015, "nome": "A", "microrregiao": {"mesorregiao": {"UF": {"id": 11, "sigla": null}}}}',
             '{"id": 1100023, "nome": "B", "microrregiao": {"mesorregiao": {"UF": {"id": 11}}}}',
