@@ -13,13 +13,14 @@ first by coordinates that linked documents must share, and pivots work inside th
 2. The pivot of a region is the document that shares most of its buckets: among
    copies of one text that is the text itself. Every document meets the pivots of
    its regions; each comparison gives a link or not, and the size of the difference.
-3. Regions that still hold several groups go on. With pivot h, a = |A^h| and
+3. The documents that meet a pivot are its cell; linked documents share one. Cells that
+   still hold several groups go on. With pivot h, a = |A^h| and
    b = |B^h| (^ for the symmetric difference), |A^B| = a + b - 2 |A^h & B^h|: the
    triangle inequality, made sharper by the shingles that A or B has alone among the
    undecided, which cannot lie in the last term. Documents that this window and the
-   sizes part from all of a region leave it; the rest of the smaller groups become
+   sizes part from all of a cell leave it; the rest of the smaller groups become
    pivots, a bounded number a round, and meet their window. A pivot that has met its
-   region leaves it, so this ends with every region decided.
+   cell leaves it, so this ends with every cell decided.
 
 Equal shingle sets are one node from the start, and pairs already in one
 component are not compared: only components are asked for. Sets are compared by
@@ -42,8 +43,8 @@ from civiclake.llm.components import components, extended
 from civiclake.llm.key_runs import MASK, PASS, SPEC, Combiner, batches, repeated
 from civiclake.session import materialize, remove
 
-#: pivots of a region in the first round; four times as many in each next one
-PIVOTS = 16
+#: further pivots of a cell in the first round; four times as many in each next one
+PIVOTS = 512
 #: documents that are sent to one copy of a pivot
 MEMBERS = 256
 BITS = 28
@@ -234,26 +235,28 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     tried = tried.unionByName(more)
 
     most = PIVOTS
-    live = divided(members.select("region", "node", "pivot"), roots)
+    live = divided(members.select("pivot", "node").distinct(), roots)
     while not live.isEmpty():
         seen = live.select("node").union(live.select("pivot")).distinct()
         own = lonely(sets.join(seen, "node", "left_semi"))
         told = tried.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "delta")
         facts = live.join(own, "node", "left").join(told, ["node", "pivot"], "left").join(sizes, "node").select(
-            "region", "node", "pivot", "root", "n", F.coalesce("own", F.lit(0)).alias("own"),
+            "node", "pivot", "root", "n", F.coalesce("own", F.lit(0)).alias("own"),
             F.when(F.col("node") == F.col("pivot"), F.lit(0)).otherwise(F.col("delta")).alias("delta"))
         open_ = materialize(undecided(materialize(facts, "jaccard-facts"), num, den), "jaccard-open")
         turns = materialize(outsiders(open_), "jaccard-pivots")
-        pivots = turns.filter(F.col("turn") <= most)
-        todo = materialize(spokes(open_, pivots, tried, num, den), "jaccard-spokes")
+        further = turns.filter(F.col("turn") <= most)
+        todo = materialize(spokes(open_, further, tried, num, den), "jaccard-spokes")
         new = materialize(compare(todo, sets, num, den), "jaccard-compared")
         if not new.filter("linked").isEmpty():
             roots = extended(roots, new.filter("linked").select("a", "b"))
         tried = tried.unionByName(new)
-        # a pivot has met its whole region and leaves it; a region without further pivots is decided
-        more_to_come = turns.filter(F.col("turn") > most).select("region").distinct()
-        left = open_.join(more_to_come, "region", "left_semi").join(pivots.select("region", "node"), ["region", "node"], "left_anti")
-        live = divided(left.select("region", "node", "pivot"), roots)
+        # a pivot has met its whole cell and leaves it; a cell without further ones is decided
+        more_to_come = turns.filter(F.col("turn") > most).select("pivot").distinct()
+        if more_to_come.isEmpty():
+            break
+        left = open_.join(more_to_come, "pivot", "left_semi").join(further.select("pivot", "node"), ["pivot", "node"], "left_anti")
+        live = divided(left.select("pivot", "node"), roots)
         most *= 4
     for table in (members, stars, sets):
         dropped(table)
@@ -285,37 +288,34 @@ def placed(regions: DataFrame, known: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.join(top, "region").select("region", "node", "n", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n"))
 
 
-def divided(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(region, node, pivot, root) of the regions with several components; of regions
-    with the same nodes, one."""
-    rows = materialize(members.join(roots, "node", "left").select("region", "node", "pivot", F.coalesce("root", "node").alias("root")), "jaccard-rows")
-    open_ = (rows.groupBy("region").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.bit_xor(F.xxhash64("node")).alias("x"),
-                                        F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("y"))
-             .filter("lo <> hi").groupBy("x", "y").agg(F.min("region").alias("region")).select("region"))
-    return materialize(rows.join(open_, "region"), "jaccard-live")
+def divided(cells: DataFrame, roots: DataFrame) -> DataFrame:
+    """(pivot, node, root) of the cells with several components."""
+    rows = materialize(cells.join(roots, "node", "left").select("pivot", "node", F.coalesce("root", "node").alias("root")), "jaccard-rows")
+    open_ = rows.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("pivot")
+    return materialize(rows.join(open_, "pivot"), "jaccard-live")
 
 
 def undecided(facts: DataFrame, num: int, den: int) -> DataFrame:
-    """The rows of ``facts`` that may have a link inside their region.
+    """The rows of ``facts`` that may have a link inside their cell.
 
     Whatever the partner B, |A^B| is at least A's own shingles, and with the pivot's
-    differences at least ``a - max(b - 2 * own_B)`` over the region."""
-    per = facts.groupBy("region").agg(F.max("n").alias("n_max"), F.max(F.col("delta") - 2 * F.col("own")).alias("slack"),
-                                      (F.count("delta") == F.count(F.lit(1))).alias("all_told"))
+    differences at least ``a - max(b - 2 * own_B)`` over the cell."""
+    per = facts.groupBy("pivot").agg(F.max("n").alias("n_max"), F.max(F.col("delta") - 2 * F.col("own")).alias("slack"),
+                                     (F.count("delta") == F.count(F.lit(1))).alias("all_told"))
     largest = F.least(F.col("n_max"), F.floor(F.col("n") * den / num))
     limit = (den - num) * (F.col("n") + largest)
     room = (den + num) * F.col("own") <= limit
     window = ~F.col("all_told") | ((den + num) * (F.col("delta") - F.col("slack")) <= limit)
-    return facts.join(per, "region").filter(room & window).select(*facts.columns)
+    return facts.join(per, "pivot").filter(room & window).select(*facts.columns)
 
 
 def outsiders(open_: DataFrame) -> DataFrame:
-    """(region, node, root, n, own, delta, turn): the nodes of each region that are
+    """(pivot, node, root, n, own, delta, turn): the nodes of each cell that are
     not in its largest component, those with the fewest own shingles first."""
-    count = open_.groupBy("region", "root").agg(F.count(F.lit(1)).alias("c"))
-    main = count.groupBy("region").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    out = open_.join(main, "region").filter("root <> main").select("region", "node", "root", "n", "own", "delta")
-    return out.withColumn("turn", F.row_number().over(Window.partitionBy("region").orderBy(F.col("own") / F.col("n"), F.xxhash64("node"))))
+    count = open_.groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = count.groupBy("pivot").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
+    out = open_.join(main, "pivot").filter("root <> main").select("pivot", "node", "root", "n", "own", "delta")
+    return out.withColumn("turn", F.row_number().over(Window.partitionBy("pivot").orderBy(F.col("own") / F.col("n"), F.xxhash64("node"))))
 
 
 def lonely(sets: DataFrame) -> DataFrame:
@@ -333,17 +333,17 @@ def lonely(sets: DataFrame) -> DataFrame:
     return count.filter("c = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
-def spokes(open_: DataFrame, pivots: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of a node and a pivot of its region that are in different
+def spokes(open_: DataFrame, further: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of a node and a further pivot of its cell that are in different
     components, have not been compared, and may be linked: their sizes, their own
-    shingles and their differences from the region's first pivot leave room."""
-    p = pivots.select("region", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"), F.col("delta").alias("dp"))
+    shingles and their differences from the cell's first pivot leave room."""
+    p = further.select("pivot", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"), F.col("delta").alias("dp"))
     limit = (den - num) * (F.col("n") + F.col("np"))
     room = (den + num) * (F.col("own") + F.col("op")) <= limit
     near = den * F.least("n", "np") >= num * F.greatest("n", "np")
     apart_ = F.col("delta") + F.col("dp") - 2 * F.least(F.col("delta") - F.col("own"), F.col("dp") - F.col("op"))
     window = F.coalesce((den + num) * apart_ <= limit, F.lit(True))
-    rows = open_.join(p, "region").filter("root <> rp").filter(near & room & window)
+    rows = open_.join(p, "pivot").filter("root <> rp").filter(near & room & window)
     pairs = rows.select(F.col("node").alias("a"), F.col("p").alias("b")).distinct()
     # two pivots may have found each other
     one = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(F.struct("a", "b")).alias("ab")).select("ab.*")
