@@ -4,7 +4,7 @@ Conversations that share their first turns are merged: a turn that several of
 them share is emitted once, and the turns are laid out depth first. Every node
 (turn) has the position its tokens start at, counted along its own conversation,
 and the intervals of its ancestors, which are all it may attend to besides
-itself. A conversation is read back by following its leaf's ancestors.
+itself (one interval for each branch: ancestors that lie side by side are one). A conversation is read back by following its leaf's ancestors.
 """
 
 from __future__ import annotations
@@ -60,6 +60,13 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return [(r, unescape(t)) for r, t in out]
 
 
+def joined(intervals: list[int], start: int, end: int) -> list[int]:
+    """Flat intervals with [start, end) after them; where the last one ends there it grows."""
+    if intervals and intervals[-1] == start:
+        return [*intervals[:-1], end]
+    return [*intervals, start, end]
+
+
 class Tree:
     """One sequence under construction."""
 
@@ -86,7 +93,7 @@ class Tree:
             c["loss_end"].append(begin + len(parts[1]) if loss else 0)
             c["parent"].append(parent)
             c["position"].append(0 if parent < 0 else c["position"][parent] + c["end"][parent] - c["start"][parent])
-            c["attends"].append([] if parent < 0 else c["attends"][parent] + [c["start"][parent], c["end"][parent]])
+            c["attends"].append([] if parent < 0 else joined(c["attends"][parent], c["start"][parent], c["end"][parent]))
             self.ids += parts
             self.size += sum(map(len, parts))
             c["end"].append(self.size)

@@ -36,6 +36,9 @@ NAMES = frozenset("""ad ads adv advert adverts advertisement advertising banner
 navbar navigation breadcrumb breadcrumbs footer header masthead topbar comment comments reply replies respond disqus cookie cookies
 consent notice notices gdpr popup modal overlay newsletter subscribe subscription signup login search share sharing social related recommended
 recommendations widget toolbar pagination pager skip copyright alert form""".split())
+# fixed values: what may stand beside such a name in the name of a part inside an article
+GLUE = frozenset("""area articles bar block box button buttons container content icons inner item items label link links list module panel posts row
+section slot stories text thread title top unit wrapper""".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"),
           "option": ("option",), "thead": ("tr", "td", "th"), "tbody": ("tr", "td", "th", "thead"), "body": ("head",)}
 SCOPES = {"li": ("ul", "ol", "menu"), "tr": ("table",), "td": ("table", "tr"), "th": ("table", "tr"), "thead": ("table",), "tbody": ("table",),
@@ -45,6 +48,12 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>
 ATTR = re.compile(r"""(class|id|role|style|hidden)(?=[\s=>/]|\Z)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 
+def closed(attrs: str) -> bool:
+    """Whether a tag with these attributes ends itself (a slash, but not one that
+    belongs to an unquoted value)."""
+    return attrs.endswith("/") and not re.search(r"=\s*[^\s\"']*/\Z", attrs)
+
+
 class Node:
     __slots__ = ("tag", "parent", "items", "noise", "chars", "tags", "link_chars", "link_tags", "density", "total")
 
@@ -55,36 +64,66 @@ class Node:
         self.density = self.total = 0.0
 
 
-def noisy(attrs: str) -> bool:
+def noisy(attrs: str, inside: bool = False) -> bool:
+    """Whether the attributes mark a menu, advert, form and the like. Inside an
+    article a name counts only if all of it says so ("share-buttons", but not
+    "share-price" or "alert-levels")."""
     for m in ATTR.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or name == "style" and re.search(r"display\s*:\s*none", value) or name == "role" and value in ROLES:
             return True
         if name in ("class", "id"):
             for word in value.split():
-                parts = re.split(r"[^a-z]+", word)
-                if parts[0] not in ("has", "with", "no") and not NAMES.isdisjoint(parts):
+                parts = [p for p in re.split(r"[^a-z]+", word) if p]
+                if not parts or parts[0] in ("has", "with", "no") or NAMES.isdisjoint(parts):
+                    continue
+                if not inside or all(p in NAMES or p in GLUE for p in parts):
                     return True
     return False
 
 
+class Open:
+    """A stack of open tags that knows how many of each are open."""
+
+    def __init__(self) -> None:
+        self.tags: list[str] = []
+        self.count: dict[str, int] = {}
+
+    def push(self, tag: str) -> None:
+        self.tags.append(tag)
+        self.count[tag] = self.count.get(tag, 0) + 1
+
+    def pop(self) -> str:
+        tag = self.tags.pop()
+        self.count[tag] -= 1
+        return tag
+
+    def has(self, *tags: str) -> bool:
+        return any(self.count.get(t) for t in tags)
+
+
 def parse(page: str) -> Node:
-    """The tree of block elements; inline elements belong to their block's text."""
+    """The tree of block elements; inline elements belong to their block's text.
+    Text in inline elements that are noise is left out."""
     root = at = Node("html", None, False)
-    stack: list[str] = []  # open inline elements of the current block
-    blocks = [root]
+    inline, muted = Open(), Open()  # open inline elements of the current block; those from the first noisy one on
+    blocks, names = [root], Open()
     pos, end = 0, len(page)
 
     def text(raw: str) -> None:
-        if raw:
+        if raw and not muted.tags:
             run = at.items[-1] if at.items and isinstance(at.items[-1], list) else None
             if run is None:
-                at.items.append(run := ["", 0, 0, 0, 0])
+                at.items.append(run := [[], 0, 0, 0, 0])
             words = html.unescape(raw) if "&" in raw else raw
             n = sum(map(len, words.split()))
-            run[0] += words
+            run[0].append(words)
             run[1] += n
-            run[2] += n if "a" in stack else 0
+            run[2] += n if inline.has("a") else 0
+
+    def shut_block() -> None:
+        blocks.pop()
+        names.pop()
 
     while pos < end:
         m = TOKEN.search(page, pos)
@@ -99,42 +138,53 @@ def parse(page: str) -> Node:
         tag = tag.lower()
         if closing:
             if tag in INLINE:
-                if tag in stack:
-                    del stack[len(stack) - 1 - stack[::-1].index(tag):]
+                for stack in (muted, inline):
+                    if stack.has(tag):
+                        while stack.pop() != tag:
+                            pass
+                        break
                 continue
-            if any(n.tag == tag for n in blocks[1:]):
+            if names.has(tag):
                 while blocks[-1].tag != tag:
-                    blocks.pop()
-                blocks.pop()
-                at, stack = blocks[-1], []
+                    shut_block()
+                shut_block()
+                at, inline, muted = blocks[-1], Open(), Open()
             continue
         if tag in INLINE:
             if tag == "br":
                 text(" ")
+            if muted.tags or attrs.strip() and noisy(attrs, inside=True):
+                if tag not in VOID and not closed(attrs):
+                    muted.push(tag)
+                continue
             if not at.items or not isinstance(at.items[-1], list):
-                at.items.append(["", 0, 0, 0, 0])
+                at.items.append([[], 0, 0, 0, 0])
             at.items[-1][3] += 1
             at.items[-1][4] += tag == "a"
-            if tag not in VOID and not attrs.endswith("/"):
-                stack.append(tag)
+            if tag not in VOID and not closed(attrs):
+                inline.push(tag)
             continue
         if tag == "html":
             continue
-        shut = CLOSES.get(tag, ())
-        scope = SCOPES.get(tag, ())
-        for i in range(len(blocks) - 1, 0, -1):
-            if blocks[i].tag in scope:
+        shut, scope = CLOSES.get(tag, ()), SCOPES.get(tag, ())
+        if blocks[-1].tag == "p" and len(blocks) > 1:
+            shut_block()
+        # elements that this one ends, up to the one that it belongs to
+        while names.has(*shut) and blocks[-1].tag not in scope:
+            last = next(i for i in range(len(blocks) - 1, -1, -1) if blocks[i].tag in shut or blocks[i].tag in scope)
+            if blocks[last].tag in scope:
                 break
-            if blocks[i].tag == "p" and i == len(blocks) - 1 or blocks[i].tag in shut:
-                del blocks[i:]
-        node = Node(tag, blocks[-1], tag in DROP or noisy(attrs))
+            while len(blocks) > last:
+                shut_block()
+        node = Node(tag, blocks[-1], tag in DROP or noisy(attrs, names.has("article", "main")))
         blocks[-1].items.append(node)
-        stack = []
+        inline, muted = Open(), Open()
         if tag in RAW:
             close = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, pos)
             pos = close.end() if close else end
-        elif tag not in VOID and not attrs.endswith("/"):
+        elif tag not in VOID and not closed(attrs):
             blocks.append(node)
+            names.push(tag)
         at = blocks[-1]
     return root
 
@@ -172,8 +222,9 @@ def without_noise(root: Node) -> None:
     for n in reversed(order):
         if (n.tag in ("article", "main", "body") and not n.noise or n in holds) and n.parent:
             holds.add(n.parent)
-    for n in order:
-        in_article = any(x.tag in ("article", "main") for x in above(n))
+    inside: dict[Node, bool] = {}
+    for n in order:  # parents first
+        in_article = inside[n] = n.parent is not None and (n.parent.tag in ("article", "main") or inside[n.parent])
         keep = []
         for x in n.items:
             if isinstance(x, Node):
@@ -225,10 +276,15 @@ def blocks_of(n: Node, out: list[str]) -> None:
         x = todo.pop()
         if isinstance(x, Node):
             todo += reversed(x.items)
-        elif line := " ".join(x[0].split()):
+        elif line := " ".join("".join(x[0]).split()):
             out.append(line)
 
 
+def menu(n: Node) -> bool:
+    """Two links or more and nothing else."""
+    return n.tag not in ("p", "li", "h1", "h2", "h3", "body") and n.link_tags > 1 and n.chars == n.link_chars > 0
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks in page order, one per line."""
     if not page:
@@ -240,6 +296,11 @@ def main_text(page: str | None) -> str:
     without_noise(root)
     measure(root)
     order = nodes_of(body)
+    if 2 * body.link_chars < body.chars and not any(n.tag in ("article", "main") for n in order):
+        for n in order:
+            n.items = [x for x in n.items if not (isinstance(x, Node) and menu(x))]
+        measure(root)
+        order = nodes_of(body)
     weigh(order, share)
     if not body.chars:
         return ""
@@ -267,7 +328,7 @@ def main_text(page: str | None) -> str:
     while todo:
         n = todo.pop()
         if isinstance(n, list):
-            if line := " ".join(n[0].split()):
+            if line := " ".join("".join(n[0]).split()):
                 out.append(line)
             continue
         linked = n.density < threshold and 2 * n.link_chars > n.chars

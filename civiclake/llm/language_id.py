@@ -10,11 +10,11 @@ place and the relative difference does not fall with length.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +26,12 @@ PIECE = 4_096
 
 
 def letters(text: str) -> bytes:
-    """Lower-case words of letters, one space around each: what is compressed."""
-    return (" " + re.sub(r"[\W\d_]+", " ", text.lower()).strip() + " ").encode()
+    """Lower-case words of letters and their marks, one space around each: what is
+    compressed. Without a letter (digits, fractions, circled numbers, marks alone)
+    there are none."""
+    if not regex.search(r"\p{L}", text):
+        return b"  "
+    return (" " + regex.sub(r"[^\p{L}\p{M}]+", " ", text.lower()).strip() + " ").encode()
 
 
 @dataclass(frozen=True)

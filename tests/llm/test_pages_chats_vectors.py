@@ -3,12 +3,13 @@
 import hashlib
 import html
 import re
+import time
 
 import numpy as np
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from civiclake.llm import chat_tree, embedding_dedup, html_extract
+from civiclake.llm import chat_tree, embedding_dedup, html_extract, language_id, packing
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -55,6 +56,53 @@ def test_article_in_sections_is_whole():
     assert html_extract.main_text(f"<body><article><p>{'x' * 200}</p></article>{form}</body>") == "x" * 200
 
 
+def test_names_inside_an_article_and_noise_in_lines():
+    a = '<article><p class="share-price">The share price rose to ten.</p><div class="alert-levels"><p>Alert levels are low.</p></div>'
+    b = '<div class="share-buttons"><a href=x>Share</a></div><p>Text <span class="ad">buy now</span>goes <span hidden>not <b>this</b> </span>on<span>.</span></p></article>'
+    page = f"<body><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul>{a}{b}</body>"
+    assert html_extract.main_text(page) == "The share price rose to ten.\nAlert levels are low.\nText goes on."
+    small = "<body><ul><li><a href=/>Home</a><li><a href=/n>News</a></ul><h1>Head</h1><p>Some words of text stand here, <a href=z>a link</a> too.</p></body>"
+    assert html_extract.main_text(small) == "Head\nSome words of text stand here, a link too."
+
+
+def test_deep_and_unclosed_pages_in_linear_time():
+    t0 = time.time()
+    for n in (50_000, 100_000):
+        assert html_extract.main_text("<div>" * n + "deep") == "deep"
+        assert html_extract.main_text("<p>" + "<b>x " * n) == " ".join(["x"] * n)
+        assert html_extract.main_text("<body>" + "<ul><li>" * n + "deep").split() == ["deep"]
+    assert time.time() - t0 < 30
+
+
+def test_letters_and_marks_alone_tell_the_language():
+    empty = language_id.letters("")
+    assert all(language_id.letters(t) == empty for t in ("\u00b2 \u00bd \u2460", "12 \u0967\u0968", "\u0301", " \n"))
+    hindi = "\u0939\u093f\u0928\u094d\u0926\u0940"
+    assert language_id.letters(hindi + "1") == f" {hindi} ".encode()
+
+
+def test_long_runs_of_white_space_are_encoded():
+    encode, library = packing.encoder(RANKS), packing.by_library(public_tokenizers.path("byte_bpe_50k.json"))
+    for c in " \n\t\u00a0":
+        text = "a" + c * 1_100_000 + "b"
+        assert (encode(text) == library(text)).all()
+
+
+def test_attention_intervals_follow_branches_not_turns(spark):
+    rows = [(1, i, "user", f"t{i}") for i in range(2000)] + [(2, i, "user", f"t{i}") for i in range(1000)] + [(2, 1000, "user", "other"), (2, 1001, "user", "more")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    convs = chat_tree.conversations(turns, "conv_id", "turn", "role", "text")
+    tree = chat_tree.format_trees(convs.coalesce(1), RANKS, sequence_tokens=1 << 20).first()
+    assert max(len(x) for x in tree.node_attends) <= 4
+    for n in (1, 999, 1500, len(tree.node_start) - 1):
+        above, up = [], tree.node_parent[n]
+        while up >= 0:
+            above.append((tree.node_start[up], tree.node_end[up]))
+            up = tree.node_parent[up]
+        flat = tree.node_attends[n]
+        assert {t for a, b in zip(flat[::2], flat[1::2]) for t in range(a, b)} == {t for a, b in above for t in range(a, b)}
+
+
 def test_conversations_read_back(spark):
     text = "</s>[INST] ok [/INST]"
     rows = [(-7, 0, "user", text), (-7, 1, "assistant", text), (-8, 0, "to]ol[", "a\\"), (-8, 1, "assistant", "\\ <s> [OUT] </s> \\"), (-8, None, "user", None),
