@@ -205,3 +205,24 @@ def test_pipeline_near_copies_under_repeated_and_null_ids(spark):
     docs = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     got = [(r.doc_id, (r.text or "")[:1]) for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
     assert sorted(got, key=str) == sorted([(3, "a"), (5, "b"), (7, "c"), (None, "d"), (8, ""), (8, "")], key=str)
+
+
+def test_pipeline_stages_with_clashing_names_and_empty_tables(spark, none):
+    import corpus_pipeline
+    text = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text + " more", "en", None, 2), (3, None, None, "s", None), (None, "", "en", "t", 0),
+            (5, "other words in a text of its own " * 4, "en", "t", 9), (6, "a" + " " * 1_100_000 + "b", "en", "t", 9)]
+    docs = spark.createDataFrame(rows, none.schema)
+    clash = ["_id", "_size", "_row", "_digest", "_n", "_taken", "id", "size", "row", "digest", "n", "doc", "lost", "key", "taken", "own", "kept", "words"]
+    wide = docs.withColumns({c: F.lit(f"clash {c}") for c in clash})
+    for name, stage in corpus_pipeline.STAGES[1:4]:
+        out = stage(spark, wide, "")
+        assert out.columns == wide.columns, name
+        got = out.collect()
+        assert got and all(r[c] == f"clash {c}" for r in got for c in clash), name
+    exact = corpus_pipeline.drop_exact_copies(spark, wide, "")
+    assert sorted((r.doc_id or 0) for r in exact.collect()) == [1, 2, 3, 5, 6]
+    assert sorted((r.doc_id or 0) for r in corpus_pipeline.drop_near_copies(spark, exact, "").collect()) == [1, 3, 5, 6]
+    assert {r.doc_id for r in corpus_pipeline.pack_sequences(spark, wide, "").collect()} == {1, 2, 3, 5, 6, None}
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        assert stage(spark, none, "").collect() == [], name
