@@ -3,6 +3,7 @@
 Every stage takes (spark, docs, sf_dir) and works on all that the stage before
 kept; all but the last return the columns of documents. Decisions are joined back
 by document id and digest or size, or by a row key, so ids may repeat or be null.
+Extra columns may have any name.
 """
 
 from __future__ import annotations
@@ -25,54 +26,66 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*named)
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """All columns in one struct, so that no name of theirs meets a stage's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+
+
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts equal without white space."""
-    found = materialize(exact_dedup.dedup(docs), "pipeline-exact")
+    """One row of each group of texts equal without white space, the longest text's,
+    then the least id's (null last). Null, empty and blank texts are one group;
+    an empty table stays empty."""
+    found = materialize(exact_dedup.dedup(docs.select("doc_id", "text")), "pipeline-exact")
     gone = found.filter(~F.col("kept"))
-    keyed = docs.withColumn("_digest", F.unhex(F.sha2(exact_dedup.squeezed(F.col("text")), 256)))
-    lost = gone.select(F.col("doc_id").alias("_id"), F.col("digest").alias("_lost")).distinct()
-    left = keyed.join(lost, (F.col("_digest") == F.col("_lost")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    keyed = wrapped(docs).withColumn("digest", F.unhex(F.sha2(exact_dedup.squeezed(F.col("doc.text")), 256)))
+    lost = gone.select(F.col("doc_id").alias("id"), F.col("digest").alias("lost")).distinct()
+    left = keyed.join(lost, (F.col("digest") == F.col("lost")) & F.col("doc.doc_id").eqNullSafe(F.col("id")), "left_anti").select("doc")
     # an id that repeats with the text that stays: all its rows went, one comes back
-    again = lost.join(found.filter("kept").select("doc_id", "digest"), (F.col("_lost") == F.col("digest")) & F.col("_id").eqNullSafe(F.col("doc_id"))).select("_id", "_lost")
+    again = lost.join(found.filter("kept").select("doc_id", "digest"), (F.col("lost") == F.col("digest")) & F.col("id").eqNullSafe(F.col("doc_id"))).select("id", "lost")
     again = materialize(again, "pipeline-again")
     if not again.isEmpty():
-        back = keyed.join(again, (F.col("_digest") == F.col("_lost")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-        longest = back.groupBy("_digest").agg(F.max(F.struct(F.length("text").alias("_n"), *docs.columns)).alias("r"))
-        left = left.unionByName(longest.select("r.*", "_digest").drop("_n"))
-    return left.select(*docs.columns)
+        back = keyed.join(again, (F.col("digest") == F.col("lost")) & F.col("doc.doc_id").eqNullSafe(F.col("id")), "left_semi")
+        longest = back.groupBy("digest").agg(F.max(F.struct(F.length("doc.text").alias("n"), "doc")).alias("r"))
+        left = left.unionByName(longest.select("r.doc"))
+    return left.select("doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that of the least id (null last), of each group linked by 5-word
     shingle sets of Jaccard 0.8 or more. Rows are told apart by a key of their own,
-    so ids may repeat or be null."""
-    keyed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-keyed")
-    found = jaccard_join.join(keyed, id_col="_row", words=5, num=80, den=100)
-    ids = keyed.select(F.col("_row").alias("_key"), F.col("doc_id").alias("_id"))
-    rows = found.select(F.col("doc_id").alias("_key"), "component_id").join(ids, "_key")
-    order = F.struct(F.col("_id").isNull().alias("no_id"), "_id", "_key")
-    stay = rows.groupBy("component_id").agg(F.min(order).alias("best")).select(F.col("best._key").alias("_row"))
-    return keyed.join(materialize(stay, "pipeline-near"), "_row", "left_semi").select(*docs.columns)
+    so ids may repeat or be null; texts without words are in no group."""
+    keyed = materialize(wrapped(docs).withColumn("row", F.monotonically_increasing_id()), "pipeline-keyed")
+    found = jaccard_join.join(keyed.select("row", F.col("doc.text").alias("text")), id_col="row", words=5, num=80, den=100)
+    ids = keyed.select(F.col("row").alias("key"), F.col("doc.doc_id").alias("id"))
+    rows = found.select(F.col("doc_id").alias("key"), "component_id").join(ids, "key")
+    order = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
+    stay = rows.groupBy("component_id").agg(F.min(order).alias("best")).select(F.col("best.key").alias("row"))
+    return keyed.join(materialize(stay, "pipeline-near"), "row", "left_semi").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix at target weights: a document comes once for each whole time it is
     taken, and cut to its first words where a block ends inside it (one document
-    per shard)."""
-    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(F.max("taken").alias("_taken"))
-    taken = materialize(taken.filter("_taken > 0"), "pipeline-mix")
-    size = F.coalesce(F.regexp_count("text", F.lit(mixing.WORD)), F.lit(0)).cast("long")
-    rows = docs.withColumn("_n", size).join(taken, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size")))
-    whole = F.array_repeat(F.col("_size"), F.floor(F.col("_taken") / F.col("_size")).cast("int"))
-    rest = F.col("_taken") % F.col("_size")
-    rows = rows.withColumn("_words", F.explode(F.concat(whole, F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))))
-    words = F.regexp_extract_all("text", F.lit(f"({mixing.WORD})"))
-    cut = F.when(F.col("_words") == F.col("_size"), F.col("text")).otherwise(F.array_join(F.slice(words, 1, F.col("_words").cast("int")), " "))
-    return rows.withColumn("text", cut).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    per shard). Documents without words are taken 0 times; an empty table stays
+    empty; a column ``n_chars`` is set to the new length."""
+    taken = mixing.mix(docs).groupBy(F.col("doc_id").alias("id"), "size").agg(F.max("taken").alias("taken"))
+    taken = materialize(taken.filter("taken > 0"), "pipeline-mix")
+    size = F.coalesce(F.regexp_count("doc.text", F.lit(mixing.WORD)), F.lit(0)).cast("long")
+    rows = wrapped(docs).withColumn("own", size).join(taken, F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("size")))
+    whole = F.array_repeat(F.col("size"), F.floor(F.col("taken") / F.col("size")).cast("int"))
+    rest = F.col("taken") % F.col("size")
+    rows = rows.select("doc", "size", F.explode(F.concat(whole, F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<bigint>")))).alias("n"))
+    words = F.regexp_extract_all("doc.text", F.lit(f"({mixing.WORD})"))
+    cut = F.when(F.col("n") == F.col("size"), F.col("doc.text")).otherwise(F.array_join(F.slice(words, 1, F.col("n").cast("int")), " "))
+    rows = rows.select(F.col("doc").withField("text", cut).alias("doc"))
+    if "n_chars" in docs.columns:
+        rows = rows.select(F.col("doc").withField("n_chars", F.length("doc.text").cast(docs.schema["n_chars"].dataType)).alias("doc"))
+    return rows.select("doc.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents placed in sequences of 2048 tokens."""
+    """Pieces of documents placed in sequences of 2048 tokens. Null and empty texts
+    are the end id alone; an empty table gives no piece."""
     return packing.pack(docs, tokenizer(), capacity=2048, keep={"ids_crc32": F.crc32("ids")})
 
 
