@@ -6,11 +6,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from civiclake.plans.oracle import SQL as SQLS
+from civiclake.plans.queries import REGISTRY as QUERIES
 from tools.oracle_check import TABLES, value_hash
 
 SF = os.environ.get("CIVICLAKE_TEST_SF", "/root/testdata/sf0.01")
-QUERIES = E.queries()
-SQLS = E.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -26,6 +26,7 @@ def duck():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(SQLS)
+    assert set(QUERIES) <= set(E.queries()) and set(SQLS) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):
