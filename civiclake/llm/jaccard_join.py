@@ -16,8 +16,9 @@ first by coordinates that linked documents must share, and pivots work inside th
 3. The documents that meet a pivot are its cell; linked documents share one. Cells that
    still hold several groups go on. With pivot h, a = |A^h| and
    b = |B^h| (^ for the symmetric difference), |A^B| = a + b - 2 |A^h & B^h|: the
-   triangle inequality, made sharper by the shingles that A or B has alone among the
-   undecided, which cannot lie in the last term. Documents that this window and the
+   triangle inequality, made sharper by what the last term can be at most: shingles that
+   A or B has alone among the undecided are not in it, and of the rest no more than the
+   two differences have in common when counted in ``PARTS`` parts by hash. Documents that this window and the
    sizes part from all of a cell leave it; the rest of the smaller groups become
    pivots, a bounded number a round, and meet their window. A pivot that has met its
    cell leaves it, so this ends with every cell decided.
@@ -47,6 +48,8 @@ from civiclake.session import materialize, remove
 PIVOTS = 512
 #: documents that are sent to one copy of a pivot
 MEMBERS = 256
+#: parts of a difference that are counted
+PARTS = 128
 BITS = 28
 
 
@@ -104,6 +107,13 @@ def linked(a: np.ndarray, b: np.ndarray, num: int, den: int) -> tuple[bool, int]
     return den * both >= num * union, union - both
 
 
+def parted(a: np.ndarray, b: np.ndarray) -> list[int] | None:
+    """How many shingles of the difference of two sets lie in each part; None if a
+    part is too large to be counted."""
+    counts = np.bincount((np.setxor1d(a, b, assume_unique=True) >> np.uint64(64 - PARTS.bit_length() + 1)).astype(np.int64), minlength=PARTS)
+    return counts.tolist() if counts.max() < 1 << 15 else None
+
+
 def dropped(df: DataFrame) -> None:
     """Delete a materialized table that nothing reads any more."""
     for folder in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
@@ -169,31 +179,31 @@ def sets_of(docs: DataFrame, text_col: str, n: int, wanted: DataFrame, bits: int
 
 
 def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, linked, delta) of the node pairs (a, b), b being the pivot: its set
-    is sent once for every ``MEMBERS`` of its a."""
+    """(a, b, linked, delta, parts) of the node pairs (a, b), b being the pivot: its
+    set is sent once for every ``MEMBERS`` of its a."""
     total = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("copies"))
     # written, so that a join sees how small it is before it moves the sets
     dealt = materialize(pairs.join(total, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).alias("copy")), "jaccard-dealt")
     members = dealt.join(sets.withColumnRenamed("node", "a"), "a").select("b", "copy", "a", "shingles")
     tops = dealt.select("b", "copy").distinct().join(sets.withColumnRenamed("node", "b"), "b")
     rows = members.unionByName(tops.select("b", "copy", F.lit(None).cast("long").alias("a"), "shingles"))
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("delta", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("delta", pa.int64()), ("parts", pa.list_(pa.int16()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         top = np.empty(0, np.uint64)
         for p in parts:
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], [], [], []]
             for b, a, s in zip(p.column(0).to_pylist(), p.column(2).to_pylist(), p.column(3), strict=True):
                 x = np.frombuffer(s.as_buffer(), np.uint64)
                 if a is None:
                     top = x.copy()
                     continue
-                for column, v in zip(out, (a, b, *linked(x, top, num, den)), strict=True):
+                for column, v in zip(out, (a, b, *linked(x, top, num, den), parted(x, top)), strict=True):
                     column.append(v)
             yield table_batch(schema, out)
 
     return rows.repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first()).mapInArrow(
-        run, "a long, b long, linked boolean, delta long")
+        run, "a long, b long, linked boolean, delta long, parts array<smallint>")
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, num: int = 85, den: int = 100,
@@ -239,10 +249,10 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     while not live.isEmpty():
         seen = live.select("node").union(live.select("pivot")).distinct()
         own = lonely(sets.join(seen, "node", "left_semi"))
-        told = tried.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "delta")
+        told = tried.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "delta", "parts")
         facts = live.join(own, "node", "left").join(told, ["node", "pivot"], "left").join(sizes, "node").select(
             "node", "pivot", "root", "n", F.coalesce("own", F.lit(0)).alias("own"),
-            F.when(F.col("node") == F.col("pivot"), F.lit(0)).otherwise(F.col("delta")).alias("delta"))
+            F.when(F.col("node") == F.col("pivot"), F.lit(0)).otherwise(F.col("delta")).alias("delta"), "parts")
         open_ = materialize(undecided(materialize(facts, "jaccard-facts"), num, den), "jaccard-open")
         turns = materialize(outsiders(open_), "jaccard-pivots")
         further = turns.filter(F.col("turn") <= most)
@@ -310,11 +320,11 @@ def undecided(facts: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def outsiders(open_: DataFrame) -> DataFrame:
-    """(pivot, node, root, n, own, delta, turn): the nodes of each cell that are
+    """(pivot, node, root, n, own, delta, parts, turn): the nodes of each cell that are
     not in its largest component, those with the fewest own shingles first."""
     count = open_.groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("c"))
     main = count.groupBy("pivot").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    out = open_.join(main, "pivot").filter("root <> main").select("pivot", "node", "root", "n", "own", "delta")
+    out = open_.join(main, "pivot").filter("root <> main").select("pivot", "node", "root", "n", "own", "delta", "parts")
     return out.withColumn("turn", F.row_number().over(Window.partitionBy("pivot").orderBy(F.col("own") / F.col("n"), F.xxhash64("node"))))
 
 
@@ -337,13 +347,15 @@ def spokes(open_: DataFrame, further: DataFrame, tried: DataFrame, num: int, den
     """Pairs (a, b) of a node and a further pivot of its cell that are in different
     components, have not been compared, and may be linked: their sizes, their own
     shingles and their differences from the cell's first pivot leave room."""
-    p = further.select("pivot", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"), F.col("delta").alias("dp"))
+    p = further.select("pivot", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"), F.col("delta").alias("dp"), F.col("parts").alias("pp"))
     limit = (den - num) * (F.col("n") + F.col("np"))
     room = (den + num) * (F.col("own") + F.col("op")) <= limit
     near = den * F.least("n", "np") >= num * F.greatest("n", "np")
-    apart_ = F.col("delta") + F.col("dp") - 2 * F.least(F.col("delta") - F.col("own"), F.col("dp") - F.col("op"))
-    window = F.coalesce((den + num) * apart_ <= limit, F.lit(True))
-    rows = open_.join(p, "pivot").filter("root <> rp").filter(near & room & window)
+    both = F.col("delta") + F.col("dp")
+    window = F.coalesce((den + num) * (both - 2 * F.least(F.col("delta") - F.col("own"), F.col("dp") - F.col("op"))) <= limit, F.lit(True))
+    common = F.aggregate(F.zip_with("parts", "pp", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+    parts = F.coalesce((den + num) * (both - 2 * common) <= limit, F.lit(True))
+    rows = open_.join(p, "pivot").filter("root <> rp").filter(near & room & window & parts)
     pairs = rows.select(F.col("node").alias("a"), F.col("p").alias("b")).distinct()
     # two pivots may have found each other
     one = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(F.struct("a", "b")).alias("ab")).select("ab.*")
