@@ -117,7 +117,9 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     mun = payloads.municipality_rows_from_text(texts)
     sinks.write_snapshot(mun, f"{lake}/bronze", "ibge_municipios")
     dim_raw = snapshots.latest_snapshot(spark, f"{lake}/bronze/ibge_municipios/*/parquet")
-    dim = standardise_key(dim_raw).withColumn("_seq", F.lit(0))
+    # of a municipality listed twice the later row of the snapshot stays
+    at = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"))
+    dim = standardise_key(dim_raw.withColumn("_seq", at))
     sinks.dimension_upsert(spark, f"{lake}/dim_municipio", dim, "_seq")
     _register(spark, res, "dim_municipio")
     dim = sinks.read_dimension(spark, f"{lake}/dim_municipio")

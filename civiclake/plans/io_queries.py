@@ -396,10 +396,10 @@ def export_roundtrip(spark, sf):
 
 @query("export_filtered")
 def export_filtered(spark, sf):
-    """K9: the filtered health mart exported as a single CSV file and read back."""
+    """K9: the filtered health mart exported as CSV (one file a task) and read back."""
     path = scratch_dir(spark, "export") + "/mart_saude"
     m = core.dashboard_filter(REGISTRY["mart_health"](spark, sf), uf="NATION_3", ano=1998)
-    sinks.export_csv(m, path, single_file=True)
+    sinks.export_csv(m, path)
     return spark.read.schema(m.schema).option("sep", ";").option("header", True).csv(path)
 
 
@@ -580,6 +580,76 @@ def latest_snapshot_by_year(spark, sf):
     return snapshots.latest_by_year(spark, root, "ibge_populacao")
 
 
+@query("mart_bucketed")
+def mart_bucketed(spark, sf):
+    """J1-J3 on a shared layout: health indicators and the dimension bucketed by key."""
+    from civiclake.plans import published
+    loc = scratch_dir(spark, "by-key")
+    db = "civiclake_" + loc.rsplit("-", 1)[-1]
+    sinks.create_tables(spark, db, loc)
+    g = published.publish_by_key(spark, db, loc, "gold_indicadores_saude_municipio", REGISTRY["gold_health"](spark, sf), 8)
+    d = published.publish_by_key(spark, db, loc, "dim_municipio", A.v_entity(spark, sf), 8)
+    return published.mart_by_key(spark, g, d, "saude")
+
+
+@query("facility_payload_variants")
+def facility_payload_variants(spark, sf):
+    """S11/N9/Q3 on variants: parts as four payloads. Three differ by the type column
+    that they have (the second one also has a later, other one) and hold a null
+    ``st_ativo`` for sizes % 10 = 5; the fourth has no ``st_ativo``. Lists are bare or
+    in one of three envelopes by part key % 4; a null envelope field (% 29 = 0) has
+    no records, whatever follows it."""
+    p = A.table(spark, sf, "part")
+    size, k = F.col("p_size"), F.col("p_partkey")
+    code = zfill7(F.regexp_replace("p_brand", "[^0-9]", "")).alias("co_municipio")
+    status = F.when(size % 10 == 0, F.lit("N")).when(size % 10 != 5, F.lit("S")).alias("st_ativo")
+    beds = [size.cast("string").alias("qt_leito"), F.when(size % 3 == 0, F.lit("n/d")).otherwise((size / 2).cast("string")).alias("qt_leito_sus")]
+    kind = F.col("p_type")
+    shapes = {
+        "co": [code, status, kind.alias("co_tipo_estabelecimento"), *beds],
+        "tp": [code, status, F.when(size % 2 == 0, kind).alias("tp_estabelecimento"), kind.alias("ds_tipo_estabelecimento"), *beds],
+        "ds": [code, status, kind.alias("ds_tipo_estabelecimento"), *beds],
+        "livre": [code, kind.alias("co_tipo_estabelecimento"), *beds],
+    }
+
+    def page(cols):
+        rec = F.to_json(F.struct(*cols), {"ignoreNullFields": "false"})
+        lists = F.concat(F.lit("["), rec, F.lit("]"))
+        named = F.element_at(F.array(F.lit("estabelecimentos"), F.lit("data"), F.lit("items")), (k % 4).cast("int"))
+        held = F.when(k % 29 == 0, F.concat(F.lit('{"estabelecimentos": null, "items": '), lists, F.lit("}"))).otherwise(
+            F.concat(F.lit('{"'), named, F.lit('": '), lists, F.lit("}")))
+        return F.when(k % 4 == 0, lists).otherwise(held)
+
+    pages = core.union_all([p.select(F.lit(name).alias("fonte"), page(cols).alias("payload")) for name, cols in shapes.items()])
+    rows = payloads.facility_rows_from_variants(pages, "payload", A.REF_YEAR, group="fonte")
+    parts = [gold.facility_counts(rows.where(F.col("fonte") == n), hospital_pattern="ECONOMY", basic_pattern="SMALL", stamp=False)
+             .withColumn("fonte", F.lit(n)) for n in shapes]
+    return core.union_all(parts)
+
+
+@query("first_by_file_position")
+def first_by_file_position(spark, sf):
+    """Centroid files without an order column, a key's rows side by side or in
+    different files; the first row per key in file order, read in splits of 4 KiB and
+    in Spark's own, and kept where both agree."""
+    from civiclake.plans import marts
+    path = scratch_dir(spark, "centroid-files")
+    rows = A.centroids(spark, sf)
+    rows.repartitionByRange(6, "_dup", "codigo_ibge").sortWithinPartitions("_dup", "codigo_ibge").drop("_dup").write.option("header", True).csv(path)
+    name = "spark.sql.files.maxPartitionBytes"
+    usual, found = spark.conf.get(name), []
+    for size in (usual, "4k"):
+        spark.conf.set(name, size)
+        try:
+            first = marts.first_centroids(payloads.read_centroids(spark, path))
+            out = scratch_dir(spark, "centroid-first")
+            first.write.parquet(out)      # with this split size
+        finally:
+            spark.conf.set(name, usual)
+        found.append(spark.read.parquet(out))
+    return found[0].intersect(found[1])
+
+
 # ---- incremental bronze ingestion (Structured Streaming) ---------------------------------
 @query("streaming_bronze_ingest")
 def streaming_bronze_ingest(spark, sf):

@@ -582,3 +582,25 @@ SQL["kpi_filtered"] = marts_with("saude", "educacao", "pib", "transferencias", "
            coalesce(docentes, 0) AS docentes, coalesce(escolas, 0) AS escolas, coalesce(estabelecimentos, 0) AS estabelecimentos, coalesce(leitos, 0) AS leitos,
            {r2('cp.t')} AS pib_total_mil_reais, cp.md AS pib_per_capita_mediano, round(coalesce(ct.t, 0), 6) AS transferencias_bi
     FROM u LEFT JOIN pe USING (uf, ano) LEFT JOIN ce USING (uf, ano) LEFT JOIN cc USING (uf, ano) LEFT JOIN cp USING (uf, ano) LEFT JOIN ct USING (uf, ano)"""
+
+
+# ---- shared layout, variants, file order -----------------------------------------------
+SQL["mart_bucketed"] = SQL["mart_health"]
+
+
+def _facilities(name: str, kind: str, active: str) -> str:
+    return f"""SELECT {zf("regexp_replace(p_brand, '[^0-9]', '', 'g')")} AS cod_mun_ibge_7, 1998 AS ano,
+           CAST(count(*) AS BIGINT) AS total_estabelecimentos, count(*) FILTER (WHERE regexp_matches(upper({kind}), 'ECONOMY')) AS hospitais,
+           count(*) FILTER (WHERE regexp_matches(upper({kind}), 'SMALL')) AS ubs,
+           CAST(trunc(coalesce(sum(CAST(p_size AS DOUBLE)), 0)) AS BIGINT) AS leitos_totais,
+           CAST(trunc(coalesce(sum(CASE WHEN p_size % 3 = 0 THEN NULL ELSE p_size / 2 END), 0)) AS BIGINT) AS leitos_sus, '{name}' AS fonte
+    FROM part WHERE {active} AND NOT (p_partkey % 4 <> 0 AND p_partkey % 29 = 0) GROUP BY 1"""
+
+
+_open = "p_size % 10 NOT IN (0, 5)"
+SQL["facility_payload_variants"] = " UNION ALL ".join([
+    _facilities("co", "p_type", _open), _facilities("tp", "CASE WHEN p_size % 2 = 0 THEN p_type END", _open), _facilities("ds", "p_type", _open),
+    _facilities("livre", "p_type", "TRUE")])
+SQL["first_by_file_position"] = f"""
+    SELECT {zf('c_custkey')} AS cod_mun_ibge_7, CASE WHEN c_custkey % 11 <> 0 THEN c_nationkey - 30.0 END::DOUBLE AS latitude,
+           (-40.0 - c_nationkey)::DOUBLE AS longitude FROM customer"""

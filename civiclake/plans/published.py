@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from civiclake.functions.keys import KEY
 from civiclake.plans import marts
 from civiclake.sinks import tables as sinks
 
@@ -36,3 +37,22 @@ def overview(spark: SparkSession, database: str) -> DataFrame:
 def overview_by_choice(spark: SparkSession, database: str) -> DataFrame:
     """The overview's figures for every choice of the state and year filters."""
     return marts.filtered_kpis(*[mart(spark, database, t) for t in ("saude", "educacao", "pib", "transferencias", "cnes")])
+
+
+# ---- a layout by key ---------------------------------------------------------------------
+BY_KEY = "por_chave"
+
+
+def publish_by_key(spark: SparkSession, database: str, location: str, table: str, df: DataFrame, buckets: int) -> str:
+    """A table of the catalog bucketed and sorted by the municipality key. Tables with
+    the same number of buckets join on the key without moving a row; one file per
+    bucket, written after one shuffle. For tables that many marts join."""
+    name = f"{database}.{table}_{BY_KEY}"
+    (df.repartition(buckets, KEY).write.mode("overwrite").bucketBy(buckets, KEY).sortBy(KEY)
+     .option("path", f"{location.rstrip('/')}/{table}_{BY_KEY}").saveAsTable(name))
+    return name
+
+
+def mart_by_key(spark: SparkSession, gold_name: str, dim_name: str, theme: str) -> DataFrame:
+    """J3 over bucketed tables: a sort-merge join without an exchange."""
+    return marts.mart(spark.table(gold_name).hint("merge"), spark.table(dim_name), theme)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -218,18 +218,78 @@ def facility_rows(records: DataFrame, ano: int, keys: DataFrame | None = None) -
     return restrict_keys(df, keys) if keys is not None else df
 
 
+def variant_records(pages: DataFrame, column: str, envelope: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """N9 without a schema: one row per record (``record``, a VARIANT) of every page
+    that is a list or an object whose first *present* field among ``envelope`` is one;
+    a field that is there but null, a scalar or text that is no JSON yields none.
+
+    The page is parsed once into Spark's binary variant, which keeps what a fixed
+    schema loses: a field that is absent, null or of another type. The records are
+    rebalanced after parsing, so that one page with a very long list does not leave
+    all its records in one task."""
+    v = F.try_parse_json(column)
+    inner = F.coalesce(*[F.try_variant_get(v, f"$.{f}", "variant") for f in envelope])
+    found = F.when(F.ltrim(F.col(column)).startswith("["), v).otherwise(inner)
+    parsed = pages.select(*keep, found.alias("_found"))
+    return parsed.select(*keep, F.explode(F.expr("try_cast(_found as array<variant>)")).alias("record")).hint("rebalance")
+
+
+def variant_fields(records: DataFrame, fields: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The named fields of ``record`` as text (null if null or absent), each with
+    ``tem_<field>``: whether the record has the field at all."""
+    r = F.col("record")
+    return records.select(*keep, *[F.try_variant_get(r, f"$.{f}", "string").alias(f) for f in fields],
+                          *[F.try_variant_get(r, f"$.{f}", "variant").isNotNull().alias(f"tem_{f}") for f in fields])
+
+
+# The fields of a facility record, and its type columns in order of preference.
+FACILITY_TYPES = ["co_tipo_estabelecimento", "tp_estabelecimento", "ds_tipo_estabelecimento"]
+FACILITY_FIELDS = ["co_municipio", "st_ativo", *FACILITY_TYPES, "qt_leito", "qt_leito_sus"]
+
+
+def facility_rows_from_variants(pages: DataFrame, column: str, ano: int, group: str | None = None) -> DataFrame:
+    """S11 + Q3 with the columns that the payloads have: (key, ano, st_ativo, type
+    column, beds), ready for ``gold.facility_counts``.
+
+    A field counts as a column if any record has it: then a record without it has a
+    null there, as in a frame built from the records. The type is the first type
+    column that exists, even where a later one is filled; records whose ``st_ativo``
+    is not 'S' are out if the column exists at all, and none are if it does not.
+    ``group`` names a column of ``pages`` whose values are payloads of their own."""
+    from civiclake.session import materialize
+    keep = [group] if group else []
+    rows = variant_fields(variant_records(pages, column, FACILITY_ENVELOPE, keep), FACILITY_FIELDS, keep)
+    rows = materialize(rows, "facility-fields")       # read twice: for what exists, and for the records
+    flags = [f"tem_{f}" for f in ["st_ativo", *FACILITY_TYPES]]
+    bare = rows.drop(*[f"tem_{f}" for f in FACILITY_FIELDS])
+    if keep:
+        bare = bare.join(rows.groupBy(*keep).agg(*[F.max(f).alias(f) for f in flags]), group)
+    else:
+        bare = bare.withColumns({f: F.coalesce(rows.select(F.max(f)).scalar(), F.lit(False)) for f in flags})
+    kind = F.coalesce(*[F.when(F.col(f"tem_{t}"), F.struct(F.col(t).alias("v"))) for t in FACILITY_TYPES])
+    active = ~F.col("tem_st_ativo") | F.coalesce(F.col("st_ativo") == "S", F.lit(False))
+    out = bare.where(active).select(*keep, "co_municipio", F.lit("S").alias("st_ativo"), kind["v"].alias(FACILITY_TYPES[0]), "qt_leito", "qt_leito_sus")
+    return facility_rows(out, ano)
+
+
 def vaccination_rows(pages: DataFrame, element: T.StructType, column: str = "payload") -> DataFrame:
     """Vaccination records from pages that are a ``{"results": [...]}``
     envelope or a bare list; any other payload yields no rows."""
     return records_from_pages(pages, column, element, VACCINATION_ENVELOPE)
 
 
+def file_position() -> Column:
+    """Where a row of a scanned text file stands: file, start of its split, place in
+    the split. The order of these is the order of the files, however Spark cuts them
+    and packs the splits into tasks."""
+    return F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i"))
+
+
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:
     """Centroid CSV (header, explicit schema); the code is read as text and
     zero-filled to 7; key, coordinates and the row order are kept. The order is
-    the file's ``ordem`` column when present, then the physical read order.
+    the file's ``ordem`` column when present, then the position in the files.
     Duplicates are resolved by the caller (first row per key)."""
     raw = spark.read.option("header", True).schema(schemas.CENTROIDS_CSV).csv(path)
     return raw.select(zfill7("codigo_ibge").alias(KEY), "latitude", "longitude",
-                      F.struct(F.coalesce("ordem", F.lit(0)).alias("o"),
-                               F.monotonically_increasing_id().alias("i")).alias("ordem"))
+                      F.struct(F.coalesce("ordem", F.lit(0)).alias("o"), file_position().alias("p")).alias("ordem"))
