@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.llm import bloom, shingles
@@ -237,6 +237,7 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     # the pivot a node shares most regions with first, then those still apart
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
     tried = materialize(compare(materialize(best, "jaccard-best"), sets, num, den), "jaccard-compared")
+    homes = tried.select(F.col("a").alias("node"), F.col("b").alias("home"), F.col("delta").alias("home_delta"), F.col("parts").alias("home_parts"))
     roots = components(tried.filter("linked").select("a", "b"))
     rest = apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), roots)
     more = materialize(compare(materialize(rest, "jaccard-rest"), sets, num, den), "jaccard-compared")
@@ -250,9 +251,10 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
         seen = live.select("node").union(live.select("pivot")).distinct()
         own = lonely(sets.join(seen, "node", "left_semi"))
         told = tried.select(F.col("a").alias("node"), F.col("b").alias("pivot"), "delta", "parts")
-        facts = live.join(own, "node", "left").join(told, ["node", "pivot"], "left").join(sizes, "node").select(
+        facts = live.join(own, "node", "left").join(told, ["node", "pivot"], "left").join(homes, "node", "left").join(sizes, "node").select(
             "node", "pivot", "root", "n", F.coalesce("own", F.lit(0)).alias("own"),
-            F.when(F.col("node") == F.col("pivot"), F.lit(0)).otherwise(F.col("delta")).alias("delta"), "parts")
+            F.when(F.col("node") == F.col("pivot"), F.lit(0)).otherwise(F.col("delta")).alias("delta"), "parts",
+            "home", "home_delta", "home_parts")
         open_ = materialize(undecided(materialize(facts, "jaccard-facts"), num, den), "jaccard-open")
         turns = materialize(outsiders(open_), "jaccard-pivots")
         further = turns.filter(F.col("turn") <= most)
@@ -320,11 +322,11 @@ def undecided(facts: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def outsiders(open_: DataFrame) -> DataFrame:
-    """(pivot, node, root, n, own, delta, parts, turn): the nodes of each cell that are
-    not in its largest component, those with the fewest own shingles first."""
+    """(*open_, turn): the nodes of each cell that are not in its largest component,
+    those with the fewest own shingles first."""
     count = open_.groupBy("pivot", "root").agg(F.count(F.lit(1)).alias("c"))
     main = count.groupBy("pivot").agg(F.max_by("root", F.struct("c", "root")).alias("main"))
-    out = open_.join(main, "pivot").filter("root <> main").select("pivot", "node", "root", "n", "own", "delta", "parts")
+    out = open_.join(main, "pivot").filter("root <> main").select(*open_.columns)
     return out.withColumn("turn", F.row_number().over(Window.partitionBy("pivot").orderBy(F.col("own") / F.col("n"), F.xxhash64("node"))))
 
 
@@ -346,17 +348,23 @@ def lonely(sets: DataFrame) -> DataFrame:
 def spokes(open_: DataFrame, further: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of a node and a further pivot of its cell that are in different
     components, have not been compared, and may be linked: their sizes, their own
-    shingles and their differences from the cell's first pivot leave room."""
-    p = further.select("pivot", F.col("node").alias("p"), F.col("root").alias("rp"), F.col("n").alias("np"), F.col("own").alias("op"), F.col("delta").alias("dp"), F.col("parts").alias("pp"))
-    limit = (den - num) * (F.col("n") + F.col("np"))
-    room = (den + num) * (F.col("own") + F.col("op")) <= limit
-    near = den * F.least("n", "np") >= num * F.greatest("n", "np")
-    both = F.col("delta") + F.col("dp")
-    window = F.coalesce((den + num) * (both - 2 * F.least(F.col("delta") - F.col("own"), F.col("dp") - F.col("op"))) <= limit, F.lit(True))
-    common = F.aggregate(F.zip_with("parts", "pp", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    parts = F.coalesce((den + num) * (both - 2 * common) <= limit, F.lit(True))
-    rows = open_.join(p, "pivot").filter("root <> rp").filter(near & room & window & parts)
-    pairs = rows.select(F.col("node").alias("a"), F.col("p").alias("b")).distinct()
+    shingles and their differences from the cell's pivot, or from a pivot that both
+    have met first (``home``), leave room."""
+    p = further.select("pivot", *[F.col(c).alias(f"p_{c}") for c in ("node", "root", "n", "own", "delta", "parts", "home", "home_delta", "home_parts")])
+    limit = (den - num) * (F.col("n") + F.col("p_n"))
+    room = (den + num) * (F.col("own") + F.col("p_own")) <= limit
+    near = den * F.least("n", "p_n") >= num * F.greatest("n", "p_n")
+
+    def open_by(delta: str, parts: str) -> Column:
+        """Whether the two differences can have enough in common; true if unknown."""
+        common = F.aggregate(F.zip_with(parts, f"p_{parts}", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+        return F.coalesce((den + num) * (F.col(delta) + F.col(f"p_{delta}") - 2 * common) <= limit, F.lit(True))
+
+    both = F.col("delta") + F.col("p_delta")
+    window = F.coalesce((den + num) * (both - 2 * F.least(F.col("delta") - F.col("own"), F.col("p_delta") - F.col("p_own"))) <= limit, F.lit(True))
+    at_home = F.when(F.col("home") == F.col("p_home"), open_by("home_delta", "home_parts")).otherwise(F.lit(True))
+    rows = open_.join(p, "pivot").filter("root <> p_root").filter(near & room & window & open_by("delta", "parts") & at_home)
+    pairs = rows.select(F.col("node").alias("a"), F.col("p_node").alias("b")).distinct()
     # two pivots may have found each other
     one = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(F.struct("a", "b")).alias("ab")).select("ab.*")
     done = tried.select("a", "b").union(tried.select("b", "a"))
