@@ -245,12 +245,12 @@ def map_points(m: DataFrame, centroids: DataFrame, theme: str, measure: str) ->
     """
     opts = [(lbl, c) for lbl, c in MAP_OPTIONS[theme] if c in m.columns]
     cols = [c for _, c in opts]
-    joined = m.join(centroids, KEY, "inner").dropna(subset=["latitude", "longitude"])
-    fields = ["latitude", "longitude", *DIM_COLUMNS, *cols]
-    # One row per municipality, written once to the checkpoint folder: the
-    # marker scale and the output read it instead of recomputing the joins.
+    # One row per municipality before the centroids are joined (they are unique per
+    # key), written once to the checkpoint folder: the marker scale and the output
+    # read it instead of recomputing the join.
     from civiclake.session import materialize
-    pts = materialize(core.first_non_null_by(joined, KEY, fields, order=[measure, "ano"]), "map_points")
+    one = core.first_non_null_by(m, KEY, [*DIM_COLUMNS, *cols], order=[measure, "ano"])
+    pts = materialize(one.join(centroids, KEY, "inner").dropna(subset=["latitude", "longitude"]), "map_points")
     v = F.coalesce(F.col(measure).cast("double"), F.lit(0.0))
     mx = pts.select(F.max(v)).scalar()
     scale = F.when(mx > 0, F.lit(RADIUS_SPAN) / mx).otherwise(F.lit(RADIUS_FLAT_SCALE))
