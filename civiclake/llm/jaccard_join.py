@@ -239,7 +239,8 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     tried = materialize(compare(materialize(best, "jaccard-best"), sets, num, den), "jaccard-compared")
     homes = tried.select(F.col("a").alias("node"), F.col("b").alias("home"), F.col("delta").alias("home_delta"), F.col("parts").alias("home_parts"))
     roots = components(tried.filter("linked").select("a", "b"))
-    rest = apart(stars.select("a", "b").join(tried, ["a", "b"], "left_anti"), roots)
+    done = tried.select("a", "b").union(tried.select("b", "a"))
+    rest = within(apart(stars.select("a", "b").join(done, ["a", "b"], "left_anti"), roots), homes, sizes, num, den)
     more = materialize(compare(materialize(rest, "jaccard-rest"), sets, num, den), "jaccard-compared")
     if not more.filter("linked").isEmpty():
         roots = extended(roots, more.filter("linked").select("a", "b"))
@@ -345,6 +346,23 @@ def lonely(sets: DataFrame) -> DataFrame:
     return count.filter("c = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own"))
 
 
+def may_link(delta: str, parts: str, limit: Column, num: int, den: int, other: str = "p_") -> Column:
+    """Whether two differences from one pivot can have enough in common for a link;
+    true if they are unknown."""
+    common = F.aggregate(F.zip_with(parts, other + parts, lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
+    return F.coalesce((den + num) * (F.col(delta) + F.col(other + delta) - 2 * common) <= limit, F.lit(True))
+
+
+def within(pairs: DataFrame, homes: DataFrame, sizes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that the pivot which both met first does not part."""
+    facts = sizes.join(homes, "node", "left")
+    left = facts.withColumnRenamed("node", "a")
+    right = facts.select(F.col("node").alias("b"), *[F.col(c).alias(f"p_{c}") for c in facts.columns if c != "node"])
+    limit = (den - num) * (F.col("n") + F.col("p_n"))
+    at_home = F.when(F.col("home") == F.col("p_home"), may_link("home_delta", "home_parts", limit, num, den)).otherwise(F.lit(True))
+    return pairs.join(left, "a").join(right, "b").filter(at_home).select("a", "b")
+
+
 def spokes(open_: DataFrame, further: DataFrame, tried: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of a node and a further pivot of its cell that are in different
     components, have not been compared, and may be linked: their sizes, their own
@@ -355,15 +373,10 @@ def spokes(open_: DataFrame, further: DataFrame, tried: DataFrame, num: int, den
     room = (den + num) * (F.col("own") + F.col("p_own")) <= limit
     near = den * F.least("n", "p_n") >= num * F.greatest("n", "p_n")
 
-    def open_by(delta: str, parts: str) -> Column:
-        """Whether the two differences can have enough in common; true if unknown."""
-        common = F.aggregate(F.zip_with(parts, f"p_{parts}", lambda x, y: F.least(x, y).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-        return F.coalesce((den + num) * (F.col(delta) + F.col(f"p_{delta}") - 2 * common) <= limit, F.lit(True))
-
     both = F.col("delta") + F.col("p_delta")
     window = F.coalesce((den + num) * (both - 2 * F.least(F.col("delta") - F.col("own"), F.col("p_delta") - F.col("p_own"))) <= limit, F.lit(True))
-    at_home = F.when(F.col("home") == F.col("p_home"), open_by("home_delta", "home_parts")).otherwise(F.lit(True))
-    rows = open_.join(p, "pivot").filter("root <> p_root").filter(near & room & window & open_by("delta", "parts") & at_home)
+    at_home = F.when(F.col("home") == F.col("p_home"), may_link("home_delta", "home_parts", limit, num, den)).otherwise(F.lit(True))
+    rows = open_.join(p, "pivot").filter("root <> p_root").filter(near & room & window & may_link("delta", "parts", limit, num, den) & at_home)
     pairs = rows.select(F.col("node").alias("a"), F.col("p_node").alias("b")).distinct()
     # two pivots may have found each other
     one = pairs.groupBy(F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y")).agg(F.max(F.struct("a", "b")).alias("ab")).select("ab.*")
