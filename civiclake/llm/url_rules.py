@@ -2,7 +2,8 @@
 
 A URL is a set of tokens (scheme, host labels and their parts, path segments with
 numbers as ``#``, extension, names of query keys). Spark's FP-growth mines the
-token combinations of labelled URLs; a combination becomes a blocking rule if it
+token combinations of labelled URLs, or a level-wise search if a URL has too many
+tokens for all their combinations; a combination becomes a blocking rule if it
 has enough support among bad URLs and the lower end of the Wilson interval of its
 confidence reaches a threshold, so that a few bad URLs by chance make no rule. Rules
 that contain a smaller rule are redundant and go. The rest are an inverted index:
@@ -15,6 +16,7 @@ DataFrame operations and ``pyspark.ml.fpm`` only.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
@@ -25,6 +27,8 @@ from civiclake.session import materialize
 BAD = "label=block"
 #: Wilson interval: normal quantile
 Z = 3.0
+#: frequent tokens of a URL all whose combinations FP-growth goes through
+FIT_ITEMS = 12
 
 
 def host_of(url: Column) -> Column:
@@ -62,16 +66,18 @@ def wilson(hits: Column, n: Column) -> Column:
     return (p + Z * Z / (2 * n) - Z * F.sqrt(p * (1 - p) / n + Z * Z / (4 * n * n))) / (1 + Z * Z / n)
 
 
-def mine(labelled: DataFrame, *, min_support: float = 0.0005, min_count: int = 10, min_confidence: float = 0.5, max_items: int = 12,
+def mine(labelled: DataFrame, *, min_support: float = 0.0005, min_count: int = 10, min_confidence: float = 0.5, max_items: int | None = FIT_ITEMS,
          max_tokens: int = 4) -> DataFrame:
     """(tokens, anchor, n, hits, confidence) of the rules found in (url, bad).
 
     A rule has at most ``max_tokens`` tokens, which occur together in at least
     ``min_support`` of the labelled URLs and ``min_count`` of them as bad ones; its
     confidence is the lower Wilson bound. Tokens under that support are in no such
-    rule and go before. Of a URL with more than ``max_items`` frequent tokens those of
-    the highest confidence are mined (a bound of the fit alone: it keeps the number of
-    combinations of one URL finite; matching uses all tokens).
+    rule and go before. With ``max_items`` None all frequent tokens of every URL are
+    mined: by FP-growth if no URL has more than ``FIT_ITEMS`` of them, else level by
+    level (``by_level``), with the same rules. A given ``max_items`` asks for a
+    quicker, partial fit on the tokens of each URL with the highest confidence
+    (matching uses all tokens).
 
     Null labels and null URLs are not learned from; without labelled bad URLs there is
     no rule; repeated URLs count as often as they are labelled.
@@ -87,20 +93,21 @@ def mine(labelled: DataFrame, *, min_support: float = 0.0005, min_count: int = 1
     # at most (tokens of a URL) / min_support tokens are left
     frequent = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("hits")).filter(F.col("hits") >= least)
     frequent = materialize(frequent.select("token", "n", wilson(F.col("hits"), F.col("n")).alias("bound")), "url-tokens")
-    best = F.slice(F.sort_array(F.collect_list(F.struct((-F.col("bound")).alias("bound"), "token"))), 1, max_items)
+    best = F.sort_array(F.collect_list(F.struct((-F.col("bound")).alias("bound"), "token")))
+    if max_items is not None:
+        best = F.slice(best, 1, max_items)
     items = exploded.join(frequent, "token").groupBy("row").agg(F.max("bad").alias("bad"), best.alias("best"))
-    items = items.select(F.when(F.col("bad") == 1, F.array_append("best.token", BAD)).otherwise(F.col("best.token")).alias("items"))
+    items = items.select("row", F.when(F.col("bad") == 1, F.array_append("best.token", BAD)).otherwise(F.col("best.token")).alias("items"))
     items = materialize(items, "url-items")
     # rows without a frequent token are no longer there, but count for the support
-    present = items.count()
+    present, widest = items.agg(F.count(F.lit(1)), F.max(F.size(F.array_remove("items", BAD)))).first()
     if not present:
         return nothing
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / present)).fit(items)
-    sets = materialize(model.freqItemsets.filter(F.size("items") <= max_tokens + 1), "url-itemsets")
-    with_bad = sets.filter(F.array_contains("items", BAD) & (F.size("items") > 1))
-    hits = with_bad.select(F.sort_array(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("hits"))
-    alone = sets.filter(~F.array_contains("items", BAD)).select(F.sort_array("items").alias("tokens"), F.col("freq").alias("n"))
-    found = hits.join(alone, "tokens").withColumn("confidence", wilson(F.col("hits"), F.col("n"))).filter((F.col("hits") >= least) & (F.col("confidence") >= min_confidence))
+    if max_items is None and widest > FIT_ITEMS:
+        sets = by_level(items, least, min_confidence, max_tokens)
+    else:
+        sets = by_growth(items, (least - 0.5) / present, max_tokens)
+    found = sets.withColumn("confidence", wilson(F.col("hits"), F.col("n"))).filter((F.col("hits") >= least) & (F.col("confidence") >= min_confidence))
     found = materialize(found, "url-rules")
     smaller = found.select(F.col("tokens").alias("part"))
     redundant = found.select("tokens", F.explode(_parts("tokens", max_tokens)).alias("part")).join(smaller, "part", "left_semi").select("tokens").distinct()
@@ -110,6 +117,40 @@ def mine(labelled: DataFrame, *, min_support: float = 0.0005, min_count: int = 1
     return materialize(rules.join(rare, "tokens").select("tokens", "anchor", "n", "hits", "confidence"), "url-mined")
 
 
+def by_growth(items: DataFrame, support: float, max_tokens: int) -> DataFrame:
+    """(tokens, hits, n) of the combinations with that support, by FP-growth, which
+    goes through all combinations of a URL's items."""
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, support)).fit(items.select("items"))
+    sets = materialize(model.freqItemsets.filter(F.size("items") <= max_tokens + 1), "url-itemsets")
+    with_bad = sets.filter(F.array_contains("items", BAD) & (F.size("items") > 1))
+    hits = with_bad.select(F.sort_array(F.array_remove("items", BAD)).alias("tokens"), F.col("freq").alias("hits"))
+    alone = sets.filter(~F.array_contains("items", BAD)).select(F.sort_array("items").alias("tokens"), F.col("freq").alias("n"))
+    return hits.join(alone, "tokens")
+
+
+def by_level(items: DataFrame, least: float, min_confidence: float, max_tokens: int) -> DataFrame:
+    """(tokens, hits, n) of the combinations with ``least`` hits of which no rule is
+    a smaller part, however many items a URL has.
+
+    A combination of k tokens joins two of k - 1 in the same URL that differ in the
+    last token. Those with too few hits have no frequent extension, and those that are
+    rules themselves none that is not redundant: neither is extended."""
+    token = F.explode(F.array_remove("items", BAD))
+    at = items.select("row", F.array_contains("items", BAD).cast("int").alias("bad"), F.array().cast("array<string>").alias("head"), token.alias("last"))
+    levels = []
+    for k in range(1, max_tokens + 1):
+        sets = at.groupBy("head", "last").agg(F.sum("bad").alias("hits"), F.count(F.lit(1)).alias("n")).filter(F.col("hits") >= least)
+        sets = materialize(sets, "url-itemsets")
+        levels.append(sets.select(F.array_append("head", F.col("last")).alias("tokens"), "hits", "n"))
+        more = sets.filter(wilson(F.col("hits"), F.col("n")) < min_confidence)
+        if k == max_tokens or more.isEmpty():
+            break
+        left = materialize(at.join(more.select("head", "last"), ["head", "last"], "left_semi"), "url-open")
+        right = left.select("row", "head", F.col("last").alias("next"))
+        at = left.join(right, ["row", "head"]).filter("last < next").select("row", "bad", F.array_append("head", F.col("last")).alias("head"), F.col("next").alias("last"))
+    return reduce(DataFrame.union, levels)
+
+
 def _parts(tokens: str, most: int) -> Column:
     """All proper, non-empty subsets of a sorted array of at most ``most`` tokens."""
     t = F.col(tokens)

@@ -1,6 +1,7 @@
 """The conversation trie, URL rules and periodic runs, against brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -194,3 +195,42 @@ def test_mined_rules_block_what_the_labels_show(spark):
     assert url_rules.mine(spark.createDataFrame([], "url string, bad boolean")).collect() == []
     many = spark.createDataFrame([("http://a.org/" + "/".join(f"p{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)), True)] * 60, "url string, bad boolean")
     assert url_rules.mine(many).count() == 12
+
+
+def test_mined_rules_use_every_token_of_long_urls(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(400):
+        # 16 tokens that every URL has, and eight that come by chance; two of these together are bad, and three others
+        own = [w for w in ("qa", "qb", "qc", "qd", "qe", "qf", "qg", "qh") if rng.random() < 0.5]
+        bad = {"qa", "qb"} <= set(own) or {"qc", "qd", "qe"} <= set(own)
+        rows.append(("http://z.org/" + "/".join([f"p{chr(97 + k)}" for k in range(11)] + own), bad))
+    df = spark.createDataFrame(rows, "url string, bad boolean")
+    sets = [({"scheme=http", "host=z", "host=org", "word=z", "word=org"} | {"path=" + s for s in u.split("/")[3:]}, b) for u, b in rows]
+
+    def confidence(hits, n):
+        p, z = hits / n, url_rules.Z
+        return (p + z * z / (2 * n) - z * (p * (1 - p) / n + z * z / (4 * n * n)) ** 0.5) / (1 + z * z / n)
+
+    want = {}
+    for k in range(1, 5):
+        for t in itertools.combinations(sorted(set().union(*(s for s, _ in sets))), k):
+            if any(set(w) <= set(t) for w in want):
+                continue
+            of = [b for s, b in sets if s.issuperset(t)]
+            if sum(of) >= 10 and confidence(sum(of), len(of)) >= 0.8:
+                want[t] = (len(of), sum(of))
+    assert ("path=qa", "path=qb") in want and ("path=qc", "path=qd", "path=qe") in want
+    got = url_rules.mine(df, min_confidence=0.8, max_items=None).collect()
+    assert {tuple(r.tokens): (r.n, r.hits) for r in got} == want
+    many = spark.createDataFrame([("http://a.org/" + "/".join(f"p{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(40)), True)] * 60, "url string, bad boolean")
+    assert url_rules.mine(many, max_items=None).count() == 45
+
+
+def test_both_ways_of_mining_agree(spark, monkeypatch):
+    rng = random.Random(9)
+    rows = [(f"https://{rng.choice('abc')}.org/{rng.choice('def')}/{rng.choice('ghi')}?{rng.choice('jk')}=1", rng.random() < 0.6) for _ in range(600)]
+    df = spark.createDataFrame([(u, b and "a.org" in u or "/d/g" in u) for u, b in rows], "url string, bad boolean")
+    grown = {(tuple(r.tokens), r.anchor, r.n, r.hits, r.confidence) for r in url_rules.mine(df, max_items=None).collect()}
+    monkeypatch.setattr(url_rules, "FIT_ITEMS", 1)
+    assert grown and grown == {(tuple(r.tokens), r.anchor, r.n, r.hits, r.confidence) for r in url_rules.mine(df, max_items=None).collect()}
