@@ -5,6 +5,8 @@ import re
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.01"
@@ -57,3 +59,12 @@ def test_column_pruning(spark):
     p = plan(spark, "gold_gdp")
     m = re.search(r"orders.parquet\].*?ReadSchema: (struct<[^>]*>)", p)
     assert m and m.group(1) == "struct<o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>"
+
+
+def test_population_is_spread_before_the_years_multiply_it(spark):
+    """The customer table is a few row groups: no task may expand and aggregate all of it."""
+    from civiclake.plans import analogs
+    sizes = analogs.v_pop(spark, SF).groupBy(F.spark_partition_id().alias("p")).count().collect()
+    n = spark.read.parquet(f"{SF}/customer.parquet").count() * 7
+    assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in sizes) < 1.1 * n / len(sizes)
+    assert plan(spark, "gold_health").count("RoundRobinPartitioning") == 1
