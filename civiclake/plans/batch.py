@@ -136,6 +136,8 @@ def run(spark: SparkSession, landing: Landing, lake: str, ano: int,
     pop_years = core.union_all([payloads.population_rows(items, y) for y in core.backoff_years(ano)])
     if key_df is not None:
         pop_years = payloads.restrict_keys(pop_years, key_df)
+    # parsed once: the probes for the year, its name and the snapshot read the rows
+    pop_years = materialize(pop_years, "batch-populacao")
     pop = core.preferred_year(pop_years, core.backoff_years(ano))
     res.population_year = pop.agg(F.max("ano_efetivo")).first()[0]
     pop = (pop.withColumn("ano_origem", F.coalesce("ano_origem", "ano_efetivo"))

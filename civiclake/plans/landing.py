@@ -16,6 +16,7 @@ from civiclake.functions.keys import zfill7
 from civiclake.plans import analogs as A
 from civiclake.plans.io_queries import municipality_json, series_payloads
 from civiclake.plans.batch import Landing
+from civiclake.session import materialize
 
 
 def _only_vars(payload_col: str, ids: list[str]):
@@ -27,7 +28,7 @@ def land_from_tables(spark: SparkSession, sf: str, root: str) -> Landing:
     """Every year of every table: a run picks its own."""
     root = root.rstrip("/")
     municipality_json(spark, sf).write.text(f"{root}/municipios")
-    series = series_payloads(spark, sf)
+    series = materialize(series_payloads(spark, sf), "landing-series")     # two sources are cut from it
     series.select(_only_vars("payload", ["9324"]).alias("p")).write.text(f"{root}/populacao")
     series.select(_only_vars("payload", ["37", "498"]).alias("p")).write.text(f"{root}/pib")
 

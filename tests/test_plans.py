@@ -68,3 +68,9 @@ def test_population_is_spread_before_the_years_multiply_it(spark):
     n = spark.read.parquet(f"{SF}/customer.parquet").count() * 7
     assert len(sizes) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(r["count"] for r in sizes) < 1.1 * n / len(sizes)
     assert plan(spark, "gold_health").count("RoundRobinPartitioning") == 1
+
+
+def test_series_payloads_collect_once(spark):
+    """All measures of a customer are collected and sorted as one list."""
+    from civiclake.plans.io_queries import series_payloads
+    assert series_payloads(spark, SF)._jdf.queryExecution().optimizedPlan().toString().count("collect_list(") == 1
