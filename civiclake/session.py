@@ -82,10 +82,24 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+#: a query's shuffle files go when it ends, not when the driver collects garbage
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` once as a Parquet table under the shared
     checkpoint folder and reading it back (a reliable checkpoint that computes
-    the input once; ``Dataset.checkpoint`` runs it twice unless cached)."""
-    path = scratch_dir(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    the input once; ``Dataset.checkpoint`` runs it twice unless cached). The
+    shuffle files of the write are deleted with it: what follows reads the table."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    was = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(path)
+    finally:
+        if was is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, was)
+    return spark.read.parquet(path)
