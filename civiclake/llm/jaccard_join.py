@@ -22,6 +22,12 @@ first by coordinates that linked documents must share, and pivots work inside th
    sizes part from all of a cell leave it; the rest of the smaller groups become
    pivots, a bounded number a round, and meet their window. A pivot that has met its
    cell leaves it, so this ends with every cell decided.
+4. Of the pairs that windows leave, all but the first of a document meet as sketches
+   before they meet as sets: a set's shingles are counted in about as many parts as it
+   has shingles, and one bit a part says whether the count is odd. Every bit in which
+   two sketches differ is a shingle of the difference, so pairs with too many of them
+   are parted. The sets of the others are sent in rounds, none of which sends much more
+   than the sets themselves take.
 
 Equal shingle sets are one node from the start, and pairs already in one
 component are not compared: only components are asked for. Sets are compared by
@@ -32,6 +38,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +58,8 @@ MEMBERS = 256
 #: parts of a difference that are counted
 PARTS = 128
 BITS = 28
+#: bytes of sets that a round of comparisons may send even if all sets together are smaller
+SENT = 1 << 26
 
 
 class Regions:
@@ -74,10 +83,18 @@ class Regions:
     def shape(self, c: int) -> tuple[int, int]:
         """(buckets, slack). Sets linked with one of at most ``high`` shingles as
         the smaller differ in at most ``differ`` shingles; ``slack`` more buckets
-        than needed allow for that many empty ones."""
+        than needed allow for that many empty ones: as many as the class's smallest
+        sets have, by three deviations, else the sets keep their empty buckets
+        as regions, and unrelated sets of the class share those."""
         high = self.low[c + 1] - 1
         differ = (self.den - self.num) * (high + self.den * high // self.num) // (self.den + self.num)
         slack = math.ceil(0.03 * differ + 2 * math.sqrt(0.03 * differ)) + 1 if differ else 0
+        while differ and slack < differ:
+            m = differ + 1 + slack
+            share = math.exp(-self.low[c] / m)
+            if slack >= m * share + 3 * math.sqrt(m * share * (1 - (1 + self.low[c] / m) * share)):
+                break
+            slack += 1
         return differ + 1 + slack, slack
 
     def keys(self, s: np.ndarray) -> tuple[np.ndarray, int]:
@@ -178,15 +195,88 @@ def sets_of(docs: DataFrame, text_col: str, n: int, wanted: DataFrame, bits: int
     return rows.mapInArrow(run, "node long, shingles binary").groupBy("node").agg(F.any_value("shingles").alias("shingles"))
 
 
-def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(a, b, linked, delta, parts) of the node pairs (a, b), b being the pivot: its
-    set is sent once for every ``MEMBERS`` of its a."""
+def sketch(s: np.ndarray) -> np.ndarray:
+    """The size of a set, and a bit for each of its parts (a power of two, no fewer than
+    its shingles): whether the part has an odd number of shingles."""
+    m = max(64, 1 << (len(s) - 1).bit_length())
+    odd = np.bincount(((s >> np.uint64(20)) & np.uint64(m - 1)).astype(np.int64), minlength=m) & 1
+    return np.concatenate([np.array([len(s)], np.uint64), np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)])
+
+
+def may_meet(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    """Whether two sketches leave room for a link: each bit in which they differ is a
+    shingle of the difference. The finer one is folded to the parts of the other."""
+    size = int(x[0]) + int(y[0])
+    x, y = sorted((x[1:], y[1:]), key=len)
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return (den + num) * int(np.bitwise_count(x ^ y).sum()) <= (den - num) * size
+
+
+def sketches_of(sets: DataFrame) -> DataFrame:
+    """(node, sketch) of (node, shingles)."""
+    schema = pa.schema([("node", pa.int64()), ("sketch", pa.binary())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for p in parts:
+            yield table_batch(schema, [p.column(0), [sketch(np.frombuffer(s.as_buffer(), np.uint64)).tobytes() for s in p.column(1)]])
+
+    return sets.select("node", "shingles").mapInArrow(run, "node long, sketch binary")
+
+
+def dealt(pairs: DataFrame) -> DataFrame:
+    """(a, b, copy) of the node pairs (a, b), b being the pivot: no copy of it has
+    many more than ``MEMBERS`` of its a."""
     total = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / MEMBERS).alias("copies"))
     # written, so that a join sees how small it is before it moves the sets
-    dealt = materialize(pairs.join(total, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).alias("copy")), "jaccard-dealt")
-    members = dealt.join(sets.withColumnRenamed("node", "a"), "a").select("b", "copy", "a", "shingles")
-    tops = dealt.select("b", "copy").distinct().join(sets.withColumnRenamed("node", "b"), "b")
-    rows = members.unionByName(tops.select("b", "copy", F.lit(None).cast("long").alias("a"), "shingles"))
+    return materialize(pairs.join(total, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("copies")).alias("copy")), "jaccard-dealt")
+
+
+def met(some: DataFrame, values: DataFrame) -> DataFrame:
+    """(b, copy, a, value) of dealt pairs and of (node, value): each copy of a pivot in
+    one task, first its own value (a null), then those of its a."""
+    node, value = values.columns
+    members = some.join(values.withColumnRenamed(node, "a"), "a").select("b", "copy", "a", value)
+    tops = some.select("b", "copy").distinct().join(values.withColumnRenamed(node, "b"), "b")
+    rows = members.unionByName(tops.select("b", "copy", F.lit(None).cast("long").alias("a"), value))
+    return rows.repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first())
+
+
+def in_rounds(some: DataFrame, sizes: DataFrame, unit: float, most: int) -> list[DataFrame]:
+    """Dealt pairs in parts of which each sends about ``most`` bytes of values, which
+    have ``unit`` bytes a shingle."""
+    sent = some.join(sizes, F.col("a") == F.col("node")).agg(F.sum("n")).first()[0] or 0
+    rounds = max(1, math.ceil(sent * unit / most))
+    return [some.filter(F.pmod(F.xxhash64("b", "copy"), F.lit(rounds)) == i) for i in range(rounds)]
+
+
+def sifted(pairs: DataFrame, sketches: DataFrame, sizes: DataFrame, num: int, den: int, most: int) -> DataFrame:
+    """(a, b, near) of the node pairs (a, b): whether their sketches leave room for a link."""
+    some = dealt(pairs)
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("near", pa.bool_())])
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        top = np.empty(0, np.uint64)
+        for p in parts:
+            out: list[list] = [[], [], []]
+            for b, a, s in zip(p.column(0).to_pylist(), p.column(2).to_pylist(), p.column(3), strict=True):
+                x = np.frombuffer(s.as_buffer(), np.uint64)
+                if a is None:
+                    top = x.copy()
+                    continue
+                for column, v in zip(out, (a, b, may_meet(x, top, num, den)), strict=True):
+                    column.append(v)
+            yield table_batch(schema, out)
+
+    found = [materialize(met(r, sketches).mapInArrow(run, "a long, b long, near boolean"), "jaccard-sifted") for r in in_rounds(some, sizes, 0.25, most)]
+    dropped(some)
+    return reduce(DataFrame.unionByName, found)
+
+
+def compare(pairs: DataFrame, sets: DataFrame, sizes: DataFrame, num: int, den: int, most: int) -> DataFrame:
+    """(a, b, linked, delta, parts) of the node pairs (a, b), b being the pivot: its
+    set is sent once for every ``MEMBERS`` of its a."""
+    some = dealt(pairs)
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("delta", pa.int64()), ("parts", pa.list_(pa.int16()))])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,8 +292,20 @@ def compare(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
                     column.append(v)
             yield table_batch(schema, out)
 
-    return rows.repartition("b", "copy").sortWithinPartitions("b", "copy", F.col("a").asc_nulls_first()).mapInArrow(
-        run, "a long, b long, linked boolean, delta long, parts array<smallint>")
+    found = [materialize(met(r, sets).mapInArrow(run, "a long, b long, linked boolean, delta long, parts array<smallint>"), "jaccard-compared")
+             for r in in_rounds(some, sizes, 8, most)]
+    dropped(some)
+    return reduce(DataFrame.unionByName, found)
+
+
+def compare_near(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, sizes: DataFrame, num: int, den: int, most: int) -> DataFrame:
+    """``compare`` of the pairs whose sketches leave room for a link; of the others it
+    is told that they are not linked, and no difference."""
+    seen = sifted(pairs, sketches, sizes, num, den, most)
+    new = compare(seen.filter("near").select("a", "b"), sets, sizes, num, den, most)
+    far = seen.filter(~F.col("near")).select("a", "b", F.lit(False).alias("linked"), F.lit(None).cast("long").alias("delta"),
+                                             F.lit(None).cast("array<smallint>").alias("parts"))
+    return new.unionByName(far)
 
 
 def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = 4, num: int = 85, den: int = 100,
@@ -226,27 +328,30 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
     known = info.filter(second).groupBy(F.col("a").alias("node")).agg(F.min("b").alias("h"), F.max(F.shiftright("k", 4)).alias("k"))
     sizes = rows.groupBy("node").agg(F.max("n_shingles").alias("n"))
     regions = found.filter(flag == 0).select(F.col("k").alias("region"), F.col("a").alias("node"))
-    members = materialize(placed(regions, known, sizes), "jaccard-members")
+    members = placed(regions, known, sizes)
 
     near = den * F.least("n", "pivot_n") >= num * F.greatest("n", "pivot_n")
     stars = members.filter("node <> pivot").filter(near).groupBy(F.col("node").alias("a"), F.col("pivot").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     stars = materialize(stars, "jaccard-stars")
     texts = known.join(members.select("node").distinct(), "node", "left_semi").select("h")
     sets = materialize(sets_of(docs, text_col, words, texts, filter_bits), "jaccard-sets")
+    sketches = materialize(sketches_of(sets), "jaccard-sketches")
+    sizes = materialize(sizes.join(sketches.select("node"), "node", "left_semi"), "jaccard-sizes")
+    most = max(SENT, 8 * (sizes.agg(F.sum("n")).first()[0] or 0))
 
     # the pivot a node shares most regions with first, then those still apart
     best = stars.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    tried = materialize(compare(materialize(best, "jaccard-best"), sets, num, den), "jaccard-compared")
+    tried = compare(materialize(best, "jaccard-best"), sets, sizes, num, den, most)
     homes = tried.select(F.col("a").alias("node"), F.col("b").alias("home"), F.col("delta").alias("home_delta"), F.col("parts").alias("home_parts"))
     roots = components(tried.filter("linked").select("a", "b"))
     done = tried.select("a", "b").union(tried.select("b", "a"))
     rest = within(apart(stars.select("a", "b").join(done, ["a", "b"], "left_anti"), roots), homes, sizes, num, den)
-    more = materialize(compare(materialize(rest, "jaccard-rest"), sets, num, den), "jaccard-compared")
+    more = compare_near(materialize(rest, "jaccard-rest"), sets, sketches, sizes, num, den, most)
     if not more.filter("linked").isEmpty():
         roots = extended(roots, more.filter("linked").select("a", "b"))
     tried = tried.unionByName(more)
 
-    most = PIVOTS
+    pivots = PIVOTS
     live = divided(members.select("pivot", "node").distinct(), roots)
     while not live.isEmpty():
         seen = live.select("node").union(live.select("pivot")).distinct()
@@ -258,20 +363,20 @@ def join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", wor
             "home", "home_delta", "home_parts")
         open_ = materialize(undecided(materialize(facts, "jaccard-facts"), num, den), "jaccard-open")
         turns = materialize(outsiders(open_), "jaccard-pivots")
-        further = turns.filter(F.col("turn") <= most)
+        further = turns.filter(F.col("turn") <= pivots)
         todo = materialize(spokes(open_, further, tried, num, den), "jaccard-spokes")
-        new = materialize(compare(todo, sets, num, den), "jaccard-compared")
+        new = compare_near(todo, sets, sketches, sizes, num, den, most)
         if not new.filter("linked").isEmpty():
             roots = extended(roots, new.filter("linked").select("a", "b"))
         tried = tried.unionByName(new)
         # a pivot has met its whole cell and leaves it; a cell without further ones is decided
-        more_to_come = turns.filter(F.col("turn") > most).select("pivot").distinct()
+        more_to_come = turns.filter(F.col("turn") > pivots).select("pivot").distinct()
         if more_to_come.isEmpty():
             break
         left = open_.join(more_to_come, "pivot", "left_semi").join(further.select("pivot", "node"), ["pivot", "node"], "left_anti")
         live = divided(left.select("pivot", "node"), roots)
-        most *= 4
-    for table in (members, stars, sets):
+        pivots *= 4
+    for table in (members, stars, sets, sketches, sizes):
         dropped(table)
 
     out = rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -290,15 +395,25 @@ def apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 
 def placed(regions: DataFrame, known: DataFrame, sizes: DataFrame) -> DataFrame:
     """(region, node, n, pivot, pivot_n) of the nodes that share as many regions as a
-    link takes, in regions with two of them or more. The pivot of a region is the node
-    with the largest part of its own regions shared."""
+    link takes, in regions with two of them or more. Where a link takes t regions, the
+    rarest region that two linked nodes share is not among the t - 1 most frequent ones
+    of either, which it leaves. The pivot of a region is the node with the largest part
+    of its own regions shared."""
     regions = regions.distinct()  # copies come from several tasks
     shared = regions.groupBy("node").agg(F.count(F.lit(1)).alias("shared"))
     all_, need = F.shiftright("k", BITS), F.col("k").bitwiseAND(F.lit((1 << BITS) - 1))
-    able = shared.join(known, "node").filter(F.col("shared") >= need).join(sizes, "node").select("node", "n", (F.col("shared") / all_).alias("part"))
+    able = shared.join(known, "node").filter(F.col("shared") >= need).join(sizes, "node").select("node", "n", need.alias("need"), (F.col("shared") / all_).alias("part"))
     rows = materialize(regions.join(able, "node"), "jaccard-rows")
-    top = rows.groupBy("region").agg(F.max(F.struct("part", "node", "n")).alias("top"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    return rows.join(top, "region").select("region", "node", "n", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n"))
+    count = rows.groupBy("region").agg(F.count(F.lit(1)).alias("c")).filter("c > 1")
+    often = F.row_number().over(Window.partitionBy("node").orderBy(F.desc("c"), "region"))
+    rare = rows.join(count, "region").withColumn("often", often).filter(F.col("often") >= F.col("need")).drop("c", "often", "need")
+    rare = materialize(rare, "jaccard-rare")
+    dropped(rows)
+    top = rare.groupBy("region").agg(F.max(F.struct("part", "node", "n")).alias("top"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    out = rare.join(top, "region").select("region", "node", "n", F.col("top.node").alias("pivot"), F.col("top.n").alias("pivot_n"))
+    out = materialize(out, "jaccard-members")
+    dropped(rare)
+    return out
 
 
 def divided(cells: DataFrame, roots: DataFrame) -> DataFrame:

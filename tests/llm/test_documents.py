@@ -2,10 +2,10 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 
-
 import numpy as np
 import public_tokenizers
 import pytest
@@ -135,6 +135,50 @@ def test_jaccard_regions_never_part_linked_sets():
                 assert len(set(ks) & set(kt)) >= max(1, need_s, need_t), n
 
 
+def test_unrelated_sets_share_no_region():
+    """The smallest sets of a class have the most empty buckets, which are no regions of theirs."""
+    rng = np.random.default_rng(4)
+    for num in (80, 85):
+        regions = jaccard_join.Regions(num, 100)
+        regions.classes(10_000)
+        for n in [low for low in regions.low if 60 <= low <= 6000]:
+            keys = [regions.keys(rng.integers(0, 1 << 63, n, dtype=np.uint64))[0] for _ in range(40)]
+            shared = sum(len(np.intersect1d(a, b)) > 0 for a, b in itertools.combinations(keys, 2))
+            assert shared <= 8, (num, n, shared)    # of 780 pairs
+
+
+def test_sketches_never_part_linked_sets():
+    rng = np.random.default_rng(6)
+    few = 0
+    for n in [1, 2, 5, 20, 63, 64, 65, 129, 500, 1030]:
+        for _ in range(60):
+            s = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+            both = n - int(rng.integers(0, n * 25 // 100 + 1))
+            t = np.concatenate([s[:both], rng.integers(0, 1 << 63, int(rng.integers(0, n // 5 + 1)), dtype=np.uint64)])
+            near = jaccard_join.may_meet(jaccard_join.sketch(s), jaccard_join.sketch(t), 85, 100)
+            assert near or not jaccard_join.linked(np.sort(s), np.sort(t), 85, 100)[0]
+            other = rng.integers(0, 1 << 63, n + n // 9, dtype=np.uint64)
+            few += n > 20 and jaccard_join.may_meet(jaccard_join.sketch(s), jaccard_join.sketch(other), 85, 100)
+    assert few == 0
+
+
+def test_jaccard_join_in_many_rounds(spark, monkeypatch):
+    """Rounds that send next to nothing each; the pairs whose sketches part them send no sets."""
+    sent, split = [], jaccard_join.in_rounds
+
+    def rounds(some, sizes, unit, most):
+        parts = split(some, sizes, unit, 4000 if unit == 8 else 500)
+        sent.append((unit, len(parts), some.count()))
+        return parts
+
+    monkeypatch.setattr(jaccard_join, "in_rounds", rounds)
+    monkeypatch.setattr(jaccard_join, "PIVOTS", 4)
+    rows = [r for r in family_rows() if r[0] % 3]
+    got = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(rows)
+    assert max(n for _, n, _ in sent) > 1
+
+
 def test_copies_of_one_text_just_below_the_threshold(spark):
     """2,000 copies with one to eight replaced words: most pairs are near the threshold, some copies are linked with nothing."""
     rng = random.Random(9)
