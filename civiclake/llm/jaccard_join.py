@@ -49,7 +49,7 @@ from civiclake.llm import bloom, shingles
 from civiclake.llm.arrow_rows import table_batch, text_slices, utf8_parts
 from civiclake.llm.components import components, extended
 from civiclake.llm.key_runs import MASK, PASS, SPEC, Combiner, batches, repeated
-from civiclake.session import materialize, remove
+from civiclake.session import dropped, materialize
 
 #: further pivots of a cell in the first round; four times as many in each next one
 PIVOTS = 512
@@ -131,12 +131,6 @@ def parted(a: np.ndarray, b: np.ndarray) -> list[int] | None:
     return counts.tolist() if counts.max() < 1 << 15 else None
 
 
-def dropped(df: DataFrame) -> None:
-    """Delete a materialized table that nothing reads any more."""
-    for folder in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
-        remove(df.sparkSession, folder)
-
-
 def scan(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int) -> DataFrame:
     """Regions with two or more nodes, as (k, a: node, b), and two passed-through
     rows per document: its node, with doc id or text hash; ``k`` has the set's size

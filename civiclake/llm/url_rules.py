@@ -22,7 +22,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from civiclake.session import materialize
+from civiclake.session import dropped, materialize
 
 BAD = "label=block"
 #: Wilson interval: normal quantile
@@ -92,19 +92,19 @@ def mine(labelled: DataFrame, *, min_support: float = 0.0005, min_count: int = 1
     exploded = rows.select("row", "bad", F.explode("tokens").alias("token"))
     # at most (tokens of a URL) / min_support tokens are left
     frequent = exploded.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("hits")).filter(F.col("hits") >= least)
-    frequent = materialize(frequent.select("token", "n", wilson(F.col("hits"), F.col("n")).alias("bound")), "url-tokens")
-    best = F.sort_array(F.collect_list(F.struct((-F.col("bound")).alias("bound"), "token")))
+    frequent = materialize(frequent.select("token", "n", wilson(F.col("hits"), F.col("n")).alias("bound"), F.monotonically_increasing_id().alias("id")), "url-tokens")
+    best = F.sort_array(F.collect_list(F.struct((-F.col("bound")).alias("bound"), "token", "id")))
     if max_items is not None:
         best = F.slice(best, 1, max_items)
     items = exploded.join(frequent, "token").groupBy("row").agg(F.max("bad").alias("bad"), best.alias("best"))
-    items = items.select("row", F.when(F.col("bad") == 1, F.array_append("best.token", BAD)).otherwise(F.col("best.token")).alias("items"))
+    items = items.select("row", "bad", F.when(F.col("bad") == 1, F.array_append("best.token", BAD)).otherwise(F.col("best.token")).alias("items"), F.col("best.id").alias("ids"))
     items = materialize(items, "url-items")
     # rows without a frequent token are no longer there, but count for the support
     present, widest = items.agg(F.count(F.lit(1)), F.max(F.size(F.array_remove("items", BAD)))).first()
     if not present:
         return nothing
     if max_items is None and widest > FIT_ITEMS:
-        sets = by_level(items, least, min_confidence, max_tokens)
+        sets = by_level(items, frequent, least, min_confidence, max_tokens)
     else:
         sets = by_growth(items, (least - 0.5) / present, max_tokens)
     found = sets.withColumn("confidence", wilson(F.col("hits"), F.col("n"))).filter((F.col("hits") >= least) & (F.col("confidence") >= min_confidence))
@@ -128,26 +128,40 @@ def by_growth(items: DataFrame, support: float, max_tokens: int) -> DataFrame:
     return hits.join(alone, "tokens")
 
 
-def by_level(items: DataFrame, least: float, min_confidence: float, max_tokens: int) -> DataFrame:
+def by_level(items: DataFrame, frequent: DataFrame, least: float, min_confidence: float, max_tokens: int) -> DataFrame:
     """(tokens, hits, n) of the combinations with ``least`` hits of which no rule is
     a smaller part, however many items a URL has.
 
     A combination of k tokens joins two of k - 1 in the same URL that differ in the
     last token. Those with too few hits have no frequent extension, and those that are
-    rules themselves none that is not redundant: neither is extended."""
-    token = F.explode(F.array_remove("items", BAD))
-    at = items.select("row", F.array_contains("items", BAD).cast("int").alias("bad"), F.array().cast("array<string>").alias("head"), token.alias("last"))
-    levels = []
+    rules themselves none that is not redundant: neither is extended. In the URLs, tokens
+    and combinations are numbers; only their counts and, once a level, the combinations
+    still open in each URL are shuffled."""
+    at = items.select("row", "bad", F.lit(None).cast("long").alias("head"), F.explode("ids").alias("last"))
+    names = frequent.select(F.col("id").alias("last"), "token")
+    before, levels, open_ = None, [], None
     for k in range(1, max_tokens + 1):
-        sets = at.groupBy("head", "last").agg(F.sum("bad").alias("hits"), F.count(F.lit(1)).alias("n")).filter(F.col("hits") >= least)
-        sets = materialize(sets, "url-itemsets")
-        levels.append(sets.select(F.array_append("head", F.col("last")).alias("tokens"), "hits", "n"))
-        more = sets.filter(wilson(F.col("hits"), F.col("n")) < min_confidence)
-        if k == max_tokens or more.isEmpty():
+        sets = at.groupBy("head", "last").agg(F.sum("bad").alias("hits"), F.count(F.lit(1)).alias("n")).filter(F.col("hits") >= least).join(names, "last")
+        if before is None:
+            sets = sets.withColumn("tokens", F.array("token"))
+        else:
+            sets = sets.join(before.select(F.col("set").alias("head"), "tokens"), "head").withColumn("tokens", F.array_append("tokens", F.col("token")))
+        sets = materialize(sets.select(F.monotonically_increasing_id().alias("set"), "head", "last", "tokens", "hits", "n"), "url-itemsets")
+        levels.append(sets.select(F.sort_array("tokens").alias("tokens"), "hits", "n"))
+        before = sets.filter(wilson(F.col("hits"), F.col("n")) < min_confidence)
+        if k == max_tokens or before.isEmpty():
             break
-        left = materialize(at.join(more.select("head", "last"), ["head", "last"], "left_semi"), "url-open")
-        right = left.select("row", "head", F.col("last").alias("next"))
-        at = left.join(right, ["row", "head"]).filter("last < next").select("row", "bad", F.array_append("head", F.col("last")).alias("head"), F.col("next").alias("last"))
+        found = before.select(F.col("head").alias("h"), F.col("last").alias("l"), "set")
+        left = at.join(found, F.col("head").eqNullSafe(F.col("h")) & (F.col("last") == F.col("l")))
+        left = left.groupBy("row", "head").agg(F.max("bad").alias("bad"), F.sort_array(F.collect_list(F.struct("last", "set"))).alias("some")).filter(F.size("some") > 1)
+        left = materialize(left.select("row", "bad", "some"), "url-open")
+        if open_ is not None:
+            dropped(open_)
+        open_ = left
+        first = left.select("row", "bad", "some", F.posexplode("some").alias("i", "one"))
+        at = first.select("row", "bad", F.col("one.set").alias("head"), F.explode(F.expr("slice(some.last, i + 2, size(some))")).alias("last"))
+    if open_ is not None:
+        dropped(open_)
     return reduce(DataFrame.union, levels)
 
 

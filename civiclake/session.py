@@ -82,6 +82,12 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def dropped(df) -> None:
+    """Delete a materialized table that nothing reads any more."""
+    for folder in {p.rsplit("/", 1)[0] for p in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
 #: a query's shuffle files go when it ends, not when the driver collects garbage
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 

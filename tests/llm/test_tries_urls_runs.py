@@ -227,6 +227,22 @@ def test_mined_rules_use_every_token_of_long_urls(spark):
     assert url_rules.mine(many, max_items=None).count() == 45
 
 
+def test_levels_keep_numbers_and_one_row_per_beginning(spark, monkeypatch):
+    """What a level leaves open is a row for each URL and beginning, without texts."""
+    seen, write = [], url_rules.materialize
+
+    def watched(df, name):
+        table = write(df, name)
+        if name == "url-open":
+            seen.append((table.count(), table.schema.simpleString()))
+        return table
+
+    monkeypatch.setattr(url_rules, "materialize", watched)
+    rows = [("http://a.org/" + "/".join(f"p{chr(97 + k)}" for k in range(14)), i % 3 == 0) for i in range(60)]
+    assert url_rules.mine(spark.createDataFrame(rows, "url string, bad boolean"), max_items=None, min_confidence=0.9, max_tokens=3).count() == 0
+    assert seen[0][0] == 60 and seen[1][0] == 60 * 17 and not any("string" in schema for _, schema in seen)    # 19 tokens
+
+
 def test_both_ways_of_mining_agree(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(f"https://{rng.choice('abc')}.org/{rng.choice('def')}/{rng.choice('ghi')}?{rng.choice('jk')}=1", rng.random() < 0.6) for _ in range(600)]
