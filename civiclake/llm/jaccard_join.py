@@ -138,7 +138,8 @@ def scan(docs: DataFrame, id_col: str, text_col: str, n: int, num: int, den: int
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        regions, combine = Regions(num, den), Combiner(pairs=False)
+        # a smaller limit than elsewhere: sorting a full one takes several times its size
+        regions, combine = Regions(num, den), Combiner(pairs=False, limit=1 << 18)
         for b in text_slices(parts, "text", 1 << 18):
             raw, offsets = utf8_parts(b.column(1))
             h, _, _, at = shingles.words(raw, offsets, lower=True)

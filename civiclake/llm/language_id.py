@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from civiclake.llm.arrow_rows import table_batch
+from civiclake.session import small_batches
 
 UNDETERMINED = "und"
 #: bytes of a text compressed at a time
@@ -109,6 +110,7 @@ def predict(docs: DataFrame, model: Model, *, text_col: str = "text", min_margin
     empty table gives an empty result.
     """
     keep = {c: F.col(c) for c in docs.columns if c not in (text_col, "lang_pred", "score", "rejected")} if keep is None else keep
+    small_batches(docs.sparkSession)
     cols = docs.select(*[c.alias(k) for k, c in keep.items()], F.col(text_col).cast("string").alias("_text"))
     spec = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cols.schema.fields[:-1])
     added = [("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())]

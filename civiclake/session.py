@@ -88,6 +88,20 @@ def dropped(df) -> None:
         remove(df.sparkSession, folder)
 
 
+#: bytes of rows that a Python function gets at a time. A task holds such a batch several
+#: times: as vectors and as a stream outside the heap, and in the Python worker
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to the session's Python functions in batches of 4 MB (a longer row: alone)
+    instead of 64 MB, unless the session has a bound of its own. For frames that their
+    caller writes; ``materialize`` does it by itself."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 #: a query's shuffle files go when it ends, not when the driver collects garbage
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -99,6 +113,7 @@ def materialize(df, name: str):
     shuffle files of the write are deleted with it: what follows reads the table."""
     spark = df.sparkSession
     path = scratch_dir(spark, name)
+    small_batches(spark)
     was = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
